@@ -9,6 +9,8 @@ error, raised when the plan is built — also for jobs that match no rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,15 +70,26 @@ def text_cells(bound: Bound, columns: list[str], paths: list[str], *,
 def project(source: DocumentView | DataFrame, columns: list[str],
             column_paths: Mapping[str, str] | None = None, *, id_column: str | None = None,
             keep: list[str] | None = None, guard_formulas: bool = False,
-            job_id: str | None = None) -> DataFrame:
+            job_id: str | None = None, query: Any = None,
+            now: datetime | None = None) -> DataFrame:
     """Documents -> flat rows of text cells in ``columns`` order.
 
     ``keep`` names document paths carried along untouched (e.g. the id for
     ordering or bucketing); they come first, under ``__keep_<i>`` names.
+    With ``query`` only matching documents are projected (scan, filter and
+    projection share one bound frame, so the filter reaches the scan).
     """
     paths = column_path_list(columns, column_paths, job_id=job_id)
     keep = keep or []
-    bound = bind(source, paths + keep, id_column=id_column)
+    if query is not None:
+        from docferry.operators.scan import bind_job
+
+        if now is None:
+            raise ValueError("a query needs the job-run clock `now`")
+        bound, pred = bind_job(source, query, paths + keep, now=now, id_column=id_column)
+        bound.frame = bound.frame.where(pred)
+    else:
+        bound = bind(source, paths + keep, id_column=id_column)
     kept = []
     for i, k in enumerate(keep):
         r = bound.resolve(k)
