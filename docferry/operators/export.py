@@ -1,10 +1,13 @@
 """CSV export of projected rows: parts, per-part digests, manifest, publish.
 
-Layout of one export under ``<root>/<job_id>/``::
+Layout of one export under ``<root>/<job_id>/`` (``name`` is the base name
+of the job's remote file)::
 
-    data/bucket=<k>/part-*.txt   one CSV per bucket, header first, rows sorted
-    SHA256SUMS                   "<hex>  data/bucket=<k>/part-...txt" per part
-    manifest/                    parquet: bucket, file, rows, bytes, sha256
+    <name>/bucket=<k>/part-*.txt   one CSV per bucket, header first, rows sorted
+    <name>.sha256                  "<hex>  <name>/bucket=<k>/part-...txt" per part
+    _manifest/                     parquet: bucket, file, rows, bytes, sha256
+
+so ``sha256sum -c <name>.sha256`` checks every part from the folder above.
 
 Scale decisions:
 
@@ -100,26 +103,25 @@ def read_back_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
               .groupBy("bucket").agg((F.count(F.lit(1)) - 1).alias("rows")))
     return files.join(counts, "bucket", "left").select(
         F.col("bucket").cast("int").alias("bucket"),
-        F.concat(F.lit("data/bucket="), F.col("bucket").cast("string"), F.lit("/"),
+        F.concat(F.lit("bucket="), F.col("bucket").cast("string"), F.lit("/"),
                  F.substring_index("file", "/", -1)).alias("file"),
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "bytes", "sha256")
 
 
 def export_lines(lines: DataFrame, columns: list[str], *, job_id: str, out_dir: str,
-                 n_parts: int) -> ExportResult:
+                 n_parts: int, name: str = "export.csv") -> ExportResult:
     """Write the export of ``lines`` (columns ``bucket``, ``line``) and its
     manifest and sidecar under ``out_dir``; the sidecar is written last."""
     spark = lines.sparkSession
     header = header_line(columns)
-    data_dir = f"{out_dir}/data"
+    data_dir = f"{out_dir}/{name}"
     written = write_parts(lines, header, data_dir, n_parts)
-    manifest = read_back_manifest(spark, data_dir).orderBy("bucket")
-    manifest_dir = f"{out_dir}/manifest"
-    manifest.coalesce(1).write.mode("overwrite").parquet(manifest_dir)
+    manifest_dir = f"{out_dir}/_manifest"
+    read_back_manifest(spark, data_dir).coalesce(1).write.mode("overwrite").parquet(manifest_dir)
     manifest = spark.read.parquet(manifest_dir)
     sums = manifest.orderBy("bucket").select(
-        F.concat("sha256", F.lit("  "), "file").alias("line"))
-    sidecar = f"{out_dir}/SHA256SUMS"
+        F.concat("sha256", F.lit("  " + name + "/"), "file").alias("line"))
+    sidecar = f"{out_dir}/{name}.sha256"
     tmp = f"{out_dir}/_sidecar_tmp"
     sums.coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(tmp)
     fs.single_file(spark, tmp, sidecar, "part-*.txt")
@@ -130,6 +132,16 @@ def export_lines(lines: DataFrame, columns: list[str], *, job_id: str, out_dir:
                         sha256=digest)
 
 
+def publish(spark: SparkSession, result: ExportResult, target: str) -> ExportResult:
+    """Move the parts to ``target`` and then the sidecar to
+    ``target + ".sha256"``; a present sidecar means a complete export."""
+    fs.delete(spark, target + ".sha256")
+    fs.rename(spark, result.path, target)
+    fs.rename(spark, result.sidecar_path, target + ".sha256")
+    return ExportResult(result.job_id, target, target + ".sha256", result.manifest_path,
+                        result.row_count, result.n_parts, result.sha256)
+
+
 def verify_export(spark: SparkSession, result: ExportResult) -> DataFrame:
     """Recompute each part's digest from disk and compare with the manifest.
 

@@ -188,9 +188,9 @@ FROM ({' UNION ALL '.join(parts)})"""
 
 
 QUERIES = {
-    "csv_line_render": (csv_line_render, lambda: f"""SELECT doc_id,
+    "csv_line_render": (csv_line_render, lambda: f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id,
   {csv_line_sql([txt('doc_id'), txt('lang'), txt('text')])} AS line FROM documents"""),
-    "csv_line_pages": (csv_line_pages, lambda: f"""SELECT page_id,
+    "csv_line_pages": (csv_line_pages, lambda: f"""SELECT CAST(page_id AS VARCHAR) AS page_id,
   {csv_line_sql([txt('page_id'), txt('url'), txt('html')])} AS line FROM pages"""),
     "csv_single_column": (csv_single_column, lambda: f"""SELECT conv_id, turn,
   {csv_line_sql(["coalesce(CASE WHEN role = 'system' THEN '' ELSE text END, '')"])} AS line

@@ -43,7 +43,7 @@ class Catalog:
         return factory()
 
 
-def test_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The driver tables plus the document views derived from them."""
     from docferry.sources import documents
 
