@@ -139,14 +139,17 @@ class DocumentView:
         for name in sorted(want_rank):
             ch = self.children[name]
             ranks = sorted(want_rank[name])
-            ranked = self._ranked(ch, ranks[-1] + 1)
+            ranked = self._ranked(ch, ranks[-1] + 1) if ranks[-1] > 0 else None
             elem = ch.frame.select(ch.value).schema[0].dataType
             for k in ranks:
                 # One row per parent and rank: a one-to-one join, whatever the
                 # size of the parent's list.
                 alias = f"__ch_{name}_{k}"
-                side = ranked.where(F.col("__rn") == k + 1).select(
-                    F.col("__parent").alias(f"{alias}_p"), F.col("__v").alias(alias))
+                if k == 0:
+                    side = self._first(ch, alias)
+                else:
+                    side = ranked.where(F.col("__rn") == k + 1).select(
+                        F.col("__parent").alias(f"{alias}_p"), F.col("__v").alias(alias))
                 df = df.join(side, df[self.id_column] == side[f"{alias}_p"], "left")
                 df = df.drop(f"{alias}_p")
                 extra[f"{name}[{k}]"] = (alias, elem)
@@ -163,6 +166,16 @@ class DocumentView:
             extra[name] = (alias, side.schema[alias].dataType)
         return Bound(df, self.id_column, extra, visible=self.root.schema)
 
+    @staticmethod
+    def _first(ch: Children, alias: str) -> DataFrame:
+        """First child per parent as a min over (order keys, value): an
+        aggregate that combines map-side, so a parent with any number of
+        children leaves each task as one row."""
+        keyed = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(ch.order)],
+                         ch.value.alias("v"))
+        return (ch.frame.groupBy(F.col(ch.parent).alias(f"{alias}_p"))
+                .agg(F.min(keyed)["v"].alias(alias)))
+
     @staticmethod
     def _ranked(ch: Children, limit: int) -> DataFrame:
         w = Window.partitionBy(F.col(ch.parent)).orderBy(*[F.col(o) for o in ch.order])

@@ -18,8 +18,17 @@ TABLE_NAMES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *, fresh: bool = False) -> DataFrame:
+    """Parquet scan of one table. The DataFrame (a plan, not data) is reused
+    within a session; ``fresh`` lists the files again (a re-extract)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if fresh or key not in _FRAMES:
+        _FRAMES[key] = spark.read.parquet(path)
+    return _FRAMES[key]
 
 
 class Catalog:
@@ -49,7 +58,7 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
 
     cat = Catalog()
     for name in TABLE_NAMES:
-        cat.register(name, lambda n=name: read_table(spark, sf_dir, n))
+        cat.register(name, lambda n=name: read_table(spark, sf_dir, n, fresh=True))
     cat.register("order_docs", lambda: documents.order_documents(spark, sf_dir))
     cat.register("event_docs", lambda: documents.event_documents(spark, sf_dir))
     cat.register("conversation_docs", lambda: documents.conversation_documents(spark, sf_dir))
