@@ -49,6 +49,19 @@ def bucket_of(key: Column, n_parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_parts)).cast("int")
 
 
+# The Park-Miller multiplier and modulus (a prime), used to
+# spread integer keys before ``mod n`` so that patterned keys (every 32nd
+# value, say) do not pile into a few buckets.
+_PM_MULT = 16807
+_PM_MOD = 2147483647
+
+
+def int_bucket(key: Column, n_parts: int) -> Column:
+    """Deterministic bucket of an integer key, reproducible in plain SQL."""
+    mixed = F.pmod(F.pmod(key.cast("bigint"), F.lit(_PM_MOD)) * F.lit(_PM_MULT), F.lit(_PM_MOD))
+    return F.pmod(mixed, F.lit(n_parts)).cast("int")
+
+
 def bucket_digests(lines: DataFrame, header: str) -> DataFrame:
     """(bucket, rows, sha256) of each part's text, computed from the rows.
 
@@ -99,8 +112,11 @@ def read_back_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
              .load(data_dir)
              .select("bucket", F.substring_index("path", "/", -2).alias("file"),
                      F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")))
-    counts = (spark.read.option("lineSep", "\n").text(data_dir)
-              .groupBy("bucket").agg((F.count(F.lit(1)) - 1).alias("rows")))
+    # Records, not lines: a quoted cell may hold line breaks. Each part is
+    # parsed whole (multiLine), one task per part.
+    counts = (spark.read.option("header", True).option("multiLine", True)
+              .option("escape", '"').option("mode", "FAILFAST").csv(data_dir)
+              .groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")))
     return files.join(counts, "bucket", "left").select(
         F.col("bucket").cast("int").alias("bucket"),
         F.concat(F.lit("bucket="), F.col("bucket").cast("string"), F.lit("/"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.functions.render import header_line, json_line
-from docferry.operators.export import bucket_digests, part_count
+from docferry.operators.export import bucket_digests, int_bucket, part_count
 from docferry.operators.projection import project, text_cells, with_line
 from docferry.operators.reconcile import pair_counts
 from docferry.operators.scan import count_per_job, tag_jobs
@@ -78,15 +78,16 @@ def ndjson_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3/V3: per-part digests of the flagship export.
 
-    Parts hold ``rows_per_part`` orders each on average (bucket = order id
-    mod the part count, which comes from the source count), so a digest never
-    needs more than one part's lines in one task.
+    Parts hold ``rows_per_part`` orders each on average (the part count
+    comes from the source count; order ids are spread by a multiplicative
+    mix before ``mod n``), so a digest never needs more than one part's lines
+    in one task.
     """
     view = order_documents(spark, sf_dir)
     n = part_count(view.root.count(), DIGEST_ROWS_PER_PART)
     rows = project(view, ORDER_EXPORT_COLUMNS, ORDER_EXPORT_PATHS, keep=["order_id"])
     lines = with_line(rows, ORDER_EXPORT_COLUMNS).select(
-        F.pmod(F.col("__keep_0"), F.lit(n)).cast("int").alias("bucket"), "line")
+        int_bucket(F.col("__keep_0"), n).alias("bucket"), "line")
     return bucket_digests(lines, header_line(ORDER_EXPORT_COLUMNS)).select(
         "bucket", F.col("rows").cast("bigint").alias("rows"), "sha256")
 
@@ -104,7 +105,7 @@ lines AS (
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   LEFT JOIN items i0 ON i0.l_orderkey = o.o_orderkey AND i0.rn = 1),
 n AS (SELECT greatest(1, CAST(ceil(count(*) / {DIGEST_ROWS_PER_PART}.0) AS BIGINT)) AS n FROM orders)
-SELECT CAST(((k % n) + n) % n AS INTEGER) AS bucket, count(*) AS rows,
+SELECT CAST((((k % 2147483647) * 16807) % 2147483647) % n AS INTEGER) AS bucket, count(*) AS rows,
   sha256('{header}' || chr(10) || string_agg(line, chr(10) ORDER BY line) || chr(10)) AS sha256
 FROM lines, n GROUP BY 1"""
 

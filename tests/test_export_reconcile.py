@@ -42,6 +42,16 @@ def test_basic_export_and_sidecar(spark, out_dir):
     assert verify_export(spark, res).count() == 0
 
 
+def test_manifest_counts_records_not_lines(spark, out_dir):
+    from docferry.functions.render import csv_line
+    df = spark.createDataFrame([("1", "two\nlines"), ("2", 'q"\r\nx'), ("3", "")], "id string, t string")
+    lines = df.select(F.lit(0).alias("bucket"), csv_line([F.col("id"), F.col("t")]).alias("line"))
+    res = export_lines(lines, ["id", "t"], job_id="j", out_dir=out_dir, n_parts=1)
+    assert res.row_count == 3
+    assert spark.read.parquet(res.manifest_path).first()["rows"] == 3
+    assert verify_export(spark, res).count() == 0
+
+
 def test_zero_rows_is_header_only(spark, out_dir):
     lines = spark.createDataFrame([], "bucket int, line string")
     res = export_lines(lines, ["a", "b"], job_id="j", out_dir=out_dir, n_parts=1)
