@@ -81,7 +81,11 @@ def _variant_text(v: Column) -> Column:
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
         .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
-        .when(kind.isin("DOUBLE", "FLOAT"), py_float_text(F.try_variant_get(v, "$", "double")))
+        # JSON numbers with a fraction or exponent are floats to a JSON
+        # reader; the variant may hold them as decimals (1.0 -> DECIMAL(2,1)).
+        .when(kind.isin("DOUBLE", "FLOAT")
+              | (kind.startswith("DECIMAL") & ~kind.endswith(",0)")),
+              py_float_text(F.try_variant_get(v, "$", "double")))
         .otherwise(F.try_variant_get(v, "$", "string")))
 
 

@@ -85,10 +85,15 @@ def tee_ndjson(spark: SparkSession, job: JobSpec, source: DocumentView | DataFra
     Documents assembled from relations are written whole (each child list
     collected per document)."""
     view = as_view(source)
-    docs = view.nested() if (view.lookups or view.children) else view.root
-    flat = DocumentView.of(docs, view.id_column)
-    bound, pred = bind_job(flat, job.query, [], now=now)
-    rows = bound.frame.where(pred).select(json_line(*[F.col(f"`{c}`") for c in docs.columns]).alias("j"))
+    if view.variant_root is not None:
+        bound, pred = bind_job(view, job.query, [], now=now)
+        rows = bound.frame.where(pred).select(F.to_json(F.col(f"`{view.variant_root}`")).alias("j"))
+    else:
+        docs = view.nested() if (view.lookups or view.children) else view.root
+        flat = DocumentView.of(docs, view.id_column)
+        bound, pred = bind_job(flat, job.query, [], now=now)
+        rows = bound.frame.where(pred).select(
+            json_line(*[F.col(f"`{c}`") for c in docs.columns]).alias("j"))
     from pyspark.sql import Observation
 
     obs = Observation("ndjson")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docferry.operators.projection import project, with_line
 from docferry.plans.sqltext import ITEMS_CTE, csv_line_sql, ts_txt, txt
 from docferry.sources.documents import (
-    conversation_documents, event_documents, order_documents)
+    conversation_documents, event_documents, json_string_documents, order_documents)
 from docferry.sources.tables import read_table
 
 # The flagship export job: order documents -> four flat columns.
@@ -189,6 +189,35 @@ LEFT JOIN t t0 ON t0.conv_id = ids.conv_id AND t0.rn = 1
 LEFT JOIN t t1 ON t1.conv_id = ids.conv_id AND t1.rn = 2"""
 
 
+def order_json_documents(spark: SparkSession, sf_dir: str):
+    """Orders as schemaless JSON documents (one JSON text per order)."""
+    orders = read_table(spark, sf_dir, "orders")
+    doc = F.to_json(F.struct(
+        F.col("o_orderkey").alias("order_id"),
+        F.struct(F.col("o_custkey").alias("key")).alias("customer"),
+        F.col("o_orderstatus").alias("status"),
+        F.array("o_orderstatus", "o_orderpriority").alias("flags"),
+        F.col("o_totalprice").alias("price"),
+        F.lit(None).cast("string").alias("note")), {"ignoreNullFields": "false"})
+    return json_string_documents(orders.select("o_orderkey", doc.alias("doc")), "doc",
+                                 id_column="o_orderkey")
+
+
+def path_schemaless_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["_id", "order_id", "customer_key", "priority", "note", "nope", "customer"]
+    paths = {"customer_key": "customer.key", "priority": "flags[1]", "nope": "flags[2]",
+             "customer": "customer"}
+    return project(order_json_documents(spark, sf_dir), cols, paths)
+
+
+def _path_schemaless_docs_sql() -> str:
+    return f"""SELECT {txt('o_orderkey')} AS _id, {txt('o_orderkey')} AS order_id,
+  {txt('o_custkey')} AS customer_key, {txt('o_orderpriority')} AS priority,
+'' AS note, '' AS nope,
+  '{{"key":' || CAST(o_custkey AS VARCHAR) || '}}' AS customer
+FROM orders"""
+
+
 def project_doc_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["_id", "lang", "source", "n_chars"]
     return project(read_table(spark, sf_dir, "documents"), cols, id_column="doc_id")
@@ -228,5 +257,6 @@ QUERIES = {
     "path_array_primitive": (path_array_primitive, _path_array_primitive_sql),
     "path_conversation_turns": (path_conversation_turns, _path_conversation_turns_sql),
     "project_doc_id": (project_doc_id, _project_doc_id_sql),
+    "path_schemaless_docs": (path_schemaless_docs, _path_schemaless_docs_sql),
     "source_envelope": (source_envelope, _source_envelope_sql),
 }

@@ -60,6 +60,7 @@ class Bound:
     id_column: str | None
     extra: dict[str, tuple[str, T.DataType]] = field(default_factory=dict)
     visible: T.StructType | None = None
+    variant_root: str | None = None
 
     def resolve(self, path: str) -> Resolved:
         if path == "":
@@ -67,6 +68,10 @@ class Bound:
         steps = tokenize(path)
         if not steps:
             return MISSING
+        if self.variant_root is not None:
+            if self.id_column is not None and steps == [Key("_id")]:
+                return resolve_path(self.frame.schema, "_id", id_column=self.id_column)
+            return walk(F.col(f"`{self.variant_root}`"), T.VariantType(), steps)
         head = steps[0]
         if isinstance(head, Key) and head.name in self.extra and (
                 self.id_column is None or steps != [Key("_id")]):
@@ -84,9 +89,11 @@ class Bound:
 class DocumentView:
     def __init__(self, root: DataFrame, id_column: str | None,
                  lookups: dict[str, Lookup] | None = None,
-                 children: dict[str, Children] | None = None) -> None:
+                 children: dict[str, Children] | None = None, *,
+                 variant_root: str | None = None) -> None:
         self.root = root
         self.id_column = id_column
+        self.variant_root = variant_root
         self.lookups = dict(lookups or {})
         self.children = dict(children or {})
         clash = set(self.lookups) | set(self.children)
@@ -98,6 +105,11 @@ class DocumentView:
     def of(cls, df: DataFrame, id_column: str | None = None) -> DocumentView:
         return cls(df, id_column)
 
+    @classmethod
+    def schemaless(cls, df: DataFrame, doc_column: str, id_column: str | None = None) -> DocumentView:
+        """Documents held whole in one ``variant`` column; paths start inside it."""
+        return cls(df, id_column, variant_root=doc_column)
+
     @property
     def schema(self) -> T.StructType:
         """The document schema as paths see it (relations as struct / array)."""
@@ -112,7 +124,7 @@ class DocumentView:
     def bind(self, paths: list[str]) -> Bound:
         """Join the relations ``paths`` reach; everything else stays a scan."""
         if not self.lookups and not self.children:
-            return Bound(self.root, self.id_column)
+            return Bound(self.root, self.id_column, variant_root=self.variant_root)
         want_lookup: set[str] = set()
         want_rank: dict[str, set[int]] = defaultdict(set)
         want_whole: set[str] = set()
@@ -259,6 +271,29 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
     return DocumentView(root, "event_id")
 
 
+def json_documents(spark: SparkSession, path: str, *, id_path: str | None = None) -> DocumentView:
+    """Schemaless documents from JSON-lines files (one object per line).
+
+    Each line is parsed once into a ``variant`` (duplicate keys: last wins);
+    a line that is not JSON becomes a null document, which every path reads
+    as missing. ``id_path`` names the field that serves as ``_id``.
+    """
+    docs = spark.read.option("lineSep", "\n").text(path).select(
+        F.try_parse_json("value").alias("_source"))
+    if id_path is not None:
+        r = walk(F.col("_source"), T.VariantType(), tokenize(id_path))
+        docs = docs.select(F.try_variant_get(r.column, "$", "string").alias("_id"), "_source")
+        return DocumentView.schemaless(docs, "_source", "_id")
+    return DocumentView.schemaless(docs, "_source")
+
+
+def json_string_documents(df: DataFrame, column: str, *, id_column: str | None = None) -> DocumentView:
+    """Schemaless documents from a JSON string column of a table."""
+    keep = [id_column] if id_column else []
+    docs = df.select(*keep, F.try_parse_json(F.col(column)).alias("_source"))
+    return DocumentView.schemaless(docs, "_source", id_column)
+
+
 def conversation_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
     """One document per conversation with its ``turns`` in turn order."""
     conv = read_table(spark, sf_dir, "conversations")

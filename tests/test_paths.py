@@ -133,3 +133,26 @@ def test_list_index_limit_runs_before_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert sorted(tuple(r) for r in df.collect()) == [("0", "3"), ("1", "4"), ("2", "5")]
+
+
+def test_json_lines_documents(spark, out_dir):
+    from datetime import datetime
+
+    from docferry.operators.scan import matching
+    from docferry.sources.documents import json_documents
+
+    path = f"{out_dir}/docs.ndjson"
+    with open(path, "w") as fh:
+        fh.write('{"id": "a", "user": {"name": "x"}, "tags": ["t1"], "n": 1.5, "ok": true}\n')
+        fh.write("not json\n")
+        fh.write('{"id": "b", "user": null, "n": 2, "id": "b2"}\n')
+    view = json_documents(spark, path, id_path="id")
+    out = sorted(tuple(r) for r in project(
+        view, ["_id", "name", "tag", "n", "ok", "user"],
+        {"name": "user.name", "tag": "tags[0]"}).collect())
+    assert out == [("", "", "", "", "", ""), ("a", "x", "t1", "1.5", "true", '{"name":"x"}'),
+                   ("b2", "", "", "2", "", "")]
+    hits = matching(view, {"bool": {"must": [{"term": {"user.name": "x"}},
+                                             {"range": {"n": {"gt": 1}}}]}},
+                    now=datetime(2024, 1, 1))
+    assert hits.count() == 1
