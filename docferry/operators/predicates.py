@@ -7,8 +7,10 @@ Clauses: ``match_all``, ``range`` (gte/gt/lte/lt, date math on ``now``),
 Rules kept throughout:
 
 * A field that is missing never matches a positive clause and always
-  matches a negated one: every leaf is ``coalesce(cond, false)`` before any
-  ``NOT`` is applied (plain SQL ``NOT`` would drop null rows).
+  matches a negated one: every leaf is two-valued — ``col IS NOT NULL AND
+  col op literal`` — before any ``NOT`` is applied (plain SQL ``NOT`` would
+  drop null rows). Both parts are forms the parquet reader filters on, so
+  the predicate reaches the scan.
 * ``now`` is a parameter, resolved once per job run, so the count, the
   extract and a re-extract all see the same bounds.
 * Anything not understood is a ``QueryError`` when the plan is built, never a
@@ -132,8 +134,43 @@ def _is_date_type(dt: T.DataType | None) -> bool:
     return isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
+class _NoMatch(Exception):
+    """A literal that can never equal a value of the field (e.g. text for a
+    number column): the clause matches nothing."""
+
+
+def _coerce(value: Any, dt: T.DataType) -> Any:
+    """A Python literal of the field's type, converted on the driver."""
+    if isinstance(value, bool):
+        if isinstance(dt, T.BooleanType):
+            return value
+        if isinstance(dt, T.StringType):
+            return "true" if value else "false"
+        raise _NoMatch()
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        try:
+            f = float(value)
+        except (TypeError, ValueError):
+            raise _NoMatch() from None
+        return int(f) if f.is_integer() else f
+    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
+        try:
+            return float(value)
+        except (TypeError, ValueError):
+            raise _NoMatch() from None
+    if isinstance(dt, T.StringType):
+        return value if isinstance(value, str) else str(value)
+    if isinstance(dt, T.BooleanType):
+        if value in ("true", "false"):
+            return value == "true"
+        raise _NoMatch()
+    return value
+
+
 def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False) -> tuple[Column, Column]:
-    """(field column, literal) with the field read at a type the literal fits."""
+    """(field column, non-null literal) with the field read at a type the
+    literal fits. Literals are converted here, on the driver, so comparisons
+    stay plain ``column op constant`` forms that parquet can filter on."""
     col, dt = r.column, r.dtype
     if isinstance(dt, T.VariantType):
         if isinstance(value, bool):
@@ -153,23 +190,25 @@ def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False)
         else:
             raise QueryError(f"unsupported date bound {value!r}")
         return col, F.lit(t.isoformat(sep=" ")).cast(dt)
-    if isinstance(value, bool):
-        return col, F.lit(value)
-    if isinstance(value, (int, float)):
-        if isinstance(dt, T.StringType):
-            return col, F.lit(str(value))
-        return col, F.lit(value)
-    if isinstance(value, str):
-        if isinstance(dt, (T.StringType, T.BooleanType)) or dt is None:
-            return col, F.lit(value)
-        return col, F.lit(value).try_cast(dt)
-    raise QueryError(f"unsupported value {value!r}")
+    if not isinstance(value, (bool, int, float, str)):
+        raise QueryError(f"unsupported value {value!r}")
+    return col, F.lit(_coerce(value, dt))
 
 
 def _false_if_null(c: Column) -> Column:
+    """Two-valued form of a condition that has no pushable shape anyway
+    (array membership, sizes)."""
     return F.coalesce(c, F.lit(False))
 
 
+def _present(col: Column, cond: Column) -> Column:
+    """Two-valued leaf: false (never null) when the field is missing or null.
+
+    ``col IS NOT NULL AND cond`` keeps both parts in forms the parquet reader
+    can filter on, unlike ``coalesce(cond, false)``."""
+    return col.isNotNull() & cond
+
+
 def _field_and_body(clause: str, body: Any) -> tuple[str, Any]:
     if not isinstance(body, Mapping) or len(body) != 1:
         raise QueryError(f"{clause} needs exactly one field")
@@ -186,8 +225,10 @@ def _value_of(spec: Any, key: str = "value") -> Any:
 
 
 def compile_query(query: Any, resolve: Resolver, *, now: datetime,
-                  id_column: Column | None = None) -> Column:
-    """Compile a query object to a boolean Column (never null)."""
+                  id_column: tuple[Column, T.DataType] | None = None) -> Column:
+    """Compile a query object to a boolean Column (never null).
+
+    ``id_column`` is the document id column and its type (for ``ids``)."""
     if not isinstance(query, Mapping):
         raise QueryError("query must be an object")
     if len(query) != 1:
@@ -244,14 +285,17 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         r = resolve(field)
         if r.missing:
             return F.lit(False)
-        cond = F.lit(True)
+        cond, col = None, None
         for key, op in ops.items():
             if key not in spec:
                 continue
-            col, lit = _literal(spec[key], r, now, round_up=key in ("gt", "lte"))
+            try:
+                col, lit = _literal(spec[key], r, now, round_up=key in ("gt", "lte"))
+            except _NoMatch:
+                return F.lit(False)
             cmp = {"ge": col >= lit, "gt": col > lit, "le": col <= lit, "lt": col < lit}[op]
-            cond = cond & cmp
-        return _false_if_null(cond)
+            cond = cmp if cond is None else (cond & cmp)
+        return _present(col, cond)
 
     if clause == "term":
         field, spec = _field_and_body("term", body)
@@ -259,12 +303,15 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         r = resolve(field)
         if r.missing:
             return F.lit(False)
-        if isinstance(r.dtype, T.ArrayType):
-            elem = Resolved(F.lit(None), r.dtype.elementType)
-            _, lit = _literal(value, elem, now)
-            return _false_if_null(F.array_contains(r.column, lit))
-        col, lit = _literal(value, r, now)
-        return _false_if_null(col == lit)
+        try:
+            if isinstance(r.dtype, T.ArrayType):
+                elem = Resolved(F.lit(None), r.dtype.elementType)
+                _, lit = _literal(value, elem, now)
+                return _false_if_null(F.array_contains(r.column, lit))
+            col, lit = _literal(value, r, now)
+        except _NoMatch:
+            return F.lit(False)
+        return _present(col, col == lit)
 
     if clause == "terms":
         field, values = _field_and_body("terms", body)
@@ -273,12 +320,19 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         r = resolve(field)
         if r.missing or not values:
             return F.lit(False)
+        pairs = []
+        for v in values:
+            try:
+                target = Resolved(F.lit(None), r.dtype.elementType) if isinstance(r.dtype, T.ArrayType) else r
+                pairs.append(_literal(v, target, now))
+            except _NoMatch:
+                continue
+        if not pairs:
+            return F.lit(False)
         if isinstance(r.dtype, T.ArrayType):
-            elem = Resolved(F.lit(None), r.dtype.elementType)
-            lits = [_literal(v, elem, now)[1] for v in values]
-            return _false_if_null(F.arrays_overlap(r.column, F.array(*lits)))
-        pairs = [_literal(v, r, now) for v in values]
-        return _false_if_null(pairs[0][0].isin([lit for _, lit in pairs]))
+            return _false_if_null(F.arrays_overlap(r.column, F.array(*[lit for _, lit in pairs])))
+        col = pairs[0][0]
+        return _present(col, col.isin([lit for _, lit in pairs]))
 
     if clause == "exists":
         if not isinstance(body, Mapping) or "field" not in body:
@@ -287,7 +341,7 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         if r.missing:
             return F.lit(False)
         if isinstance(r.dtype, T.VariantType):
-            return _false_if_null(r.column.isNotNull() & ~F.is_variant_null(r.column))
+            return _present(r.column, ~F.is_variant_null(r.column))
         if isinstance(r.dtype, T.ArrayType):
             return _false_if_null(F.size(r.column) > 0)
         return r.column.isNotNull()
@@ -300,15 +354,28 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         r = resolve(field)
         if r.missing:
             return F.lit(False)
-        col = (F.try_variant_get(r.column, "$", "string") if isinstance(r.dtype, T.VariantType)
-               else r.column.cast("string"))
-        return _false_if_null(col.startswith(value))
+        if isinstance(r.dtype, T.VariantType):
+            col = F.try_variant_get(r.column, "$", "string")
+        elif isinstance(r.dtype, T.StringType):
+            col = r.column
+        else:
+            col = r.column.cast("string")
+        return _present(col, col.startswith(value))
 
     if clause == "ids":
         if not isinstance(body, Mapping) or not isinstance(body.get("values"), list):
             raise QueryError("ids needs a list of values")
         if id_column is None:
             raise QueryError("ids needs documents with an id")
-        return _false_if_null(id_column.cast("string").isin([str(v) for v in body["values"]]))
+        col, dt = id_column
+        lits = []
+        for v in body["values"]:
+            try:
+                lits.append(_coerce(str(v), dt))
+            except _NoMatch:
+                continue
+        if not lits:
+            return F.lit(False)
+        return _present(col, col.isin(lits))
 
     raise QueryError(f"unknown query clause {clause!r}")

@@ -31,6 +31,12 @@ def query_fields(query: Any) -> list[str]:
     return out
 
 
+def _id_of(view: DocumentView, bound: Bound):
+    if not view.id_column:
+        return None
+    return F.col(f"`{view.id_column}`"), bound.frame.schema[view.id_column].dataType
+
+
 def as_view(source: DocumentView | DataFrame, id_column: str | None = None) -> DocumentView:
     return source if isinstance(source, DocumentView) else DocumentView.of(source, id_column)
 
@@ -40,8 +46,7 @@ def bind_job(source: DocumentView | DataFrame, query: Any, paths: Sequence[str],
     """Bind the paths and the query's fields; return the frame and predicate."""
     view = as_view(source, id_column)
     bound = view.bind(list(paths) + query_fields(query))
-    id_col = F.col(f"`{view.id_column}`") if view.id_column else None
-    pred = compile_query(query, bound.resolve, now=now, id_column=id_col)
+    pred = compile_query(query, bound.resolve, now=now, id_column=_id_of(view, bound))
     return bound, pred
 
 
@@ -74,7 +79,7 @@ def tag_jobs(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]],
     for _, q in jobs:
         fields += query_fields(q)
     bound = view.bind(fields)
-    id_col = F.col(f"`{view.id_column}`") if view.id_column else None
+    id_col = _id_of(view, bound)
     tags = [F.when(compile_query(q, bound.resolve, now=now, id_column=id_col), F.lit(job_id))
             for job_id, q in jobs]
     tagged = bound.frame.withColumn(

@@ -29,7 +29,7 @@ def test_no_pair_producing_joins(spark, name):
                                   "filter_range_date_math", "export_filtered_orders"])
 def test_job_filter_reaches_the_scan(spark, name):
     plan = _plan(QUERIES[name](spark, SMALL))
-    assert re.search(r"PushedFilters: \[[^\]]+\]", plan), plan
+    assert re.search(r"PushedFilters: \[[A-Za-z]", plan), plan
 
 
 def test_flagship_prunes_columns(spark):
