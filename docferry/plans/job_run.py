@@ -72,7 +72,10 @@ def extract(spark: SparkSession, job: JobSpec, source: DocumentView | DataFrame,
     cells = text_cells(bound, job.columns, paths, guard_formulas=options.guard_formulas,
                        job_id=job.job_id)
     line = csv_line(cells)
-    key = F.col(f"`{view.id_column}`") if view.id_column else line
+    # Parts are chosen by a hash of the document id; without an id, by the
+    # line and its position in the scan, so duplicate lines spread too.
+    key = (F.col(f"`{view.id_column}`") if view.id_column
+           else F.struct(line, F.monotonically_increasing_id()))
     lines = bound.frame.select(bucket_of(key, n_parts).alias("bucket"), line.alias("line"))
     return export_lines(lines, job.columns, job_id=job.job_id, out_dir=out_dir, n_parts=n_parts,
                         name=_basename(job.remote_filename, job.job_id))

@@ -86,6 +86,10 @@ class Bound:
         return resolve_path(schema, path, id_column=self.id_column)
 
 
+def _rank_is(rank: int):
+    return lambda x: x["rn"] == rank
+
+
 class DocumentView:
     def __init__(self, root: DataFrame, id_column: str | None,
                  lookups: dict[str, Lookup] | None = None,
@@ -128,6 +132,19 @@ class DocumentView:
         want_lookup: set[str] = set()
         want_rank: dict[str, set[int]] = defaultdict(set)
         want_whole: set[str] = set()
+        # First-level fields of each relation's value that some path reads
+        # (None: the whole value). Values are built from only these, so the
+        # scan, sort and shuffle carry no unused columns.
+        needed: dict[str, set[str] | None] = {}
+
+        def need(name: str, step) -> None:
+            if name in needed and needed[name] is None:
+                return
+            if isinstance(step, Key):
+                needed.setdefault(name, set()).add(step.name)
+            else:
+                needed[name] = None
+
         for p in paths:
             steps = tokenize(p)
             if not steps or not isinstance(steps[0], Key):
@@ -135,36 +152,52 @@ class DocumentView:
             name = steps[0].name
             if name in self.lookups:
                 want_lookup.add(name)
+                need(name, steps[1] if len(steps) > 1 else None)
             elif name in self.children:
                 if len(steps) == 1:
                     want_whole.add(name)
+                    need(name, None)
                 elif isinstance(steps[1], Index):
                     want_rank[name].add(steps[1].pos)
+                    need(name, steps[2] if len(steps) > 2 else None)
         df = self.root
         extra: dict[str, tuple[str, T.DataType]] = {}
         for name in sorted(want_lookup):
             lk = self.lookups[name]
+            lk = Lookup(lk.frame, lk.key, lk.fk, self._pruned(lk.frame, lk.value, needed.get(name)))
             alias = f"__lk_{name}"
             side = lk.frame.select(F.col(lk.key).alias(f"{alias}_key"), lk.value.alias(alias))
             df = df.join(side, df[lk.fk] == side[f"{alias}_key"], "left").drop(f"{alias}_key")
             extra[name] = (alias, side.schema[alias].dataType)
         for name in sorted(want_rank):
             ch = self.children[name]
+            ch = Children(ch.frame, ch.parent, ch.order, self._pruned(ch.frame, ch.value, needed.get(name)))
             ranks = sorted(want_rank[name])
-            ranked = self._ranked(ch, ranks[-1] + 1) if ranks[-1] > 0 else None
             elem = ch.frame.select(ch.value).schema[0].dataType
-            for k in ranks:
-                # One row per parent and rank: a one-to-one join, whatever the
-                # size of the parent's list.
-                alias = f"__ch_{name}_{k}"
-                if k == 0:
-                    side = self._first(ch, alias)
-                else:
-                    side = ranked.where(F.col("__rn") == k + 1).select(
-                        F.col("__parent").alias(f"{alias}_p"), F.col("__v").alias(alias))
+            if ranks == [0]:
+                # Only the first child: a min aggregate, combined map-side.
+                alias = f"__ch_{name}_0"
+                side = self._first(ch, alias)
                 df = df.join(side, df[self.id_column] == side[f"{alias}_p"], "left")
                 df = df.drop(f"{alias}_p")
-                extra[f"{name}[{k}]"] = (alias, elem)
+                extra[f"{name}[0]"] = (alias, elem)
+                continue
+            # Ranks up to K: one window limited to K rows per parent (the limit
+            # runs map-side), the at most K survivors gathered per parent, and
+            # one join; each index is then picked out of that short list.
+            limit = ranks[-1] + 1
+            alias = f"__ch_{name}"
+            side = (self._ranked(ch, limit)
+                    .groupBy(F.col("__parent").alias(f"{alias}_p"))
+                    .agg(F.collect_list(F.struct(F.col("__rn").alias("rn"),
+                                                 F.col("__v").alias("v"))).alias(alias)))
+            df = df.join(side, df[self.id_column] == side[f"{alias}_p"], "left").drop(f"{alias}_p")
+            picks = []
+            for k in ranks:
+                pick = f"__ch_{name}_{k}"
+                picks.append(F.get(F.filter(F.col(alias), _rank_is(k + 1)), 0)["v"].alias(pick))
+                extra[f"{name}[{k}]"] = (pick, elem)
+            df = df.select("*", *picks).drop(alias)
         for name in sorted(want_whole):
             ch = self.children[name]
             alias = f"__arr_{name}"
@@ -178,6 +211,20 @@ class DocumentView:
             extra[name] = (alias, side.schema[alias].dataType)
         return Bound(df, self.id_column, extra, visible=self.root.schema)
 
+    @staticmethod
+    def _pruned(frame: DataFrame, value: Column, fields: set[str] | None) -> Column:
+        """``value`` (a struct) reduced to ``fields``; fields a path names but
+        the struct lacks are left out (the path then reads as missing)."""
+        if fields is None:
+            return value
+        st = frame.select(value.alias("v")).schema["v"].dataType
+        if not isinstance(st, T.StructType):
+            return value
+        keep = [f.name for f in st.fields if f.name in fields]
+        if not keep:
+            keep = [st.fields[0].name]
+        return F.struct(*[value.getField(f).alias(f) for f in keep])
+
     @staticmethod
     def _first(ch: Children, alias: str) -> DataFrame:
         """First child per parent as a min over (order keys, value): an
