@@ -113,32 +113,46 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
     def source():
         return catalog.get(job.data_index)
 
-    def live_count() -> int:
-        bound, pred = bind_job(as_view(source()), job.query, [], now=now)
+    def count_of(src) -> int:
+        bound, pred = bind_job(as_view(src), job.query, [], now=now)
         return bound.frame.where(pred).count()
 
-    counter = count_source or live_count
-    first = counter()
+    # The first count and the first extract read one snapshot (one file
+    # listing); tier-1 recounts list the table again; a re-extract takes a
+    # new snapshot and the count after it reads that same snapshot.
+    state = {"snap": source()}
+    first = count_source() if count_source else count_of(state["snap"])
     pending = [first]
 
     def count_once() -> int:
-        return pending.pop() if pending else counter()
+        if pending:
+            return pending.pop()
+        if count_source:
+            return count_source()
+        state["snap"] = source()
+        return count_of(state["snap"])
 
     n_parts = part_count(first, options.rows_per_part)
     out_dir = f"{options.staging_root.rstrip('/')}/{_safe(job.job_id)}"
 
     def do_extract() -> ExportResult:
-        return extract(spark, job, source(), now=now, out_dir=out_dir, n_parts=n_parts,
+        return extract(spark, job, state["snap"], now=now, out_dir=out_dir, n_parts=n_parts,
                        options=options)
 
+    def do_reextract() -> ExportResult:
+        state["snap"] = source()
+        result = do_extract()
+        pending.append(count_source() if count_source else count_of(state["snap"]))
+        return result
+
     ndjson_rows = None
     if options.ndjson_dir:
-        ndjson_rows = tee_ndjson(spark, job, source(), now=now,
+        ndjson_rows = tee_ndjson(spark, job, state["snap"], now=now,
                                  path=f"{options.ndjson_dir.rstrip('/')}/{_safe(job.job_id)}.ndjson")
     result = do_extract()
     rec: Reconciled[ExportResult] = reconcile(
         count_source=count_once, result=result, written=lambda r: r.row_count,
-        reextract=do_extract, policy=options.policy, sleeper=options.sleeper, job_id=job.job_id)
+        reextract=do_reextract, policy=options.policy, sleeper=options.sleeper, job_id=job.job_id)
     final = rec.result
     if options.publish_root:
         target = f"{options.publish_root.rstrip('/')}/{job.remote_filename.lstrip('/')}"

@@ -264,12 +264,12 @@ class DocumentView:
 # Document views over the driver tables.
 # ---------------------------------------------------------------------------
 
-def order_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
+def order_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> DocumentView:
     """Order documents: order fields, ``customer`` (to-one), ``items`` (list of
     line items ordered by line number, part and supplier)."""
-    orders = read_table(spark, sf_dir, "orders")
-    customer = read_table(spark, sf_dir, "customer")
-    lineitem = read_table(spark, sf_dir, "lineitem")
+    orders = read_table(spark, sf_dir, "orders", fresh=fresh)
+    customer = read_table(spark, sf_dir, "customer", fresh=fresh)
+    lineitem = read_table(spark, sf_dir, "lineitem", fresh=fresh)
     root = orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_key"),
@@ -308,9 +308,9 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
     return DocumentView(root, "order_id", {"customer": cust}, {"items": items})
 
 
-def event_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
+def event_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> DocumentView:
     """Event documents; ``props`` holds schemaless JSON and is read as variant."""
-    events = read_table(spark, sf_dir, "events")
+    events = read_table(spark, sf_dir, "events", fresh=fresh)
     root = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.try_parse_json("props").alias("props"),
@@ -341,9 +341,9 @@ def json_string_documents(df: DataFrame, column: str, *, id_column: str | None =
     return DocumentView.schemaless(docs, "_source", id_column)
 
 
-def conversation_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
+def conversation_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> DocumentView:
     """One document per conversation with its ``turns`` in turn order."""
-    conv = read_table(spark, sf_dir, "conversations")
+    conv = read_table(spark, sf_dir, "conversations", fresh=fresh)
     root = conv.select("conv_id").distinct()
     turns = Children(
         frame=conv, parent="conv_id", order=("turn", "role", "text"),

@@ -59,7 +59,8 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     cat = Catalog()
     for name in TABLE_NAMES:
         cat.register(name, lambda n=name: read_table(spark, sf_dir, n, fresh=True))
-    cat.register("order_docs", lambda: documents.order_documents(spark, sf_dir))
-    cat.register("event_docs", lambda: documents.event_documents(spark, sf_dir))
-    cat.register("conversation_docs", lambda: documents.conversation_documents(spark, sf_dir))
+    cat.register("order_docs", lambda: documents.order_documents(spark, sf_dir, fresh=True))
+    cat.register("event_docs", lambda: documents.event_documents(spark, sf_dir, fresh=True))
+    cat.register("conversation_docs",
+                 lambda: documents.conversation_documents(spark, sf_dir, fresh=True))
     return cat
