@@ -54,9 +54,15 @@ def py_float_text(c: Column) -> Column:
     two agree; the rest of Python's positional range is laid out through an
     exact decimal cast, and the scientific form is rewritten by regex.
     """
-    # Bind the shortest text once (a one-element array and a lambda) so the
-    # layout below does not repeat its expression tree in generated code.
-    return F.element_at(F.transform(F.array(_shortest(c)), _layout), 1)
+    # Fast path, in generated code: Spark's positional text with at most 16
+    # significant digits is already Python's text. Other values bind their
+    # shortest text once (a one-element array and a lambda) so the layout
+    # below does not repeat its expression tree.
+    s = c.cast("string")
+    digits = F.length(F.regexp_replace(s, "[^0-9]", ""))
+    fast = ~s.rlike("[A-Za-z]") & (digits < 17)
+    slow = F.element_at(F.transform(F.array(_shortest(c)), _layout), 1)
+    return F.when(fast, s).otherwise(slow)
 
 
 def _layout(s: Column) -> Column:
