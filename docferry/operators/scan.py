@@ -97,3 +97,32 @@ def count_per_job(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, An
     ids = spark.createDataFrame([(j,) for j, _ in jobs], "job_id string")
     return (ids.join(counts, "job_id", "left")
             .select("job_id", F.coalesce("source_count", F.lit(0)).cast("bigint").alias("source_count")))
+
+
+def envelope(source: DocumentView | DataFrame, *, sort: Sequence[str] | None = None,
+             id_column: str | None = None) -> DataFrame:
+    """Hits as envelopes ``(_id, _source, sort)`` instead of bare
+    documents. ``_source`` is the document as a struct (or the variant of a
+    schemaless document); ``sort`` holds the document's sort-key values."""
+    view = as_view(source, id_column)
+    root = view.root
+    if view.variant_root is not None:
+        src = F.col(f"`{view.variant_root}`")
+    else:
+        src = F.struct(*[F.col(f"`{c}`") for c in root.columns if c != view.id_column])
+    keys = list(sort or ([view.id_column] if view.id_column else []))
+    cols = [F.col(f"`{view.id_column}`").cast("string").alias("_id") if view.id_column
+            else F.lit(None).cast("string").alias("_id"), src.alias("_source")]
+    if keys:
+        cols.append(F.array(*[F.col(f"`{k}`") for k in keys]).alias("sort"))
+    return root.select(*cols)
+
+
+def source_only(hits: DataFrame) -> DataFrame:
+    """S5 default: the ``_source`` of each hit; a non-object source reads as an
+    empty document."""
+    dt = hits.schema["_source"].dataType
+    if dt.typeName() == "struct":
+        return hits.select("_source.*")
+    return hits.select(F.when(F.schema_of_variant("_source").startswith("OBJECT"), F.col("_source"))
+                       .alias("_source"))

@@ -175,6 +175,6 @@ def append_manifest(spark: SparkSession, table_path: str, outcome: JobOutcome, *
     row = (d["job_id"], d["row_count"], d["n_parts"], d["sha256"], d["path"], d["sidecar_path"],
            [(int(a), int(b)) for a, b in d["attempts"]], d["reextracted"], partition, offset,
            datetime.now(timezone.utc).replace(tzinfo=None))
-    spark.createDataFrame([row], MANIFEST_SCHEMA).write.mode("append").parquet(table_path)
+    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(table_path)
 
 
