@@ -66,6 +66,9 @@ def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_index")
     the per-partition counts and the final rows see the same assignment even
     if an executor is lost between the two passes.
     """
+    from docferry.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     sorted_df = df.orderBy(*keys).withColumn("__mid", F.monotonically_increasing_id())
     sorted_df = sorted_df.checkpoint(eager=True)
     part = F.shiftright(F.col("__mid"), _POS_BITS)

@@ -58,9 +58,13 @@ def file_control_source(spark: SparkSession, path: str, *, max_files_per_trigger
 
 
 def kafka_control_source(spark: SparkSession, servers: str, topic: str, *,
-                         max_offsets_per_trigger: int | None = None) -> DataFrame:
+                         max_offsets_per_trigger: int | None = 100) -> DataFrame:
     """Control records from a Kafka topic; new queries start at the earliest
-    offset. Needs the Kafka connector on the cluster's classpath."""
+    offset. Needs the Kafka connector on the cluster's classpath.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch (each record is one
+    export job, and the batch's records are ordered on the driver); 1 gives
+    strict one-record batches."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
               .option("startingOffsets", "earliest"))
