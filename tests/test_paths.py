@@ -173,3 +173,26 @@ def test_sample_documents_and_envelope(spark):
     first = hits.orderBy("_id").first()
     assert first["_id"] == "o-000" and first["sort"] == ["o-000"]
     assert source_only(hits).columns == ["customer", "totals", "items"]
+
+
+def test_hot_parent_list_index_matches_brute_force(spark):
+    """One parent holds a third of all child rows; first and fifth child are
+    still exact (map-side min / limited window, no whole-list collect)."""
+    n = 30000
+    items = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("p"),
+        ((F.col("id") * 7919) % n).alias("v"))
+    root = spark.range(1002).select(F.col("id").alias("p"))
+    view = DocumentView(root, "p", children={"xs": Children(items, "p", ("v",), F.struct("v"))})
+    df = project(view, ["p", "a", "b"], {"a": "xs[0].v", "b": "xs[4].v"})
+    got = {int(r.p): (r.a, r.b) for r in df.collect()}
+    by_parent: dict[int, list[int]] = {}
+    for i in range(n):
+        p = 0 if i < n // 3 else i % 1000 + 1
+        by_parent.setdefault(p, []).append((i * 7919) % n)
+    for p in range(1002):
+        vs = sorted(by_parent.get(p, []))
+        want = (str(vs[0]) if vs else "", str(vs[4]) if len(vs) > 4 else "")
+        assert got[p] == want, p
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan or "WindowGroupLimit" in plan
