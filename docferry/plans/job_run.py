@@ -24,6 +24,7 @@ from docferry.operators.jobs import JobSpec
 from docferry.operators.projection import column_path_list, text_cells
 from docferry.operators.reconcile import Reconciled, RetryPolicy, reconcile
 from docferry.operators.scan import as_view, bind_job
+from docferry.sources import fs
 from docferry.sources.documents import DocumentView
 from docferry.sources.tables import Catalog
 
@@ -33,6 +34,10 @@ class RunOptions:
     staging_root: str
     publish_root: str | None = None
     rows_per_part: int = DEFAULT_ROWS_PER_PART
+    # Parts are also sized by the source's bytes on disk, so wide documents
+    # (long texts) make more, smaller parts; a part is read back whole for
+    # its digest.
+    source_bytes_per_part: int = 64 * 1024 * 1024
     ndjson_dir: str | None = None
     guard_formulas: bool = False
     policy: RetryPolicy = field(default_factory=RetryPolicy)
@@ -62,6 +67,16 @@ def _basename(remote: str, job_id: str) -> str:
     return parts[-1] if parts else f"{_safe(job_id)}.csv"
 
 
+def _parts_by_size(source, bytes_per_part: int) -> int:
+    """Part count from the root table's bytes on disk (1 when unknown)."""
+    view = as_view(source)
+    try:
+        size = fs.input_bytes(view.root)
+    except Exception:  # sources without files (in-memory frames)
+        return 1
+    return max(1, -(-size // bytes_per_part))
+
+
 def extract(spark: SparkSession, job: JobSpec, source: DocumentView | DataFrame, *,
             now: datetime, out_dir: str, n_parts: int, options: RunOptions) -> ExportResult:
     """Scan, filter, project, render and write one job's export."""
@@ -132,7 +147,8 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
         state["snap"] = source()
         return count_of(state["snap"])
 
-    n_parts = part_count(first, options.rows_per_part)
+    n_parts = max(part_count(first, options.rows_per_part),
+                  _parts_by_size(state["snap"], options.source_bytes_per_part))
     out_dir = f"{options.staging_root.rstrip('/')}/{_safe(job.job_id)}"
 
     def do_extract() -> ExportResult:

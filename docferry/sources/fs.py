@@ -68,3 +68,20 @@ def single_file(spark: SparkSession, src_dir: str, dst: str, glob: str = "part-*
         raise OSError(f"expected one file in {src_dir}, found {len(files)}")
     rename(spark, files[0], dst)
     fs.delete(d, True)
+
+
+def input_bytes(df) -> int:
+    """Bytes on disk of the files a DataFrame scans: one listing per folder
+    (the folders Spark already listed), summing only this frame's files."""
+    spark = df.sparkSession
+    by_folder: dict[str, set[str]] = {}
+    for f in df.inputFiles():
+        folder, name = f.rsplit("/", 1)
+        by_folder.setdefault(folder, set()).add(name)
+    total = 0
+    for folder, names in by_folder.items():
+        fs, p = _fs(spark, folder)
+        for st in fs.listStatus(p):
+            if st.getPath().getName() in names:
+                total += int(st.getLen())
+    return total
