@@ -128,10 +128,19 @@ def export_lines(lines: DataFrame, columns: list[str], *, job_id: str, out_dir:
                  n_parts: int, name: str = "export.csv") -> ExportResult:
     """Write the export of ``lines`` (columns ``bucket``, ``line``) and its
     manifest and sidecar under ``out_dir``; the sidecar is written last."""
-    spark = lines.sparkSession
     header = header_line(columns)
+    written = write_parts(lines, header, f"{out_dir}/{name}", n_parts)
+    res = manifest_and_sidecar(lines.sparkSession, job_id=job_id, out_dir=out_dir, name=name,
+                               n_parts=n_parts)
+    return ExportResult(res.job_id, res.path, res.sidecar_path, res.manifest_path,
+                        written, res.n_parts, res.sha256)
+
+
+def manifest_and_sidecar(spark: SparkSession, *, job_id: str, out_dir: str, name: str,
+                         n_parts: int) -> ExportResult:
+    """Read the written parts back (digest and record count per part), keep
+    the manifest, then write the sidecar. ``row_count`` is the manifest's."""
     data_dir = f"{out_dir}/{name}"
-    written = write_parts(lines, header, data_dir, n_parts)
     manifest_dir = f"{out_dir}/_manifest"
     read_back_manifest(spark, data_dir).coalesce(1).write.mode("overwrite").parquet(manifest_dir)
     manifest = spark.read.parquet(manifest_dir)
@@ -143,11 +152,32 @@ def export_lines(lines: DataFrame, columns: list[str], *, job_id: str, out_dir:
     fs.single_file(spark, tmp, sidecar, "part-*.txt")
     digest = (spark.read.format("binaryFile").load(sidecar)
               .select(F.sha2("content", 256)).first()[0])
+    rows = manifest.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     return ExportResult(job_id=job_id, path=data_dir, sidecar_path=sidecar,
-                        manifest_path=manifest_dir, row_count=written, n_parts=n_parts,
+                        manifest_path=manifest_dir, row_count=int(rows), n_parts=n_parts,
                         sha256=digest)
 
 
+def write_parts_multi(lines: DataFrame, headers: dict[str, str], parts: dict[str, int],
+                      root: str) -> None:
+    """Write ``(job_id, bucket, line)`` rows of several jobs in one pass:
+    ``root/job_id=<id>/bucket=<k>/`` holds one CSV file per job and bucket,
+    each starting with that job's header."""
+    spark = lines.sparkSession
+    heads = spark.createDataFrame(
+        [(j, b, 0, headers[j]) for j, n in parts.items() for b in range(n)],
+        "job_id string, bucket int, ord int, line string")
+    rows = lines.select("job_id", F.col("bucket").cast("int").alias("bucket"),
+                        F.lit(1).alias("ord"), "line")
+    total = sum(parts.values())
+    out = (rows.unionByName(heads)
+           .repartition(total, "job_id", "bucket")
+           .sortWithinPartitions("job_id", "bucket", "ord", "line")
+           .select("job_id", "bucket", "line"))
+    (out.write.mode("overwrite").partitionBy("job_id", "bucket")
+        .option("lineSep", "\n").text(root))
+
+
 def publish(spark: SparkSession, result: ExportResult, target: str) -> ExportResult:
     """Move the parts to ``target`` and then the sidecar to
     ``target + ".sha256"``; a present sidecar means a complete export."""

@@ -194,3 +194,102 @@ def append_manifest(spark: SparkSession, table_path: str, outcome: JobOutcome, *
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(table_path)
 
 
+
+
+def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Catalog, *,
+                         now: datetime, options: RunOptions) -> dict[str, JobOutcome]:
+    """Build-plan step 8: jobs that read the same table share one count pass
+    and one write pass, instead of one scan each.
+
+    Rows are tagged with every job they match; each job keeps its own
+    columns, paths, parts and header, so a job's parts are byte-identical to
+    what ``run_export`` writes. A job whose written rows do not match its
+    count is re-run alone through ``run_export`` (recounts, re-extract,
+    mismatch report); the others are published as they are. Strict record
+    order (one job after another) is the streaming runner's business.
+    """
+    from collections import defaultdict
+
+    from docferry.functions.render import header_line
+    from docferry.operators.export import write_parts_multi
+    from docferry.operators.scan import count_per_job, tag_jobs
+
+    by_table: dict[str, list[JobSpec]] = defaultdict(list)
+    for j in jobs:
+        by_table[j.data_index].append(j)
+    outcomes: dict[str, JobOutcome] = {}
+    for data_index, group in by_table.items():
+        ids = [j.job_id for j in group]
+        if len(set(ids)) != len(ids):
+            raise ValueError(f"duplicate job ids over {data_index}")
+        snap = catalog.get(data_index)
+        view = as_view(snap)
+        specs = [(j.job_id, j.query) for j in group]
+        counts = {r.job_id: int(r.source_count)
+                  for r in count_per_job(view, specs, now=now).collect()}
+        by_size = _parts_by_size(view, options.source_bytes_per_part)
+        parts = {j.job_id: max(part_count(counts[j.job_id], options.rows_per_part), by_size)
+                 for j in group}
+        paths = {j.job_id: column_path_list(j.columns, j.column_paths, job_id=j.job_id)
+                 for j in group}
+        all_paths = [p for ps in paths.values() for p in ps]
+        bound, tagged = tag_jobs(view, specs, now=now, paths=all_paths)
+        bound.frame = tagged
+        line = None
+        bucket = None
+        key = (F.col(f"`{view.id_column}`") if view.id_column
+               else F.monotonically_increasing_id())
+        for j in group:
+            cells = text_cells(bound, j.columns, paths[j.job_id],
+                               guard_formulas=options.guard_formulas, job_id=j.job_id)
+            this_line = csv_line(cells)
+            this_key = key if view.id_column else F.struct(this_line, key)
+            is_j = F.col("job_id") == F.lit(j.job_id)
+            line = (F.when(is_j, this_line) if line is None else line.when(is_j, this_line))
+            b = bucket_of(this_key, parts[j.job_id])
+            bucket = (F.when(is_j, b) if bucket is None else bucket.when(is_j, b))
+        lines = tagged.select("job_id", bucket.alias("bucket"), line.alias("line"))
+        headers = {j.job_id: header_line(j.columns) for j in group}
+        root = f"{options.staging_root.rstrip('/')}/_one_scan/{_safe(data_index)}"
+        write_parts_multi(lines, headers, parts, root)
+        dirs = _partition_dirs(spark, root, "job_id")
+        for j in group:
+            out_dir = f"{options.staging_root.rstrip('/')}/{_safe(j.job_id)}"
+            name = _basename(j.remote_filename, j.job_id)
+            fs.rename(spark, dirs[j.job_id], f"{out_dir}/{name}")
+            result = _finish_export(spark, j, out_dir, name, parts[j.job_id])
+            if result.row_count != counts[j.job_id]:
+                outcomes[j.job_id] = run_export(spark, j, catalog, now=now, options=options)
+                continue
+            final = result
+            if options.publish_root:
+                target = f"{options.publish_root.rstrip('/')}/{j.remote_filename.lstrip('/')}"
+                final = publish(spark, final, target)
+            outcomes[j.job_id] = JobOutcome(
+                job_id=j.job_id, row_count=final.row_count, n_parts=final.n_parts,
+                sha256=final.sha256, path=final.path, sidecar_path=final.sidecar_path,
+                manifest_path=final.manifest_path,
+                attempts=[(counts[j.job_id], final.row_count)], reextracted=False)
+    return outcomes
+
+
+def _partition_dirs(spark: SparkSession, root: str, column: str) -> dict[str, str]:
+    """Value -> folder of each ``column=value`` partition Spark wrote."""
+    from urllib.parse import unquote
+
+    fsys, p = fs._fs(spark, root)
+    out = {}
+    for st in fsys.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(column + "="):
+            out[unquote(name[len(column) + 1:])] = st.getPath().toString()
+    return out
+
+
+def _finish_export(spark: SparkSession, job: JobSpec, out_dir: str, name: str,
+                   n_parts: int) -> ExportResult:
+    """Manifest and sidecar of parts already written under ``out_dir/name``."""
+    from docferry.operators.export import manifest_and_sidecar
+
+    return manifest_and_sidecar(spark, job_id=job.job_id, out_dir=out_dir, name=name,
+                                n_parts=n_parts)

@@ -180,3 +180,35 @@ def test_growing_table_reconciles_on_shared_snapshot(spark, out_dir):
     assert out.row_count == 3 and out.attempts == [(3, 3)] and not out.reextracted
     out2 = run_export(spark, job, cat, now=datetime(2024, 1, 31), options=opt)
     assert out2.row_count == 5
+
+
+def test_one_scan_matches_single_runs(spark, out_dir):
+    """Jobs sharing a table, exported in one pass, give the same parts (same
+    digests) as exporting each job alone."""
+    from docferry.plans.job_run import run_exports_one_scan
+
+    cat = driver_catalog(spark, SMALL)
+    jobs = [
+        JobSpec(job_id=f"seg/{s}", data_index="customer", query={"term": {"c_mktsegment": s}},
+                columns=["c_custkey", "name", "balance"],
+                column_paths={"name": "c_name", "balance": "c_acctbal"},
+                remote_filename=f"by-segment/{s.lower()}.csv")
+        for s in ("BUILDING", "MACHINERY")
+    ] + [JobSpec(job_id="rich", data_index="customer",
+                 query={"range": {"c_acctbal": {"gte": 5000}}}, columns=["c_name"],
+                 remote_filename="rich.csv"),
+         JobSpec(job_id="none", data_index="customer", query={"term": {"c_mktsegment": "X"}},
+                 columns=["c_name"], remote_filename="none.csv")]
+    opt = RunOptions(staging_root=f"{out_dir}/multi", publish_root=f"{out_dir}/pub-multi",
+                     rows_per_part=40)
+    many = run_exports_one_scan(spark, jobs, cat, now=datetime(2024, 1, 31), options=opt)
+    for j in jobs:
+        single = run_export(spark, j, cat, now=datetime(2024, 1, 31),
+                            options=RunOptions(staging_root=f"{out_dir}/single", rows_per_part=40))
+        m = many[j.job_id]
+        assert (m.row_count, m.n_parts) == (single.row_count, single.n_parts), j.job_id
+        a = sorted(l.split("  ")[0] for l in open(m.sidecar_path).read().splitlines())
+        b = sorted(l.split("  ")[0] for l in open(single.sidecar_path).read().splitlines())
+        assert a == b, j.job_id
+    assert many["none"].row_count == 0
+    assert os.path.exists(f"{out_dir}/pub-multi/by-segment/building.csv.sha256")
