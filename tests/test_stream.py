@@ -74,3 +74,31 @@ def test_fail_restart_replay(spark, out_dir):
     assert spark.read.parquet(cfg.ledger_path).count() == 3
     dead = spark.read.parquet(cfg.dead_letter_path).count()
     assert dead == 2
+
+
+def test_relaxed_order_batch_one_scan(spark, out_dir):
+    from docferry.streaming.control_stream import process_batch
+
+    cat = driver_catalog(spark, SMALL)
+    jobs = {"a": JOB, "b": dict(JOB, query={"term": {"c_mktsegment": "MACHINERY"}},
+                                remote_filename="exp/m.csv")}
+
+    def job_table():
+        return spark.createDataFrame([(k, json.dumps(v)) for k, v in jobs.items()], "_id string, doc string")
+
+    cfg = StreamConfig(jobs=job_table, catalog=cat,
+                       options=RunOptions(staging_root=f"{out_dir}/stage", publish_root=f"{out_dir}/pub"),
+                       ledger_path=f"{out_dir}/ledger", dead_letter_path=f"{out_dir}/dead",
+                       clock=lambda: datetime(2024, 1, 31), strict_order=False)
+    batch = spark.createDataFrame(
+        [(b'{"job_doc_id": "a"}', 0, 0), (b'{"job_doc_id": "b"}', 0, 1), (b"oops", 0, 2),
+         (b'{"id": "a"}', 1, 0)], "value binary, partition int, offset long")
+    process_batch(spark, batch, 0, cfg)
+    ledger = sorted((r.partition, r.offset, r.job_id) for r in spark.read.parquet(cfg.ledger_path).collect())
+    assert [x[:2] for x in ledger] == [(0, 0), (0, 1), (1, 0)]
+    cust = spark.read.parquet(f"{SMALL}/customer.parquet")
+    rows = {r.job_id: r.row_count for r in spark.read.parquet(cfg.ledger_path).collect()}
+    assert rows["b"] == cust.where("c_mktsegment = 'MACHINERY'").count()
+    # Replaying the batch skips what the ledger holds.
+    process_batch(spark, batch, 0, cfg)
+    assert spark.read.parquet(cfg.ledger_path).count() == 3
