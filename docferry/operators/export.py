@@ -199,3 +199,71 @@ def verify_export(spark: SparkSession, result: ExportResult) -> DataFrame:
             .where(~F.coalesce((F.col("m.sha256") == F.col("d.sha256"))
                                & (F.col("m.rows") == F.col("d.rows")), F.lit(False)))
             .select("bucket", F.col("m.sha256").alias("recorded"), F.col("d.sha256").alias("actual")))
+
+
+def finish_many(spark: SparkSession, root: str, names: dict[str, str],
+                parts: dict[str, int], out_dirs: dict[str, str]) -> dict[str, ExportResult]:
+    """Manifests and sidecars of many jobs' parts under ``root`` (as written by
+    ``write_parts_multi``) in a fixed number of Spark jobs, whatever the
+    number of export jobs: one digest read, one record count, one manifest
+    table, one sidecar write; per job only folder renames remain."""
+    from urllib.parse import unquote
+
+    rel = F.regexp_extract("path", r"job_id=([^/]+)/(bucket=\d+/[^/]+)$", 2)
+    job_raw = F.regexp_extract("path", r"job_id=([^/]+)/bucket=\d+/[^/]+$", 1)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.txt").load(root)
+             .select(job_raw.alias("job_dir"), rel.alias("file"),
+                     F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("int").alias("bucket"),
+                     F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"),
+                     F.col("path")))
+    # Jobs differ in column count; counting records needs only the quoting
+    # and line structure, so every record is read into one column.
+    records = (spark.read.schema("c string").option("recursiveFileLookup", True)
+               .option("header", True).option("multiLine", True).option("escape", '"')
+               .option("mode", "PERMISSIVE").option("enforceSchema", True)
+               .option("pathGlobFilter", "*.txt").csv(root)
+               .select(F.col("_metadata.file_path").alias("path"))
+               .groupBy("path").agg(F.count(F.lit(1)).alias("rows")))
+    # ``_metadata.file_path`` and ``binaryFile``'s path are the same URI.
+    dirs = {unquote(d): d for d in
+            [r[0] for r in files.select("job_dir").distinct().collect()]}
+    jobs = spark.createDataFrame(
+        [(dirs.get(j, j), j, names[j]) for j in names], "job_dir string, job_id string, name string")
+    manifest = (files.join(records, "path", "left").join(jobs, "job_dir")
+                .select("job_id", "bucket", "file", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+                        "bytes", "sha256", "name"))
+    mroot = f"{root}/_manifests"
+    manifest.write.mode("overwrite").partitionBy("job_id").parquet(mroot)
+    manifest = spark.read.parquet(mroot)
+    side = manifest.select("job_id", "bucket",
+                           F.concat("sha256", F.lit("  "), "name", F.lit("/"), "file").alias("line"))
+    sroot = f"{root}/_sidecars"
+    (side.repartition("job_id").sortWithinPartitions("job_id", "bucket").select("job_id", "line")
+     .write.mode("overwrite").partitionBy("job_id").option("lineSep", "\n").text(sroot))
+    summary = {r.job_id: r for r in side.groupBy("job_id").agg(
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "line"))),
+                                        lambda x: F.concat(x["line"], F.lit("\n"))), ""), 256)
+        .alias("sha256"), F.count(F.lit(1)).alias("n")).collect()}
+    totals = {r.job_id: int(r.rows) for r in
+              manifest.groupBy("job_id").agg(F.sum("rows").alias("rows")).collect()}
+    side_dirs = {}
+    fsys, p = fs._fs(spark, sroot)
+    for st in fsys.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("job_id="):
+            side_dirs[unquote(name[len("job_id="):])] = st.getPath().toString()
+    results = {}
+    for job_id, n in parts.items():
+        out_dir, name = out_dirs[job_id], names[job_id]
+        fs.rename(spark, dirs_path(root, dirs, job_id), f"{out_dir}/{name}")
+        fs.single_file(spark, side_dirs[job_id], f"{out_dir}/{name}.sha256", "part-*.txt")
+        results[job_id] = ExportResult(
+            job_id=job_id, path=f"{out_dir}/{name}", sidecar_path=f"{out_dir}/{name}.sha256",
+            manifest_path=mroot, row_count=totals.get(job_id, 0), n_parts=n,
+            sha256=summary[job_id].sha256)
+    return results
+
+
+def dirs_path(root: str, dirs: dict[str, str], job_id: str) -> str:
+    return f"{root}/job_id={dirs.get(job_id, job_id)}"

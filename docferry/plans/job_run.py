@@ -211,7 +211,7 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
     from collections import defaultdict
 
     from docferry.functions.render import header_line
-    from docferry.operators.export import write_parts_multi
+    from docferry.operators.export import finish_many, write_parts_multi
     from docferry.operators.scan import count_per_job, tag_jobs
 
     by_table: dict[str, list[JobSpec]] = defaultdict(list)
@@ -235,29 +235,42 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
         all_paths = [p for ps in paths.values() for p in ps]
         bound, tagged = tag_jobs(view, specs, now=now, paths=all_paths)
         bound.frame = tagged
+        # One line expression per distinct (columns, paths) and one bucket
+        # expression per distinct part count, chosen by job id: jobs that
+        # export the same columns share one expression.
+        by_spec: dict[tuple, list[str]] = defaultdict(list)
+        for j in group:
+            by_spec[(tuple(j.columns), tuple(paths[j.job_id]))].append(j.job_id)
         line = None
+        spec_line = {}
+        for (cols, ps), members in by_spec.items():
+            cells = text_cells(bound, list(cols), list(ps), guard_formulas=options.guard_formulas,
+                               job_id=members[0])
+            this_line = csv_line(cells)
+            spec_line[members[0]] = this_line
+            cond = F.col("job_id").isin(members)
+            line = F.when(cond, this_line) if line is None else line.when(cond, this_line)
+        by_parts: dict[int, list[str]] = defaultdict(list)
+        for j in group:
+            by_parts[parts[j.job_id]].append(j.job_id)
         bucket = None
+        for n, members in by_parts.items():
+            this_key = F.col("__key") if view.id_column else F.struct(F.col("line"), F.col("__key"))
+            b = bucket_of(this_key, n)
+            cond = F.col("job_id").isin(members)
+            bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
         key = (F.col(f"`{view.id_column}`") if view.id_column
                else F.monotonically_increasing_id())
-        for j in group:
-            cells = text_cells(bound, j.columns, paths[j.job_id],
-                               guard_formulas=options.guard_formulas, job_id=j.job_id)
-            this_line = csv_line(cells)
-            this_key = key if view.id_column else F.struct(this_line, key)
-            is_j = F.col("job_id") == F.lit(j.job_id)
-            line = (F.when(is_j, this_line) if line is None else line.when(is_j, this_line))
-            b = bucket_of(this_key, parts[j.job_id])
-            bucket = (F.when(is_j, b) if bucket is None else bucket.when(is_j, b))
-        lines = tagged.select("job_id", bucket.alias("bucket"), line.alias("line"))
+        lines = (tagged.select("job_id", key.alias("__key"), line.alias("line"))
+                 .select("job_id", bucket.alias("bucket"), "line"))
         headers = {j.job_id: header_line(j.columns) for j in group}
         root = f"{options.staging_root.rstrip('/')}/_one_scan/{_safe(data_index)}"
         write_parts_multi(lines, headers, parts, root)
-        dirs = _partition_dirs(spark, root, "job_id")
+        names = {j.job_id: _basename(j.remote_filename, j.job_id) for j in group}
+        out_dirs = {j.job_id: f"{options.staging_root.rstrip('/')}/{_safe(j.job_id)}" for j in group}
+        results = finish_many(spark, root, names, parts, out_dirs)
         for j in group:
-            out_dir = f"{options.staging_root.rstrip('/')}/{_safe(j.job_id)}"
-            name = _basename(j.remote_filename, j.job_id)
-            fs.rename(spark, dirs[j.job_id], f"{out_dir}/{name}")
-            result = _finish_export(spark, j, out_dir, name, parts[j.job_id])
+            result = results[j.job_id]
             if result.row_count != counts[j.job_id]:
                 outcomes[j.job_id] = run_export(spark, j, catalog, now=now, options=options)
                 continue
@@ -271,25 +284,3 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
                 manifest_path=final.manifest_path,
                 attempts=[(counts[j.job_id], final.row_count)], reextracted=False)
     return outcomes
-
-
-def _partition_dirs(spark: SparkSession, root: str, column: str) -> dict[str, str]:
-    """Value -> folder of each ``column=value`` partition Spark wrote."""
-    from urllib.parse import unquote
-
-    fsys, p = fs._fs(spark, root)
-    out = {}
-    for st in fsys.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(column + "="):
-            out[unquote(name[len(column) + 1:])] = st.getPath().toString()
-    return out
-
-
-def _finish_export(spark: SparkSession, job: JobSpec, out_dir: str, name: str,
-                   n_parts: int) -> ExportResult:
-    """Manifest and sidecar of parts already written under ``out_dir/name``."""
-    from docferry.operators.export import manifest_and_sidecar
-
-    return manifest_and_sidecar(spark, job_id=job.job_id, out_dir=out_dir, name=name,
-                                n_parts=n_parts)
