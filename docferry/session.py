@@ -11,16 +11,22 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the library's plans assume. AQE coalesces small shuffles, splits
-# skewed join partitions and turns a join into a broadcast only when the
-# runtime size of a side is below the broadcast threshold.
+# Settings results depend on: JSON documents with a repeated key keep the
+# last value (as a JSON reader does) instead of failing to parse. Always set.
+REQUIRED = {
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+# Settings the plans assume for speed, applied only where the session has not
+# set them explicitly. AQE coalesces small shuffles, splits skewed join
+# partitions and turns a join into a broadcast only when the runtime size of
+# a side is below the broadcast threshold.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -36,7 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in DEFAULTS.items():
+    for k, v in {**DEFAULTS, **REQUIRED}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,10 +51,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply DEFAULTS where the session leaves them unset, and make sure a
-    checkpoint directory exists (only set one when the cluster names none)."""
+    """Apply REQUIRED, then DEFAULTS where the session's own configuration
+    leaves them unset, and make sure a checkpoint directory exists (only set
+    one when the cluster names none)."""
+    for k, v in REQUIRED.items():
+        spark.conf.set(k, v)
+    explicit = dict(spark.sparkContext.getConf().getAll())
     for k, v in DEFAULTS.items():
-        if spark.conf.get(k, None) in (None, ""):
+        if k not in explicit and spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
