@@ -64,3 +64,20 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     cat.register("conversation_docs",
                  lambda: documents.conversation_documents(spark, sf_dir, fresh=True))
     return cat
+
+
+def folder_catalog(spark: SparkSession, root: str) -> Catalog:
+    """Every ``<name>.parquet`` file or ``<name>/`` parquet folder under
+    ``root`` as a document table named ``<name>`` (listed once, read fresh)."""
+    from docferry.sources import fs
+
+    fsys, p = fs._fs(spark, root)
+    cat = Catalog()
+    for st in fsys.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
+        table = name[: -len(".parquet")] if name.endswith(".parquet") else name
+        path = st.getPath().toString()
+        cat.register(table, lambda path=path: spark.read.parquet(path))
+    return cat

@@ -52,7 +52,8 @@ class JobFailed(RuntimeError):
 
 def file_control_source(spark: SparkSession, path: str, *, max_files_per_trigger: int = 1) -> DataFrame:
     """Control records from parquet files ``(value binary, partition, offset)``
-    landing in ``path`` (test and batch-drop stand-in for a broker topic)."""
+    landing in ``path`` — directly, or in ``key=value`` sub-folders (test and
+    batch-drop stand-in for a broker topic)."""
     return (spark.readStream.schema(CONTROL_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
