@@ -38,6 +38,8 @@ class RunOptions:
     # (long texts) make more, smaller parts; a part is read back whole for
     # its digest.
     source_bytes_per_part: int = 64 * 1024 * 1024
+    # Jobs sharing one scan (each adds a predicate to every row's tag list).
+    max_jobs_per_scan: int = 64
     ndjson_dir: str | None = None
     guard_formulas: bool = False
     policy: RetryPolicy = field(default_factory=RetryPolicy)
@@ -217,8 +219,12 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
     by_table: dict[str, list[JobSpec]] = defaultdict(list)
     for j in jobs:
         by_table[j.data_index].append(j)
+    groups = []
+    for data_index, members in by_table.items():
+        step = max(1, options.max_jobs_per_scan)
+        groups += [(data_index, members[i:i + step]) for i in range(0, len(members), step)]
     outcomes: dict[str, JobOutcome] = {}
-    for data_index, group in by_table.items():
+    for gi, (data_index, group) in enumerate(groups):
         ids = [j.job_id for j in group]
         if len(set(ids)) != len(ids):
             raise ValueError(f"duplicate job ids over {data_index}")
@@ -264,7 +270,7 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
         lines = (tagged.select("job_id", key.alias("__key"), line.alias("line"))
                  .select("job_id", bucket.alias("bucket"), "line"))
         headers = {j.job_id: header_line(j.columns) for j in group}
-        root = f"{options.staging_root.rstrip('/')}/_one_scan/{_safe(data_index)}"
+        root = f"{options.staging_root.rstrip('/')}/_one_scan/{_safe(data_index)}-{gi}"
         write_parts_multi(lines, headers, parts, root)
         names = {j.job_id: _basename(j.remote_filename, j.job_id) for j in group}
         out_dirs = {j.job_id: f"{options.staging_root.rstrip('/')}/{_safe(j.job_id)}" for j in group}
