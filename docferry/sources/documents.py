@@ -86,10 +86,6 @@ class Bound:
         return resolve_path(schema, path, id_column=self.id_column)
 
 
-def _rank_is(rank: int):
-    return lambda x: x["rn"] == rank
-
-
 class DocumentView:
     def __init__(self, root: DataFrame, id_column: str | None,
                  lookups: dict[str, Lookup] | None = None,
@@ -189,13 +185,13 @@ class DocumentView:
             alias = f"__ch_{name}"
             side = (self._ranked(ch, limit)
                     .groupBy(F.col("__parent").alias(f"{alias}_p"))
-                    .agg(F.collect_list(F.struct(F.col("__rn").alias("rn"),
-                                                 F.col("__v").alias("v"))).alias(alias)))
+                    .agg(F.map_from_entries(F.collect_list(F.struct(
+                        F.col("__rn").alias("rn"), F.col("__v").alias("v")))).alias(alias)))
             df = df.join(side, df[self.id_column] == side[f"{alias}_p"], "left").drop(f"{alias}_p")
             picks = []
             for k in ranks:
                 pick = f"__ch_{name}_{k}"
-                picks.append(F.get(F.filter(F.col(alias), _rank_is(k + 1)), 0)["v"].alias(pick))
+                picks.append(F.try_element_at(F.col(alias), F.lit(k + 1)).alias(pick))
                 extra[f"{name}[{k}]"] = (pick, elem)
             df = df.select("*", *picks).drop(alias)
         for name in sorted(want_whole):
