@@ -354,6 +354,9 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         r = resolve(field)
         if r.missing:
             return F.lit(False)
+        if isinstance(r.dtype, T.ArrayType):
+            # A list matches when any of its values starts with the prefix.
+            return _false_if_null(F.exists(r.column, lambda x: x.cast("string").startswith(value)))
         if isinstance(r.dtype, T.VariantType):
             col = F.try_variant_get(r.column, "$", "string")
         elif isinstance(r.dtype, T.StringType):

@@ -44,3 +44,104 @@ def test_float_text_matches_repr(spark, values):
     got = dict(df.select("i", py_float_text(F.col("v"))).collect())
     for i, v in enumerate(values):
         assert got[i] == repr(v) or (math.isnan(v) and got[i] == "nan"), v
+
+
+# ---------------------------------------------------------------------------
+# Job queries against a brute-force evaluator on a small fixture.
+# ---------------------------------------------------------------------------
+
+DOCS = [
+    {"id": 1, "s": "apple", "n": 5, "tags": ["x", "y"], "u": {"name": "ann"}},
+    {"id": 2, "s": "banana", "n": None, "tags": [], "u": {"name": None}},
+    {"id": 3, "s": None, "n": 12, "tags": None, "u": None},
+    {"id": 4, "s": "apricot", "n": -3, "tags": ["y"], "u": {"name": "bob"}},
+    {"id": 5, "s": "", "n": 0, "tags": ["z"], "u": {"name": "ann"}},
+    {"id": 6, "s": "cherry", "n": 7, "tags": ["x"], "u": {"name": "cy"}},
+]
+FIELDS = {"s": "str", "n": "int", "tags": "list", "u.name": "str"}
+
+
+def _get(doc, field):
+    cur = doc
+    for part in field.split("."):
+        if not isinstance(cur, dict) or cur.get(part) is None:
+            return None
+        cur = cur[part]
+    return cur
+
+
+def _eval(q, doc):
+    (clause, body), = q.items()
+    if clause == "term":
+        (f, v), = body.items()
+        x = _get(doc, f)
+        return x is not None and (v in x if isinstance(x, list) else x == v)
+    if clause == "terms":
+        (f, vs), = body.items()
+        x = _get(doc, f)
+        return x is not None and (any(v in x for v in vs) if isinstance(x, list) else x in vs)
+    if clause == "range":
+        (f, b), = body.items()
+        x = _get(doc, f)
+        if x is None:
+            return False
+        ops = {"gte": x.__ge__, "gt": x.__gt__, "lte": x.__le__, "lt": x.__lt__}
+        return all(ops[k](v) for k, v in b.items())
+    if clause == "prefix":
+        (f, v), = body.items()
+        x = _get(doc, f)
+        if isinstance(x, list):
+            return any(e is not None and e.startswith(v) for e in x)
+        return x is not None and x.startswith(v)
+    if clause == "exists":
+        x = _get(doc, body["field"])
+        return x is not None and (len(x) > 0 if isinstance(x, list) else True)
+    must = [_eval(c, doc) for c in body.get("must", []) + body.get("filter", [])]
+    should = [_eval(c, doc) for c in body.get("should", [])]
+    must_not = [_eval(c, doc) for c in body.get("must_not", [])]
+    msm = body.get("minimum_should_match", 0 if must else 1)
+    return all(must) and (not should or msm == 0 or sum(should) >= msm) and not any(must_not)
+
+
+def _leaf():
+    strs = st.sampled_from(["apple", "banana", "", "ann", "x", "y", "z", "ap", "zzz"])
+    ints = st.integers(min_value=-5, max_value=15)
+    field = st.sampled_from(sorted(FIELDS) + ["missing", "u.missing"])
+
+    def term(f):
+        kind = FIELDS.get(f, "str")
+        val = ints if kind == "int" else strs
+        return st.one_of(
+            val.map(lambda v: {"term": {f: v}}),
+            st.lists(val, min_size=1, max_size=3).map(lambda vs: {"terms": {f: vs}}),
+            st.just({"exists": {"field": f}}),
+            (ints.flatmap(lambda a: st.sampled_from(["gte", "gt", "lte", "lt"])
+                          .map(lambda op: {"range": {f: {op: a}}}))) if kind == "int"
+            else strs.map(lambda p: {"prefix": {f: p}}))
+
+    return field.flatmap(term)
+
+
+QUERIES = st.recursive(
+    _leaf(),
+    lambda inner: st.fixed_dictionaries(
+        {}, optional={"must": st.lists(inner, max_size=2), "should": st.lists(inner, max_size=3),
+                      "must_not": st.lists(inner, max_size=2)}).map(lambda b: {"bool": b}),
+    max_leaves=6)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(QUERIES, min_size=20, max_size=20))
+def test_queries_match_brute_force(spark, queries):
+    from datetime import datetime
+
+    from docferry.operators.scan import count_per_job
+
+    df = spark.createDataFrame(
+        [(d["id"], d["s"], d["n"], d["tags"], d["u"]) for d in DOCS],
+        "id int, s string, n int, tags array<string>, u struct<name: string>")
+    jobs = [(f"q{i}", q) for i, q in enumerate(queries)]
+    got = {r.job_id: r.source_count for r in count_per_job(df, jobs, now=datetime(2024, 1, 1)).collect()}
+    for job_id, q in jobs:
+        want = sum(1 for d in DOCS if _eval(q, d))
+        assert got[job_id] == want, q
