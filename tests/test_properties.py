@@ -145,3 +145,72 @@ def test_queries_match_brute_force(spark, queries):
     for job_id, q in jobs:
         want = sum(1 for d in DOCS if _eval(q, d))
         assert got[job_id] == want, q
+
+
+# ---------------------------------------------------------------------------
+# Paths over schemaless documents against a walk over the Python objects.
+# ---------------------------------------------------------------------------
+
+KEYS = st.sampled_from(["a", "b", "c", "0", "k"])
+JSONS = st.recursive(
+    st.one_of(st.none(), st.booleans(), st.integers(-1000, 1000),
+              st.text(alphabet="xyz ,\"é", max_size=4)),
+    lambda inner: st.one_of(st.lists(inner, max_size=3),
+                            st.dictionaries(KEYS, inner, max_size=3)),
+    max_leaves=8)
+DOCS_JSON = st.dictionaries(KEYS, JSONS, max_size=4)
+STEP = st.one_of(KEYS, st.sampled_from(["[0]", "[1]", "[2]", "[x]", "[-1]"]))
+PATHS = st.one_of(
+    st.lists(STEP, min_size=1, max_size=4).map(lambda ss: ".".join(ss).replace(".[", "[")),
+    st.sampled_from([".", "..", "a..b", "a.0", "a[0][0]"]))
+
+
+def _walk(doc, path):
+    from docferry.functions.paths import Index, tokenize
+
+    steps = tokenize(path)
+    if not steps:
+        return None
+    cur = doc
+    for s in steps:
+        if isinstance(s, Index):
+            if not isinstance(cur, list) or s.pos >= len(cur):
+                return None
+            cur = cur[s.pos]
+        else:
+            if not isinstance(cur, dict) or s.name not in cur:
+                return None
+            cur = cur[s.name]
+        if cur is None:
+            return None
+    return cur
+
+
+def _same(got, want):
+    import json
+
+    if want is None:
+        return got == ""
+    if isinstance(want, bool):
+        return got == ("true" if want else "false")
+    if isinstance(want, (dict, list)):
+        return json.loads(got) == want
+    return got == str(want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(DOCS_JSON, min_size=1, max_size=25), st.lists(PATHS, min_size=1, max_size=8, unique=True))
+def test_paths_match_python_walk(spark, docs, paths):
+    import json
+
+    from docferry.operators.projection import project
+    from docferry.sources.documents import json_string_documents
+
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, doc string")
+    view = json_string_documents(df, "doc", id_column="i")
+    cols = [f"c{j}" for j in range(len(paths))]
+    out = project(view, ["_id"] + cols, dict(zip(cols, paths))).collect()
+    for row in out:
+        doc = docs[int(row["_id"])]
+        for c, p in zip(cols, paths):
+            assert _same(row[c], _walk(doc, p)), (doc, p, row[c])
