@@ -150,12 +150,17 @@ def manifest_and_sidecar(spark: SparkSession, *, job_id: str, out_dir: str, name
     tmp = f"{out_dir}/_sidecar_tmp"
     sums.coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(tmp)
     fs.single_file(spark, tmp, sidecar, "part-*.txt")
-    digest = (spark.read.format("binaryFile").load(sidecar)
-              .select(F.sha2("content", 256)).first()[0])
-    rows = manifest.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    # Digest of the sidecar text and the row total, from the manifest (one
+    # row per part) in one aggregate.
+    summary = manifest.agg(
+        F.sha2(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("bucket", F.concat(
+                "sha256", F.lit("  " + name + "/"), "file", F.lit("\n")).alias("l")))),
+            lambda x: x["l"]), ""), 256).alias("sha256"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
     return ExportResult(job_id=job_id, path=data_dir, sidecar_path=sidecar,
-                        manifest_path=manifest_dir, row_count=int(rows), n_parts=n_parts,
-                        sha256=digest)
+                        manifest_path=manifest_dir, row_count=int(summary["rows"]), n_parts=n_parts,
+                        sha256=summary["sha256"])
 
 
 def write_parts_multi(lines: DataFrame, headers: dict[str, str], parts: dict[str, int],

@@ -234,3 +234,11 @@ def test_one_scan_matches_single_runs(spark, out_dir):
     assert many["texts"].row_count == en.count() > 0
     assert en.where("text like '%' || chr(10) || '%'").count() > 0  # records span lines
     assert os.path.exists(f"{out_dir}/pub-multi/by-segment/building.csv.sha256")
+
+
+def test_result_digest_is_digest_of_sidecar(spark, out_dir):
+    df = spark.range(50).select((F.col("id") % 3).cast("int").alias("bucket"),
+                                F.format_string("v%02d", "id").alias("line"))
+    res = export_lines(df, ["v"], job_id="j", out_dir=out_dir, n_parts=3, name="v.csv")
+    assert res.sha256 == hashlib.sha256(open(res.sidecar_path, "rb").read()).hexdigest()
+    assert res.row_count == 50
