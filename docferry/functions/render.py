@@ -59,8 +59,9 @@ def py_float_text(c: Column) -> Column:
     # shortest text once (a one-element array and a lambda) so the layout
     # below does not repeat its expression tree.
     s = c.cast("string")
-    digits = F.length(F.regexp_replace(s, "[^0-9]", ""))
-    fast = ~s.rlike("[A-Za-z]") & (digits < 17)
+    # Spark's text of a double always holds a '.', so 17 characters or fewer
+    # means at most 16 digits; E / NaN / Infinity take the slow path.
+    fast = (F.length(s) <= 17) & ~s.contains("E") & ~s.contains("N") & ~s.contains("I")
     slow = F.element_at(F.transform(F.array(_shortest(c)), _layout), 1)
     return F.when(fast, s).otherwise(slow)
 
