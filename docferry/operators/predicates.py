@@ -42,8 +42,8 @@ class QueryError(ValueError):
 
 Resolver = Callable[[str], Resolved]
 
-# Date-math units and the order used when rounding down.
-_UNITS = ("y", "M", "w", "d", "h", "H", "m", "s")
+# Date-math steps — +/-N of a unit, or /unit rounding; units
+# y (year), M (month), w (week), d (day), h/H (hour), m (minute), s (second).
 _MATH = re.compile(r"([+-])(\d+)([yMwdhHms])|/([yMwdhHms])")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docferry.operators.projection import project
 from docferry.operators.scan import bind_job, count_per_job, matching
