@@ -146,3 +146,27 @@ class JobSpec:
                    query=json.loads(row["query"]), columns=list(row["columns"]),
                    column_paths=dict(row["column_paths"] or {}),
                    remote_filename=row["remote_filename"])
+
+
+class JobSpecError(ValueError):
+    """A job that is missing or fails validation."""
+
+    def __init__(self, job_doc_id: str, reason: str) -> None:
+        super().__init__(f"job {job_doc_id}: {reason}")
+        self.job_doc_id = job_doc_id
+        self.reason = reason
+
+
+def load_job(jobs: DataFrame, job_doc_id: str, *, id_col: str = "_id", doc_col: str = "doc") -> JobSpec:
+    """S2 + J1-J3 for one id: point lookup in the job table, validated.
+
+    The filter on the id reaches the job table's scan; one row comes back."""
+    rows = validate_jobs(jobs.where(F.col(id_col) == F.lit(job_doc_id)), id_col=id_col,
+                         doc_col=doc_col).limit(2).collect()
+    if not rows:
+        raise JobSpecError(job_doc_id, "not_found")
+    if len(rows) > 1:
+        raise JobSpecError(job_doc_id, "duplicate_id")
+    if rows[0]["error"] is not None:
+        raise JobSpecError(job_doc_id, rows[0]["error"])
+    return JobSpec.from_row(rows[0])

@@ -290,3 +290,16 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
                 manifest_path=final.manifest_path,
                 attempts=[(counts[j.job_id], final.row_count)], reextracted=False)
     return outcomes
+
+
+def run_one(spark: SparkSession, job_doc_id: str, jobs: DataFrame, catalog: Catalog, *,
+            now: datetime, options: RunOptions, manifest_path: str | None = None) -> JobOutcome:
+    """One control record's work without the stream: load and validate the
+    job, export, reconcile, publish, and append the manifest row."""
+    from docferry.operators.jobs import load_job
+
+    job = load_job(jobs, job_doc_id)
+    outcome = run_export(spark, job, catalog, now=now, options=options)
+    if manifest_path:
+        append_manifest(spark, manifest_path, outcome)
+    return outcome

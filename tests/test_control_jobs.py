@@ -98,3 +98,38 @@ def test_lookup_not_found_and_plan(spark):
                   .where("job_id = 'job-7'").collect())
     assert plan == [("job-7", 1, "/stage/job-7/x.csv", "out/x.csv"),
                     ("job-7", 2, "/stage/job-7/x.csv.sha256", "out/x.csv.sha256")]
+
+
+def test_load_job_point_lookup(spark):
+    import pytest
+
+    from docferry.operators.jobs import JobSpecError, load_job
+
+    jobs = _jobs(spark)
+    spec = load_job(jobs, "happy")
+    assert spec.job_id == "job-7" and spec.columns == ["x", "y"]
+    with pytest.raises(JobSpecError) as e:
+        load_job(jobs, "ghost")
+    assert e.value.reason == "not_found"
+    with pytest.raises(JobSpecError) as e:
+        load_job(jobs, "bad_paths")
+    assert e.value.reason == "column_paths_not_strings"
+
+
+def test_run_one(spark, out_dir):
+    from datetime import datetime
+
+    from docferry.plans.job_run import RunOptions, run_one
+    from docferry.sources.tables import driver_catalog
+
+    from conftest import SMALL
+
+    job = {"data_index": "labels", "query": {"term": {"toxic": 1}}, "columns": ["doc_id", "quality"],
+           "remote_filename": "toxic.csv"}
+    jobs = spark.createDataFrame([("t", json.dumps(job))], "_id string, doc string")
+    out = run_one(spark, "t", jobs, driver_catalog(spark, SMALL), now=datetime(2024, 1, 31),
+                  options=RunOptions(staging_root=f"{out_dir}/s", publish_root=f"{out_dir}/p"),
+                  manifest_path=f"{out_dir}/manifest")
+    want = spark.read.parquet(f"{SMALL}/labels.parquet").where("toxic = 1").count()
+    assert out.row_count == want
+    assert spark.read.parquet(f"{out_dir}/manifest").first()["row_count"] == want
