@@ -97,7 +97,11 @@ def lookup_jobs(control: DataFrame, jobs: DataFrame) -> DataFrame:
     case, so the join is left to Spark (it broadcasts the job side when its
     size is under the broadcast threshold, else shuffles both).
     """
-    v = validate_jobs(jobs).withColumnRenamed("error", "job_error")
+    # Validate only the jobs the records name: a semi-join on the id first
+    # (the record side is the small one and is broadcast when small enough).
+    wanted = control.select(F.col("job_doc_id").alias("_want")).where(F.col("_want").isNotNull()).distinct()
+    named = jobs.join(wanted, jobs["_id"] == wanted["_want"], "left_semi")
+    v = validate_jobs(named).withColumnRenamed("error", "job_error")
     j = control.join(v, "job_doc_id", "left")
     err = (F.when(F.col("error").isNotNull(), F.col("error"))
            .when(F.col("job_id").isNull(), F.lit("not_found"))

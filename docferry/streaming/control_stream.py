@@ -87,10 +87,15 @@ class StreamConfig:
     strict_order: bool = True
 
 
-def _done(spark: SparkSession, ledger_path: str) -> DataFrame | None:
+def _done(spark: SparkSession, ledger_path: str, min_offset: int | None) -> DataFrame | None:
+    """Finished records at or after the batch's lowest offset (the filter
+    reaches the ledger's parquet scan, so old entries are skipped by stats)."""
     if not fs.exists(spark, ledger_path):
         return None
-    return spark.read.parquet(ledger_path).select("partition", "offset")
+    done = spark.read.parquet(ledger_path).select("partition", "offset")
+    if min_offset is not None:
+        done = done.where(F.col("offset") >= F.lit(min_offset))
+    return done
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, cfg: StreamConfig) -> None:
@@ -112,7 +117,8 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, cfg: StreamCo
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("epoch_id").parquet(cfg.dead_letter_path))
     todo = lookup_jobs(ok, cfg.jobs())
-    done = _done(spark, cfg.ledger_path)
+    min_offset = batch.agg(F.min("offset")).first()[0]
+    done = _done(spark, cfg.ledger_path, min_offset)
     if done is not None:
         todo = todo.join(done, ["partition", "offset"], "left_anti")
     records = todo.orderBy("partition", "offset").collect()
