@@ -218,6 +218,27 @@ def _path_schemaless_docs_sql() -> str:
 FROM orders"""
 
 
+def path_map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 on a map: documents carry their label scores as ``map<string,int>``."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", F.create_map(F.lit("quality"), F.col("quality"),
+                               F.lit("toxic"), F.col("toxic")).alias("scores"))
+    view = docs.join(labels, "doc_id", "left")
+    cols = ["_id", "lang", "quality", "toxic", "other", "scores"]
+    paths = {"quality": "scores.quality", "toxic": "scores.toxic", "other": "scores.other"}
+    return project(view, cols, paths, id_column="doc_id")
+
+
+def _path_map_values_sql() -> str:
+    return f"""SELECT {txt('d.doc_id')} AS _id, {txt('d.lang')} AS lang,
+  {txt('l.quality')} AS quality, {txt('l.toxic')} AS toxic, '' AS other,
+  CASE WHEN l.doc_id IS NULL THEN ''
+       ELSE '{{"quality":' || CAST(l.quality AS VARCHAR) || ',"toxic":' || CAST(l.toxic AS VARCHAR) || '}}'
+  END AS scores
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+
+
 def project_doc_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["_id", "lang", "source", "n_chars"]
     return project(read_table(spark, sf_dir, "documents"), cols, id_column="doc_id")
@@ -258,5 +279,6 @@ QUERIES = {
     "path_conversation_turns": (path_conversation_turns, _path_conversation_turns_sql),
     "project_doc_id": (project_doc_id, _project_doc_id_sql),
     "path_schemaless_docs": (path_schemaless_docs, _path_schemaless_docs_sql),
+    "path_map_values": (path_map_values, _path_map_values_sql),
     "source_envelope": (source_envelope, _source_envelope_sql),
 }
