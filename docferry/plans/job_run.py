@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.functions.render import csv_line, json_line
@@ -114,8 +114,6 @@ def tee_ndjson(spark: SparkSession, job: JobSpec, source: DocumentView | DataFra
         bound, pred = bind_job(flat, job.query, [], now=now)
         rows = bound.frame.where(pred).select(
             json_line(*[F.col(f"`{c}`") for c in docs.columns]).alias("j"))
-    from pyspark.sql import Observation
-
     obs = Observation("ndjson")
     rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
         .option("lineSep", "\n").text(path)
@@ -196,8 +194,6 @@ def append_manifest(spark: SparkSession, table_path: str, outcome: JobOutcome, *
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(table_path)
 
 
-
-
 def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Catalog, *,
                          now: datetime, options: RunOptions) -> dict[str, JobOutcome]:
     """Build-plan step 8: jobs that read the same table share one count pass
@@ -248,12 +244,10 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
         for j in group:
             by_spec[(tuple(j.columns), tuple(paths[j.job_id]))].append(j.job_id)
         line = None
-        spec_line = {}
         for (cols, ps), members in by_spec.items():
             cells = text_cells(bound, list(cols), list(ps), guard_formulas=options.guard_formulas,
                                job_id=members[0])
             this_line = csv_line(cells)
-            spec_line[members[0]] = this_line
             cond = F.col("job_id").isin(members)
             line = F.when(cond, this_line) if line is None else line.when(cond, this_line)
         by_parts: dict[int, list[str]] = defaultdict(list)
@@ -275,6 +269,12 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
         names = {j.job_id: _basename(j.remote_filename, j.job_id) for j in group}
         out_dirs = {j.job_id: f"{options.staging_root.rstrip('/')}/{_safe(j.job_id)}" for j in group}
         results = finish_many(spark, root, names, parts, out_dirs)
+        tees = {}
+        if options.ndjson_dir:
+            for j in group:
+                tees[j.job_id] = tee_ndjson(
+                    spark, j, snap, now=now,
+                    path=f"{options.ndjson_dir.rstrip('/')}/{_safe(j.job_id)}.ndjson")
         for j in group:
             result = results[j.job_id]
             if result.row_count != counts[j.job_id]:
@@ -288,7 +288,8 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
                 job_id=j.job_id, row_count=final.row_count, n_parts=final.n_parts,
                 sha256=final.sha256, path=final.path, sidecar_path=final.sidecar_path,
                 manifest_path=final.manifest_path,
-                attempts=[(counts[j.job_id], final.row_count)], reextracted=False)
+                attempts=[(counts[j.job_id], final.row_count)], reextracted=False,
+                ndjson_rows=tees.get(j.job_id))
     return outcomes
 
 
