@@ -13,7 +13,9 @@ With ``--once`` the stream drains what is there and stops.
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("docferry").getOrCreate())
+    stopping = threading.Event()
+    # SIGTERM / SIGINT: finish the current job, then stop.
+    for sig in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(sig, lambda *_: stopping.set())
     cfg = StreamConfig(
         jobs=lambda: spark.read.parquet(args.jobs),
         catalog=folder_catalog(spark, args.tables),
@@ -48,13 +54,17 @@ def main(argv: list[str] | None = None) -> int:
                            rows_per_part=args.rows_per_part, ndjson_dir=args.ndjson,
                            guard_formulas=args.guard_formulas),
         ledger_path=f"{args.state}/ledger", dead_letter_path=f"{args.state}/dead_letters",
-        strict_order=not args.relaxed_order)
+        strict_order=not args.relaxed_order, stop=stopping.is_set)
     query = start(spark, file_control_source(spark, args.control), cfg,
                   checkpoint=f"{args.state}/checkpoint", available_now=args.once,
                   processing_time=None if args.once else args.trigger)
     try:
-        query.awaitTermination()
+        while not query.awaitTermination(1):
+            if stopping.is_set() and not query.status["isTriggerActive"]:
+                query.stop()
     except Exception as e:  # a failed job stops the stream; its batch is replayed on restart
+        if stopping.is_set() and "StopRequested" in str(e):
+            return 0
         print(f"stopped: {e}", file=sys.stderr)
         return 1
     return 0

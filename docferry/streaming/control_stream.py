@@ -42,6 +42,11 @@ from docferry.sources.tables import Catalog
 CONTROL_SCHEMA = "value binary, partition int, offset bigint"
 
 
+class StopRequested(RuntimeError):
+    """A graceful stop between two records; the batch is not committed, and
+    the records already finished are skipped (ledger) when it is replayed."""
+
+
 class JobFailed(RuntimeError):
     """A control record whose job could not be run; the batch is not committed."""
 
@@ -85,6 +90,8 @@ class StreamConfig:
     # True: one job after another in (partition, offset) order (T7). False:
     # the batch's jobs that read the same table share one scan.
     strict_order: bool = True
+    # Asked before each record; True ends the stream after the current job.
+    stop: Callable[[], bool] | None = None
 
 
 def _done(spark: SparkSession, ledger_path: str, min_offset: int | None) -> DataFrame | None:
@@ -126,6 +133,8 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, cfg: StreamCo
         _run_grouped(spark, records, cfg)
         return
     for rec in records:
+        if cfg.stop is not None and cfg.stop():
+            raise StopRequested(f"stop requested before p={rec['partition']} o={rec['offset']}")
         if rec["error"] is not None:
             raise JobFailed(rec["partition"], rec["offset"], rec["job_doc_id"], rec["error"])
         job = JobSpec.from_row(rec)

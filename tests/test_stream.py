@@ -102,3 +102,29 @@ def test_relaxed_order_batch_one_scan(spark, out_dir):
     # Replaying the batch skips what the ledger holds.
     process_batch(spark, batch, 0, cfg)
     assert spark.read.parquet(cfg.ledger_path).count() == 3
+
+
+def test_graceful_stop_between_records(spark, out_dir):
+    from docferry.streaming.control_stream import StopRequested, process_batch
+
+    cat = driver_catalog(spark, SMALL)
+    jobs = {"a": JOB}
+    calls = {"n": 0}
+
+    def stop():
+        calls["n"] += 1
+        return calls["n"] > 1  # let the first record finish, stop before the second
+
+    cfg = StreamConfig(jobs=lambda: spark.createDataFrame([(k, json.dumps(v)) for k, v in jobs.items()],
+                                                          "_id string, doc string"),
+                       catalog=cat, options=RunOptions(staging_root=f"{out_dir}/stage"),
+                       ledger_path=f"{out_dir}/ledger", dead_letter_path=f"{out_dir}/dead",
+                       clock=lambda: datetime(2024, 1, 31), stop=stop)
+    batch = spark.createDataFrame([(b'{"job_doc_id": "a"}', 0, 0), (b'{"job_doc_id": "a"}', 0, 1)],
+                                  "value binary, partition int, offset long")
+    with pytest.raises(StopRequested):
+        process_batch(spark, batch, 0, cfg)
+    assert [r.offset for r in spark.read.parquet(cfg.ledger_path).collect()] == [0]
+    cfg.stop = None
+    process_batch(spark, batch, 0, cfg)  # the replay runs only what is left
+    assert sorted(r.offset for r in spark.read.parquet(cfg.ledger_path).collect()) == [0, 1]
