@@ -242,3 +242,18 @@ def test_result_digest_is_digest_of_sidecar(spark, out_dir):
     res = export_lines(df, ["v"], job_id="j", out_dir=out_dir, n_parts=3, name="v.csv")
     assert res.sha256 == hashlib.sha256(open(res.sidecar_path, "rb").read()).hexdigest()
     assert res.row_count == 50
+
+
+def test_duplicate_output_columns(spark, out_dir):
+    """A column listed twice gives two header cells and the value twice."""
+    cat = driver_catalog(spark, SMALL)
+    job = JobSpec(job_id="dup", data_index="region", query={"match_all": {}},
+                  columns=["r_name", "r_name", "r_regionkey"], remote_filename="dup.csv")
+    out = run_export(spark, job, cat, now=datetime(2024, 1, 31),
+                     options=RunOptions(staging_root=f"{out_dir}/s"))
+    body = b"".join(_read_parts(out.path).values()).decode()
+    lines = body.splitlines()
+    assert lines[0] == "r_name,r_name,r_regionkey"
+    assert len(lines) == 1 + spark.read.parquet(f"{SMALL}/region.parquet").count()
+    first, second, _ = lines[1].split(",")
+    assert first == second
