@@ -106,10 +106,40 @@ def _json_path(steps: list[Step]) -> str:
         if isinstance(s, Index):
             out += f"[{s.pos}]"
         else:
-            out += '["' + s.name.replace("\\", "\\\\").replace('"', '\\"') + '"]'
+            out += '["' + s.name + '"]'
     return out
 
 
+# No array holds more elements than this; a larger index reads as missing.
+_MAX_INDEX = 2**31 - 1
+
+
+def _path_safe(step: Step) -> bool:
+    """Steps a variant path string can carry (it has no escapes)."""
+    if isinstance(step, Index):
+        return step.pos <= _MAX_INDEX
+    return '"' not in step.name and "\\" not in step.name
+
+
+def _walk_variant(cur: Column, steps: list[Step]) -> Resolved:
+    """Variant steps: runs of safe steps become one path lookup; a key the
+    path syntax cannot spell is looked up in the object as a map."""
+    run: list[Step] = []
+    for step in steps:
+        if _path_safe(step):
+            run.append(step)
+            continue
+        if run:
+            cur = F.try_variant_get(cur, _json_path(run), "variant")
+            run = []
+        if isinstance(step, Index):
+            return MISSING
+        cur = F.try_element_at(F.try_variant_get(cur, "$", "map<string,variant>"), F.lit(step.name))
+    if run:
+        cur = F.try_variant_get(cur, _json_path(run), "variant")
+    return Resolved(cur, T.VariantType())
+
+
 def walk(col: Column | None, dtype: T.DataType, steps: list[Step]) -> Resolved:
     """Apply ``steps`` to a value of type ``dtype`` held by ``col``.
 
@@ -119,8 +149,7 @@ def walk(col: Column | None, dtype: T.DataType, steps: list[Step]) -> Resolved:
     cur, typ = col, dtype
     for pos, step in enumerate(steps):
         if isinstance(typ, T.VariantType):
-            rest = steps[pos:]
-            return Resolved(F.try_variant_get(cur, _json_path(rest), "variant"), T.VariantType())
+            return _walk_variant(cur, steps[pos:])
         if isinstance(step, Key):
             if isinstance(typ, T.StructType):
                 field = _struct_field(typ, step.name)
@@ -134,7 +163,7 @@ def walk(col: Column | None, dtype: T.DataType, steps: list[Step]) -> Resolved:
             else:
                 return MISSING
         else:
-            if cur is None or not isinstance(typ, T.ArrayType):
+            if cur is None or not isinstance(typ, T.ArrayType) or step.pos > _MAX_INDEX:
                 return MISSING
             cur = F.get(cur, F.lit(step.pos))
             typ = typ.elementType

@@ -196,3 +196,18 @@ def test_hot_parent_list_index_matches_brute_force(spark):
         assert got[p] == want, p
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan or "WindowGroupLimit" in plan
+
+
+def test_awkward_keys_and_huge_index(spark):
+    import json
+
+    from docferry.sources.documents import json_string_documents
+
+    doc = {"x]": 1, 'q"k': {"in": 2}, "b\\s": 3, "a": [10, 20], "sp ace": 4, "é": 5, "$": 6, "a.b": 8}
+    df = spark.createDataFrame([(0, json.dumps(doc))], "i int, doc string")
+    paths = {"c1": "a[x]", "c2": 'q"k.in', "c3": "b\\s", "c4": "sp ace", "c5": "é", "c6": "$",
+             "c8": "a[99999999999999999999]", "c9": "a[1]", "c10": "a.b", "c11": "x]"}
+    out = project(json_string_documents(df, "doc", id_column="i"), list(paths), paths).first()
+    assert tuple(out) == ("", "2", "3", "4", "5", "6", "", "20", "", "1")
+    typed = spark.createDataFrame([([1, 2],)], "a array<int>")
+    assert project(typed, ["c"], {"c": "a[99999999999999999999]"}).first()[0] == ""
