@@ -86,6 +86,29 @@ class Bound:
         return resolve_path(schema, path, id_column=self.id_column)
 
 
+def _orderable(dt: T.DataType) -> bool:
+    """Whether Spark can compare values of this type (maps and variants not)."""
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    return True
+
+
+def _by_keys(n: int):
+    """Comparator on the fields ``o0..o{n-1}`` (nulls first, like a sort)."""
+    def compare(a: Column, b: Column) -> Column:
+        out = F.lit(0)
+        for i in reversed(range(n)):
+            x, y = a[f"o{i}"], b[f"o{i}"]
+            out = (F.when(x.isNull() & y.isNotNull(), -1).when(x.isNotNull() & y.isNull(), 1)
+                   .when(x < y, -1).when(x > y, 1).otherwise(out))
+        return out
+    return compare
+
+
 class DocumentView:
     def __init__(self, root: DataFrame, id_column: str | None,
                  lookups: dict[str, Lookup] | None = None,
@@ -170,7 +193,7 @@ class DocumentView:
             ch = Children(ch.frame, ch.parent, ch.order, self._pruned(ch.frame, ch.value, needed.get(name)))
             ranks = sorted(want_rank[name])
             elem = ch.frame.select(ch.value).schema[0].dataType
-            if ranks == [0]:
+            if ranks == [0] and _orderable(elem):
                 # Only the first child: a min aggregate, combined map-side.
                 alias = f"__ch_{name}_0"
                 side = self._first(ch, alias)
@@ -201,8 +224,10 @@ class DocumentView:
                 F.col(ch.parent).alias("__parent"),
                 F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(ch.order)],
                          ch.value.alias("v")).alias("__kv"))
+            # Sorted by the order keys only (values need not be orderable).
             side = keyed.groupBy("__parent").agg(
-                F.transform(F.array_sort(F.collect_list("__kv")), lambda x: x["v"]).alias(alias))
+                F.transform(F.array_sort(F.collect_list("__kv"), _by_keys(len(ch.order))),
+                            lambda x: x["v"]).alias(alias))
             df = df.join(side, df[self.id_column] == side["__parent"], "left").drop("__parent")
             extra[name] = (alias, side.schema[alias].dataType)
         return Bound(df, self.id_column, extra, visible=self.root.schema)

@@ -211,3 +211,16 @@ def test_awkward_keys_and_huge_index(spark):
     assert tuple(out) == ("", "2", "3", "4", "5", "6", "", "20", "", "1")
     typed = spark.createDataFrame([([1, 2],)], "a array<int>")
     assert project(typed, ["c"], {"c": "a[99999999999999999999]"}).first()[0] == ""
+
+
+def test_child_values_with_maps(spark):
+    """Child values Spark cannot order (maps) still rank and list by the keys."""
+    root = spark.createDataFrame([(1,), (2,)], "p int")
+    kids = spark.createDataFrame([(1, 2, {"k": "b"}), (1, 1, {"k": "a"}), (2, 5, {"k": "c"})],
+                                 "p int, n int, m map<string,string>")
+    view = DocumentView(root, "p", children={"xs": Children(kids, "p", ("n",), F.struct("n", "m"))})
+    out = sorted(tuple(r) for r in project(view, ["p", "first", "second", "all"],
+                                           {"first": "xs[0].m.k", "second": "xs[1].m.k",
+                                            "all": "xs"}).collect())
+    assert out == [("1", "a", "b", '[{"n":1,"m":{"k":"a"}},{"n":2,"m":{"k":"b"}}]'),
+                   ("2", "c", "", '[{"n":5,"m":{"k":"c"}}]')]
