@@ -25,6 +25,7 @@ no document data passes through it.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -41,6 +42,8 @@ from docferry.sources.tables import Catalog
 
 CONTROL_SCHEMA = "value binary, partition int, offset bigint"
 
+_log = logging.getLogger(__name__)
+
 
 class StopRequested(RuntimeError):
     """A graceful stop between two records; the batch is not committed, and
@@ -129,6 +132,7 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, cfg: StreamCo
     if done is not None:
         todo = todo.join(done, ["partition", "offset"], "left_anti")
     records = todo.orderBy("partition", "offset").collect()
+    _log.info("batch %d: %d record(s) to run", epoch_id, len(records))
     if not cfg.strict_order:
         _run_grouped(spark, records, cfg)
         return
