@@ -229,7 +229,10 @@ class DocumentView:
                 F.transform(F.array_sort(F.collect_list("__kv"), _by_keys(len(ch.order))),
                             lambda x: x["v"]).alias(alias))
             df = df.join(side, df[self.id_column] == side["__parent"], "left").drop("__parent")
-            extra[name] = (alias, side.schema[alias].dataType)
+            # A document without children still has the list, empty.
+            list_type = side.schema[alias].dataType
+            df = df.withColumn(alias, F.coalesce(F.col(alias), F.array().cast(list_type)))
+            extra[name] = (alias, list_type)
         return Bound(df, self.id_column, extra, visible=self.root.schema)
 
     @staticmethod
@@ -276,8 +279,7 @@ class DocumentView:
         for name in self.lookups:
             cols.append(F.col(b.extra[name][0]).alias(name))
         for name in self.children:
-            cols.append(F.coalesce(F.col(b.extra[name][0]),
-                                   F.array().cast(b.extra[name][1])).alias(name))
+            cols.append(F.col(b.extra[name][0]).alias(name))
         return b.frame.select(*cols)
 
 
