@@ -239,6 +239,21 @@ def _path_map_values_sql() -> str:
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
 
+def path_whole_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A path ending on a whole child list: each conversation's turns as JSON
+    (the list is gathered per document, in turn order)."""
+    cols = ["conv_id", "turns", "n_missing"]
+    return project(conversation_documents(spark, sf_dir), cols, {"n_missing": "turns.turn"})
+
+
+def _path_whole_list_sql() -> str:
+    return f"""SELECT {txt('conv_id')} AS conv_id,
+  CAST(to_json(list(struct_pack(turn := turn, role := role, text := text)
+                    ORDER BY turn, role, text)) AS VARCHAR) AS turns,
+  '' AS n_missing
+FROM conversations GROUP BY conv_id"""
+
+
 def project_doc_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["_id", "lang", "source", "n_chars"]
     return project(read_table(spark, sf_dir, "documents"), cols, id_column="doc_id")
@@ -280,5 +295,6 @@ QUERIES = {
     "project_doc_id": (project_doc_id, _project_doc_id_sql),
     "path_schemaless_docs": (path_schemaless_docs, _path_schemaless_docs_sql),
     "path_map_values": (path_map_values, _path_map_values_sql),
+    "path_whole_list": (path_whole_list, _path_whole_list_sql),
     "source_envelope": (source_envelope, _source_envelope_sql),
 }
