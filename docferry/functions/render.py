@@ -158,6 +158,63 @@ def sidecar_name(remote: Column) -> Column:
     return F.concat(remote, F.lit(".sha256"))
 
 
-def json_line(*cols: Column) -> Column:
-    """One JSON object per row with every field, nulls kept (NDJSON record)."""
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+# The control characters whose \u escape holds a hex letter
+# (Spark writes it upper case, Python lower case); the others use a short
+# escape (\b \t \n \f \r) or digits only.
+_HEX_LETTER_ESCAPES = ("000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F")
+
+
+def _json_string(c: Column) -> Column:
+    """A string as a JSON string literal (quotes, escapes; non-ASCII kept)."""
+    enc = F.to_json(F.struct(c.alias("s")))
+    lit = F.substring(enc, 6, F.length(enc) - 6)  # strip '{"s":' and '}'
+    lower = lit
+    for code in _HEX_LETTER_ESCAPES:
+        lower = F.replace(lower, F.lit("\\u" + code), F.lit("\\u" + code.lower()))
+    return F.when(lit.contains("\\u00"), lower).otherwise(lit)
+
+
+def py_json(c: Column, dtype: T.DataType) -> Column:
+    """JSON text of a value laid out like Python's ``json.dumps`` defaults:
+    ``", "`` and ``": "`` separators, floats as ``repr``, non-ASCII kept.
+    Built from the schema when the plan is made (no per-row Python)."""
+    if isinstance(dtype, T.StructType):
+        parts = []
+        for i, f in enumerate(dtype.fields):
+            key = F.lit(("" if i == 0 else ", ") + __import__("json").dumps(f.name, ensure_ascii=False) + ": ")
+            parts += [key, py_json(c.getField(f.name), f.dataType)]
+        body = F.concat(F.lit("{"), *parts, F.lit("}")) if parts else F.lit("{}")
+        return F.when(c.isNull(), F.lit("null")).otherwise(body)
+    if isinstance(dtype, T.ArrayType):
+        items = F.transform(c, lambda x: py_json(x, dtype.elementType))
+        return F.when(c.isNull(), F.lit("null")).otherwise(
+            F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
+    if isinstance(dtype, T.MapType):
+        entries = F.transform(F.map_entries(c), lambda e: F.concat(
+            _json_string(e["key"].cast("string")), F.lit(": "), py_json(e["value"], dtype.valueType)))
+        return F.when(c.isNull(), F.lit("null")).otherwise(
+            F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}")))
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c.isNull(), F.lit("null")).when(c, F.lit("true")).otherwise(F.lit("false"))
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
+        return F.coalesce(c.cast("string"), F.lit("null"))
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # Python writes NaN / Infinity for non-finite floats.
+        t = py_float_text(c)
+        return (F.when(c.isNull(), F.lit("null")).when(t == "nan", F.lit("NaN"))
+                .when(t == "inf", F.lit("Infinity")).when(t == "-inf", F.lit("-Infinity"))
+                .otherwise(t))
+    if isinstance(dtype, T.VariantType):
+        return F.coalesce(F.to_json(c), F.lit("null"))
+    text = value_text(c, dtype)
+    return F.when(text.isNull(), F.lit("null")).otherwise(_json_string(text))
+
+
+def json_line(*cols: Column, schema: T.StructType | None = None) -> Column:
+    """One JSON object per row with every field, nulls kept (NDJSON record).
+
+    With the columns' ``schema`` the text is laid out like Python's
+    ``json.dumps``; without it, compact JSON."""
+    if schema is None:
+        return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    return py_json(F.struct(*cols), schema)

@@ -113,7 +113,7 @@ def tee_ndjson(spark: SparkSession, job: JobSpec, source: DocumentView | DataFra
         flat = DocumentView.of(docs, view.id_column)
         bound, pred = bind_job(flat, job.query, [], now=now)
         rows = bound.frame.where(pred).select(
-            json_line(*[F.col(f"`{c}`") for c in docs.columns]).alias("j"))
+            json_line(*[F.col(f"`{c}`") for c in docs.columns], schema=docs.schema).alias("j"))
     obs = Observation("ndjson")
     rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
         .option("lineSep", "\n").text(path)

@@ -68,11 +68,12 @@ SELECT *, {csv_line_sql(['p_partkey', 'label', 'neg_size'])} AS line FROM c"""
 
 
 def ndjson_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7: one JSON object per document (every field, nulls kept)."""
+    """V7: one JSON object per document (every field, nulls kept), laid out
+    like Python's ``json.dumps``."""
     ev = read_table(spark, sf_dir, "events")
-    return ev.select("event_id", json_line(
-        F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value"),
-        F.col("props")).alias("json"))
+    fields = ["event_id", "user_id", "event_type", "value", "props"]
+    return ev.select("event_id", json_line(*[F.col(c) for c in fields],
+                                           schema=ev.select(*fields).schema).alias("json"))
 
 
 def csv_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,9 +198,13 @@ QUERIES = {
   {csv_line_sql(["coalesce(CASE WHEN role = 'system' THEN '' ELSE text END, '')"])} AS line
 FROM conversations"""),
     "formula_guard": (formula_guard_query, _formula_guard_sql),
-    "ndjson_dump": (ndjson_dump, lambda: """SELECT event_id, CAST(to_json(struct_pack(
-  event_id := event_id, user_id := user_id, event_type := event_type, value := value,
-  props := props)) AS VARCHAR) AS json FROM events"""),
+    "ndjson_dump": (ndjson_dump, lambda: """SELECT event_id,
+  '{"event_id": ' || coalesce(CAST(event_id AS VARCHAR), 'null')
+  || ', "user_id": ' || coalesce(CAST(user_id AS VARCHAR), 'null')
+  || ', "event_type": ' || coalesce(CAST(to_json(event_type) AS VARCHAR), 'null')
+  || ', "value": ' || coalesce(CAST(value AS VARCHAR), 'null')
+  || ', "props": ' || coalesce(CAST(to_json(props) AS VARCHAR), 'null') || '}' AS json
+FROM events"""),
     "csv_digest": (csv_digest, _csv_digest_sql),
     "multi_job_export": (multi_job_export, _multi_job_export_sql),
     "reconcile_counts": (reconcile_counts, _reconcile_counts_sql),

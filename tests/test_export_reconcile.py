@@ -257,3 +257,17 @@ def test_duplicate_output_columns(spark, out_dir):
     assert len(lines) == 1 + spark.read.parquet(f"{SMALL}/region.parquet").count()
     first, second, _ = lines[1].split(",")
     assert first == second
+
+
+def test_ndjson_tee_lines_are_python_json(spark, out_dir):
+    import json
+
+    cat = driver_catalog(spark, SMALL)
+    job = JobSpec(job_id="lab", data_index="labels", query={"term": {"quality": 1}},
+                  columns=["doc_id"], remote_filename="lab.csv")
+    out = run_export(spark, job, cat, now=datetime(2024, 1, 31),
+                     options=RunOptions(staging_root=f"{out_dir}/s", ndjson_dir=f"{out_dir}/raw"))
+    lines = sorted(r.value for r in spark.read.text(f"{out_dir}/raw/lab.ndjson").collect())
+    want = sorted(json.dumps(r.asDict(), ensure_ascii=False) for r in
+                  spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1").collect())
+    assert lines == want and out.ndjson_rows == len(want)

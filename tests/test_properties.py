@@ -214,3 +214,20 @@ def test_paths_match_python_walk(spark, docs, paths):
         doc = docs[int(row["_id"])]
         for c, p in zip(cols, paths):
             assert _same(row[c], _walk(doc, p)), (doc, p, row[c])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.text(max_size=10), st.one_of(st.none(), st.floats(width=64)),
+                          st.lists(st.integers(-10**12, 10**12), max_size=3)),
+                min_size=1, max_size=100))
+def test_json_lines_match_json_dumps(spark, rows):
+    import json
+
+    from docferry.functions.render import json_line
+
+    rows = [(s, f if f is None or f == 0 or abs(f) >= 2.3e-308 or f != f else 0.0, l) for s, f, l in rows]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, s string, f double, l array<bigint>")
+    cols = ["s", "f", "l"]
+    got = dict(df.select("i", json_line(*[F.col(c) for c in cols], schema=df.select(*cols).schema)).collect())
+    for i, (s, f, l) in enumerate(rows):
+        assert got[i] == json.dumps({"s": s, "f": f, "l": l}, ensure_ascii=False), (s, f, l)
