@@ -2,7 +2,7 @@
 
 * ``cell_text``: a typed value -> the text the CSV cell carries
   (null -> "", booleans lower case, floats in Python ``repr`` form,
-  nested values as JSON).
+  nested values as JSON laid out like Python's ``json.dumps``).
 * ``csv_line``: cells -> one CSV record with minimal quoting, the same bytes
   Python's ``csv`` writer produces with ``lineterminator="\\n"``.
 * ``formula_guard``: opt-in neutraliser for spreadsheet formulas.
@@ -87,7 +87,7 @@ def _variant_text(v: Column) -> Column:
     kind = F.schema_of_variant(v)
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
+        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), respace_json(F.to_json(v)))
         # JSON numbers with a fraction or exponent are floats to a JSON
         # reader; the variant may hold them as decimals (1.0 -> DECIMAL(2,1)).
         .when(kind.isin("DOUBLE", "FLOAT")
@@ -107,7 +107,8 @@ def value_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.VariantType):
         return _variant_text(c)
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(c, {"ignoreNullFields": "false"})
+        # Nested values as JSON text, laid out like Python's json.dumps.
+        return F.when(c.isNotNull(), py_json(c, dtype))
     if isinstance(dtype, T.NullType):
         return F.lit(None).cast("string")
     return c.cast("string")
@@ -164,14 +165,32 @@ def sidecar_name(remote: Column) -> Column:
 _HEX_LETTER_ESCAPES = ("000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F")
 
 
+# Fixed value: a JSON string token, or a separator outside strings.
+_JSON_TOKEN = r'("(?:[^"\\]++|\\.)*+")|([:,])'
+_MARK = "\u0001"  # never raw in Spark's JSON output (escaped inside strings)
+
+
+def _lower_hex_escapes(text: Column) -> Column:
+    lower = text
+    for code in _HEX_LETTER_ESCAPES:
+        lower = F.replace(lower, F.lit("\\u" + code), F.lit("\\u" + code.lower()))
+    return F.when(text.contains("\\u00"), lower).otherwise(text)
+
+
+def respace_json(compact: Column) -> Column:
+    """Compact JSON (as Spark writes it) -> Python's ``json.dumps`` spacing:
+    a space after every ``:`` and ``,`` outside strings (marked in one regex
+    pass, since only the separators are followed by the marker)."""
+    marked = F.regexp_replace(compact, _JSON_TOKEN, "$1$2" + _MARK)
+    spaced = F.replace(F.replace(marked, F.lit(":" + _MARK), F.lit(": ")),
+                       F.lit("," + _MARK), F.lit(", "))
+    return _lower_hex_escapes(F.replace(spaced, F.lit(_MARK), F.lit("")))
+
+
 def _json_string(c: Column) -> Column:
     """A string as a JSON string literal (quotes, escapes; non-ASCII kept)."""
     enc = F.to_json(F.struct(c.alias("s")))
-    lit = F.substring(enc, 6, F.length(enc) - 6)  # strip '{"s":' and '}'
-    lower = lit
-    for code in _HEX_LETTER_ESCAPES:
-        lower = F.replace(lower, F.lit("\\u" + code), F.lit("\\u" + code.lower()))
-    return F.when(lit.contains("\\u00"), lower).otherwise(lit)
+    return _lower_hex_escapes(F.substring(enc, 6, F.length(enc) - 6))  # strip '{"s":' and '}'
 
 
 def py_json(c: Column, dtype: T.DataType) -> Column:
@@ -205,7 +224,7 @@ def py_json(c: Column, dtype: T.DataType) -> Column:
                 .when(t == "inf", F.lit("Infinity")).when(t == "-inf", F.lit("-Infinity"))
                 .otherwise(t))
     if isinstance(dtype, T.VariantType):
-        return F.coalesce(F.to_json(c), F.lit("null"))
+        return F.coalesce(respace_json(F.to_json(c)), F.lit("null"))
     text = value_text(c, dtype)
     return F.when(text.isNull(), F.lit("null")).otherwise(_json_string(text))
 

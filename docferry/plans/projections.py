@@ -122,9 +122,12 @@ def path_whole_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _path_whole_values_sql() -> str:
     return f"""SELECT {txt('o.o_orderkey')} AS order_id,
-  coalesce(CAST(CASE WHEN c.c_custkey IS NULL THEN NULL ELSE to_json(struct_pack(
-    name := c.c_name, segment := c.c_mktsegment, nation_key := c.c_nationkey,
-    balance_cents := CAST(round(c.c_acctbal * 100) AS BIGINT))) END AS VARCHAR), '') AS customer
+  CASE WHEN c.c_custkey IS NULL THEN '' ELSE
+    '{{"name": ' || CAST(to_json(c.c_name) AS VARCHAR)
+    || ', "segment": ' || CAST(to_json(c.c_mktsegment) AS VARCHAR)
+    || ', "nation_key": ' || CAST(c.c_nationkey AS VARCHAR)
+    || ', "balance_cents": ' || CAST(CAST(round(c.c_acctbal * 100) AS BIGINT) AS VARCHAR) || '}}'
+  END AS customer
 {_ORDER_FROM}"""
 
 
@@ -151,7 +154,7 @@ def _path_variant_json_sql() -> str:
     return f"""SELECT {txt('event_id')} AS event_id,
   coalesce(json_extract_string(props, '$.k'), '') AS k,
   coalesce(json_extract_string(props, '$.q'), '') AS k_missing,
-  coalesce(CAST(json(props) AS VARCHAR), '') AS props,
+  coalesce(replace(replace(CAST(json(props) AS VARCHAR), ':', ': '), ',', ', '), '') AS props,
   '' AS k_index
 FROM events"""
 
@@ -214,7 +217,7 @@ def _path_schemaless_docs_sql() -> str:
     return f"""SELECT {txt('o_orderkey')} AS _id, {txt('o_orderkey')} AS order_id,
   {txt('o_custkey')} AS customer_key, {txt('o_orderpriority')} AS priority,
 '' AS note, '' AS nope,
-  '{{"key":' || CAST(o_custkey AS VARCHAR) || '}}' AS customer
+  '{{"key": ' || CAST(o_custkey AS VARCHAR) || '}}' AS customer
 FROM orders"""
 
 
@@ -234,7 +237,7 @@ def _path_map_values_sql() -> str:
     return f"""SELECT {txt('d.doc_id')} AS _id, {txt('d.lang')} AS lang,
   {txt('l.quality')} AS quality, {txt('l.toxic')} AS toxic, '' AS other,
   CASE WHEN l.doc_id IS NULL THEN ''
-       ELSE '{{"quality":' || CAST(l.quality AS VARCHAR) || ',"toxic":' || CAST(l.toxic AS VARCHAR) || '}}'
+       ELSE '{{"quality": ' || CAST(l.quality AS VARCHAR) || ', "toxic": ' || CAST(l.toxic AS VARCHAR) || '}}'
   END AS scores
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
@@ -248,8 +251,9 @@ def path_whole_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _path_whole_list_sql() -> str:
     return f"""SELECT {txt('conv_id')} AS conv_id,
-  CAST(to_json(list(struct_pack(turn := turn, role := role, text := text)
-                    ORDER BY turn, role, text)) AS VARCHAR) AS turns,
+  '[' || string_agg('{{"turn": ' || CAST(turn AS VARCHAR) || ', "role": ' || CAST(to_json(role) AS VARCHAR)
+                    || ', "text": ' || CAST(to_json(text) AS VARCHAR) || '}}', ', '
+                    ORDER BY turn, role, text) || ']' AS turns,
   '' AS n_missing
 FROM conversations GROUP BY conv_id"""
 

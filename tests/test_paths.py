@@ -94,9 +94,10 @@ def test_doc_id_column(spark):
 
 
 def test_nested_final_value_is_json(spark):
+    """Nested values read as JSON laid out like Python's json.dumps."""
     out = _one(spark, [((1, [2, 3]),)], "a struct<x: int, y: array<int>>", ["a", "y"],
                {"y": "a.y"})
-    assert out == [('{"x":1,"y":[2,3]}', "[2,3]")]
+    assert out == [('{"x": 1, "y": [2, 3]}', "[2, 3]")]
 
 
 def test_map_and_variant(spark):
@@ -106,7 +107,7 @@ def test_map_and_variant(spark):
     out = [tuple(r) for r in project(docs, ["mk", "mx", "jb", "jc", "jn", "jobj"],
                                      {"mk": "m.k", "mx": "m.x", "jb": "j.a.b[0]",
                                       "jc": "j.a.b[1].c", "jn": "j.n", "jobj": "j.a.b[1]"}).collect()]
-    assert out == [("v", "", "10", "deep", "", '{"c":"deep"}')]
+    assert out == [("v", "", "10", "deep", "", '{"c": "deep"}')]
 
 
 def test_relational_document_view(spark):
@@ -120,8 +121,8 @@ def test_relational_document_view(spark):
     paths = {"customer": "customer.name", "first": "items[0].sku", "second": "items[1].sku",
              "all": "items"}
     out = sorted(tuple(r) for r in project(view, cols, paths).collect())
-    assert out == [("1", "Acme", "a", "b", '[{"sku":"a"},{"sku":"b"}]'),
-                   ("2", "Globex", "c", "", '[{"sku":"c"}]'),
+    assert out == [("1", "Acme", "a", "b", '[{"sku": "a"}, {"sku": "b"}]'),
+                   ("2", "Globex", "c", "", '[{"sku": "c"}]'),
                    ("3", "", "", "", "[]")]
 
 
@@ -150,7 +151,7 @@ def test_json_lines_documents(spark, out_dir):
     out = sorted(tuple(r) for r in project(
         view, ["_id", "name", "tag", "n", "ok", "user"],
         {"name": "user.name", "tag": "tags[0]"}).collect())
-    assert out == [("", "", "", "", "", ""), ("a", "x", "t1", "1.5", "true", '{"name":"x"}'),
+    assert out == [("", "", "", "", "", ""), ("a", "x", "t1", "1.5", "true", '{"name": "x"}'),
                    ("b2", "", "", "2", "", "")]
     hits = matching(view, {"bool": {"must": [{"term": {"user.name": "x"}},
                                              {"range": {"n": {"gt": 1}}}]}},
@@ -222,8 +223,8 @@ def test_child_values_with_maps(spark):
     out = sorted(tuple(r) for r in project(view, ["p", "first", "second", "all"],
                                            {"first": "xs[0].m.k", "second": "xs[1].m.k",
                                             "all": "xs"}).collect())
-    assert out == [("1", "a", "b", '[{"n":1,"m":{"k":"a"}},{"n":2,"m":{"k":"b"}}]'),
-                   ("2", "c", "", '[{"n":5,"m":{"k":"c"}}]')]
+    assert out == [("1", "a", "b", '[{"n": 1, "m": {"k": "a"}}, {"n": 2, "m": {"k": "b"}}]'),
+                   ("2", "c", "", '[{"n": 5, "m": {"k": "c"}}]')]
 
 
 def test_nested_parquet_documents_match_relational_view(spark, out_dir):
