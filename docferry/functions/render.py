@@ -188,9 +188,15 @@ def respace_json(compact: Column) -> Column:
 
 
 def _json_string(c: Column) -> Column:
-    """A string as a JSON string literal (quotes, escapes; non-ASCII kept)."""
+    """A string as a JSON string literal (quotes, escapes; non-ASCII kept).
+
+    Without control characters only ``\\`` and ``"`` need escaping; the
+    rest go through Spark's JSON writer."""
+    plain = F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")),
+                                           F.lit('"'), F.lit('\\"')), F.lit('"'))
     enc = F.to_json(F.struct(c.alias("s")))
-    return _lower_hex_escapes(F.substring(enc, 6, F.length(enc) - 6))  # strip '{"s":' and '}'
+    full = _lower_hex_escapes(F.substring(enc, 6, F.length(enc) - 6))  # strip '{"s":' and '}'
+    return F.when(c.rlike("[\\x00-\\x1f]"), full).otherwise(plain)
 
 
 def py_json(c: Column, dtype: T.DataType) -> Column:
