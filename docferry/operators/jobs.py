@@ -89,7 +89,7 @@ def validate_jobs(jobs: DataFrame, *, id_col: str = "_id", doc_col: str = "doc")
     )
 
 
-def lookup_jobs(control: DataFrame, jobs: DataFrame) -> DataFrame:
+def lookup_jobs(control: DataFrame, jobs: DataFrame, *, prefilter: bool = False) -> DataFrame:
     """Decoded control records -> their validated job (left join).
 
     Rejected records keep their decode error; an unknown id is ``not_found``.
@@ -97,11 +97,14 @@ def lookup_jobs(control: DataFrame, jobs: DataFrame) -> DataFrame:
     case, so the join is left to Spark (it broadcasts the job side when its
     size is under the broadcast threshold, else shuffles both).
     """
-    # Validate only the jobs the records name: a semi-join on the id first
-    # (the record side is the small one and is broadcast when small enough).
-    wanted = control.select(F.col("job_doc_id").alias("_want")).where(F.col("_want").isNotNull()).distinct()
-    named = jobs.join(wanted, jobs["_id"] == wanted["_want"], "left_semi")
-    v = validate_jobs(named).withColumnRenamed("error", "job_error")
+    # ``prefilter``: validate only the jobs the records name (a semi-join on
+    # the id first) — for a small batch of records against a large job table.
+    # It reads the records twice, so it is off for large record sets.
+    if prefilter:
+        wanted = (control.select(F.col("job_doc_id").alias("_want"))
+                  .where(F.col("_want").isNotNull()).distinct())
+        jobs = jobs.join(wanted, jobs["_id"] == wanted["_want"], "left_semi")
+    v = validate_jobs(jobs).withColumnRenamed("error", "job_error")
     j = control.join(v, "job_doc_id", "left")
     err = (F.when(F.col("error").isNotNull(), F.col("error"))
            .when(F.col("job_id").isNull(), F.lit("not_found"))

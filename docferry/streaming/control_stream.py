@@ -126,7 +126,7 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, cfg: StreamCo
      # A replayed batch has the same epoch id: overwrite just its partition.
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("epoch_id").parquet(cfg.dead_letter_path))
-    todo = lookup_jobs(ok, cfg.jobs())
+    todo = lookup_jobs(ok, cfg.jobs(), prefilter=True)
     min_offset = batch.agg(F.min("offset")).first()[0]
     done = _done(spark, cfg.ledger_path, min_offset)
     if done is not None:
