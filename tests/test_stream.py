@@ -128,3 +128,29 @@ def test_graceful_stop_between_records(spark, out_dir):
     cfg.stop = None
     process_batch(spark, batch, 0, cfg)  # the replay runs only what is left
     assert sorted(r.offset for r in spark.read.parquet(cfg.ledger_path).collect()) == [0, 1]
+
+
+def test_delivery_failure_is_not_committed(spark, out_dir):
+    """A failed publish fails the record: nothing is recorded as done, and the
+    replay delivers once the target works."""
+    from docferry.streaming.control_stream import JobFailed, process_batch
+
+    blocked = f"{out_dir}/blocked"
+    with open(blocked, "w") as fh:  # a file where the delivery folder should be
+        fh.write("x")
+    cat = driver_catalog(spark, SMALL)
+    jobs = {"a": JOB}
+    cfg = StreamConfig(jobs=lambda: spark.createDataFrame([(k, json.dumps(v)) for k, v in jobs.items()],
+                                                          "_id string, doc string"),
+                       catalog=cat,
+                       options=RunOptions(staging_root=f"{out_dir}/stage", publish_root=blocked),
+                       ledger_path=f"{out_dir}/ledger", dead_letter_path=f"{out_dir}/dead",
+                       clock=lambda: datetime(2024, 1, 31))
+    batch = spark.createDataFrame([(b'{"job_doc_id": "a"}', 0, 7)], "value binary, partition int, offset long")
+    with pytest.raises(JobFailed):
+        process_batch(spark, batch, 0, cfg)
+    assert not os.path.exists(cfg.ledger_path)
+    cfg.options.publish_root = f"{out_dir}/pub"
+    process_batch(spark, batch, 0, cfg)
+    assert [r.offset for r in spark.read.parquet(cfg.ledger_path).collect()] == [7]
+    assert os.path.exists(f"{out_dir}/pub/exp/customers.csv.sha256")
