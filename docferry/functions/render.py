@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 # Characters that force a CSV field into quotes under minimal
 # quoting, and characters that start a spreadsheet formula.
 CSV_SPECIAL = (",", '"', "\r", "\n")
-FORMULA_START = "^[=+\\-@]"
+FORMULA_START = ("=", "+", "-", "@")
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -151,7 +151,8 @@ def header_line(columns: list[str]) -> str:
 
 def formula_guard(text: Column) -> Column:
     """Prefix ``'`` to a text cell that a spreadsheet would run as a formula."""
-    return F.when(text.rlike(FORMULA_START), F.concat(F.lit("'"), text)).otherwise(text)
+    return (F.when(F.substring(text, 1, 1).isin(*FORMULA_START), F.concat(F.lit("'"), text))
+            .otherwise(text))
 
 
 def basename(remote: Column) -> Column:
