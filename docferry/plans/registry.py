@@ -10,15 +10,9 @@ from docferry.session import tune
 
 
 def _modules():
-    from docferry.plans import projections
-    mods = [projections]
-    for name in ("filters", "rendering", "control_jobs", "exports", "paging"):
-        try:
-            mods.append(__import__(f"docferry.plans.{name}", fromlist=["QUERIES"]))
-        except ModuleNotFoundError as e:
-            if e.name != f"docferry.plans.{name}":
-                raise
-    return mods
+    from docferry.plans import control_jobs, filters, paging, projections, rendering
+
+    return [projections, filters, rendering, control_jobs, paging]
 
 
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
