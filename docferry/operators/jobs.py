@@ -113,8 +113,11 @@ def lookup_jobs(control: DataFrame, jobs: DataFrame, *, prefilter: bool = False)
 
 
 def safe_name(c: Column) -> Column:
-    """A job id usable as one path segment."""
-    return F.regexp_replace(c, "[^A-Za-z0-9._-]", "_")
+    """A job id usable as one path segment (as the export stages it): safe
+    ids unchanged, others cleaned and suffixed with a short digest."""
+    cleaned = F.concat(F.regexp_replace(c, "[^A-Za-z0-9._-]", "_"), F.lit("-"),
+                       F.substring(F.md5(c), 1, 8))
+    return F.when(c.rlike("^[A-Za-z0-9._-]+$") & ~c.isin(".", ".."), c).otherwise(cleaned)
 
 
 def delivery_plan(jobs: DataFrame, staging_root: str) -> DataFrame:

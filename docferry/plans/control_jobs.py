@@ -155,7 +155,10 @@ WHERE ctl.error IS NULL"""
 
 
 def _delivery_plan_sql() -> str:
-    base = f"'{STAGING_ROOT}/' || regexp_replace(job_id, '[^A-Za-z0-9._-]', '_', 'g') || '/'"
+    safe = ("CASE WHEN regexp_full_match(job_id, '[A-Za-z0-9._-]+') AND job_id NOT IN ('.', '..') "
+            "THEN job_id ELSE regexp_replace(job_id, '[^A-Za-z0-9._-]', '_', 'g') || '-' "
+            "|| substr(md5(job_id), 1, 8) END")
+    base = f"'{STAGING_ROOT}/' || {safe} || '/'"
     name = "regexp_extract(remote_filename, '([^/]*)/*$', 1)"
     return f"""WITH {_JOBS_SQL}
 SELECT job_id, 1 AS seq, {base} || {name} AS local, remote_filename AS remote FROM jobs WHERE error IS NULL

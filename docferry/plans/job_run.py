@@ -61,7 +61,16 @@ class JobOutcome:
 
 
 def _safe(job_id: str) -> str:
-    return "".join(c if c.isalnum() or c in "._-" else "_" for c in job_id) or "_"
+    """One path segment per job id: safe ids as they are; others with unsafe
+    characters replaced and a short digest of the id appended, so two ids
+    never share a folder."""
+    import hashlib
+    import re
+
+    if re.fullmatch(r"[A-Za-z0-9._-]+", job_id) and job_id not in (".", ".."):
+        return job_id
+    cleaned = re.sub(r"[^A-Za-z0-9._-]", "_", job_id)
+    return f"{cleaned}-{hashlib.md5(job_id.encode('utf-8')).hexdigest()[:8]}"
 
 
 def _basename(remote: str, job_id: str) -> str:

@@ -133,3 +133,16 @@ def test_run_one(spark, out_dir):
     want = spark.read.parquet(f"{SMALL}/labels.parquet").where("toxic = 1").count()
     assert out.row_count == want
     assert spark.read.parquet(f"{out_dir}/manifest").first()["row_count"] == want
+
+
+def test_staging_names_never_collide(spark):
+    from pyspark.sql import functions as F
+
+    from docferry.operators.jobs import safe_name
+    from docferry.plans.job_run import _safe
+
+    ids = ["a/b", "a_b", "a b", "job-7", "..", "é"]
+    py = [_safe(i) for i in ids]
+    assert len(set(py)) == len(ids) and py[1] == "a_b" and py[3] == "job-7"
+    df = spark.createDataFrame([(i,) for i in ids], "i string")
+    assert [r[0] for r in df.select(safe_name(F.col("i"))).collect()] == py
