@@ -134,6 +134,9 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
                count_source: Callable[[], int] | None = None) -> JobOutcome:
     """Run one job; raises ``RecordCountMismatch`` (nothing published) when the
     export cannot be reconciled with its source."""
+    if options.publish_root and not job.remote_filename.strip("/"):
+        raise ValueError(f"job {job.job_id}: remote_filename must name a file to publish")
+
     def source():
         return catalog.get(job.data_index)
 
