@@ -226,6 +226,8 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
 
     by_table: dict[str, list[JobSpec]] = defaultdict(list)
     for j in jobs:
+        if options.publish_root and not j.remote_filename.strip("/"):
+            raise ValueError(f"job {j.job_id}: remote_filename must name a file to publish")
         by_table[j.data_index].append(j)
     groups = []
     for data_index, members in by_table.items():
