@@ -209,10 +209,17 @@ def _present(col: Column, cond: Column) -> Column:
     return col.isNotNull() & cond
 
 
+# Clause options that change scoring or labels, not matching.
+_SCORING_KEYS = ("boost", "_name")
+
+
 def _field_and_body(clause: str, body: Any) -> tuple[str, Any]:
-    if not isinstance(body, Mapping) or len(body) != 1:
+    if not isinstance(body, Mapping):
+        raise QueryError(f"{clause} needs exactly one field")
+    fields = {k: v for k, v in body.items() if k not in _SCORING_KEYS}
+    if len(fields) != 1:
         raise QueryError(f"{clause} needs exactly one field")
-    (field, spec), = body.items()
+    (field, spec), = fields.items()
     return field, spec
 
 
@@ -236,14 +243,15 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
     (clause, body), = query.items()
 
     if clause == "match_all":
-        if body not in ({}, None) and not (isinstance(body, Mapping) and set(body) <= {"boost"}):
+        if body not in ({}, None) and not (isinstance(body, Mapping) and set(body) <= set(_SCORING_KEYS)):
             raise QueryError("match_all takes no arguments")
         return F.lit(True)
 
     if clause == "bool":
         if not isinstance(body, Mapping):
             raise QueryError("bool must be an object")
-        unknown = set(body) - {"must", "filter", "should", "must_not", "minimum_should_match", "boost"}
+        unknown = set(body) - {"must", "filter", "should", "must_not", "minimum_should_match",
+                               *_SCORING_KEYS}
         if unknown:
             raise QueryError(f"unknown bool keys {sorted(unknown)}")
 
@@ -277,7 +285,7 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         if not isinstance(spec, Mapping):
             raise QueryError("range needs an object of bounds")
         ops = {"gte": "ge", "gt": "gt", "lte": "le", "lt": "lt"}
-        extra = set(spec) - set(ops) - {"format", "time_zone", "boost"}
+        extra = set(spec) - set(ops) - {"format", "time_zone", *_SCORING_KEYS}
         if extra:
             raise QueryError(f"unknown range keys {sorted(extra)}")
         if not set(spec) & set(ops):

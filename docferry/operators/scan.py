@@ -25,7 +25,7 @@ def query_fields(query: Any) -> list[str]:
                 for q in (v if isinstance(v, list) else [v]):
                     out += query_fields(q)
         elif clause in ("range", "term", "terms", "prefix") and isinstance(body, Mapping):
-            out += [k for k in body]
+            out += [k for k in body if k not in ("boost", "_name")]
         elif clause == "exists" and isinstance(body, Mapping) and isinstance(body.get("field"), str):
             out.append(body["field"])
     return out

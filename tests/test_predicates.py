@@ -94,3 +94,9 @@ def test_count_per_job_one_scan(docs):
     jobs = [("j-a", {"prefix": {"s": "a"}}), ("j-all", {"match_all": {}}), ("j-none", {"term": {"s": "q"}})]
     got = {r.job_id: r.source_count for r in count_per_job(docs, jobs, now=NOW).collect()}
     assert got == {"j-a": 2, "j-all": 4, "j-none": 0}
+
+
+def test_scoring_options_are_ignored(docs):
+    assert q(docs, {"terms": {"s": ["a", "b"], "boost": 2.0}}) == [1, 2]
+    assert q(docs, {"term": {"s": {"value": "a", "boost": 1.5}}, }) == [1]
+    assert q(docs, {"bool": {"must": [{"match_all": {"boost": 1}}], "_name": "x"}}) == [1, 2, 3, 4]
