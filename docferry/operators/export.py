@@ -12,14 +12,15 @@ so ``sha256sum -c <name>.sha256`` checks every part from the folder above.
 Scale decisions:
 
 * Rows go to ``n_parts`` buckets by a hash of the document id (or of the
-  line when there is none), so no key — however hot — makes a big part;
-  ``n_parts`` comes from the source count and ``rows_per_part``.
+  line and its scan position when there is none), so no key — however hot —
+  makes a big part; ``n_parts`` comes from the source count and the source's
+  bytes on disk (see ``plans.job_run``).
 * One shuffle (the repartition by bucket) and a sort within each task; every
   bucket is written by exactly one task, so it is exactly one file.
 * SHA-256 does not combine across parts, so there is one digest per part,
   computed in parallel from the written bytes (``binaryFile``); the sidecar
-  lists them in ``sha256sum -c`` format. Nothing passes the driver but the
-  manifest (one row per part).
+  lists them in ``sha256sum -c`` format. Manifest and sidecar are written by
+  Spark; the driver receives only the sidecar's digest and the row total.
 * Written rows are counted while writing (``observe``), independently of the
   source count used by reconciliation.
 """
