@@ -140,11 +140,14 @@ def _walk_variant(cur: Column, steps: list[Step]) -> Resolved:
     return Resolved(cur, T.VariantType())
 
 
-def walk(col: Column | None, dtype: T.DataType, steps: list[Step]) -> Resolved:
+def walk(col: Column | None, dtype: T.DataType, steps: list[Step], *,
+         fan_out: bool = False) -> Resolved:
     """Apply ``steps`` to a value of type ``dtype`` held by ``col``.
 
     ``col`` is None at document root, where ``dtype`` is the row schema and
-    the first key step selects a top-level column.
+    the first key step selects a top-level column. With ``fan_out`` (query
+    fields) a key step on a list of objects reads that key from every
+    element, giving a list of values, as a search engine treats such fields.
     """
     cur, typ = col, dtype
     for pos, step in enumerate(steps):
@@ -160,6 +163,15 @@ def walk(col: Column | None, dtype: T.DataType, steps: list[Step]) -> Resolved:
             elif isinstance(typ, T.MapType) and isinstance(typ.keyType, T.StringType):
                 cur = F.try_element_at(cur, F.lit(step.name))
                 typ = typ.valueType
+            elif (fan_out and cur is not None and isinstance(typ, T.ArrayType)
+                  and isinstance(typ.elementType, T.StructType)):
+                field = _struct_field(typ.elementType, step.name)
+                if field is None:
+                    return MISSING
+                cur = cur.getField(step.name)  # the field of every element
+                typ = T.ArrayType(field.dataType)
+                if isinstance(field.dataType, T.ArrayType):
+                    cur, typ = F.flatten(cur), field.dataType
             else:
                 return MISSING
         else:
@@ -172,7 +184,8 @@ def walk(col: Column | None, dtype: T.DataType, steps: list[Step]) -> Resolved:
     return Resolved(cur, typ)
 
 
-def resolve(schema: T.StructType, path: str, *, id_column: str | None = None) -> Resolved:
+def resolve(schema: T.StructType, path: str, *, id_column: str | None = None,
+            fan_out: bool = False) -> Resolved:
     """Compile ``path`` against a document schema.
 
     ``id_column`` names the column holding the document id; the path ``_id``
@@ -189,4 +202,4 @@ def resolve(schema: T.StructType, path: str, *, id_column: str | None = None) ->
         if field is None:
             raise PathError(f"id column {id_column!r} not in schema")
         return Resolved(_top_level(id_column), field.dataType)
-    return walk(None, schema, steps)
+    return walk(None, schema, steps, fan_out=fan_out)

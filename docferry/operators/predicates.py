@@ -293,6 +293,23 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         r = resolve(field)
         if r.missing:
             return F.lit(False)
+        if isinstance(r.dtype, T.ArrayType):
+            # A list matches when one of its values lies in the whole range.
+            elem = Resolved(F.lit(None), r.dtype.elementType)
+            bounds = []
+            for key, op in ops.items():
+                if key in spec:
+                    try:
+                        bounds.append((op, _literal(spec[key], elem, now, round_up=key in ("gt", "lte"))[1]))
+                    except _NoMatch:
+                        return F.lit(False)
+
+            def in_range(x: Column) -> Column:
+                c = F.lit(True)
+                for op, lit in bounds:
+                    c = c & {"ge": x >= lit, "gt": x > lit, "le": x <= lit, "lt": x < lit}[op]
+                return x.isNotNull() & c
+            return _false_if_null(F.exists(r.column, in_range))
         cond, col = None, None
         for key, op in ops.items():
             if key not in spec:
@@ -351,7 +368,7 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         if isinstance(r.dtype, T.VariantType):
             return _present(r.column, ~F.is_variant_null(r.column))
         if isinstance(r.dtype, T.ArrayType):
-            return _false_if_null(F.size(r.column) > 0)
+            return _false_if_null(F.exists(r.column, lambda x: x.isNotNull()))
         return r.column.isNotNull()
 
     if clause == "prefix":

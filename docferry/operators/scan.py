@@ -31,6 +31,11 @@ def query_fields(query: Any) -> list[str]:
     return out
 
 
+def _query_resolver(bound: Bound):
+    """Query fields fan out over lists of objects (any element may match)."""
+    return lambda path: bound.resolve(path, fan_out=True)
+
+
 def _id_of(view: DocumentView, bound: Bound):
     if not view.id_column:
         return None
@@ -46,7 +51,7 @@ def bind_job(source: DocumentView | DataFrame, query: Any, paths: Sequence[str],
     """Bind the paths and the query's fields; return the frame and predicate."""
     view = as_view(source, id_column)
     bound = view.bind(list(paths) + query_fields(query))
-    pred = compile_query(query, bound.resolve, now=now, id_column=_id_of(view, bound))
+    pred = compile_query(query, _query_resolver(bound), now=now, id_column=_id_of(view, bound))
     return bound, pred
 
 
@@ -80,7 +85,7 @@ def tag_jobs(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]],
         fields += query_fields(q)
     bound = view.bind(fields)
     id_col = _id_of(view, bound)
-    tags = [F.when(compile_query(q, bound.resolve, now=now, id_column=id_col), F.lit(job_id))
+    tags = [F.when(compile_query(q, _query_resolver(bound), now=now, id_column=id_col), F.lit(job_id))
             for job_id, q in jobs]
     tagged = bound.frame.withColumn(
         "job_id", F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())))

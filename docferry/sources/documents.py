@@ -62,7 +62,7 @@ class Bound:
     visible: T.StructType | None = None
     variant_root: str | None = None
 
-    def resolve(self, path: str) -> Resolved:
+    def resolve(self, path: str, *, fan_out: bool = False) -> Resolved:
         if path == "":
             raise PathError("empty path")
         steps = tokenize(path)
@@ -76,14 +76,14 @@ class Bound:
         if isinstance(head, Key) and head.name in self.extra and (
                 self.id_column is None or steps != [Key("_id")]):
             col_name, dtype = self.extra[head.name]
-            return walk(F.col(col_name), dtype, steps[1:])
+            return walk(F.col(col_name), dtype, steps[1:], fan_out=fan_out)
         if len(steps) >= 2 and isinstance(head, Key) and isinstance(steps[1], Index):
             slot = f"{head.name}[{steps[1].pos}]"
             if slot in self.extra:
                 col_name, dtype = self.extra[slot]
-                return walk(F.col(col_name), dtype, steps[2:])
+                return walk(F.col(col_name), dtype, steps[2:], fan_out=fan_out)
         schema = self.visible if self.visible is not None else self.frame.schema
-        return resolve_path(schema, path, id_column=self.id_column)
+        return resolve_path(schema, path, id_column=self.id_column, fan_out=fan_out)
 
 
 def _orderable(dt: T.DataType) -> bool:

@@ -100,3 +100,17 @@ def test_scoring_options_are_ignored(docs):
     assert q(docs, {"terms": {"s": ["a", "b"], "boost": 2.0}}) == [1, 2]
     assert q(docs, {"term": {"s": {"value": "a", "boost": 1.5}}, }) == [1]
     assert q(docs, {"bool": {"must": [{"match_all": {"boost": 1}}], "_name": "x"}}) == [1, 2, 3, 4]
+
+
+def test_query_paths_fan_out_over_lists_of_objects(spark):
+    data = [(1, [("a", 5), ("b", 50)]), (2, [("c", 7)]), (3, []), (4, None), (5, [(None, None)])]
+    df = spark.createDataFrame(data, "id int, items array<struct<sku: string, qty: int>>")
+    assert q(df, {"term": {"items.sku": "b"}}) == [1]
+    assert q(df, {"terms": {"items.sku": ["a", "c"]}}) == [1, 2]
+    assert q(df, {"range": {"items.qty": {"gte": 6, "lt": 40}}}) == [2]
+    assert q(df, {"prefix": {"items.sku": "c"}}) == [2]
+    assert q(df, {"exists": {"field": "items.sku"}}) == [1, 2]
+    assert q(df, {"bool": {"must_not": [{"term": {"items.sku": "a"}}]}}) == [2, 3, 4, 5]
+    # Projection keeps the path language: no fan-out there.
+    from docferry.operators.projection import project
+    assert project(df, ["x"], {"x": "items.sku"}).distinct().collect()[0][0] == ""
