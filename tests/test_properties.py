@@ -51,19 +51,26 @@ def test_float_text_matches_repr(spark, values):
 # ---------------------------------------------------------------------------
 
 DOCS = [
-    {"id": 1, "s": "apple", "n": 5, "tags": ["x", "y"], "u": {"name": "ann"}},
-    {"id": 2, "s": "banana", "n": None, "tags": [], "u": {"name": None}},
-    {"id": 3, "s": None, "n": 12, "tags": None, "u": None},
-    {"id": 4, "s": "apricot", "n": -3, "tags": ["y"], "u": {"name": "bob"}},
-    {"id": 5, "s": "", "n": 0, "tags": ["z"], "u": {"name": "ann"}},
-    {"id": 6, "s": "cherry", "n": 7, "tags": ["x"], "u": {"name": "cy"}},
+    {"id": 1, "s": "apple", "n": 5, "tags": ["x", "y"], "u": {"name": "ann"},
+     "it": [{"k": "x", "q": 3}, {"k": "ap", "q": 9}]},
+    {"id": 2, "s": "banana", "n": None, "tags": [], "u": {"name": None}, "it": []},
+    {"id": 3, "s": None, "n": 12, "tags": None, "u": None, "it": None},
+    {"id": 4, "s": "apricot", "n": -3, "tags": ["y"], "u": {"name": "bob"},
+     "it": [{"k": None, "q": None}]},
+    {"id": 5, "s": "", "n": 0, "tags": ["z"], "u": {"name": "ann"}, "it": [{"k": "z", "q": 0}]},
+    {"id": 6, "s": "cherry", "n": 7, "tags": ["x"], "u": {"name": "cy"},
+     "it": [{"k": "y", "q": 12}, {"k": "x", "q": -4}]},
 ]
-FIELDS = {"s": "str", "n": "int", "tags": "list", "u.name": "str"}
+FIELDS = {"s": "str", "n": "int", "tags": "list", "u.name": "str", "it.k": "list", "it.q": "intlist"}
 
 
 def _get(doc, field):
+    """Field value; through a list of objects, the list of their values."""
     cur = doc
     for part in field.split("."):
+        if isinstance(cur, list):
+            cur = [e.get(part) for e in cur if isinstance(e, dict)]
+            continue
         if not isinstance(cur, dict) or cur.get(part) is None:
             return None
         cur = cur[part]
@@ -85,8 +92,9 @@ def _eval(q, doc):
         x = _get(doc, f)
         if x is None:
             return False
-        ops = {"gte": x.__ge__, "gt": x.__gt__, "lte": x.__le__, "lt": x.__lt__}
-        return all(ops[k](v) for k, v in b.items())
+        values = [v for v in x if v is not None] if isinstance(x, list) else [x]
+        ops = {"gte": "__ge__", "gt": "__gt__", "lte": "__le__", "lt": "__lt__"}
+        return any(all(getattr(y, ops[k])(v) for k, v in b.items()) for y in values)
     if clause == "prefix":
         (f, v), = body.items()
         x = _get(doc, f)
@@ -95,7 +103,7 @@ def _eval(q, doc):
         return x is not None and x.startswith(v)
     if clause == "exists":
         x = _get(doc, body["field"])
-        return x is not None and (len(x) > 0 if isinstance(x, list) else True)
+        return x is not None and (any(v is not None for v in x) if isinstance(x, list) else True)
     must = [_eval(c, doc) for c in body.get("must", []) + body.get("filter", [])]
     should = [_eval(c, doc) for c in body.get("should", [])]
     must_not = [_eval(c, doc) for c in body.get("must_not", [])]
@@ -110,6 +118,7 @@ def _leaf():
 
     def term(f):
         kind = FIELDS.get(f, "str")
+        kind = "int" if kind == "intlist" else kind
         val = ints if kind == "int" else strs
         return st.one_of(
             val.map(lambda v: {"term": {f: v}}),
@@ -138,8 +147,10 @@ def test_queries_match_brute_force(spark, queries):
     from docferry.operators.scan import count_per_job
 
     df = spark.createDataFrame(
-        [(d["id"], d["s"], d["n"], d["tags"], d["u"]) for d in DOCS],
-        "id int, s string, n int, tags array<string>, u struct<name: string>")
+        [(d["id"], d["s"], d["n"], d["tags"], d["u"],
+          None if d["it"] is None else [(e["k"], e["q"]) for e in d["it"]]) for d in DOCS],
+        "id int, s string, n int, tags array<string>, u struct<name: string>, "
+        "it array<struct<k: string, q: int>>")
     jobs = [(f"q{i}", q) for i, q in enumerate(queries)]
     got = {r.job_id: r.source_count for r in count_per_job(df, jobs, now=datetime(2024, 1, 1)).collect()}
     for job_id, q in jobs:
