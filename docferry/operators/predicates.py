@@ -242,6 +242,11 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         raise QueryError(f"query must hold exactly one clause, got {sorted(query)}")
     (clause, body), = query.items()
 
+    if clause == "__flag":
+        # Internal: a boolean column computed for the clause elsewhere (a
+        # per-document "any child matches" flag, see ``scan.bind_job``).
+        return F.coalesce(F.col(body), F.lit(False))
+
     if clause == "match_all":
         if body not in ({}, None) and not (isinstance(body, Mapping) and set(body) <= set(_SCORING_KEYS)):
             raise QueryError("match_all takes no arguments")

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docferry.functions.paths import Key, tokenize, walk
 from docferry.operators.predicates import compile_query
 from docferry.sources.documents import Bound, DocumentView
 
@@ -46,11 +47,69 @@ def as_view(source: DocumentView | DataFrame, id_column: str | None = None) -> D
     return source if isinstance(source, DocumentView) else DocumentView.of(source, id_column)
 
 
+_LEAVES = ("term", "terms", "range", "prefix", "exists")
+
+
+def _child_leaves(view: DocumentView, query: Any, out: list) -> Any:
+    """Copy of ``query`` where each leaf whose field runs through a child list
+    (``items.sku``) becomes a flag clause; the leaves are collected in ``out``."""
+    if not isinstance(query, Mapping) or len(query) != 1:
+        return query
+    (clause, body), = query.items()
+    if clause == "bool" and isinstance(body, Mapping):
+        new = dict(body)
+        for key in ("must", "filter", "should", "must_not"):
+            if key in body:
+                v = body[key]
+                items = v if isinstance(v, list) else [v]
+                new[key] = [_child_leaves(view, q, out) for q in items]
+        return {"bool": new}
+    if clause in _LEAVES and isinstance(body, Mapping):
+        field = body.get("field") if clause == "exists" else next(
+            (k for k in body if k not in ("boost", "_name")), None)
+        steps = tokenize(field) if isinstance(field, str) else []
+        if len(steps) >= 2 and isinstance(steps[0], Key) and steps[0].name in view.children \
+                and isinstance(steps[1], Key):
+            name = f"__any_{len(out)}"
+            out.append((name, clause, body, field, steps))
+            return {"__flag": name}
+    return query
+
+
+def _attach_child_flags(view: DocumentView, bound: Bound, leaves: list, now: datetime) -> None:
+    """Per document, whether any child satisfies each collected leaf: the leaf
+    is evaluated on the child rows and combined with a boolean max per parent
+    (map-side partial aggregation, so a parent with many children is one row
+    per task), then joined to the documents."""
+    for name, clause, body, field, steps in leaves:
+        ch = view.children[steps[0].name]
+        elem = ch.frame.select(ch.value).schema[0].dataType
+        rest = ".".join(s.name if isinstance(s, Key) else f"[{s.pos}]" for s in steps[1:]).replace(".[", "[")
+
+        def child_resolve(p, elem=elem):
+            return walk(F.col("__v"), elem, tokenize(p), fan_out=True)
+
+        if clause == "exists":
+            sub = {"exists": {**body, "field": rest}}
+        else:
+            sub = {clause: {(rest if k == field else k): v for k, v in body.items()}}
+        cond = compile_query(sub, child_resolve, now=now)
+        flags = (ch.frame.select(F.col(ch.parent).alias(f"{name}_p"), ch.value.alias("__v"))
+                 .groupBy(f"{name}_p").agg(F.max(cond).alias(name)))
+        bound.frame = (bound.frame.join(flags, bound.frame[view.id_column] == flags[f"{name}_p"], "left")
+                       .drop(f"{name}_p"))
+
+
 def bind_job(source: DocumentView | DataFrame, query: Any, paths: Sequence[str], *,
              now: datetime, id_column: str | None = None) -> tuple[Bound, Column]:
     """Bind the paths and the query's fields; return the frame and predicate."""
     view = as_view(source, id_column)
+    leaves: list = []
+    if view.children:
+        query = _child_leaves(view, query, leaves)
     bound = view.bind(list(paths) + query_fields(query))
+    if leaves:
+        _attach_child_flags(view, bound, leaves, now)
     pred = compile_query(query, _query_resolver(bound), now=now, id_column=_id_of(view, bound))
     return bound, pred
 
@@ -80,10 +139,15 @@ def tag_jobs(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]],
     job is dropped in the scan stage.
     """
     view = as_view(source, id_column)
+    leaves: list = []
+    if view.children:  # one list for all jobs keeps the flag names unique
+        jobs = [(job_id, _child_leaves(view, q, leaves)) for job_id, q in jobs]
     fields: list[str] = list(paths)
     for _, q in jobs:
         fields += query_fields(q)
     bound = view.bind(fields)
+    if leaves:
+        _attach_child_flags(view, bound, leaves, now)
     id_col = _id_of(view, bound)
     tags = [F.when(compile_query(q, _query_resolver(bound), now=now, id_column=id_col), F.lit(job_id))
             for job_id, q in jobs]

@@ -114,3 +114,25 @@ def test_query_paths_fan_out_over_lists_of_objects(spark):
     # Projection keeps the path language: no fan-out there.
     from docferry.operators.projection import project
     assert project(df, ["x"], {"x": "items.sku"}).distinct().collect()[0][0] == ""
+
+
+def test_relational_child_fan_out(spark):
+    from pyspark.sql import functions as F
+
+    from docferry.sources.documents import Children, DocumentView
+
+    root = spark.createDataFrame([(1,), (2,), (3,)], "p int")
+    kids = spark.createDataFrame([(1, "a", 5), (1, "b", 50), (2, "c", 7)], "p int, sku string, q int")
+    view = DocumentView(root, "p", children={"items": Children(kids, "p", ("sku",), F.struct("sku", "q"))})
+
+    def hits(query):
+        return sorted(r.p for r in matching(view, query, now=NOW).collect())
+
+    assert hits({"term": {"items.sku": "b"}}) == [1]
+    assert hits({"range": {"items.q": {"gte": 6, "lt": 40}}}) == [2]
+    assert hits({"exists": {"field": "items.sku"}}) == [1, 2]
+    assert hits({"bool": {"must_not": [{"term": {"items.sku": "a"}}]}}) == [2, 3]
+    assert hits({"bool": {"must": [{"prefix": {"items.sku": "c"}}, {"range": {"p": {"gte": 2}}}]}}) == [2]
+    jobs = [("j1", {"term": {"items.sku": "b"}}), ("j2", {"exists": {"field": "items.q"}})]
+    got = {r.job_id: r.source_count for r in count_per_job(view, jobs, now=NOW).collect()}
+    assert got == {"j1": 1, "j2": 2}
