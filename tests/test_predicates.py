@@ -136,3 +136,20 @@ def test_relational_child_fan_out(spark):
     jobs = [("j1", {"term": {"items.sku": "b"}}), ("j2", {"exists": {"field": "items.q"}})]
     got = {r.job_id: r.source_count for r in count_per_job(view, jobs, now=NOW).collect()}
     assert got == {"j1": 1, "j2": 2}
+
+
+def test_fan_out_same_alone_and_in_one_scan(spark):
+    from conftest import SMALL
+    from docferry.sources.documents import order_documents
+
+    view = order_documents(spark, SMALL)
+    q = {"bool": {"must": [{"range": {"items.qty": {"gte": 49}}}],
+                  "must_not": [{"term": {"items.ship.flag": "R"}}]}}
+    alone = matching(view, q, now=NOW).count()
+    together = {r.job_id: r.source_count for r in
+                count_per_job(order_documents(spark, SMALL), [("q", q), ("all", {"match_all": {}})],
+                              now=NOW).collect()}
+    li = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    big = {r[0] for r in li.where("l_quantity >= 49").select("l_orderkey").distinct().collect()}
+    returned = {r[0] for r in li.where("l_returnflag = 'R'").select("l_orderkey").distinct().collect()}
+    assert alone == together["q"] == len(big - returned) > 0
