@@ -245,3 +245,17 @@ def test_nested_parquet_documents_match_relational_view(spark, out_dir):
     narrow = project(stored, ["customer"], {"customer": "customer.name"})
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<customer:struct<name:string>>" in plan
+
+
+def test_folder_catalog(spark, out_dir):
+    from docferry.sources.tables import folder_catalog
+
+    spark.range(3).write.parquet(f"{out_dir}/tables/alpha")
+    spark.range(5).coalesce(1).write.parquet(f"{out_dir}/tmp_single")
+    import glob
+    import shutil
+    part = glob.glob(f"{out_dir}/tmp_single/part-*.parquet")[0]
+    shutil.copy(part, f"{out_dir}/tables/beta.parquet")
+    cat = folder_catalog(spark, f"{out_dir}/tables")
+    assert cat.names() == ["alpha", "beta"]
+    assert cat.get("alpha").count() == 3 and cat.get("beta").count() == 5
