@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from docferry.plans import registry
 from docferry.sources.tables import TABLE_NAMES
 
 from conftest import SMALL
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

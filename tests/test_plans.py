@@ -6,11 +6,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from docferry.plans import registry
 
 from conftest import SMALL
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 BAD_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
