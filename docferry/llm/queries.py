@@ -5,13 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docferry.llm import packing, pfor
+from docferry.llm import mixing, packing, pfor, quartile, warc
 from docferry.llm.common import read, scratch_path, ship
 from docferry.llm.tokens import SPACED_RUNS, WORD_RUNS
 from docferry.session import tune
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to deduplicated archives and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path, min_bytes=0)
+    return warc.read(spark, path)
+
+
+def op3_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents and of their edited texts."""
+    return quartile.with_next(read(spark, sf_dir, "documents"))
+
+
 def op4_pfor_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = scratch_path(spark, "pfor")
@@ -27,8 +40,20 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows)
 
 
-_QUERIES = (op4_pfor_token_files, op6_best_fit_packing)
-_SQL: dict[str, Callable[[], str]] = {}
+def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents repeated to square-root weights of their sources and
+    shuffled globally, texts included."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "text", F.col("m_copy").cast("int").alias("copy"),
+                        F.round("m_rate", 6).alias("rate"), F.col("m_key").alias("shuffle_key"))
+
+
+_QUERIES = (op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, op6_best_fit_packing,
+            op7_poisson_mix)
+_SQL: dict[str, Callable[[], str]] = {
+    "op2_warc_revisits": warc.oracle,
+    "op7_poisson_mix": mixing.oracle,
+}
 
 
 def _tuned(fn):
