@@ -119,7 +119,6 @@ def probes(model: Model, cells: np.ndarray, inside: np.ndarray) -> np.ndarray:
     items = sorted((math.log(p[1, j] / p[r, j]), j, r - 1) for j in range(h) for r in (0, 2))
     cost = [i[0] for i in items]
     own = float(np.prod(p[1]))
-    steps = 256 ** np.arange(h, dtype=np.int64)
     home = int(bucket(cells))
     out, mass = [home], own
     heap = [(cost[0], (0,))]
@@ -136,7 +135,6 @@ def probes(model: Model, cells: np.ndarray, inside: np.ndarray) -> np.ndarray:
             moved[items[i][1]] += items[i][2]
         out.append(int(bucket(moved)))
         mass += own * math.exp(-c)
-    del steps
     return np.array(out, np.int64)
 
 
@@ -206,7 +204,7 @@ def scan(rows: DataFrame, queries: DataFrame, k: int, slices: int, blocks: int,
     left = rows.withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(slices))) \
         .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.withColumn("b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")) \
-        .withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
+        .withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
     return left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(best, FOUND)
 
 

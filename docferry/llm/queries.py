@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import mixing, packing, pfor, quartile, warc
-from docferry.llm.common import read, scratch_path, ship
+from docferry.llm import licences, mixing, neighbours, packing, pfor, quartile, toxicity, warc
+from docferry.llm.common import crc_mod, read, scratch_path, ship
 from docferry.llm.tokens import SPACED_RUNS, WORD_RUNS
 from docferry.session import tune
 
@@ -48,8 +48,29 @@ def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("m_rate", 6).alias("rate"), F.col("m_key").alias("shuffle_key"))
 
 
+def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from three of four labels."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices found in every document."""
+    found = licences.scan_documents(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_paragraphs", F.size("findings").alias("n_licences"),
+                        F.array_sort(F.array_distinct("findings.family")).alias("families"), "findings")
+
+
+def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every 20th vector."""
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 _QUERIES = (op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, op6_best_fit_packing,
-            op7_poisson_mix)
+            op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs, op10_multiprobe_neighbours)
 _SQL: dict[str, Callable[[], str]] = {
     "op2_warc_revisits": warc.oracle,
     "op7_poisson_mix": mixing.oracle,

@@ -164,9 +164,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     found = settle(spark.read.format("binaryFile").load(path).select("content")
                    .filter("length(content) > 0").mapInArrow(parse, FACTS), "warc-heads")
-    originals = (found.filter("record_type = 'response'").groupBy("record")
+    originals = (found.filter("record_type = 'response'").groupBy(F.col("record").alias("original"))
                  .agg(F.max("page_id").alias("original_id"), F.max("payload_bytes").alias("original_bytes")))
-    return (found.join(originals, found["refers"] == originals["record"], "left")
+    return (found.join(originals, F.col("refers") == F.col("original"), "left")
             .select("page_id", F.coalesce("payload_bytes", "original_bytes").alias("payload_bytes"),
                     "payload_digest", "record_type", F.col("original_id").alias("refers_to")))
 
