@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import licences, mixing, neighbours, packing, pfor, quartile, toxicity, warc
+from docferry.llm import hmm, licences, mixing, neighbours, packing, pfor, quartile, toxicity, warc
 from docferry.llm.common import crc_mod, read, scratch_path, ship
 from docferry.llm.tokens import SPACED_RUNS, WORD_RUNS
 from docferry.session import tune
 
 
+def op1_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under a hidden Markov model and a base."""
+    return hmm.language_model(read(spark, sf_dir, "documents"), modulus=5, remainder=1)
+
+
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to deduplicated archives and read back."""
     path = scratch_path(spark, "warc")
@@ -69,8 +74,8 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-_QUERIES = (op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, op6_best_fit_packing,
-            op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs, op10_multiprobe_neighbours)
+_QUERIES = (op1_hidden_markov_lm, op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, 
+            op6_best_fit_packing, op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs, op10_multiprobe_neighbours)
 _SQL: dict[str, Callable[[], str]] = {
     "op2_warc_revisits": warc.oracle,
     "op7_poisson_mix": mixing.oracle,

@@ -46,8 +46,8 @@ MODEL_ROWS = 2_500
 CURVE_ROWS = 6_000
 DISCOUNT = 0.75
 STEM = 4
-TOXIC_SHARE = 0.05
-PRIOR_WORDS = 2
+TOXIC_SHARE = 0.005
+PRIOR_WORDS = 5
 LEAST_COUNT = 2  # words with fewer occurrences are known by their stem only
 THRESHOLD = 0.3
 CACHE_WORDS = 400_000
@@ -144,7 +144,7 @@ class Model:
         return 1.0 / (1.0 + math.exp(-z))
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> tuple[float, float]:
     """Logistic regression on one standardised feature, by Newton steps."""
     mean, spread = (float(x.mean()), float(x.std()) or 1.0) if len(x) else (0.0, 1.0)
     z = np.column_stack([np.ones(len(x)), (x - mean) / spread])
@@ -161,13 +161,14 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 
 
 def _counts(sample: DataFrame) -> tuple[dict[bytes, int], dict[bytes, int]]:
-    """Words of the sample's distinct texts by class, counted on Spark."""
+    """Distinct texts of the sample that hold a word, by class, counted on
+    Spark (so a text that repeats itself counts once)."""
 
     def count(batches):
         found = (Counter(), Counter())
         for batch in batches:
             for text, y in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                found[y].update(tokens(text))
+                found[y].update(set(tokens(text)))
         for y in (0, 1):
             words = list(found[y])
             yield pa.RecordBatch.from_arrays(

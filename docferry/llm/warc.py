@@ -173,8 +173,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def oracle() -> str:
     """The read-back facts, straight from ``pages``."""
-    digits = "list_transform(range(0, 8), i -> ('0x' || substr(h, 5 * i::INT + 1, 5))::BIGINT)"
-    base32 = (f"list_aggregate(flatten(list_transform({digits}, v -> list_transform([15, 10, 5, 0], s -> "
+    digits = "list_transform(range(0, 8), lambda i: ('0x' || substr(h, 5 * i::INT + 1, 5))::BIGINT)"
+    base32 = (f"list_aggregate(flatten(list_transform({digits}, lambda v: list_transform([15, 10, 5, 0], lambda s: "
               f"substr('{BASE32_DIGITS}', ((v >> s) & 31)::INT + 1, 1)))), 'string_agg', '')")
     return f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
