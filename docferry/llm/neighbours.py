@@ -45,7 +45,7 @@ from docferry.llm.common import settle
 TABLES = 4
 HASHES = 8
 WIDTH = 1.8
-MASS = 0.56
+MASS = 0.6
 SAMPLE = 2_000
 SLICE_ROWS = 4_096
 LEAST_SLICES = 32

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import hmm, licences, mixing, neighbours, packing, pfor, quartile, toxicity, warc
+from docferry.llm import hmm, licences, mixing, neighbours, packing, pfor, quartile, similarity, toxicity, warc
 from docferry.llm.common import crc_mod, read, scratch_path, ship
 from docferry.llm.tokens import SPACED_RUNS, WORD_RUNS
 from docferry.session import tune
@@ -38,6 +38,11 @@ def op4_pfor_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.with_starts(pfor.read(spark, path))
 
 
+def op5_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near duplicates among all documents."""
+    return similarity.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 ids."""
     rows = packing.pieces(read(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k.json",
@@ -74,8 +79,10 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-_QUERIES = (op1_hidden_markov_lm, op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, 
-            op6_best_fit_packing, op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs, op10_multiprobe_neighbours)
+_QUERIES = (
+    op1_hidden_markov_lm, op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, op5_parity_sketch_join,
+    op6_best_fit_packing, op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs,
+    op10_multiprobe_neighbours)
 _SQL: dict[str, Callable[[], str]] = {
     "op2_warc_revisits": warc.oracle,
     "op7_poisson_mix": mixing.oracle,
