@@ -57,6 +57,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` begins with it (Spark
+    compares names without case)."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
 def scan_partitions(df: DataFrame) -> int:
     """Tasks that read ``df`` (its own partitioning; no job runs)."""
     return max(1, df.rdd.getNumPartitions())

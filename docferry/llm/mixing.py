@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import settle
+from docferry.llm.common import settle, unused
 
 SEED = "mix-1"
 ALPHA = 0.5
@@ -77,35 +77,36 @@ def rates(docs: DataFrame, *, weights: DataFrame | None = None, alpha: float = A
             .withColumn("cdf", cdf).select("source", "chars", "rate", "parts", "cdf"))
 
 
-def replicate(docs: DataFrame, table: DataFrame, *, seed: str = SEED) -> DataFrame:
-    """Every document as often as it draws, with rate, copy (from 0) and
-    shuffle_key, in global random order."""
-    table = settle(table.select(F.col("source").alias("m_source"), F.col("rate").alias("m_rate"),
-                                F.col("parts").alias("m_parts"), F.col("cdf").alias("m_cdf")), "rates")
-    cols = docs.columns
-    same = F.col("source").eqNullSafe(F.col("m_source"))
+def replicate(docs: DataFrame, table: DataFrame, *, seed: str = SEED) -> tuple[DataFrame, str]:
+    """Every document as often as it draws, in global random order, with three
+    more columns, ``rate``, ``copy`` (from 0) and ``key`` behind the prefix that
+    is returned, too (no column of ``docs`` begins with it)."""
+    p = unused(docs, "mix_")
+    c = {n: F.col(p + n) for n in ("source", "rate", "parts", "cdf", "salt", "own", "unit", "count", "copy", "key")}
+    table = settle(table.select(*[F.col(n).alias(p + n) for n in ("source", "rate", "parts", "cdf")]), "rates")
+    cols = [F.col(f"`{x}`") for x in docs.columns]
+    same = F.col("source").eqNullSafe(c["source"])
+    key = _key(docs)
     if table.count() <= BROADCAST_SOURCES:
         joined = docs.join(F.broadcast(table), same)
     else:
-        salted = table.withColumn("m_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = docs.withColumn("m_own", F.pmod(F.xxhash64(_key(docs)), F.lit(SALTS)).cast("int"))
-        joined = dealt.join(salted, same & (F.col("m_own") == F.col("m_salt")))
-    key = _key(docs)
+        salted = table.withColumn(p + "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = docs.withColumn(p + "own", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, same & (c["own"] == c["salt"]))
     drawn = F.aggregate(
-        F.sequence(F.lit(0), F.col("m_parts") - 1), F.lit(0),
-        lambda n, j: n + F.size(F.filter(
-            F.col("m_cdf"), lambda c: c <= _unit(F.lit(seed), key, j.cast("string")))))
-    one = F.size(F.filter(F.col("m_cdf"), lambda c: c <= F.col("m_u")))
-    counted = joined.withColumn("m_u", _unit(F.lit(seed), key, F.lit("0"))) \
-        .withColumn("m_n", F.when(F.col("m_parts") == 1, one).otherwise(drawn)).filter("m_n > 0")
-    copies = counted.withColumn("m_copy", F.explode(F.sequence(F.lit(0), F.col("m_n") - 1)))
-    shuffle = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), key,
-                                                   F.col("m_copy").cast("string"))), 1, 15), 16, 10).cast("long")
-    out = copies.select(*[F.col(f"`{c}`") for c in cols], F.col("m_rate"), F.col("m_copy"), shuffle.alias("m_key"))
-    return out.repartition("m_key").sortWithinPartitions("m_key")
-
-
-def mix(docs: DataFrame, *, seed: str = SEED, **how) -> DataFrame:
+        F.sequence(F.lit(0), c["parts"] - 1), F.lit(0),
+        lambda n, j: n + F.size(F.filter(c["cdf"], lambda v: v <= _unit(F.lit(seed), key, j.cast("string")))))
+    one = F.size(F.filter(c["cdf"], lambda v: v <= c["unit"]))
+    copies = (joined.withColumn(p + "unit", _unit(F.lit(seed), key, F.lit("0")))
+              .withColumn(p + "count", F.when(c["parts"] == 1, one).otherwise(drawn)).filter(c["count"] > 0)
+              .withColumn(p + "copy", F.explode(F.sequence(F.lit(0), c["count"] - 1))))
+    order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), key, c["copy"].cast("string"))),
+                               1, 15), 16, 10).cast("long")
+    out = copies.select(*cols, c["rate"], c["copy"], order.alias(p + "key"))
+    return out.repartition(p + "key").sortWithinPartitions(p + "key"), p
+
+
+def mix(docs: DataFrame, *, seed: str = SEED, **how) -> tuple[DataFrame, str]:
     """``rates`` and ``replicate`` in one."""
     return replicate(docs, rates(docs, **how), seed=seed)
 

@@ -53,9 +53,9 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents repeated to square-root weights of their sources and
     shuffled globally, texts included."""
-    mixed = mixing.mix(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "text", F.col("m_copy").cast("int").alias("copy"),
-                        F.round("m_rate", 6).alias("rate"), F.col("m_key").alias("shuffle_key"))
+    mixed, p = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "text", F.col(p + "copy").cast("int").alias("copy"),
+                        F.round(p + "rate", 6).alias("rate"), F.col(p + "key").alias("shuffle_key"))
 
 
 def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

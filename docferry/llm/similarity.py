@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from docferry.llm.common import settle, utf8
+from docferry.llm.common import settle, unused, utf8
 from docferry.llm.shingles import block_keys, levels, set_digest, shingle_set, sketch
 
 BROADCAST_IDS = 300_000  # ids of 8 bytes; beyond that they are joined by shuffle
@@ -115,14 +115,16 @@ def _shared(rows: DataFrame) -> DataFrame:
             .withColumn("n", F.count(F.lit(1)).over(w)).filter("lo != hi").drop("lo", "hi"))
 
 
-NEED = F.col("tag").bitwiseAND(F.lit((1 << 32) - 1))
+def _need() -> Column:
+    """Shared keys that a partner must have, from ``tag``."""
+    return F.col("tag").bitwiseAND(F.lit((1 << 32) - 1))
 
 
 def _enough(shared: DataFrame) -> DataFrame:
     """cls, tag, keys (count, key) of the classes with as many shared keys as
     their partners must have."""
     return (shared.groupBy("cls", "tag").agg(F.collect_set(F.struct("n", "key")).alias("keys"))
-            .filter(F.size("keys") >= NEED))
+            .filter(F.size("keys") >= _need()))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -160,7 +162,7 @@ def survivors(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame
     third = _enough(_shared(second.join(common, "cls", "left_semi")
                             .select("cls", "tag", F.explode("keys.key").alias("key"))))
     # Rarest first: all but the last ``need - 1`` of the shared keys.
-    rare = F.slice(F.array_sort("keys"), F.lit(1), (F.size("keys") - NEED + 1).cast("int"))
+    rare = F.slice(F.array_sort("keys"), F.lit(1), (F.size("keys") - _need() + 1).cast("int"))
     rows = third.select("cls", F.explode(rare).alias("e")).select(F.col("e.key").alias("key"), "cls").distinct()
     return settle(rows, "buckets"), sets
 
@@ -274,17 +276,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return _assigned(*classes_of(docs))
 
 
-def _with_class(docs: DataFrame) -> DataFrame:
-    """``docs`` with its class as cls_ (null without shingles)."""
+def _with_class(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with its class (null without shingles)."""
     at = docs.schema.fieldNames().index("text")
 
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t) for t in utf8(batch.column(at))]
             cls = pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, cls], names=[*batch.schema.names, "cls_"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, cls], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("cls_", LongType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, LongType())]))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -294,17 +296,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     no shingles."""
     thin, ids = classes_of(docs)
     found = settle(_assigned(thin, ids), "components")
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("stay_id_")).distinct()
+    p = unused(docs, "near_")
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(p + "id")).distinct()
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs.join(stay, F.col("doc_id") == F.col("stay_id_"), "left_semi")
+    out = docs.join(stay, F.col("doc_id") == F.col(p + "id"), "left_semi")
     rows, distinct, null = found.agg(F.count("doc_id"), F.countDistinct("doc_id"),
                                      F.count_if(F.col("doc_id").isNull())).first()
     if rows != distinct:
         out = out.dropDuplicates(["doc_id"])
     out = out.select(*cols)
     if null:
-        bare = _with_class(docs.filter("doc_id IS NULL"))
-        roots = ids.filter("component_id IS NULL").groupBy("root").agg(F.min("cls").alias("first_cls_"))
-        kept = bare.join(roots, F.col("cls_") == F.col("first_cls_"), "left_semi").dropDuplicates(["cls_"])
-        out = out.unionByName(kept.select(*cols)).unionByName(bare.filter("cls_ IS NULL").select(*cols))
+        bare = _with_class(docs.filter("doc_id IS NULL"), p + "cls")
+        first = ids.filter("component_id IS NULL").groupBy("root").agg(F.min("cls").alias(p + "first"))
+        kept = bare.join(first, F.col(p + "cls") == F.col(p + "first"), "left_semi").dropDuplicates([p + "cls"])
+        out = out.unionByName(kept.select(*cols)).unionByName(bare.filter(F.col(p + "cls").isNull()).select(*cols))
     return out
