@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.llm import mixing, packing, similarity, toxicity
-from docferry.llm.common import crc_mod, read, settle, ship
+from docferry.llm.common import crc_mod, read, settle, ship, unused
 from docferry.llm.tokens import SPACED_RUNS
 from docferry.session import tune
 
@@ -43,8 +43,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject."""
     _ready(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
-    scored = toxicity.score(docs, model, column="toxicity_score_")
-    return scored.filter(F.col("toxicity_score_") < toxicity.THRESHOLD).select(*_kept_columns(docs))
+    column = unused(docs, "toxicity_")
+    scored = toxicity.score(docs, model, column=column)
+    return scored.filter(F.col(column) < toxicity.THRESHOLD).select(*_kept_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the copies that their sources' rates draw, shuffled."""
     _ready(spark)
-    return mixing.mix(docs).select(*_kept_columns(docs))
+    return mixing.mix(docs)[0].select(*_kept_columns(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
