@@ -140,6 +140,29 @@ def _walk_variant(cur: Column, steps: list[Step]) -> Resolved:
     return Resolved(cur, T.VariantType())
 
 
+def variant_values(root: Column, steps: list[Step]) -> Resolved:
+    """All values a query path reaches in a schemaless document, as a list: a
+    key on a list reads that key from every element, and a list at the end
+    counts as its elements. An index step takes that element."""
+    def elements(v: Column) -> Column:
+        return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+
+    def read(step: Step):
+        if _path_safe(step):
+            return lambda v: F.try_variant_get(v, _json_path([step]), "variant")
+        return lambda v: F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(step.name))
+
+    values = F.array(root)
+    for step in steps:
+        if isinstance(step, Index):
+            if step.pos > _MAX_INDEX:
+                return MISSING
+        else:
+            values = F.flatten(F.transform(values, elements))
+        values = F.transform(values, read(step))
+    return Resolved(F.flatten(F.transform(values, elements)), T.ArrayType(T.VariantType()))
+
+
 def walk(col: Column | None, dtype: T.DataType, steps: list[Step], *,
          fan_out: bool = False) -> Resolved:
     """Apply ``steps`` to a value of type ``dtype`` held by ``col``.
@@ -152,7 +175,7 @@ def walk(col: Column | None, dtype: T.DataType, steps: list[Step], *,
     cur, typ = col, dtype
     for pos, step in enumerate(steps):
         if isinstance(typ, T.VariantType):
-            return _walk_variant(cur, steps[pos:])
+            return variant_values(cur, steps[pos:]) if fan_out else _walk_variant(cur, steps[pos:])
         if isinstance(step, Key):
             if isinstance(typ, T.StructType):
                 field = _struct_field(typ, step.name)

@@ -26,8 +26,10 @@ from __future__ import annotations
 import calendar
 import re
 from collections.abc import Callable, Mapping
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone, tzinfo
+from decimal import Decimal, InvalidOperation
 from typing import Any
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,19 +87,20 @@ def _ceil_end(t: datetime, unit: str) -> datetime:
     return nxt - timedelta(milliseconds=1)
 
 
-def resolve_date_math(text: str, now: datetime, *, round_up: bool = False) -> datetime:
-    """``now-1d``, ``now+2h/d``, ``2024-01-01||+1M`` -> a datetime.
+def resolve_date_math(text: str, now: datetime, *, round_up: bool = False,
+                      zone: tzinfo = timezone.utc) -> datetime:
+    """``now-1d``, ``now+2h/d``, ``2024-01-01||+1M`` -> a datetime in UTC.
 
     Rounding (``/unit``) goes down, or to the unit's last millisecond when
-    ``round_up`` (used for ``gt`` and ``lte``).
-    """
+    ``round_up`` (used for ``gt`` and ``lte``). A date without a zone is in
+    ``zone``, and rounding is done there; ``now`` is an instant."""
     if text.startswith("now"):
-        anchor, rest = now, text[3:]
+        anchor, rest = _shift(now, timezone.utc, zone), text[3:]
     elif "||" in text:
         head, rest = text.split("||", 1)
-        anchor = _parse_datetime(head)
+        anchor = _shift(_parse_datetime(head, zone), timezone.utc, zone)
     else:
-        return _parse_datetime(text)
+        return _parse_datetime(text, zone, round_up=round_up)
     t = anchor
     pos = 0
     while pos < len(rest):
@@ -119,15 +122,78 @@ def resolve_date_math(text: str, now: datetime, *, round_up: bool = False) -> da
                          "h": timedelta(hours=n), "H": timedelta(hours=n),
                          "m": timedelta(minutes=n), "s": timedelta(seconds=n)}[unit]
         pos = m.end()
-    return t
+    return _shift(t, zone, timezone.utc)
 
 
-def _parse_datetime(text: str) -> datetime:
+def _shift(t: datetime, source: tzinfo, target: tzinfo) -> datetime:
+    """A wall-clock time of one zone as the other's (both without zone)."""
+    return t.replace(tzinfo=source).astimezone(target).replace(tzinfo=None)
+
+
+# A date with parts missing at its end.
+_PARTIAL = re.compile(r"(\d{4})(?:-(\d{2})(?:-(\d{2})(?:T(\d{2})(?::(\d{2}))?)?)?)?(Z|[+-]\d{2}:?\d{2})?")
+
+
+def _parse_datetime(text: str, zone: tzinfo = timezone.utc, *, round_up: bool = False) -> datetime:
+    """A date in UTC. Missing month and day are 01; missing time parts are 0,
+    or with ``round_up`` the last ones (23:59:59.999999)."""
+    partial = _PARTIAL.fullmatch(text)
     try:
-        v = datetime.fromisoformat(text.replace("Z", "+00:00"))
+        if partial:
+            year, month, day, hour, minute, offset = partial.groups()
+            last = round_up
+            v = datetime(int(year), int(month or 1), int(day or 1),
+                         int(hour) if hour else 23 * last, int(minute) if minute else 59 * last,
+                         59 * last, 999_999 * last)
+            if offset:
+                v = v.replace(tzinfo=_zone(offset))
+        else:
+            v = datetime.fromisoformat(text.replace("Z", "+00:00"))
     except ValueError:
         raise QueryError(f"bad date {text!r}") from None
-    return v.replace(tzinfo=None) if v.tzinfo is None else v.astimezone(tz=None).replace(tzinfo=None)
+    return _shift(v.replace(tzinfo=None), v.tzinfo or zone, timezone.utc)
+
+
+def _zone(text: Any) -> tzinfo:
+    """An offset (``+05:00``, ``Z``) or a zone's name."""
+    if not isinstance(text, str):
+        raise QueryError(f"bad time_zone {text!r}")
+    if text in ("Z", "UTC"):
+        return timezone.utc
+    m = re.fullmatch(r"([+-])(\d{2}):?(\d{2})", text)
+    if m:
+        off = timedelta(hours=int(m[2]), minutes=int(m[3]))
+        return timezone(off if m[1] == "+" else -off)
+    try:
+        return ZoneInfo(text)
+    except (ZoneInfoNotFoundError, ValueError):
+        raise QueryError(f"bad time_zone {text!r}") from None
+
+
+# Names of the date formats that bounds may be written in.
+_ISO_FORMATS = ("date_optional_time", "strict_date_optional_time", "strict_date_optional_time_nanos",
+                "yyyy-MM-dd", "strict_date", "date")
+_EPOCH_FORMATS = {"epoch_millis": 1000, "epoch_second": 1}
+
+
+def _date_bound(value: Any, fmt: str | None) -> Any:
+    """A range bound as written -> text or milliseconds, by ``format``."""
+    if fmt is None:
+        return value
+    formats = fmt.split("||") if isinstance(fmt, str) else [fmt]
+    for f in formats:
+        if f not in _ISO_FORMATS and f not in _EPOCH_FORMATS:
+            raise QueryError(f"unsupported date format {f!r}")
+    if isinstance(value, str) and (value.startswith("now") or "||" in value):
+        return value
+    digits = isinstance(value, (int, float)) and not isinstance(value, bool) or (
+        isinstance(value, str) and re.fullmatch(r"-?\d+(\.\d+)?", value) is not None)
+    for f in formats:
+        if f in _EPOCH_FORMATS and digits:
+            return float(value) * 1000 / _EPOCH_FORMATS[f]
+        if f in _ISO_FORMATS and isinstance(value, str):
+            return value
+    raise QueryError(f"bound {value!r} isn't in format {fmt!r}")
 
 
 def _is_date_type(dt: T.DataType | None) -> bool:
@@ -139,6 +205,17 @@ class _NoMatch(Exception):
     number column): the clause matches nothing."""
 
 
+def _decimal(value: Any) -> Decimal:
+    """The number that a literal spells, exactly."""
+    try:
+        d = Decimal(value if isinstance(value, (int, str)) else repr(value))
+    except (InvalidOperation, ValueError, TypeError):
+        raise _NoMatch() from None
+    if not d.is_finite() or abs(d.adjusted()) > 400:
+        raise _NoMatch()
+    return d
+
+
 def _coerce(value: Any, dt: T.DataType) -> Any:
     """A Python literal of the field's type, converted on the driver."""
     if isinstance(value, bool):
@@ -148,16 +225,12 @@ def _coerce(value: Any, dt: T.DataType) -> Any:
             return "true" if value else "false"
         raise _NoMatch()
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        try:
-            f = float(value)
-        except (TypeError, ValueError):
-            raise _NoMatch() from None
-        return int(f) if f.is_integer() else f
-    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        try:
-            return float(value)
-        except (TypeError, ValueError):
-            raise _NoMatch() from None
+        d = _decimal(value)
+        return int(d) if d == d.to_integral_value() else float(d)
+    if isinstance(dt, T.DecimalType):
+        return _decimal(value)
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return float(_decimal(value))
     if isinstance(dt, T.StringType):
         return value if isinstance(value, str) else str(value)
     if isinstance(dt, T.BooleanType):
@@ -167,7 +240,12 @@ def _coerce(value: Any, dt: T.DataType) -> Any:
     return value
 
 
-def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False) -> tuple[Column, Column]:
+# Exact for 64-bit ids and for decimals of ten places.
+_VARIANT_INT = "decimal(38,10)"
+
+
+def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False,
+             zone: tzinfo = timezone.utc) -> tuple[Column, Column]:
     """(field column, non-null literal) with the field read at a type the
     literal fits. Literals are converted here, on the driver, so comparisons
     stay plain ``column op constant`` forms that parquet can filter on."""
@@ -175,6 +253,8 @@ def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False)
     if isinstance(dt, T.VariantType):
         if isinstance(value, bool):
             return F.try_variant_get(col, "$", "boolean"), F.lit(value)
+        if isinstance(value, int) and abs(value) < 10**27:
+            return F.try_variant_get(col, "$", _VARIANT_INT), F.lit(str(value)).cast(_VARIANT_INT)
         if isinstance(value, (int, float)):
             return F.try_variant_get(col, "$", "double"), F.lit(float(value))
         if isinstance(value, str):
@@ -182,7 +262,7 @@ def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False)
         raise QueryError(f"unsupported value {value!r}")
     if _is_date_type(dt):
         if isinstance(value, str):
-            t = resolve_date_math(value, now, round_up=round_up)
+            t = resolve_date_math(value, now, round_up=round_up, zone=zone)
         elif isinstance(value, (int, float)) and not isinstance(value, bool):
             t = datetime(1970, 1, 1) + timedelta(milliseconds=value)
         elif isinstance(value, (datetime, date)):
@@ -195,10 +275,18 @@ def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False)
     return col, F.lit(_coerce(value, dt))
 
 
-def _false_if_null(c: Column) -> Column:
-    """Two-valued form of a condition that has no pushable shape anyway
-    (array membership, sizes)."""
-    return F.coalesce(c, F.lit(False))
+def _each(r: Resolved, leaf: Callable[[Resolved], Column]) -> Column:
+    """``leaf`` on a value, or on the values of a list: any one may match."""
+    if r.missing:
+        return F.lit(False)
+    try:
+        if isinstance(r.dtype, T.ArrayType):
+            elem = r.dtype.elementType
+            leaf(Resolved(F.lit(None), elem))  # a literal that can't match says so here
+            return F.coalesce(F.exists(r.column, lambda x: leaf(Resolved(x, elem))), F.lit(False))
+        return leaf(r)
+    except _NoMatch:
+        return F.lit(False)
 
 
 def _present(col: Column, cond: Column) -> Column:
@@ -278,7 +366,12 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         cond = F.lit(True)
         for c in must:
             cond = cond & c
-        if should and msm > 0:
+        if should and msm == 1:  # a form that reaches the scan
+            some = should[0]
+            for c in should[1:]:
+                some = some | c
+            cond = cond & some
+        elif should and msm > 0:
             hits = sum((F.when(c, 1).otherwise(0) for c in should), F.lit(0))
             cond = cond & (hits >= msm)
         for c in must_not:
@@ -289,111 +382,94 @@ def compile_query(query: Any, resolve: Resolver, *, now: datetime,
         field, spec = _field_and_body("range", body)
         if not isinstance(spec, Mapping):
             raise QueryError("range needs an object of bounds")
-        ops = {"gte": "ge", "gt": "gt", "lte": "le", "lt": "lt"}
-        extra = set(spec) - set(ops) - {"format", "time_zone", *_SCORING_KEYS}
+        known = {"gte", "gt", "lte", "lt"}
+        extra = set(spec) - known - {"format", "time_zone", *_SCORING_KEYS}
         if extra:
             raise QueryError(f"unknown range keys {sorted(extra)}")
-        if not set(spec) & set(ops):
+        if not set(spec) & known:
             raise QueryError("range needs a bound")
-        r = resolve(field)
-        if r.missing:
-            return F.lit(False)
-        if isinstance(r.dtype, T.ArrayType):
-            # A list matches when one of its values lies in the whole range.
-            elem = Resolved(F.lit(None), r.dtype.elementType)
-            bounds = []
-            for key, op in ops.items():
-                if key in spec:
-                    try:
-                        bounds.append((op, _literal(spec[key], elem, now, round_up=key in ("gt", "lte"))[1]))
-                    except _NoMatch:
-                        return F.lit(False)
-
-            def in_range(x: Column) -> Column:
-                c = F.lit(True)
-                for op, lit in bounds:
-                    c = c & {"ge": x >= lit, "gt": x > lit, "le": x <= lit, "lt": x < lit}[op]
-                return x.isNotNull() & c
-            return _false_if_null(F.exists(r.column, in_range))
-        cond, col = None, None
-        for key, op in ops.items():
-            if key not in spec:
-                continue
-            try:
-                col, lit = _literal(spec[key], r, now, round_up=key in ("gt", "lte"))
-            except _NoMatch:
-                return F.lit(False)
-            cmp = {"ge": col >= lit, "gt": col > lit, "le": col <= lit, "lt": col < lit}[op]
-            cond = cmp if cond is None else (cond & cmp)
-        return _present(col, cond)
+        zone = _zone(spec["time_zone"]) if spec.get("time_zone") is not None else timezone.utc
+
+        def in_range(r: Resolved) -> Column:
+            # A value of a list has to lie in the whole range.
+            cond, col = None, None
+            for key in sorted(set(spec) & known):
+                bound = spec[key]
+                if _is_date_type(r.dtype):
+                    bound = _date_bound(bound, spec.get("format"))
+                elif spec.get("format") is not None or spec.get("time_zone") is not None:
+                    raise QueryError(f"format and time_zone need a date field, {field!r} is none")
+                col, lit = _literal(bound, r, now, round_up=key in ("gt", "lte"), zone=zone)
+                cmp = {"gte": col >= lit, "gt": col > lit, "lte": col <= lit, "lt": col < lit}[key]
+                cond = cmp if cond is None else (cond & cmp)
+            return _present(col, cond)
+
+        return _each(resolve(field), in_range)
 
     if clause == "term":
         field, spec = _field_and_body("term", body)
         value = _value_of(spec)
-        r = resolve(field)
-        if r.missing:
-            return F.lit(False)
-        try:
-            if isinstance(r.dtype, T.ArrayType):
-                elem = Resolved(F.lit(None), r.dtype.elementType)
-                _, lit = _literal(value, elem, now)
-                return _false_if_null(F.array_contains(r.column, lit))
+
+        def equal(r: Resolved) -> Column:
             col, lit = _literal(value, r, now)
-        except _NoMatch:
-            return F.lit(False)
-        return _present(col, col == lit)
+            return _present(col, col == lit)
+
+        return _each(resolve(field), equal)
 
     if clause == "terms":
         field, values = _field_and_body("terms", body)
         if not isinstance(values, list):
             raise QueryError("terms needs a list of values")
-        r = resolve(field)
-        if r.missing or not values:
-            return F.lit(False)
-        pairs = []
-        for v in values:
-            try:
-                target = Resolved(F.lit(None), r.dtype.elementType) if isinstance(r.dtype, T.ArrayType) else r
-                pairs.append(_literal(v, target, now))
-            except _NoMatch:
-                continue
-        if not pairs:
+        if not values:
             return F.lit(False)
-        if isinstance(r.dtype, T.ArrayType):
-            return _false_if_null(F.arrays_overlap(r.column, F.array(*[lit for _, lit in pairs])))
-        col = pairs[0][0]
-        return _present(col, col.isin([lit for _, lit in pairs]))
+
+        def one_of(r: Resolved) -> Column:
+            # Literals that read the field at one type share an IN list.
+            groups: dict[str, tuple[Column, list[Column]]] = {}
+            for v in values:
+                try:
+                    col, lit = _literal(v, r, now)
+                except _NoMatch:
+                    continue
+                kind = type(v).__name__ if isinstance(r.dtype, T.VariantType) else ""
+                groups.setdefault(kind, (col, []))[1].append(lit)
+            if not groups:
+                raise _NoMatch()
+            cond = None
+            for col, lits in groups.values():
+                c = _present(col, col.isin(lits))
+                cond = c if cond is None else (cond | c)
+            return cond
+
+        return _each(resolve(field), one_of)
 
     if clause == "exists":
         if not isinstance(body, Mapping) or "field" not in body:
             raise QueryError("exists needs a field")
-        r = resolve(body["field"])
-        if r.missing:
-            return F.lit(False)
-        if isinstance(r.dtype, T.VariantType):
-            return _present(r.column, ~F.is_variant_null(r.column))
-        if isinstance(r.dtype, T.ArrayType):
-            return _false_if_null(F.exists(r.column, lambda x: x.isNotNull()))
-        return r.column.isNotNull()
+
+        def there(r: Resolved) -> Column:
+            if isinstance(r.dtype, T.VariantType):
+                return _present(r.column, ~F.is_variant_null(r.column))
+            return r.column.isNotNull()
+
+        return _each(resolve(body["field"]), there)
 
     if clause == "prefix":
         field, spec = _field_and_body("prefix", body)
         value = _value_of(spec)
         if not isinstance(value, str):
             raise QueryError("prefix needs a string")
-        r = resolve(field)
-        if r.missing:
-            return F.lit(False)
-        if isinstance(r.dtype, T.ArrayType):
-            # A list matches when any of its values starts with the prefix.
-            return _false_if_null(F.exists(r.column, lambda x: x.cast("string").startswith(value)))
-        if isinstance(r.dtype, T.VariantType):
-            col = F.try_variant_get(r.column, "$", "string")
-        elif isinstance(r.dtype, T.StringType):
-            col = r.column
-        else:
-            col = r.column.cast("string")
-        return _present(col, col.startswith(value))
+
+        def starts(r: Resolved) -> Column:
+            if isinstance(r.dtype, T.VariantType):
+                col = F.try_variant_get(r.column, "$", "string")
+            elif isinstance(r.dtype, T.StringType):
+                col = r.column
+            else:
+                col = r.column.cast("string")
+            return _present(col, col.startswith(value))
+
+        return _each(resolve(field), starts)
 
     if clause == "ids":
         if not isinstance(body, Mapping) or not isinstance(body.get("values"), list):

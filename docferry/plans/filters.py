@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docferry.operators.projection import project
 from docferry.operators.scan import bind_job, count_per_job, matching
 from docferry.plans.sqltext import ITEMS_CTE, txt
-from docferry.sources.documents import event_documents, order_documents
+from docferry.sources.documents import event_documents, json_string_documents, order_documents
 from docferry.sources.tables import read_table
 
 # Fixed value: the job-run clock of the test jobs (events span 2024-01-01..30).
@@ -35,6 +36,86 @@ def filter_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_where(spark, sf_dir, q)
 
 
+BIG = 9_007_199_254_740_992  # 2^53: neighbours above it are one float
+
+
+def filter_big_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids above 2^53, as typed and as schemaless values."""
+    docs = read_table(spark, sf_dir, "documents").select((F.col("doc_id") + BIG).alias("id"), "lang")
+    ids = [BIG + 1, BIG + 2, str(BIG + 5), BIG + 11]
+    typed = matching(docs, {"bool": {"should": [{"terms": {"id": ids}}, {"ids": {"values": [str(BIG + 7)]}},
+                                                {"range": {"id": {"gt": BIG + 20, "lte": BIG + 23}}}]}},
+                     now=NOW, id_column="id").select("id", F.lit("typed").alias("kind"))
+    free = json_string_documents(docs.select(F.to_json(F.struct("id", "lang")).alias("j")), "j")
+    loose = matching(free, {"bool": {"should": [{"term": {"id": BIG + 1}}, {"terms": {"id": [BIG + 3, "en"]}},
+                                                {"range": {"id": {"gt": BIG + 20, "lte": BIG + 23}}}]}}, now=NOW)
+    return typed.unionByName(loose.select(F.try_variant_get(F.col(free.variant_root), "$.id", "bigint").alias("id"),
+                                          F.lit("loose").alias("kind")))
+
+
+def filter_date_only_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds without time: gt and lte mean the end of that day."""
+    view = event_documents(spark, sf_dir)
+    out = None
+    for name, spec in (("gt", {"gt": "2024-01-10"}), ("lte", {"lte": "2024-01-10"}), ("gte", {"gte": "2024-01-10"}),
+                       ("lt", {"lt": "2024-01-10"}), ("hour", {"gt": "2024-01-10T05", "lte": "2024-01-10T06:30"})):
+        rows = matching(view, {"range": {"ts": spec}}, now=NOW).select(F.lit(name).alias("bound"), "event_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def filter_zoned_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds with an offset, a time_zone, and in seconds since 1970."""
+    view = event_documents(spark, sf_dir)
+    out = None
+    for name, spec in (("zulu", {"gte": "2024-01-10T00:00:00Z", "lt": "2024-01-11T00:00:00Z"}),
+                       ("offset", {"gte": "2024-01-10T00:00:00+05:00", "lt": "2024-01-11T00:00:00Z"}),
+                       ("zone", {"gte": "2024-01-10T00:00:00", "lte": "2024-01-10", "time_zone": "+05:00"}),
+                       ("named", {"gte": "2024-01-10", "lt": "2024-01-11", "time_zone": "America/New_York"}),
+                       ("epoch", {"gte": 1704844800, "lt": "1704931200", "format": "epoch_second"}),
+                       ("round", {"gte": "now-5d/d", "lt": "now-4d/d", "time_zone": "-03:00"})):
+        rows = matching(view, {"range": {"ts": spec}}, now=NOW).select(F.lit(name).alias("bound"), "event_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _bounds_sql(cases: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS bound, event_id FROM events WHERE {c}" for n, c in cases.items())
+
+
+def conversation_json(spark: SparkSession, sf_dir: str):
+    """Schemaless documents, one for each conversation: roles (a list of text),
+    turns (a list of objects)."""
+    turns = read_table(spark, sf_dir, "conversations")
+    docs = turns.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
+    text = F.to_json(F.struct("conv_id", F.col("turns.role").alias("roles"), "turns"))
+    return json_string_documents(docs.select(text.alias("j")), "j")
+
+
+def filter_variant_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists and lists of objects inside schemaless documents: any value may
+    match."""
+    view = conversation_json(spark, sf_dir)
+    out = None
+    for name, q in (("value", {"term": {"roles": "system"}}), ("object", {"term": {"turns.role": "system"}}),
+                    ("prefix", {"prefix": {"turns.role": "sys"}}), ("range", {"range": {"turns.turn": {"gte": 3}}}),
+                    ("terms", {"terms": {"roles": ["tool", "system", 4]}}),
+                    ("none", {"bool": {"must_not": [{"exists": {"field": "turns.role"}}]}})):
+        rows = matching(view, q, now=NOW).select(
+            F.lit(name).alias("clause"), F.try_variant_get(F.col(view.variant_root), "$.conv_id", "bigint").alias("conv_id"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _variant_lists_sql() -> str:
+    cases = {"value": "bool_or(role = 'system')", "object": "bool_or(role = 'system')",
+             "prefix": "bool_or(starts_with(role, 'sys'))", "range": "bool_or(turn >= 3)",
+             "terms": "bool_or(role IN ('tool', 'system'))", "none": "NOT bool_or(role IS NOT NULL)"}
+    return " UNION ALL ".join(f"SELECT '{n}' AS clause, conv_id FROM conversations GROUP BY conv_id HAVING {c}"
+                              for n, c in cases.items())
+
+
 def filter_range_date_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = {"range": {"ts": {"gte": "now-1d"}}}
     return matching(event_documents(spark, sf_dir), q, now=NOW).select("event_id", "event_type")
@@ -141,7 +222,25 @@ QUERIES = {
     "filter_match_all": (filter_match_all, lambda: f"SELECT {_LINE_KEYS_SQL} FROM lineitem"),
     "filter_range": (filter_range, lambda: f"""SELECT {_LINE_KEYS_SQL} FROM lineitem
 WHERE l_quantity >= 10 AND l_quantity < 30
-  AND l_shipdate > TIMESTAMP '1996-03-01 00:00:00' AND l_shipdate <= TIMESTAMP '1998-06-30 12:00:00'"""),
+  AND l_shipdate > TIMESTAMP '1996-03-01 23:59:59.999999' AND l_shipdate <= TIMESTAMP '1998-06-30 12:00:00'"""),
+    "filter_big_ids": (filter_big_ids, lambda: f"""
+WITH d AS (SELECT doc_id + {BIG} AS id FROM documents)
+SELECT id, 'typed' AS kind FROM d
+WHERE id IN ({BIG + 1}, {BIG + 2}, {BIG + 5}, {BIG + 11}, {BIG + 7}) OR id > {BIG + 20} AND id <= {BIG + 23}
+UNION ALL SELECT id, 'loose' AS kind FROM d
+WHERE id IN ({BIG + 1}, {BIG + 3}) OR id > {BIG + 20} AND id <= {BIG + 23}"""),
+    "filter_date_only_bounds": (filter_date_only_bounds, lambda: _bounds_sql({
+        "gt": "ts >= TIMESTAMP '2024-01-11'", "lte": "ts < TIMESTAMP '2024-01-11'",
+        "gte": "ts >= TIMESTAMP '2024-01-10'", "lt": "ts < TIMESTAMP '2024-01-10'",
+        "hour": "ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-10 06:31:00'"})),
+    "filter_zoned_range": (filter_zoned_range, lambda: _bounds_sql({
+        "zulu": "ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'",
+        "offset": "ts >= TIMESTAMP '2024-01-09 19:00:00' AND ts < TIMESTAMP '2024-01-11'",
+        "zone": "ts >= TIMESTAMP '2024-01-09 19:00:00' AND ts < TIMESTAMP '2024-01-10 19:00:00'",
+        "named": "ts >= TIMESTAMP '2024-01-10 05:00:00' AND ts < TIMESTAMP '2024-01-11 05:00:00'",
+        "epoch": "ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'",
+        "round": "ts >= TIMESTAMP '2024-01-25 03:00:00' AND ts < TIMESTAMP '2024-01-26 03:00:00'"})),
+    "filter_variant_lists": (filter_variant_lists, _variant_lists_sql),
     "filter_range_date_math": (filter_range_date_math, lambda: """SELECT event_id, event_type FROM events
 WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'"""),
     "filter_date_rounding": (filter_date_rounding, lambda: """SELECT event_id, event_type FROM events

@@ -153,3 +153,62 @@ def test_fan_out_same_alone_and_in_one_scan(spark):
     big = {r[0] for r in li.where("l_quantity >= 49").select("l_orderkey").distinct().collect()}
     returned = {r[0] for r in li.where("l_returnflag = 'R'").select("l_orderkey").distinct().collect()}
     assert alone == together["q"] == len(big - returned) > 0
+
+
+def test_ids_above_two_to_the_53(spark):
+    big = 9007199254740992
+    docs = spark.createDataFrame([(big,), (big + 1,)], "id long")
+    assert q(docs, {"term": {"id": big + 1}}) == [big + 1]
+    assert q(docs, {"term": {"id": str(big + 1)}}) == [big + 1]
+    assert q(docs, {"ids": {"values": [str(big + 1)]}}) == [big + 1]
+
+
+def test_zoned_dates_do_not_depend_on_the_machine(monkeypatch):
+    import time
+
+    for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        assert resolve_date_math("2024-01-10T00:00:00Z", NOW) == datetime(2024, 1, 10)
+        assert resolve_date_math("2024-01-10T00:00:00+02:00", NOW) == datetime(2024, 1, 9, 22)
+    monkeypatch.undo()
+    time.tzset()
+
+
+def test_missing_time_parts():
+    assert resolve_date_math("2024-01-10", NOW, round_up=True) == datetime(2024, 1, 10, 23, 59, 59, 999999)
+    assert resolve_date_math("2024-01", NOW, round_up=True) == datetime(2024, 1, 1, 23, 59, 59, 999999)
+    assert resolve_date_math("2024-01-10T05", NOW) == datetime(2024, 1, 10, 5)
+    assert resolve_date_math("2024", NOW) == datetime(2024, 1, 1)
+
+
+@pytest.mark.parametrize("spec", [{"gte": "2024-01-10", "format": "dd/MM/yyyy"}, {"gte": "x", "format": "epoch_second"},
+                                  {"gte": "2024-01-10", "time_zone": "Nowhere/Land"}])
+def test_options_not_understood_are_errors(docs, spec):
+    with pytest.raises(QueryError):
+        q(docs, {"range": {"ts": spec}})
+    with pytest.raises(QueryError):
+        q(docs, {"range": {"n": {"gte": 1, "time_zone": "+01:00"}}})
+
+
+def test_schemaless_lists(spark):
+    from docferry.sources.documents import json_string_documents
+
+    rows = [(1, '{"tags":["x","y"],"items":[{"sku":"s1","n":[1,5]},{"sku":7}]}'), (2, '{"tags":"x","items":{"sku":"s1"}}'),
+            (3, '{"tags":[],"items":[]}'), (4, '{"tags":null,"id":9007199254740993}'), (5, 'broken')]
+    view = json_string_documents(spark.createDataFrame(rows, "id long, j string"), "j", id_column="id")
+
+    def found(query):
+        return sorted(r["id"] for r in matching(view, query, now=NOW).collect())
+
+    assert found({"term": {"tags": "x"}}) == [1, 2]
+    assert found({"terms": {"tags": ["y", 3]}}) == [1]
+    assert found({"terms": {"items.sku": [7, "none"]}}) == [1]
+    assert found({"prefix": {"items.sku": "s"}}) == [1, 2]
+    assert found({"exists": {"field": "tags"}}) == [1, 2]
+    assert found({"exists": {"field": "items.sku"}}) == [1, 2]
+    assert found({"range": {"items.n": {"gt": 4}}}) == [1]
+    assert found({"range": {"items.n": {"gt": 1, "lt": 5}}}) == []
+    assert found({"term": {"items[0].sku": "s1"}}) == [1]
+    assert found({"term": {"id": 9007199254740992}}) == []
+    assert found({"bool": {"must_not": [{"exists": {"field": "tags"}}]}}) == [3, 4, 5]
