@@ -44,19 +44,25 @@ def keyset_page(df: DataFrame, keys: Sequence[str], size: int,
 def iter_pages(df: DataFrame, keys: Sequence[str], size: int) -> Iterator[list]:
     """K2/K3 driver loop: yield each page's rows until an empty page.
 
-    Each page is one bounded top-k job; the cursor is the last row's key.
-    For whole-table exports use the partitioned writers instead.
+    Each page is one bounded top-k job; the cursor is the last row's key, so
+    the keys must be unique and never null: a null key, or a row beyond the
+    page with the last row's key, raises ``ValueError`` before the page is
+    given. For whole-table exports use the partitioned writers instead.
     """
     after = None
     while True:
-        rows = keyset_page(df, keys, size, after).collect()
+        rows = keyset_page(df, keys, size + 1, after).collect()
         if not rows:
             return
-        yield rows
-        last = rows[-1]
-        if any(last[k] is None for k in keys):
+        found = [tuple(r[k] for k in keys) for r in rows]
+        if any(v is None for key in found for v in key):
+            raise ValueError(f"a row has no value for one of the keys {list(keys)}")
+        if len(set(found)) < len(found):
+            raise ValueError(f"the keys {list(keys)} aren't unique")
+        yield rows[:size]
+        if len(rows) <= size:
             return
-        after = [last[k] for k in keys]
+        after = list(found[size - 1])
 
 
 def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_index") -> DataFrame:

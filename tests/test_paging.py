@@ -26,3 +26,13 @@ def test_page_numbers_match_brute_force(spark):
     got = {r.k: r.page for r in page_numbers(df, ["k"], 100).collect()}
     assert len(got) == 2500
     assert all(got[k] == k // 100 for k in range(2500))
+
+
+def test_null_and_repeated_keys_are_errors(spark):
+    nulls = spark.createDataFrame([(1,), (2,), (None,), (3,), (None,)], "k int")
+    with pytest.raises(ValueError, match="no value"):
+        list(iter_pages(nulls, ["k"], 2))
+    ties = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d")], "k int, v string")
+    with pytest.raises(ValueError, match="unique"):
+        list(iter_pages(ties, ["k"], 2))
+    assert [len(p) for p in iter_pages(ties, ["k", "v"], 2)] == [2, 2]
