@@ -11,10 +11,9 @@ so ``sha256sum -c <name>.sha256`` checks every part from the folder above.
 
 Scale decisions:
 
-* Rows go to ``n_parts`` buckets by a hash of the document id (or of the
-  line and its scan position when there is none), so no key — however hot —
-  makes a big part; ``n_parts`` comes from the source count and the source's
-  bytes on disk (see ``plans.job_run``).
+* Rows go to ``n_parts`` buckets by a hash of the document id (or of the line
+  where there is none); ``n_parts`` comes from the rows and bytes of the lines
+  that the job selects (see ``plans.job_run``).
 * One shuffle (the repartition by bucket) and a sort within each task; every
   bucket is written by exactly one task, so it is exactly one file.
 * SHA-256 does not combine across parts, so there is one digest per part,
@@ -28,6 +27,7 @@ Scale decisions:
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -99,7 +99,7 @@ def write_parts(lines: DataFrame, header: str, data_dir: str, n_parts: int) -> i
                                         F.lit(0).alias("ord"), F.lit(header).alias("line"))
     obs = Observation("written")
     out = (rows.unionByName(heads)
-           .repartition(n_parts, "bucket")
+           .repartitionById(n_parts, F.col("bucket"))
            .sortWithinPartitions("bucket", "ord", "line")
            .observe(obs, F.sum(F.col("ord")).alias("rows")))
     (out.select("bucket", "line").write.mode("overwrite")
@@ -143,7 +143,8 @@ def manifest_and_sidecar(spark: SparkSession, *, job_id: str, out_dir: str, name
     the manifest, then write the sidecar. ``row_count`` is the manifest's."""
     data_dir = f"{out_dir}/{name}"
     manifest_dir = f"{out_dir}/_manifest"
-    read_back_manifest(spark, data_dir).coalesce(1).write.mode("overwrite").parquet(manifest_dir)
+    # The shuffle keeps the digests parallel; only the manifest is one task.
+    read_back_manifest(spark, data_dir).repartition(1).write.mode("overwrite").parquet(manifest_dir)
     manifest = spark.read.parquet(manifest_dir)
     sums = manifest.orderBy("bucket").select(
         F.concat("sha256", F.lit("  " + name + "/"), "file").alias("line"))
@@ -170,14 +171,19 @@ def write_parts_multi(lines: DataFrame, headers: dict[str, str], parts: dict[str
     ``root/job_id=<id>/bucket=<k>/`` holds one CSV file per job and bucket,
     each starting with that job's header."""
     spark = lines.sparkSession
-    heads = spark.createDataFrame(
-        [(j, b, 0, headers[j]) for j, n in parts.items() for b in range(n)],
-        "job_id string, bucket int, ord int, line string")
+    # One row for each job; its header rows are made on the executors.
+    first, table = 0, []
+    for j, n in parts.items():
+        table.append((j, n, first, headers[j]))
+        first += n
+    jobs = spark.createDataFrame(table, "job_id string, n int, first int, line string")
+    heads = jobs.select("job_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("bucket"),
+                        F.lit(0).alias("ord"), "line")
     rows = lines.select("job_id", F.col("bucket").cast("int").alias("bucket"),
                         F.lit(1).alias("ord"), "line")
-    total = sum(parts.values())
-    out = (rows.unionByName(heads)
-           .repartition(total, "job_id", "bucket")
+    place = jobs.select("job_id", "first")
+    out = (rows.unionByName(heads).join(F.broadcast(place), "job_id")
+           .repartitionById(first, (F.col("first") + F.col("bucket")).cast("int"))
            .sortWithinPartitions("job_id", "bucket", "ord", "line")
            .select("job_id", "bucket", "line"))
     (out.write.mode("overwrite").partitionBy("job_id", "bucket")
@@ -186,11 +192,23 @@ def write_parts_multi(lines: DataFrame, headers: dict[str, str], parts: dict[str
 
 def publish(spark: SparkSession, result: ExportResult, target: str) -> ExportResult:
     """Move the parts to ``target`` and then the sidecar to
-    ``target + ".sha256"``; a present sidecar means a complete export."""
-    fs.delete(spark, target + ".sha256")
-    fs.rename(spark, result.path, target)
-    fs.rename(spark, result.sidecar_path, target + ".sha256")
-    return ExportResult(result.job_id, target, target + ".sha256", result.manifest_path,
+    ``target + ".sha256"``; a present sidecar means a complete export.
+
+    Only an earlier export (a folder with its sidecar beside it) is replaced:
+    it is moved aside first and deleted when the new one is in place."""
+    side = target + ".sha256"
+    earlier = None
+    if fs.exists(spark, target):
+        if not fs.exists(spark, side):
+            raise FileExistsError(f"{target} is there and is not an export; nothing was published")
+        earlier = f"{target}.replaced-{uuid.uuid4().hex}"
+        fs.delete(spark, side)
+        fs.rename(spark, target, earlier, replace=False)
+    fs.rename(spark, result.path, target, replace=False)
+    fs.rename(spark, result.sidecar_path, side)
+    if earlier:
+        fs.delete(spark, earlier)
+    return ExportResult(result.job_id, target, side, result.manifest_path,
                         result.row_count, result.n_parts, result.sha256)
 
 

@@ -10,7 +10,8 @@ way the source system checks decoded JSON. Rules, first failure wins:
 3. ``query_not_object`` / ``query_empty``;
 4. ``columns_not_strings`` (not a list of strings) / ``columns_empty``;
 5. ``column_paths_not_strings`` (null or absent means ``{}``);
-6. ``bad_remote_filename`` (not a non-empty string).
+6. ``bad_remote_filename`` (not a non-empty string, or with a ``.`` or ``..``
+   segment).
 
 Defaults: ``job_id`` is the document id when absent or null; ``job_id`` and
 ``data_index`` of another JSON type are taken as their JSON text.
@@ -73,7 +74,8 @@ def validate_jobs(jobs: DataFrame, *, id_col: str = "_id", doc_col: str = "doc")
         .when(F.col("_ck") == "ARRAY<VOID>", F.lit("columns_empty"))
         .when(~paths_ok, F.lit("column_paths_not_strings"))
         .when(~F.coalesce((_kind(remote) == "STRING")
-                          & (F.try_variant_get(remote, "$", "string") != ""), F.lit(False)),
+                          & (F.try_variant_get(remote, "$", "string") != "")
+                          & ~F.try_variant_get(remote, "$", "string").rlike("(^|/)\\.{1,2}(/|$)"), F.lit(False)),
               F.lit("bad_remote_filename")))
     return kinds.select(
         F.col("_id").alias("job_doc_id"),

@@ -14,6 +14,10 @@ from docferry.operators.predicates import compile_query
 from docferry.sources.documents import Bound, DocumentView
 
 
+#: Column of ``tag_jobs``; no document field has this name.
+JOB_TAG = "__job_id"
+
+
 def query_fields(query: Any) -> list[str]:
     """Every field path a query reads (so the scan binds its relations)."""
     out: list[str] = []
@@ -135,7 +139,7 @@ def tag_jobs(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]],
     """Many jobs over one table in one scan.
 
     Each document gets the ids of the jobs whose query it matches and is
-    repeated once per such job (``job_id`` column); a document matching no
+    repeated once per such job (column ``JOB_TAG``); a document matching no
     job is dropped in the scan stage.
     """
     view = as_view(source, id_column)
@@ -152,7 +156,7 @@ def tag_jobs(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]],
     tags = [F.when(compile_query(q, _query_resolver(bound), now=now, id_column=id_col), F.lit(job_id))
             for job_id, q in jobs]
     tagged = bound.frame.withColumn(
-        "job_id", F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())))
+        JOB_TAG, F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())))
     return bound, tagged
 
 
@@ -162,7 +166,7 @@ def count_per_job(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, An
     shuffle of one partial count per job and task."""
     spark = (source.root if isinstance(source, DocumentView) else source).sparkSession
     _, tagged = tag_jobs(source, jobs, now=now, id_column=id_column)
-    counts = tagged.groupBy("job_id").agg(F.count(F.lit(1)).alias("source_count"))
+    counts = tagged.groupBy(F.col(JOB_TAG).alias("job_id")).agg(F.count(F.lit(1)).alias("source_count"))
     ids = spark.createDataFrame([(j,) for j, _ in jobs], "job_id string")
     return (ids.join(counts, "job_id", "left")
             .select("job_id", F.coalesce("source_count", F.lit(0)).cast("bigint").alias("source_count")))
@@ -178,7 +182,7 @@ def envelope(source: DocumentView | DataFrame, *, sort: Sequence[str] | None = N
     if view.variant_root is not None:
         src = F.col(f"`{view.variant_root}`")
     else:
-        src = F.struct(*[F.col(f"`{c}`") for c in root.columns if c != view.id_column])
+        src = F.struct(*[F.col(f"`{c}`") for c in root.columns])
     keys = list(sort or ([view.id_column] if view.id_column else []))
     cols = [F.col(f"`{view.id_column}`").cast("string").alias("_id") if view.id_column
             else F.lit(None).cast("string").alias("_id"), src.alias("_source")]

@@ -11,19 +11,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.functions.render import csv_line, json_line
+from docferry.functions.render import csv_line, json_line, respace_json
 from docferry.operators.export import (
     DEFAULT_ROWS_PER_PART, ExportResult, bucket_of, export_lines, part_count, publish)
 from docferry.operators.jobs import JobSpec
 from docferry.operators.projection import column_path_list, text_cells
-from docferry.operators.reconcile import Reconciled, RetryPolicy, reconcile
-from docferry.operators.scan import as_view, bind_job
+from docferry.operators.reconcile import WAITS, Unreconciled, check_until_equal
+from docferry.operators.scan import JOB_TAG, as_view, bind_job
 from docferry.sources import fs
 from docferry.sources.documents import DocumentView
 from docferry.sources.tables import Catalog
@@ -33,17 +33,16 @@ from docferry.sources.tables import Catalog
 class RunOptions:
     staging_root: str
     publish_root: str | None = None
+    # A part holds at most about so many rows and bytes of the job's own
+    # lines, counted before the write; it is read back whole for its digest.
     rows_per_part: int = DEFAULT_ROWS_PER_PART
-    # Parts are also sized by the source's bytes on disk, so wide documents
-    # (long texts) make more, smaller parts; a part is read back whole for
-    # its digest.
-    source_bytes_per_part: int = 64 * 1024 * 1024
+    bytes_per_part: int = 64 * 1024 * 1024
     # Jobs sharing one scan (each adds a predicate to every row's tag list).
     max_jobs_per_scan: int = 64
     ndjson_dir: str | None = None
     guard_formulas: bool = False
-    policy: RetryPolicy = field(default_factory=RetryPolicy)
-    sleeper: Callable[[float], None] = time.sleep
+    waits: tuple[float, ...] = WAITS
+    sleep: Callable[[float], None] = time.sleep
 
 
 @dataclass
@@ -73,37 +72,50 @@ def _safe(job_id: str) -> str:
     return f"{cleaned}-{hashlib.md5(job_id.encode('utf-8')).hexdigest()[:8]}"
 
 
-def _basename(remote: str, job_id: str) -> str:
-    parts = [p for p in remote.split("/") if p]
-    return parts[-1] if parts else f"{_safe(job_id)}.csv"
+def check_remote(job_id: str, remote: str) -> None:
+    """A name under the publish folder: not empty, no ``.`` or ``..`` segment."""
+    segments = [x for x in remote.split("/") if x]
+    if not segments or any(x in (".", "..") for x in segments):
+        raise ValueError(f"job {job_id}: remote_filename must name a file under the publish folder, not {remote!r}")
 
 
-def _parts_by_size(source, bytes_per_part: int) -> int:
-    """Part count from the root table's bytes on disk (1 when unknown)."""
-    view = as_view(source)
-    try:
-        size = fs.input_bytes(view.root)
-    except Exception:  # sources without files (in-memory frames)
-        return 1
-    return max(1, -(-size // bytes_per_part))
+def _basename(remote: str, job_id: str) -> str:
+    parts = [p for p in remote.split("/") if p not in ("", ".", "..")]
+    return parts[-1] if parts else f"{_safe(job_id)}.csv"
 
 
-def extract(spark: SparkSession, job: JobSpec, source: DocumentView | DataFrame, *,
-            now: datetime, out_dir: str, n_parts: int, options: RunOptions) -> ExportResult:
-    """Scan, filter, project, render and write one job's export."""
+def _lines(job: JobSpec, source: DocumentView | DataFrame, *, now: datetime,
+           options: RunOptions) -> tuple[DataFrame, Column]:
+    """The job's rows as (key, line), and the column that spreads them over
+    parts: the document id, or without one the line and its place in the
+    file it was read from (which a recomputed task sees again)."""
     view = as_view(source)
     paths = column_path_list(job.columns, job.column_paths, job_id=job.job_id)
     bound, pred = bind_job(view, job.query, paths, now=now)
     bound.frame = bound.frame.where(pred)
     cells = text_cells(bound, job.columns, paths, guard_formulas=options.guard_formulas,
                        job_id=job.job_id)
-    line = csv_line(cells)
-    # Parts are chosen by a hash of the document id; without an id, by the
-    # line and its position in the scan, so duplicate lines spread too.
-    key = (F.col(f"`{view.id_column}`") if view.id_column
-           else F.struct(line, F.monotonically_increasing_id()))
-    lines = bound.frame.select(bucket_of(key, n_parts).alias("bucket"), line.alias("line"))
-    return export_lines(lines, job.columns, job_id=job.job_id, out_dir=out_dir, n_parts=n_parts,
+    key = F.col(f"`{view.id_column}`") if view.id_column else F.lit(None)
+    lines = bound.frame.select(key.alias("key"), csv_line(cells).alias("line"))
+    return lines, (F.col("key") if view.id_column else F.col("line"))
+
+
+def _part_count(rows: int, size: int, options: RunOptions) -> int:
+    """Parts for so many rows and bytes; one (header only) for none."""
+    if options.bytes_per_part <= 0:
+        raise ValueError("bytes_per_part must be positive")
+    return max(part_count(rows, options.rows_per_part), -(-size // options.bytes_per_part))
+
+
+def extract(spark: SparkSession, job: JobSpec, source: DocumentView | DataFrame, *,
+            now: datetime, out_dir: str, options: RunOptions) -> ExportResult:
+    """Scan, filter, project, render and write one job's export. The number of
+    parts follows the rows and bytes that the job selects."""
+    lines, key = _lines(job, source, now=now, options=options)
+    rows, size = lines.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0))).first()
+    n_parts = _part_count(int(rows), int(size), options)
+    return export_lines(lines.select(bucket_of(key, n_parts).alias("bucket"), "line"), job.columns,
+                        job_id=job.job_id, out_dir=out_dir, n_parts=n_parts,
                         name=_basename(job.remote_filename, job.job_id))
 
 
@@ -116,7 +128,9 @@ def tee_ndjson(spark: SparkSession, job: JobSpec, source: DocumentView | DataFra
     view = as_view(source)
     if view.variant_root is not None:
         bound, pred = bind_job(view, job.query, [], now=now)
-        rows = bound.frame.where(pred).select(F.to_json(F.col(f"`{view.variant_root}`")).alias("j"))
+        # An unparsable document is null: it has no line and isn't counted.
+        rows = bound.frame.where(pred & F.col(f"`{view.variant_root}`").isNotNull()).select(
+            respace_json(F.to_json(F.col(f"`{view.variant_root}`"))).alias("j"))
     else:
         docs = view.nested() if (view.lookups or view.children) else view.root
         flat = DocumentView.of(docs, view.id_column)
@@ -132,10 +146,10 @@ def tee_ndjson(spark: SparkSession, job: JobSpec, source: DocumentView | DataFra
 def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: datetime,
                options: RunOptions,
                count_source: Callable[[], int] | None = None) -> JobOutcome:
-    """Run one job; raises ``RecordCountMismatch`` (nothing published) when the
+    """Run one job; raises ``Unreconciled`` (nothing published) when the
     export cannot be reconciled with its source."""
-    if options.publish_root and not job.remote_filename.strip("/"):
-        raise ValueError(f"job {job.job_id}: remote_filename must name a file to publish")
+    if options.publish_root:
+        check_remote(job.job_id, job.remote_filename)
 
     def source():
         return catalog.get(job.data_index)
@@ -159,13 +173,10 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
         state["snap"] = source()
         return count_of(state["snap"])
 
-    n_parts = max(part_count(first, options.rows_per_part),
-                  _parts_by_size(state["snap"], options.source_bytes_per_part))
     out_dir = f"{options.staging_root.rstrip('/')}/{_safe(job.job_id)}"
 
     def do_extract() -> ExportResult:
-        return extract(spark, job, state["snap"], now=now, out_dir=out_dir, n_parts=n_parts,
-                       options=options)
+        return extract(spark, job, state["snap"], now=now, out_dir=out_dir, options=options)
 
     def do_reextract() -> ExportResult:
         state["snap"] = source()
@@ -173,22 +184,23 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
         pending.append(count_source() if count_source else count_of(state["snap"]))
         return result
 
+    final, checks = check_until_equal(do_extract(), count_once, do_reextract,
+                                      waits=options.waits, sleep=options.sleep)
+    if not checks[-1].agrees:
+        raise Unreconciled(job.job_id, checks)
+    # The raw documents of the snapshot that reconciled.
     ndjson_rows = None
     if options.ndjson_dir:
         ndjson_rows = tee_ndjson(spark, job, state["snap"], now=now,
                                  path=f"{options.ndjson_dir.rstrip('/')}/{_safe(job.job_id)}.ndjson")
-    result = do_extract()
-    rec: Reconciled[ExportResult] = reconcile(
-        count_source=count_once, result=result, written=lambda r: r.row_count,
-        reextract=do_reextract, policy=options.policy, sleeper=options.sleeper, job_id=job.job_id)
-    final = rec.result
     if options.publish_root:
         target = f"{options.publish_root.rstrip('/')}/{job.remote_filename.lstrip('/')}"
         final = publish(spark, final, target)
     return JobOutcome(job_id=job.job_id, row_count=final.row_count, n_parts=final.n_parts,
                       sha256=final.sha256, path=final.path, sidecar_path=final.sidecar_path,
-                      manifest_path=final.manifest_path, attempts=rec.attempts,
-                      reextracted=rec.reextracted, ndjson_rows=ndjson_rows)
+                      manifest_path=final.manifest_path,
+                      attempts=[(c.source_count, c.written_rows) for c in checks],
+                      reextracted=checks[-1].pass_no > 1, ndjson_rows=ndjson_rows)
 
 
 MANIFEST_SCHEMA = ("job_id string, row_count bigint, n_parts int, sha256 string, path string, "
@@ -226,8 +238,8 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
 
     by_table: dict[str, list[JobSpec]] = defaultdict(list)
     for j in jobs:
-        if options.publish_root and not j.remote_filename.strip("/"):
-            raise ValueError(f"job {j.job_id}: remote_filename must name a file to publish")
+        if options.publish_root:
+            check_remote(j.job_id, j.remote_filename)
         by_table[j.data_index].append(j)
     groups = []
     for data_index, members in by_table.items():
@@ -241,11 +253,6 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
         snap = catalog.get(data_index)
         view = as_view(snap)
         specs = [(j.job_id, j.query) for j in group]
-        counts = {r.job_id: int(r.source_count)
-                  for r in count_per_job(view, specs, now=now).collect()}
-        by_size = _parts_by_size(view, options.source_bytes_per_part)
-        parts = {j.job_id: max(part_count(counts[j.job_id], options.rows_per_part), by_size)
-                 for j in group}
         paths = {j.job_id: column_path_list(j.columns, j.column_paths, job_id=j.job_id)
                  for j in group}
         all_paths = [p for ps in paths.values() for p in ps]
@@ -262,21 +269,24 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
             cells = text_cells(bound, list(cols), list(ps), guard_formulas=options.guard_formulas,
                                job_id=members[0])
             this_line = csv_line(cells)
-            cond = F.col("job_id").isin(members)
+            cond = F.col(JOB_TAG).isin(members)
             line = F.when(cond, this_line) if line is None else line.when(cond, this_line)
+        key = F.col(f"`{view.id_column}`") if view.id_column else F.lit(None)
+        keyed = tagged.select(F.col(JOB_TAG).alias("job_id"), key.alias("key"), line.alias("line"))
+        # One row for each job of the group: source count, rows and bytes of its lines.
+        counts = {r.job_id: int(r.source_count) for r in count_per_job(view, specs, now=now).collect()}
+        sizes = {r.job_id: int(r.size) for r in keyed.groupBy("job_id").agg(
+            F.sum(F.octet_length("line") + 1).alias("size")).collect()}
+        parts = {j.job_id: _part_count(counts[j.job_id], sizes.get(j.job_id, 0), options) for j in group}
         by_parts: dict[int, list[str]] = defaultdict(list)
         for j in group:
             by_parts[parts[j.job_id]].append(j.job_id)
         bucket = None
         for n, members in by_parts.items():
-            this_key = F.col("__key") if view.id_column else F.struct(F.col("line"), F.col("__key"))
-            b = bucket_of(this_key, n)
+            b = bucket_of(F.col("key") if view.id_column else F.col("line"), n)
             cond = F.col("job_id").isin(members)
             bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
-        key = (F.col(f"`{view.id_column}`") if view.id_column
-               else F.monotonically_increasing_id())
-        lines = (tagged.select("job_id", key.alias("__key"), line.alias("line"))
-                 .select("job_id", bucket.alias("bucket"), "line"))
+        lines = keyed.select("job_id", bucket.alias("bucket"), "line")
         headers = {j.job_id: header_line(j.columns) for j in group}
         root = f"{options.staging_root.rstrip('/')}/_one_scan/{_safe(data_index)}-{gi}"
         write_parts_multi(lines, headers, parts, root)

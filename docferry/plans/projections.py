@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.operators.projection import project, with_line
+from docferry.operators.scan import envelope
 from docferry.plans.sqltext import ITEMS_CTE, csv_line_sql, ts_txt, txt
 from docferry.sources.documents import (
     conversation_documents, event_documents, json_string_documents, order_documents)
@@ -133,14 +134,14 @@ def _path_whole_values_sql() -> str:
 
 def path_default_and_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["o_orderpriority", "o_orderkey", "o_totalprice", "o_orderdate", "o_custkey",
-            "not_a_column", "O_ORDERKEY"]
+            "not_a_column", "ORDERKEY"]
     return project(read_table(spark, sf_dir, "orders"), cols)
 
 
 def _path_default_and_order_sql() -> str:
     return f"""SELECT {txt('o_orderpriority')} AS o_orderpriority, {txt('o_orderkey')} AS o_orderkey,
   {txt('o_totalprice')} AS o_totalprice, {ts_txt('o_orderdate')} AS o_orderdate,
-  {txt('o_custkey')} AS o_custkey, '' AS not_a_column, '' AS "O_ORDERKEY"
+  {txt('o_custkey')} AS o_custkey, '' AS not_a_column, '' AS "ORDERKEY"
 FROM orders"""
 
 
@@ -271,11 +272,8 @@ FROM documents"""
 
 def source_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hit envelope ``_id`` / ``_source`` / ``sort`` of label documents."""
-    labels = read_table(spark, sf_dir, "labels")
-    return labels.select(
-        F.col("doc_id").cast("string").alias("_id"),
-        F.to_json(F.struct("doc_id", "quality", "toxic")).alias("_source"),
-        F.array(F.col("doc_id")).cast("array<bigint>").alias("sort"))
+    hits = envelope(read_table(spark, sf_dir, "labels"), id_column="doc_id")
+    return hits.select("_id", F.to_json("_source").alias("_source"), "sort")
 
 
 def _source_envelope_sql() -> str:

@@ -12,7 +12,7 @@ from docferry.functions.render import header_line, json_line
 from docferry.operators.export import bucket_digests, int_bucket, part_count
 from docferry.operators.projection import project, text_cells, with_line
 from docferry.operators.reconcile import pair_counts
-from docferry.operators.scan import count_per_job, tag_jobs
+from docferry.operators.scan import JOB_TAG, count_per_job, tag_jobs
 from docferry.plans.filters import NOW
 from docferry.plans.projections import ORDER_EXPORT_COLUMNS, ORDER_EXPORT_PATHS
 from docferry.plans.sqltext import ITEMS_CTE, csv_line_sql, txt
@@ -71,7 +71,7 @@ def ndjson_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V7: one JSON object per document (every field, nulls kept), laid out
     like Python's ``json.dumps``."""
     ev = read_table(spark, sf_dir, "events")
-    fields = ["event_id", "user_id", "event_type", "value", "props"]
+    fields = ["event_id", "ts", "user_id", "event_type", "value", "props"]
     return ev.select("event_id", json_line(*[F.col(c) for c in fields],
                                            schema=ev.select(*fields).schema).alias("json"))
 
@@ -133,7 +133,7 @@ def multi_job_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound, tagged = tag_jobs(read_table(spark, sf_dir, "customer"), jobs, now=NOW, paths=paths)
     bound.frame = tagged
     cells = text_cells(bound, CUSTOMER_COLUMNS, paths)
-    rows = tagged.select("job_id", *cells)
+    rows = tagged.select(F.col(JOB_TAG).alias("job_id"), *cells)
     return with_line(rows, CUSTOMER_COLUMNS).select("job_id", "line")
 
 
@@ -173,7 +173,7 @@ def reconcile_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = event_documents(spark, sf_dir)
     expected = count_per_job(view, WINDOW_JOBS, now=NOW)
     _, tagged = tag_jobs(view, WINDOW_JOBS, now=NOW - EXTRACT_LAG)
-    written = tagged.groupBy("job_id").agg(F.count(F.lit(1)).alias("written_rows"))
+    written = tagged.groupBy(F.col(JOB_TAG).alias("job_id")).agg(F.count(F.lit(1)).alias("written_rows"))
     return pair_counts(expected, written).withColumn(
         "difference", F.col("source_count") - F.col("written_rows"))
 
@@ -200,6 +200,7 @@ FROM conversations"""),
     "formula_guard": (formula_guard_query, _formula_guard_sql),
     "ndjson_dump": (ndjson_dump, lambda: """SELECT event_id,
   '{"event_id": ' || coalesce(CAST(event_id AS VARCHAR), 'null')
+  || ', "ts": ' || coalesce('"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"', 'null')
   || ', "user_id": ' || coalesce(CAST(user_id AS VARCHAR), 'null')
   || ', "event_type": ' || coalesce(CAST(to_json(event_type) AS VARCHAR), 'null')
   || ', "value": ' || coalesce(CAST(value AS VARCHAR), 'null')

@@ -71,7 +71,7 @@ class Bound:
         if self.variant_root is not None:
             if self.id_column is not None and steps == [Key("_id")]:
                 return resolve_path(self.frame.schema, "_id", id_column=self.id_column)
-            return walk(F.col(f"`{self.variant_root}`"), T.VariantType(), steps)
+            return walk(F.col(f"`{self.variant_root}`"), T.VariantType(), steps, fan_out=fan_out)
         head = steps[0]
         if isinstance(head, Key) and head.name in self.extra and (
                 self.id_column is None or steps != [Key("_id")]):
@@ -372,15 +372,3 @@ def conversation_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = Fa
         frame=conv, parent="conv_id", order=("turn", "role", "text"),
         value=F.struct(F.col("turn"), F.col("role"), F.col("text")))
     return DocumentView(root, "conv_id", children={"turns": turns})
-
-
-def sample_order_documents(spark: SparkSession, n: int) -> DataFrame:
-    """``n`` deterministic order documents for offline runs: ids
-    ``o-000``, ``o-001``, ..., a customer, totals and two line items each."""
-    i = F.col("id")
-    return spark.range(n).select(
-        F.format_string("o-%03d", i).alias("order_id"),
-        F.struct(F.format_string("Customer-%d", i).alias("name")).alias("customer"),
-        F.struct(((i + 1) * 100).alias("amount_cents")).alias("totals"),
-        F.array(F.struct(F.format_string("sku-%d-a", i).alias("sku")),
-                F.struct(F.format_string("sku-%d-b", i).alias("sku"))).alias("items"))

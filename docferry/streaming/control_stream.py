@@ -170,21 +170,31 @@ def _run_grouped(spark: SparkSession, records: list, cfg: StreamConfig) -> None:
         if rec["error"] is not None:
             raise JobFailed(rec["partition"], rec["offset"], rec["job_doc_id"], rec["error"])
     now = cfg.clock()
-    specs, owner = [], {}
+    # Records of one job share a run where their jobs are the same; jobs of one
+    # id that differ run one after another.
+    rounds: list[dict[str, tuple[JobSpec, list]]] = []
     for rec in records:
         job = JobSpec.from_row(rec)
-        if job.job_id in owner:  # the same job twice in one batch: run it once
-            owner[job.job_id].append(rec)
-            continue
-        owner[job.job_id] = [rec]
-        specs.append(job)
-    try:
-        outcomes = run_exports_one_scan(spark, specs, cfg.catalog, now=now, options=cfg.options)
-    except Exception as e:
-        first = records[0] if records else None
-        raise JobFailed(first["partition"] if first else -1, first["offset"] if first else -1,
-                        None, repr(e)) from e
-    for job_id, recs in owner.items():
-        for rec in recs:
-            append_manifest(spark, cfg.ledger_path, outcomes[job_id],
-                            partition=rec["partition"], offset=rec["offset"])
+        for members in rounds:
+            if job.job_id not in members:
+                members[job.job_id] = (job, [rec])
+                break
+            if members[job.job_id][0] == job:
+                members[job.job_id][1].append(rec)
+                break
+        else:
+            rounds.append({job.job_id: (job, [rec])})
+    for members in rounds:
+        if cfg.stop is not None and cfg.stop():
+            raise StopRequested("stop requested between groups of jobs")
+        specs = [job for job, _ in members.values()]
+        try:
+            outcomes = run_exports_one_scan(spark, specs, cfg.catalog, now=now, options=cfg.options)
+        except Exception as e:
+            ids = ", ".join(sorted(members))
+            rec = next(iter(members.values()))[1][0]
+            raise JobFailed(rec["partition"], rec["offset"], None, f"one of the jobs {ids}: {e!r}") from e
+        for job_id, (_, recs) in members.items():
+            for rec in recs:
+                append_manifest(spark, cfg.ledger_path, outcomes[job_id],
+                                partition=rec["partition"], offset=rec["offset"])

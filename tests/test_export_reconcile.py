@@ -5,7 +5,6 @@ from __future__ import annotations
 import glob
 import hashlib
 import os
-import random
 from datetime import datetime
 
 import pytest
@@ -13,8 +12,7 @@ from pyspark.sql import functions as F
 
 from docferry.operators.export import export_lines, part_count, verify_export
 from docferry.operators.jobs import JobSpec
-from docferry.operators.reconcile import (
-    RecordCountMismatch, RetryPolicy, reconcile, validate_counts)
+from docferry.operators.reconcile import WAITS, Check, Unreconciled, check_until_equal, checks_frame
 from docferry.plans.job_run import RunOptions, run_export
 from docferry.sources.tables import driver_catalog
 
@@ -87,44 +85,45 @@ def test_part_count():
         part_count(5, 0)
 
 
-# FIXTURES §5 count sequences.
-def _run(counts, written, reextract_written=None):
-    seq = iter(counts)
-    sleeps = []
-    state = {"extracts": 0}
-
-    def reextract():
-        state["extracts"] += 1
-        return reextract_written
-
-    rec = reconcile(count_source=lambda: next(seq), result=written, written=lambda r: r,
-                    reextract=reextract, sleeper=sleeps.append, rng=random.Random(0),
-                    policy=RetryPolicy(jitter=0))
-    return rec, sleeps, state["extracts"]
-
-
-def test_match_at_once():
-    rec, sleeps, n = _run([3], 3)
-    assert rec.attempts == [(3, 3)] and sleeps == [] and n == 0
+class Rows:
+    def __init__(self, n):
+        self.row_count = n
 
 
-def test_flapping():
-    rec, sleeps, n = _run([99, 99, 3], 3)
-    assert rec.attempts == [(99, 3), (99, 3), (3, 3)] and sleeps == [1.0, 2.0] and n == 0
+def _checks(counts, written, again=None):
+    """Run the checks over a sequence of source counts."""
+    seq, slept, made = iter(counts), [], []
 
+    def rewrite():
+        made.append(Rows(again))
+        return made[-1]
 
-def test_reextract_helps():
-    rec, sleeps, n = _run([99] * 5 + [7], 3, reextract_written=7)
-    assert rec.result == 7 and rec.reextracted and len(rec.attempts) == 6 and n == 1
-    assert sleeps == [1.0, 2.0, 4.0, 8.0]
+    export, checks = check_until_equal(Rows(written), lambda: next(seq), rewrite, sleep=slept.append)
+    return export, checks, slept, len(made)
 
 
-def test_persistent_mismatch():
-    with pytest.raises(RecordCountMismatch) as e:
-        _run([99] * 6, 3, reextract_written=3)
-    assert (e.value.expected, e.value.actual, len(e.value.attempts)) == (99, 3, 6)
-    with pytest.raises(RecordCountMismatch):
-        validate_counts(2, 1)
+# FIXTURES §5 count sequences.
+@pytest.mark.parametrize("counts,written,again,want_sleeps", [
+    ([3], 3, None, []),
+    ([99, 99, 3], 3, None, [1.0, 2.0]),
+    ([99] * 5 + [7], 3, 7, list(WAITS)),
+    ([99] * 6, 3, 3, list(WAITS)),
+])
+def test_count_sequences(spark, counts, written, again, want_sleeps):
+    export, checks, slept, rewrites = _checks(counts, written, again)
+    assert slept == want_sleeps and [c.source_count for c in checks] == counts
+    assert rewrites == (again is not None)
+    assert export.row_count == (written if again is None else again)
+    assert checks[-1].agrees == (counts[-1] == export.row_count)
+    assert [c.pass_no for c in checks] == [1] * (len(checks) - rewrites) + [2] * rewrites
+    table = checks_frame(spark, "j", checks).orderBy("attempt").collect()
+    assert [(r.source_count, r.written_rows, r.matched) for r in table] == [
+        (c.source_count, c.written_rows, c.agrees) for c in checks]
+
+
+def test_unreconciled_names_every_check():
+    e = Unreconciled("j", [Check(2, 1), Check(3, 1)])
+    assert "2 counted / 1 written, 3 counted / 1 written" in str(e) and e.job_id == "j"
 
 
 ORDER_JOB = JobSpec(
@@ -157,11 +156,11 @@ def test_job_run_end_to_end(spark, out_dir):
 def test_mismatch_publishes_nothing(spark, out_dir):
     cat = driver_catalog(spark, SMALL)
     opt = RunOptions(staging_root=f"{out_dir}/stage", publish_root=f"{out_dir}/out",
-                     policy=RetryPolicy(max_attempts=2, jitter=0), sleeper=lambda s: None)
-    with pytest.raises(RecordCountMismatch) as e:
+                     waits=(0.0,), sleep=lambda s: None)
+    with pytest.raises(Unreconciled) as e:
         run_export(spark, ORDER_JOB, cat, now=datetime(2024, 1, 31), options=opt,
                    count_source=lambda: 99)
-    assert len(e.value.attempts) == 3
+    assert len(e.value.checks) == 3
     assert not os.path.exists(f"{out_dir}/out/upload/daily-orders.csv.sha256")
 
 
@@ -175,7 +174,7 @@ def test_growing_table_reconciles_on_shared_snapshot(spark, out_dir):
     cat.register("grow", lambda: spark.range(next(sizes)).select(F.col("id").alias("k")))
     job = JobSpec(job_id="g", data_index="grow", query={"match_all": {}}, columns=["k"],
                   remote_filename="g.csv")
-    opt = RunOptions(staging_root=f"{out_dir}/stage", sleeper=lambda s: None)
+    opt = RunOptions(staging_root=f"{out_dir}/stage", sleep=lambda s: None)
     out = run_export(spark, job, cat, now=datetime(2024, 1, 31), options=opt)
     assert out.row_count == 3 and out.attempts == [(3, 3)] and not out.reextracted
     out2 = run_export(spark, job, cat, now=datetime(2024, 1, 31), options=opt)
@@ -271,3 +270,57 @@ def test_ndjson_tee_lines_are_python_json(spark, out_dir):
     want = sorted(json.dumps(r.asDict(), ensure_ascii=False) for r in
                   spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1").collect())
     assert lines == want and out.ndjson_rows == len(want)
+
+
+def test_parts_follow_what_the_job_selects(spark, out_dir):
+    cat = driver_catalog(spark, SMALL)
+
+    def run(name, query, **opt):
+        job = JobSpec(job_id=name, data_index="documents", query=query, columns=["doc_id", "text"],
+                      remote_filename=f"{name}.csv")
+        return run_export(spark, job, cat, now=datetime(2024, 1, 31),
+                          options=RunOptions(staging_root=f"{out_dir}/s", **opt))
+
+    nothing = run("nothing", {"term": {"lang": "xx"}}, bytes_per_part=1000)
+    assert (nothing.n_parts, nothing.row_count) == (1, 0)
+    assert list(_read_parts(nothing.path).values()) == [b"doc_id,text\n"]
+    few = run("few", {"term": {"doc_id": 3}}, bytes_per_part=1 << 20)
+    assert (few.n_parts, few.row_count) == (1, 1)
+    many = run("many", {"match_all": {}}, bytes_per_part=20_000)
+    size = sum(map(len, _read_parts(many.path).values()))
+    assert many.n_parts == len(_read_parts(many.path)) and size / 20_000 <= many.n_parts <= size / 20_000 + 1
+
+
+def test_publish_replaces_only_earlier_exports(spark, out_dir):
+    cat = driver_catalog(spark, SMALL)
+    opt = RunOptions(staging_root=f"{out_dir}/s", publish_root=f"{out_dir}/pub")
+
+    def run(remote):
+        job = JobSpec(job_id="r", data_index="region", query={"match_all": {}}, columns=["r_name"],
+                      remote_filename=remote)
+        return run_export(spark, job, cat, now=datetime(2024, 1, 31), options=opt)
+
+    run("all/one.csv")
+    run("all/two.csv")
+    run("all/one.csv")  # an earlier export is replaced
+    with pytest.raises(FileExistsError):
+        run("all")  # a folder of exports is not
+    for bad in ("..", "../../x", "all/../..", ".", "/"):
+        with pytest.raises(ValueError):
+            run(bad)
+    assert sorted(f for f in os.listdir(f"{out_dir}/pub/all") if not f.startswith(".")) == [
+        "one.csv", "one.csv.sha256", "two.csv", "two.csv.sha256"]
+
+
+def test_a_field_named_job_id_is_exported(spark, out_dir):
+    from docferry.plans.job_run import run_exports_one_scan
+    from docferry.sources.tables import Catalog
+
+    cat = Catalog()
+    cat.register("t", lambda: spark.createDataFrame([("mine", 1), ("yours", 2)], "job_id string, n int"))
+    job = JobSpec(job_id="exported", data_index="t", query={"match_all": {}}, columns=["job_id", "n"],
+                  remote_filename="t.csv")
+    out = run_exports_one_scan(spark, [job], cat, now=datetime(2024, 1, 31),
+                               options=RunOptions(staging_root=f"{out_dir}/s"))
+    body = b"".join(_read_parts(out["exported"].path).values())
+    assert body == b"job_id,n\nmine,1\nyours,2\n"

@@ -159,21 +159,20 @@ def test_json_lines_documents(spark, out_dir):
     assert hits.count() == 1
 
 
-def test_sample_documents_and_envelope(spark):
+def test_nested_documents_and_envelope(spark):
     from docferry.operators.scan import envelope, source_only
-    from docferry.sources.documents import sample_order_documents
-
-    docs = sample_order_documents(spark, 3)
-    cols = ["order_id", "customer", "amount", "first_sku"]
-    paths = {"customer": "customer.name", "amount": "totals.amount_cents", "first_sku": "items[0].sku"}
-    out = sorted(tuple(r) for r in project(docs, cols, paths).collect())
-    assert out == [("o-000", "Customer-0", "100", "sku-0-a"), ("o-001", "Customer-1", "200", "sku-1-a"),
-                   ("o-002", "Customer-2", "300", "sku-2-a")]
-    hits = envelope(docs, id_column="order_id")
+
+    rows = [("v1", ("Ada", 7), [("rope", 2), ("sail", 1)]), ("v2", ("Bo", None), [])]
+    docs = spark.createDataFrame(rows, "ship string, owner struct<name:string,age:int>, "
+                                       "stock array<struct<item:string,n:int>>")
+    cols = ["ship", "who", "first"]
+    out = sorted(tuple(r) for r in project(docs, cols, {"who": "owner.name", "first": "stock[0].item"}).collect())
+    assert out == [("v1", "Ada", "rope"), ("v2", "Bo", "")]
+    hits = envelope(docs, id_column="ship")
     assert hits.columns == ["_id", "_source", "sort"]
     first = hits.orderBy("_id").first()
-    assert first["_id"] == "o-000" and first["sort"] == ["o-000"]
-    assert source_only(hits).columns == ["customer", "totals", "items"]
+    assert first["_id"] == "v1" and first["sort"] == ["v1"] and first["_source"]["ship"] == "v1"
+    assert source_only(hits).columns == ["ship", "owner", "stock"]
 
 
 def test_hot_parent_list_index_matches_brute_force(spark):

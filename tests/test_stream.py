@@ -154,3 +154,21 @@ def test_delivery_failure_is_not_committed(spark, out_dir):
     process_batch(spark, batch, 0, cfg)
     assert [r.offset for r in spark.read.parquet(cfg.ledger_path).collect()] == [7]
     assert os.path.exists(f"{out_dir}/pub/exp/customers.csv.sha256")
+
+
+def test_two_jobs_of_one_id_both_run(spark, out_dir):
+    from docferry.streaming.control_stream import process_batch
+
+    jobs = {"a": {**JOB, "job_id": "same", "remote_filename": "exp/a.csv"},
+            "b": {**JOB, "job_id": "same", "remote_filename": "exp/b.csv"}}
+    cfg = StreamConfig(jobs=lambda: spark.createDataFrame([(k, json.dumps(v)) for k, v in jobs.items()],
+                                                          "_id string, doc string"),
+                       catalog=driver_catalog(spark, SMALL),
+                       options=RunOptions(staging_root=f"{out_dir}/stage", publish_root=f"{out_dir}/pub"),
+                       ledger_path=f"{out_dir}/ledger", dead_letter_path=f"{out_dir}/dead",
+                       clock=lambda: datetime(2024, 1, 31), strict_order=False)
+    batch = spark.createDataFrame([(b'{"id": "a"}', 0, 0), (b'{"id": "b"}', 0, 1), (b'{"id": "a"}', 0, 2)],
+                                  "value binary, partition int, offset long")
+    process_batch(spark, batch, 0, cfg)
+    assert os.path.exists(f"{out_dir}/pub/exp/a.csv.sha256") and os.path.exists(f"{out_dir}/pub/exp/b.csv.sha256")
+    assert spark.read.parquet(cfg.ledger_path).count() == 3
