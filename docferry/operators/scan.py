@@ -81,27 +81,32 @@ def _child_leaves(view: DocumentView, query: Any, out: list) -> Any:
 
 
 def _attach_child_flags(view: DocumentView, bound: Bound, leaves: list, now: datetime) -> None:
-    """Per document, whether any child satisfies each collected leaf: the leaf
-    is evaluated on the child rows and combined with a boolean max per parent
+    """Per document, whether any child satisfies each collected leaf: leaves are
+    evaluated on the child rows and combined with a boolean max per parent
     (map-side partial aggregation, so a parent with many children is one row
-    per task), then joined to the documents."""
-    for name, clause, body, field, steps in leaves:
-        ch = view.children[steps[0].name]
+    per task), one aggregate and one join for each relation."""
+    by_relation: dict[str, list] = {}
+    for leaf in leaves:
+        by_relation.setdefault(leaf[4][0].name, []).append(leaf)
+    for relation, members in by_relation.items():
+        ch = view.children[relation]
         elem = ch.frame.select(ch.value).schema[0].dataType
-        rest = ".".join(s.name if isinstance(s, Key) else f"[{s.pos}]" for s in steps[1:]).replace(".[", "[")
 
         def child_resolve(p, elem=elem):
             return walk(F.col("__v"), elem, tokenize(p), fan_out=True)
 
-        if clause == "exists":
-            sub = {"exists": {**body, "field": rest}}
-        else:
-            sub = {clause: {(rest if k == field else k): v for k, v in body.items()}}
-        cond = compile_query(sub, child_resolve, now=now)
-        flags = (ch.frame.select(F.col(ch.parent).alias(f"{name}_p"), ch.value.alias("__v"))
-                 .groupBy(f"{name}_p").agg(F.max(cond).alias(name)))
-        bound.frame = (bound.frame.join(flags, bound.frame[view.id_column] == flags[f"{name}_p"], "left")
-                       .drop(f"{name}_p"))
+        flags = []
+        for name, clause, body, field, steps in members:
+            rest = ".".join(s.name if isinstance(s, Key) else f"[{s.pos}]" for s in steps[1:]).replace(".[", "[")
+            if clause == "exists":
+                sub = {"exists": {**body, "field": rest}}
+            else:
+                sub = {clause: {(rest if k == field else k): v for k, v in body.items()}}
+            flags.append(F.max(compile_query(sub, child_resolve, now=now)).alias(name))
+        parent = f"__any_{relation}_p"
+        side = (ch.frame.select(F.col(ch.parent).alias(parent), ch.value.alias("__v"))
+                .groupBy(parent).agg(*flags))
+        bound.frame = bound.frame.join(side, bound.frame[view.id_column] == side[parent], "left").drop(parent)
 
 
 def bind_job(source: DocumentView | DataFrame, query: Any, paths: Sequence[str], *,
@@ -160,6 +165,14 @@ def tag_jobs(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]],
     return bound, tagged
 
 
+def tag_jobs_by_value(df: DataFrame, field: str, jobs: DataFrame) -> DataFrame:
+    """Jobs that differ only in the value of one ``term``: ``jobs`` (job_id,
+    value) is joined on it, so the plan doesn't grow with the job table. Spark
+    broadcasts the jobs where they are small and shuffles both sides beyond."""
+    jobs = jobs.select(F.col("job_id").alias(JOB_TAG), F.col("value").alias("__job_value"))
+    return df.join(jobs, F.col(f"`{field}`") == F.col("__job_value")).drop("__job_value")
+
+
 def count_per_job(source: DocumentView | DataFrame, jobs: Sequence[tuple[str, Any]], *,
                   now: datetime, id_column: str | None = None) -> DataFrame:
     """(job_id, source_count) for every job, zero included; one scan, and a

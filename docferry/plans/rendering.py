@@ -3,21 +3,24 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.functions.render import header_line, json_line
-from docferry.operators.export import bucket_digests, int_bucket, part_count
+from docferry.operators.export import bucket_digests, export_lines, int_bucket, part_count, verify_export
+from docferry.operators.jobs import JobSpec
 from docferry.operators.projection import project, text_cells, with_line
 from docferry.operators.reconcile import pair_counts
-from docferry.operators.scan import JOB_TAG, count_per_job, tag_jobs
+from docferry.operators.scan import JOB_TAG, as_view, count_per_job, tag_jobs, tag_jobs_by_value
 from docferry.plans.filters import NOW
 from docferry.plans.projections import ORDER_EXPORT_COLUMNS, ORDER_EXPORT_PATHS
 from docferry.plans.sqltext import ITEMS_CTE, csv_line_sql, txt
 from docferry.sources.documents import event_documents, order_documents
-from docferry.sources.tables import read_table
+from docferry.session import checkpoint_dir
+from docferry.sources.tables import driver_catalog, read_table
 
 
 def csv_line_render(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +99,69 @@ def csv_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 DIGEST_ROWS_PER_PART = 4096
 
 
+def _written_orders(spark: SparkSession, sf_dir: str):
+    """The flagship export, written in parts: its result."""
+    view = order_documents(spark, sf_dir)
+    n = part_count(view.root.count(), DIGEST_ROWS_PER_PART)
+    rows = project(view, ORDER_EXPORT_COLUMNS, ORDER_EXPORT_PATHS, keep=["order_id"])
+    lines = with_line(rows, ORDER_EXPORT_COLUMNS).select(
+        int_bucket(F.col("__keep_0"), n).alias("bucket"), "line")
+    return export_lines(lines, ORDER_EXPORT_COLUMNS, job_id="orders", out_dir=_scratch(spark, "orders"),
+                        n_parts=n, name="orders.csv")
+
+
+def export_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written parts, counted and digested from the files."""
+    done = _written_orders(spark, sf_dir)
+    return spark.read.parquet(done.manifest_path).select("bucket", "rows", "sha256")
+
+
+def sidecar_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sidecar beside the parts, one digest for each."""
+    done = _written_orders(spark, sf_dir)
+    line = F.split("value", "  ")
+    return spark.read.text(done.sidecar_path).select(
+        F.regexp_extract(line[1], r"bucket=(\d+)/", 1).cast("int").alias("bucket"), line[0].alias("sha256"))
+
+
+def verify_export_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts as recorded, and whether the files still have that digest."""
+    done = _written_orders(spark, sf_dir)
+    bad = verify_export(spark, done).select(F.col("bucket").alias("bad"))
+    return (spark.read.parquet(done.manifest_path).join(bad, F.col("bucket") == F.col("bad"), "left")
+            .select("bucket", "rows", F.col("bad").isNull().alias("intact")))
+
+
+SEGMENT_JOB = JobSpec(job_id="building", data_index="customer", query={"term": {"c_mktsegment": "BUILDING"}},
+                      columns=["c_custkey", "c_name"], remote_filename="building.csv")
+
+
+def _run_segment(spark: SparkSession, sf_dir: str, root: str):
+    from docferry.plans.job_run import RunOptions, run_export
+
+    return run_export(spark, SEGMENT_JOB, driver_catalog(spark, sf_dir), now=NOW,
+                      options=RunOptions(staging_root=f"{root}/stage", publish_root=f"{root}/out",
+                                         ndjson_dir=f"{root}/raw"))
+
+
+def ndjson_tee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw documents of a job, as its run wrote them."""
+    root = _scratch(spark, "tee")
+    done = _run_segment(spark, sf_dir, root)
+    return spark.read.text(f"{root}/raw/{done.job_id}.ndjson").select(F.col("value").alias("json"))
+
+
+def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result record of a finished job run."""
+    from docferry.plans.job_run import append_manifest
+
+    root = _scratch(spark, "manifest")
+    append_manifest(spark, f"{root}/manifest", _run_segment(spark, sf_dir, root))
+    last = F.element_at("attempts", -1)
+    return spark.read.parquet(f"{root}/manifest").select(
+        "job_id", "row_count", last["source_count"].alias("source_count"), "reextracted")
+
+
 def _csv_digest_sql() -> str:
     cells = [txt("o.o_orderkey"), txt("c.c_name"),
              txt("CAST(round(o.o_totalprice * 100) AS BIGINT)"), txt("i0.l_partkey")]
@@ -119,21 +185,25 @@ CUSTOMER_COLUMNS = ["c_custkey", "name", "segment", "balance"]
 CUSTOMER_PATHS = {"name": "c_name", "segment": "c_mktsegment", "balance": "c_acctbal"}
 
 
+def nation_job_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job table: one term job per nation (job_id, value)."""
+    key = F.col("n_nationkey")
+    return read_table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("nation-"), key.cast("string")).alias("job_id"), key.alias("value"))
+
+
 def nation_jobs(spark: SparkSession, sf_dir: str) -> list[tuple[str, dict]]:
-    """The job table: one term job per nation (a few dozen rows)."""
-    keys = [r[0] for r in read_table(spark, sf_dir, "nation").select("n_nationkey")
-            .orderBy("n_nationkey").collect()]
-    return [(f"nation-{k}", {"term": {"c_nationkey": k}}) for k in keys]
+    """The same jobs as queries (a few dozen, for the one-scan runner)."""
+    return [(r.job_id, {"term": {"c_nationkey": r.value}})
+            for r in nation_job_table(spark, sf_dir).orderBy("value").collect()]
 
 
 def multi_job_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Step 8: every nation job's CSV lines from one scan of customer."""
-    jobs = nation_jobs(spark, sf_dir)
+    tagged = tag_jobs_by_value(read_table(spark, sf_dir, "customer"), "c_nationkey", nation_job_table(spark, sf_dir))
     paths = [CUSTOMER_PATHS.get(c, c) for c in CUSTOMER_COLUMNS]
-    bound, tagged = tag_jobs(read_table(spark, sf_dir, "customer"), jobs, now=NOW, paths=paths)
-    bound.frame = tagged
-    cells = text_cells(bound, CUSTOMER_COLUMNS, paths)
-    rows = tagged.select(F.col(JOB_TAG).alias("job_id"), *cells)
+    bound = as_view(tagged).bind(paths)
+    rows = bound.frame.select(F.col(JOB_TAG).alias("job_id"), *text_cells(bound, CUSTOMER_COLUMNS, paths))
     return with_line(rows, CUSTOMER_COLUMNS).select("job_id", "line")
 
 
@@ -143,12 +213,23 @@ def _multi_job_export_sql() -> str:
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder on the storage that all executors share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+
+
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J4 + R1: each job's source count against the rows its export holds."""
-    jobs = nation_jobs(spark, sf_dir)
-    expected = count_per_job(read_table(spark, sf_dir, "customer"), jobs, now=NOW)
-    written = (multi_job_export(spark, sf_dir).groupBy("job_id")
-               .agg(F.count(F.lit(1)).alias("written_rows")))
+    """J4 + R1: each job's source count against the rows of its written parts
+    (the jobs are exported, and the files read back)."""
+    jobs = nation_job_table(spark, sf_dir)
+    counted = read_table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    expected = jobs.join(counted, F.col("value") == F.col("c_nationkey"), "left").select(
+        "job_id", F.coalesce("n", F.lit(0)).alias("source_count"))
+    path = _scratch(spark, "nations")
+    (multi_job_export(spark, sf_dir).repartition("job_id").write.partitionBy("job_id")
+     .option("lineSep", "\n").text(path))
+    written = (spark.read.schema("c string, job_id string").option("multiLine", True).option("escape", '"').csv(path)
+               .groupBy("job_id").agg(F.count(F.lit(1)).alias("written_rows")))
     return pair_counts(expected, written)
 
 
@@ -207,6 +288,16 @@ FROM conversations"""),
   || ', "props": ' || coalesce(CAST(to_json(props) AS VARCHAR), 'null') || '}' AS json
 FROM events"""),
     "csv_digest": (csv_digest, _csv_digest_sql),
+    "export_parts": (export_parts, _csv_digest_sql),
+    "sidecar_lines": (sidecar_lines, lambda: f"SELECT bucket, sha256 FROM ({_csv_digest_sql()})"),
+    "verify_export": (verify_export_query, lambda: f"SELECT bucket, rows, true AS intact FROM ({_csv_digest_sql()})"),
+    "ndjson_tee": (ndjson_tee, lambda: """SELECT '{"c_custkey": ' || CAST(c_custkey AS VARCHAR)
+  || ', "c_name": ' || CAST(to_json(c_name) AS VARCHAR) || ', "c_nationkey": ' || CAST(c_nationkey AS VARCHAR)
+  || ', "c_acctbal": ' || CAST(c_acctbal AS VARCHAR)
+  || ', "c_mktsegment": ' || CAST(to_json(c_mktsegment) AS VARCHAR) || '}' AS json
+FROM customer WHERE c_mktsegment = 'BUILDING'"""),
+    "export_manifest": (export_manifest, lambda: """SELECT 'building' AS job_id, count(*) AS row_count,
+  count(*) AS source_count, false AS reextracted FROM customer WHERE c_mktsegment = 'BUILDING'"""),
     "multi_job_export": (multi_job_export, _multi_job_export_sql),
     "reconcile_counts": (reconcile_counts, _reconcile_counts_sql),
     "reconcile_mismatch": (reconcile_mismatch, _reconcile_mismatch_sql),

@@ -27,6 +27,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Ranks up to this one are limited before the shuffle (``items[5000]``).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 

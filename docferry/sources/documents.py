@@ -201,22 +201,16 @@ class DocumentView:
                 df = df.drop(f"{alias}_p")
                 extra[f"{name}[0]"] = (alias, elem)
                 continue
-            # Ranks up to K: one window limited to K rows per parent (the limit
-            # runs map-side), the at most K survivors gathered per parent, and
-            # one join; each index is then picked out of that short list.
-            limit = ranks[-1] + 1
+            # One window limited to the largest rank (the limit runs map-side);
+            # only the wanted ranks go on, and each is a conditional aggregate,
+            # so a parent leaves every task as one row and nothing is gathered.
             alias = f"__ch_{name}"
-            side = (self._ranked(ch, limit)
-                    .groupBy(F.col("__parent").alias(f"{alias}_p"))
-                    .agg(F.map_from_entries(F.collect_list(F.struct(
-                        F.col("__rn").alias("rn"), F.col("__v").alias("v")))).alias(alias)))
+            side = self._ranked(ch, ranks).groupBy(F.col("__parent").alias(f"{alias}_p")).agg(
+                *[F.first(F.when(F.col("__rn") == k + 1, F.col("__v")), ignorenulls=True).alias(f"{alias}_{k}")
+                  for k in ranks])
             df = df.join(side, df[self.id_column] == side[f"{alias}_p"], "left").drop(f"{alias}_p")
-            picks = []
             for k in ranks:
-                pick = f"__ch_{name}_{k}"
-                picks.append(F.try_element_at(F.col(alias), F.lit(k + 1)).alias(pick))
-                extra[f"{name}[{k}]"] = (pick, elem)
-            df = df.select("*", *picks).drop(alias)
+                extra[f"{name}[{k}]"] = (f"{alias}_{k}", elem)
         for name in sorted(want_whole):
             ch = self.children[name]
             alias = f"__arr_{name}"
@@ -260,12 +254,11 @@ class DocumentView:
                 .agg(F.min(keyed)["v"].alias(alias)))
 
     @staticmethod
-    def _ranked(ch: Children, limit: int) -> DataFrame:
+    def _ranked(ch: Children, ranks: list[int]) -> DataFrame:
         w = Window.partitionBy(F.col(ch.parent)).orderBy(*[F.col(o) for o in ch.order])
-        return (ch.frame
-                .select(F.col(ch.parent).alias("__parent"), ch.value.alias("__v"),
-                        F.row_number().over(w).alias("__rn"))
-                .where(F.col("__rn") <= limit))
+        ranked = ch.frame.select(F.col(ch.parent).alias("__parent"), ch.value.alias("__v"),
+                                 F.row_number().over(w).alias("__rn"))
+        return ranked.where(F.col("__rn") <= ranks[-1] + 1).where(F.col("__rn").isin([k + 1 for k in ranks]))
 
     def nested(self) -> DataFrame:
         """Whole documents as one nested row each (every relation joined).
@@ -287,12 +280,12 @@ class DocumentView:
 # Document views over the driver tables.
 # ---------------------------------------------------------------------------
 
-def order_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> DocumentView:
+def order_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
     """Order documents: order fields, ``customer`` (to-one), ``items`` (list of
     line items ordered by line number, part and supplier)."""
-    orders = read_table(spark, sf_dir, "orders", fresh=fresh)
-    customer = read_table(spark, sf_dir, "customer", fresh=fresh)
-    lineitem = read_table(spark, sf_dir, "lineitem", fresh=fresh)
+    orders = read_table(spark, sf_dir, "orders")
+    customer = read_table(spark, sf_dir, "customer")
+    lineitem = read_table(spark, sf_dir, "lineitem")
     root = orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_key"),
@@ -331,9 +324,9 @@ def order_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) ->
     return DocumentView(root, "order_id", {"customer": cust}, {"items": items})
 
 
-def event_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> DocumentView:
+def event_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
     """Event documents; ``props`` holds schemaless JSON and is read as variant."""
-    events = read_table(spark, sf_dir, "events", fresh=fresh)
+    events = read_table(spark, sf_dir, "events")
     root = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.try_parse_json("props").alias("props"),
@@ -364,9 +357,9 @@ def json_string_documents(df: DataFrame, column: str, *, id_column: str | None =
     return DocumentView.schemaless(docs, "_source", id_column)
 
 
-def conversation_documents(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> DocumentView:
+def conversation_documents(spark: SparkSession, sf_dir: str) -> DocumentView:
     """One document per conversation with its ``turns`` in turn order."""
-    conv = read_table(spark, sf_dir, "conversations", fresh=fresh)
+    conv = read_table(spark, sf_dir, "conversations")
     root = conv.select("conv_id").distinct()
     turns = Children(
         frame=conv, parent="conv_id", order=("turn", "role", "text"),

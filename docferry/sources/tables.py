@@ -18,17 +18,9 @@ TABLE_NAMES = (
 )
 
 
-_FRAMES: dict[tuple[int, str], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, fresh: bool = False) -> DataFrame:
-    """Parquet scan of one table. The DataFrame (a plan, not data) is reused
-    within a session; ``fresh`` lists the files again (a re-extract)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if fresh or key not in _FRAMES:
-        _FRAMES[key] = spark.read.parquet(path)
-    return _FRAMES[key]
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one table over its current files."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Catalog:
@@ -58,26 +50,42 @@ def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
 
     cat = Catalog()
     for name in TABLE_NAMES:
-        cat.register(name, lambda n=name: read_table(spark, sf_dir, n, fresh=True))
-    cat.register("order_docs", lambda: documents.order_documents(spark, sf_dir, fresh=True))
-    cat.register("event_docs", lambda: documents.event_documents(spark, sf_dir, fresh=True))
+        cat.register(name, lambda n=name: read_table(spark, sf_dir, n))
+    cat.register("order_docs", lambda: documents.order_documents(spark, sf_dir))
+    cat.register("event_docs", lambda: documents.event_documents(spark, sf_dir))
     cat.register("conversation_docs",
-                 lambda: documents.conversation_documents(spark, sf_dir, fresh=True))
+                 lambda: documents.conversation_documents(spark, sf_dir))
     return cat
 
 
-def folder_catalog(spark: SparkSession, root: str) -> Catalog:
+def folder_catalog(spark: SparkSession, root: str, *, ids: dict[str, str] | None = None) -> Catalog:
     """Every ``<name>.parquet`` file or ``<name>/`` parquet folder under
-    ``root`` as a document table named ``<name>`` (listed once, read fresh)."""
+    ``root`` as a document table named ``<name>``. A name that isn't known yet
+    is looked for in the folder again. ``ids`` names the id column of a table,
+    which serves as its documents' ``_id``."""
     from docferry.sources import fs
-
-    fsys, p = fs._fs(spark, root)
-    cat = Catalog()
-    for st in fsys.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith((".", "_")):
-            continue
-        table = name[: -len(".parquet")] if name.endswith(".parquet") else name
-        path = st.getPath().toString()
-        cat.register(table, lambda path=path: spark.read.parquet(path))
-    return cat
+    from docferry.sources.documents import DocumentView
+
+    ids = ids or {}
+
+    def found() -> dict[str, str]:
+        fsys, p = fs._fs(spark, root)
+        out = {}
+        for st in fsys.listStatus(p):
+            name = st.getPath().getName()
+            if not name.startswith((".", "_")):
+                out[name.removesuffix(".parquet")] = st.getPath().toString()
+        return out
+
+    class Folder(Catalog):
+        def names(self) -> list[str]:
+            return sorted(found())
+
+        def get(self, name: str):
+            path = found().get(name)
+            if path is None:
+                raise KeyError(f"unknown data_index {name!r}")
+            df = spark.read.parquet(path)
+            return DocumentView.of(df, ids[name]) if name in ids else df
+
+    return Folder()
