@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -211,7 +212,7 @@ def py_json(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         parts = []
         for i, f in enumerate(dtype.fields):
-            key = F.lit(("" if i == 0 else ", ") + __import__("json").dumps(f.name, ensure_ascii=False) + ": ")
+            key = F.lit(("" if i == 0 else ", ") + json.dumps(f.name, ensure_ascii=False) + ": ")
             parts += [key, py_json(c.getField(f.name), f.dataType)]
         body = F.concat(F.lit("{"), *parts, F.lit("}")) if parts else F.lit("{}")
         return F.when(c.isNull(), F.lit("null")).otherwise(body)

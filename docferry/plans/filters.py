@@ -13,7 +13,7 @@ from docferry.plans.sqltext import ITEMS_CTE, txt
 from docferry.sources.documents import event_documents, json_string_documents, order_documents
 from docferry.sources.tables import read_table
 
-# Fixed value: the job-run clock of the test jobs (events span 2024-01-01..30).
+# The job-run clock of the test jobs (events span 2024-01-01..30).
 NOW = datetime(2024, 1, 31, 0, 0, 0)
 
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -175,7 +175,7 @@ def filter_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound.frame.where(pred).select("order_id")
 
 
-# One export job per event type plus a range and a bool job.
+# One export job per event type plus a range and a bool job.
 EVENT_JOBS = [
     ("events-click", {"term": {"event_type": "click"}}),
     ("events-view", {"term": {"event_type": "view"}}),

@@ -9,7 +9,7 @@ from docferry.sources.tables import read_table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _KEYS_SQL = ", ".join(KEYS)
-# The page request of the keyset query.
+# The page request of the keyset query.
 PAGE_SIZE = 1000
 CURSOR = (1000, 3, 0, 0)
 

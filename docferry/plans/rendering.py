@@ -240,7 +240,7 @@ def _reconcile_counts_sql() -> str:
 FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey"""
 
 
-# Moving-window jobs counted and extracted at different clocks
+# Moving-window jobs counted and extracted at different clocks
 # (the race that a job-run clock shared by count and extract removes).
 WINDOW_JOBS = [(f"events-{t}-3d", {"bool": {"filter": [
     {"term": {"event_type": t}}, {"range": {"ts": {"gte": "now-3d"}}}]}})

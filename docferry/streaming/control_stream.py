@@ -18,9 +18,8 @@ Returning from the batch function commits it (checkpointed offsets).
 ``trigger(availableNow=True)`` drains what is there and stops (T9);
 ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` 1 gives one record per batch.
 
-The control records of one micro-batch are few by construction (bounded by
-the trigger limits), so the ordered job loop over them runs on the driver;
-no document data passes through it.
+The ordered job loop runs on the driver, over records that come to it a
+partition at a time; no document data passes through it.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +93,8 @@ class StreamConfig:
     # True: one job after another in (partition, offset) order (T7). False:
     # the batch's jobs that read the same table share one scan.
     strict_order: bool = True
+    # Records held by the driver when jobs share scans.
+    records_at_once: int = 1000
     # Asked before each record; True ends the stream after the current job.
     stop: Callable[[], bool] | None = None
 
@@ -131,10 +133,11 @@ def _process(spark: SparkSession, batch: DataFrame, epoch_id: int, cfg: StreamCo
     done = _done(spark, cfg.ledger_path, min_offset)
     if done is not None:
         todo = todo.join(done, ["partition", "offset"], "left_anti")
-    records = todo.orderBy("partition", "offset").collect()
-    _log.info("batch %d: %d record(s) to run", epoch_id, len(records))
+    # In order, a partition at a time: a trigger bounds files, not records.
+    records = todo.orderBy("partition", "offset").toLocalIterator()
     if not cfg.strict_order:
-        _run_grouped(spark, records, cfg)
+        while some := list(islice(records, cfg.records_at_once)):
+            _run_grouped(spark, some, cfg)
         return
     for rec in records:
         if cfg.stop is not None and cfg.stop():
