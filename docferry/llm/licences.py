@@ -232,7 +232,7 @@ def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[list[bytes]
     """Ordinary paragraphs of a bounded sample; those that repeat a notice's
     words are left out."""
     texts = (docs.filter("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h"))
-             .orderBy("h").limit(rows).select(F.substring("text", 1, 4000).alias("text")).toArrow().column(0))
+             .orderBy("h").limit(rows).select("text").toArrow().column(0))
     known = [t for family in templates() for t in family]
     out = []
     for text in utf8(texts.combine_chunks()):
