@@ -16,12 +16,12 @@ similarity of 0.75 or more is linked, and no other.
    out, too. Both tests are necessary conditions: no link is lost. A passage
    that thousands of documents share goes no further than here.
 4. ``links``: survivors keep their rarest keys, as many as a partner must share
-   one of. In each bucket of equal keys one member, then two, four, ... are
-   compared with the others of a different component; when what is left to
-   compare is no more than ``REST`` times the rows, it is compared at once. A
-   group of near copies is thus one star, not all its pairs. A pair is dropped
-   where the Hamming distance of the parity sketches exceeds its largest
-   symmetric difference; the others are counted exactly.
+   one of, and buckets with the same members count once. First each bucket's
+   smallest member is compared with the others, so a group of near copies is a
+   star, not all its pairs. Then members of a bucket whose components still
+   differ are compared by their parity sketches, block by block inside a task;
+   only pairs whose Hamming distance is within their largest symmetric
+   difference leave it and are counted exactly.
 5. ``components`` joins the links by taking the smallest neighbour, following
    parents and contracting, as joins.
 
@@ -47,7 +47,7 @@ from docferry.llm.common import settle, unused, utf8
 from docferry.llm.shingles import block_keys, levels, set_digest, shingle_set, sketch
 
 BROADCAST_IDS = 300_000  # ids of 8 bytes; beyond that they are joined by shuffle
-REST = 4
+CHUNK = 2_048  # members of a bucket compared in one task; larger buckets are cut
 ROWS_OUT = 200_000
 
 
@@ -190,9 +190,16 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return near.join(p, "x").join(q, "y").filter(common * 7 >= (F.col("nx") + F.col("ny")) * 3).select("x", "y")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root for every node of ``edges`` (x, y)."""
-    labels, rest = None, edges
+def merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, root) with the components that ``edges`` (x, y, all of
+    them nodes) join made one."""
+    def roots(edges: DataFrame, of: DataFrame) -> DataFrame:
+        a = of.select(F.col("node").alias("x"), F.col("root").alias("rx"))
+        b = of.select(F.col("node").alias("y"), F.col("root").alias("ry"))
+        return settle(edges.join(a, "x").join(b, "y").filter("rx != ry")
+                      .select(F.least("rx", "ry").alias("x"), F.greatest("rx", "ry").alias("y")).distinct(), "edges")
+
+    rest = roots(edges, labels)
     while not rest.isEmpty():
         both = rest.select("x", "y").unionByName(rest.select(F.col("y").alias("x"), F.col("x").alias("y")))
         parent = settle(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m"))
@@ -206,51 +213,139 @@ def components(edges: DataFrame) -> DataFrame:
             if jumped.filter("moved").isEmpty():
                 break
         up = parent.select(F.col("node").alias("mid"), F.col("root").alias("top"))
-        labels = parent if labels is None else settle(
-            labels.join(up, F.col("root") == F.col("mid"), "left")
-            .select("node", F.coalesce("top", "root").alias("root")), "labels")
-        rest = rest.join(up.select(F.col("mid").alias("x"), F.col("top").alias("tx")), "x") \
-            .join(up.select(F.col("mid").alias("y"), F.col("top").alias("ty")), "y") \
-            .filter("tx != ty").select(F.least("tx", "ty").alias("x"), F.greatest("tx", "ty").alias("y")).distinct()
-        rest = settle(rest, "edges")
-    return labels if labels is not None else edges.select(F.col("x").alias("node"), F.col("y").alias("root"))
+        labels = settle(labels.join(up, F.col("root") == F.col("mid"), "left")
+                        .select("node", F.coalesce("top", "root").alias("root")), "labels")
+        rest = roots(rest, parent)
+    return labels
 
 
-def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, root: components of the classes (others are alone)."""
-    edges = tried = None
-    labels = rows.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct().limit(0)
-    leaders = 1
-    while True:
-        own = rows.join(labels, rows["cls"] == labels["node"], "left") \
-            .select("key", "cls", F.coalesce("root", "cls").alias("root"))
-        w = W.partitionBy("key")
-        mixed = settle(own.withColumn("lo", F.min("root").over(w)).withColumn("hi", F.max("root").over(w))
-                       .filter("lo != hi").drop("lo", "hi"), "mixed")
-        sizes = mixed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")) \
-            .groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        left, n = sizes.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("s")) / 2), F.lit(0.0)),
-                            F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not n:
-            break
-        last = left <= REST * n
-        some = mixed.select(F.col("key").alias("k"), F.col("cls").alias("l"), F.col("root").alias("r"))
-        if not last:
-            order = W.partitionBy("k").orderBy("l")
-            some = some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= leaders).drop("rank")
-        pairs = mixed.join(some, mixed["key"] == some["k"]).filter("root != r") \
-            .select(F.least("cls", "l").alias("x"), F.greatest("cls", "l").alias("y")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = settle(pairs, "pairs")
-        found = settle(verified(pairs, sets), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = settle(components(edges), "labels")
-        if last:
+def components(edges: DataFrame) -> DataFrame:
+    """node, root (the component's smallest node) for every node of ``edges``."""
+    nodes = edges.select(F.col("x").alias("node")).unionByName(edges.select(F.col("y").alias("node"))).distinct()
+    return merge(settle(nodes.select("node", F.col("node").alias("root")), "labels"), edges)
+
+
+def distinct_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, cls) without buckets whose members are those of another
+    one: copies and near copies share most of their keys."""
+    members = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("cls")).alias("a"),
+        F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("b"))
+    one = members.filter("n > 1").groupBy("n", "a", "b").agg(F.min("key").alias("key")).select("key")
+    return rows.join(one, "key", "left_semi")
+
+
+def _fold_to(rows: list[np.ndarray], words: int) -> np.ndarray:
+    """Sketches of one length; longer ones (of the level above) are folded."""
+    out = np.empty((len(rows), words), np.uint64)
+    for i, r in enumerate(rows):
+        while len(r) > words:
+            half = len(r) // 2
+            r = r[:half] ^ r[half:]
+        out[i] = r
+    return out
+
+
+def _close_pairs(cls, roots, sizes, sketches, side, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Members of different components (and sides, if ``across``) whose sketches
+    are within their largest symmetric difference."""
+    order = np.argsort(roots, kind="stable")
+    cls, roots, sizes, side = cls[order], roots[order], sizes[order], side[order]
+    x = _fold_to([sketches[i] for i in order], min(len(r) for r in sketches))
+    ends = np.searchsorted(roots, roots, side="right")
+    left, right = [], []
+    for i in range(len(cls)):
+        j = ends[i]  # later members of the same component need no comparison
+        if j == len(cls):
             break
-        leaders *= 2
-    return labels
+        apart = np.bitwise_count(x[j:] ^ x[i]).sum(axis=1, dtype=np.int64)
+        near = apart * 7 <= sizes[j:] + sizes[i]
+        if across:
+            near &= side[j:] != side[i]
+        at = np.flatnonzero(near)
+        if len(at):
+            left.append(np.full(len(at), cls[i]))
+            right.append(cls[j + at])
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = np.concatenate(left), np.concatenate(right)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """x, y: pairs of one bucket and different components with close sketches.
+    ``rows``: key, cls, root, n (the bucket's members). A bucket of more than
+    ``CHUNK`` members is cut by a hash, and each two of its cuts are a group."""
+    cuts = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
+    own = F.pmod(F.xxhash64("cls"), cuts).cast("int")
+    grouped = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), cuts - 1))) \
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root")
+    thin = sets.select("cls", "size", "sketch")
+    dealt = grouped.join(thin, "cls").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def pairs(table: pa.Table):
+            """All whole groups of ``table``, which is in order."""
+            if not table.num_rows:
+                return None
+            key, i, j, own, cls, root, size = (table.column(c).to_numpy() for c in
+                                               ("key", "i", "j", "own", "cls", "root", "size"))
+            sk = table.column("sketch").combine_chunks()
+            offsets, words = sk.offsets.to_numpy(), sk.values.to_numpy().view(np.uint64)
+            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+            found = []
+            for a, b in zip(new, np.r_[new[1:], len(key)], strict=True):
+                if b - a > 1:
+                    found.append(_close_pairs(cls[a:b], root[a:b], size[a:b],
+                                              [words[offsets[r]:offsets[r + 1]] for r in range(a, b)],
+                                              own[a:b], i[a] != j[a]))
+            if not found:
+                return None
+            both = np.unique(np.stack([np.concatenate([f[0] for f in found]),
+                                       np.concatenate([f[1] for f in found])]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["x", "y"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last group of what is held may go on in the next batch.
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            key, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
+            last = int(np.argmax((key == key[-1]) & (i == i[-1]) & (j == j[-1])))
+            if last:
+                out = pairs(table.slice(0, last).combine_chunks())
+                held = table.slice(last).to_batches()
+                if out is not None:
+                    yield out
+        if held:
+            out = pairs(pa.Table.from_batches(held).combine_chunks())
+            if out is not None:
+                yield out
+
+    return dealt.select("key", "i", "j", "own", "cls", "root", "size", "sketch") \
+        .mapInArrow(run, "x long, y long").distinct()
+
+
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, cls, root, n of the buckets with more than one component."""
+    w = W.partitionBy("key")
+    return (rows.join(labels, F.col("cls") == F.col("node")).select("key", "cls", "root")
+            .withColumn("lo", F.min("root").over(w)).withColumn("hi", F.max("root").over(w))
+            .withColumn("n", F.count(F.lit(1)).over(w)).filter("lo != hi").drop("lo", "hi"))
+
+
+def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, root: components of the classes in ``rows`` (others are alone)."""
+    rows = settle(distinct_buckets(rows), "buckets")
+    labels = settle(rows.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct(), "labels")
+    first = rows.groupBy("key").agg(F.min("cls").alias("x"))
+    stars = rows.join(first, "key").filter("cls != x").select("x", F.col("cls").alias("y")).distinct()
+    labels = merge(labels, settle(verified(settle(stars, "pairs"), sets), "links"))
+    rest = close_pairs(settle(_mixed(rows, labels), "mixed"), sets)
+    return merge(labels, settle(verified(settle(rest, "pairs"), sets), "links"))
 
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

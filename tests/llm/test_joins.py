@@ -81,9 +81,14 @@ def test_odd_documents(odd_docs, no_docs, monkeypatch):
     assert similarity.near_duplicates(no_docs).count() == 0 and similarity.one_of_each(no_docs).count() == 0
 
 
-def test_rounds_of_leaders_find_every_link(spark, words, monkeypatch):
-    """With no final all-at-once step until little is left."""
-    monkeypatch.setattr(similarity, "REST", 0.2)
+def test_cut_buckets_find_every_link(spark, words, monkeypatch, request):
+    """Buckets of more than a few members are compared cut by cut, and groups
+    go on from one Arrow batch to the next."""
+    monkeypatch.setattr(similarity, "CHUNK", 3)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    request.addfinalizer(lambda: spark.conf.set(key, before))
     rows = [r for r in corpus(words) if len(r[1].split()) > 100]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in similarity.near_duplicates(docs).collect()), key=repr) == brute(rows)
