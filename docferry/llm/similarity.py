@@ -16,9 +16,10 @@ similarity of 0.75 or more is linked, and no other.
    out, too. Both tests are necessary conditions: no link is lost. A passage
    that thousands of documents share goes no further than here.
 4. ``links``: survivors keep their rarest keys, as many as a partner must share
-   one of, and buckets with the same members count once. First each bucket's
-   smallest member is compared with the others, so a group of near copies is a
-   star, not all its pairs. Then members of a bucket whose components still
+   one of, and buckets with the same members count once. First ``STARS`` members
+   of each bucket, one after another and the same ones in most buckets of a
+   group, are compared with the others, so a group of near copies is a few
+   stars, not all its pairs. Then members of a bucket whose components still
    differ are compared by their parity sketches, block by block inside a task;
    only pairs whose Hamming distance is within their largest symmetric
    difference leave it and are counted exactly.
@@ -47,6 +48,7 @@ from docferry.llm.common import settle, unused, utf8
 from docferry.llm.shingles import block_keys, levels, set_digest, shingle_set, sketch
 
 BROADCAST_IDS = 300_000  # ids of 8 bytes; beyond that they are joined by shuffle
+STARS = 3  # leaders of a bucket that are compared with all its members first
 CHUNK = 2_048  # members of a bucket compared in one task; larger buckets are cut
 ROWS_OUT = 200_000
 
@@ -341,9 +343,14 @@ def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """node, root: components of the classes in ``rows`` (others are alone)."""
     rows = settle(distinct_buckets(rows), "buckets")
     labels = settle(rows.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct(), "labels")
-    first = rows.groupBy("key").agg(F.min("cls").alias("x"))
-    stars = rows.join(first, "key").filter("cls != x").select("x", F.col("cls").alias("y")).distinct()
-    labels = merge(labels, settle(verified(settle(stars, "pairs"), sets), "links"))
+    for order in range(STARS):
+        mixed = settle(_mixed(rows, labels), "mixed")
+        rank = F.struct(F.xxhash64(F.lit(order), "cls").alias("h"), "cls", "root")
+        leader = mixed.groupBy("key").agg(F.min(rank).alias("l")).select(
+            "key", F.col("l.cls").alias("l"), F.col("l.root").alias("r"))
+        stars = mixed.join(leader, "key").filter("root != r") \
+            .select(F.least("cls", "l").alias("x"), F.greatest("cls", "l").alias("y")).distinct()
+        labels = merge(labels, settle(verified(settle(stars, "pairs"), sets), "links"))
     rest = close_pairs(settle(_mixed(rows, labels), "mixed"), sets)
     return merge(labels, settle(verified(settle(rest, "pairs"), sets), "links"))
 
