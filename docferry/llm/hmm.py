@@ -46,7 +46,7 @@ from docferry.llm.words import word_hashes, words
 STATES = 8
 EMISSIONS = 8192
 ROUNDS = 6
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 18  # few enough that most blocks' codes have 16 bits
 SEGMENT = 256
 BATCH_TOKENS = 1 << 18
 END = -1  # the end token's hash, as a signed number
@@ -87,7 +87,7 @@ def blocks(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([part << 24 | n], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([lengths], pa.list_(pa.int32())), pa.array([held], pa.list_(pa.bool_())),
-                 pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                 pa.array([codes.astype("<u2" if len(found) <= 1 << 16 else "<u4").tobytes()], pa.binary()),
                  pa.array([found], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))],
                 names=[f.split()[0] for f in BLOCKS.split(", ")])
 
@@ -113,42 +113,34 @@ def blocks(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
 
 
 class Vocabulary:
-    """The frequent words, the classes of the others, and corpus totals."""
-
-    def __init__(self, top_words: np.ndarray, top_counts: np.ndarray, tiers: dict[int, tuple[int, int]],
-                 total: int, distinct: int) -> None:
-        order = np.argsort(top_words)
-        self.words, self.place = top_words[order], order
-        self.counts = top_counts[order]
-        self.total, self.distinct = total, distinct
-        self.tiers = tiers  # tier -> (words, occurrences)
-        self.size = len(top_words)
+    """Counts of the frequent words (class 0, 1, ...), the classes of the
+    others, and corpus totals."""
+
+    def __init__(self, top_counts: np.ndarray, tiers: dict[int, int], total: int, distinct: int) -> None:
+        self.counts, self.total, self.distinct = top_counts, total, distinct
+        self.size = len(top_counts)
         self.classes = self.size + TIERS + 1  # the last one: unseen words
+        self.sums = np.ones(TIERS)
+        for t, n in tiers.items():
+            self.sums[t] = n
         self.occurrences = np.zeros(self.classes)
         self.occurrences[:self.size] = top_counts
-        for t, (_, n) in tiers.items():
+        for t, n in tiers.items():
             self.occurrences[self.size + t] = n
-        self.occurrences[-1] = tiers[0][1] if 0 in tiers else 0.5
+        self.occurrences[-1] = tiers.get(0, 0.5)
 
-    def look_up(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class, log of the share within the class, and count of dictionary
-        words; ``counts`` holds those of words that aren't frequent."""
-        cls = np.full(len(hashes), self.classes - 1, np.int64)
-        share = np.full(len(hashes), -math.log(max(1, self.distinct)))
-        c = counts.astype(np.int64).copy()
-        if self.size:
-            at = np.minimum(np.searchsorted(self.words, hashes), self.size - 1)
-            top = self.words[at] == hashes
-            cls[top], share[top], c[top] = self.place[at[top]], 0.0, self.counts[at[top]]
-        else:
-            top = np.zeros(len(hashes), bool)
-        rare = ~top & (c > 0)
-        tier = np.floor(np.log2(np.maximum(c, 1))).astype(np.int64)
-        cls[rare] = self.size + tier[rare]
-        sums = np.ones(TIERS)
-        for t, (_, n) in self.tiers.items():
-            sums[t] = n
-        share[rare] = np.log(c[rare] / sums[tier[rare]])
+        words; a value is a count, or ``-1 - class`` of a frequent word."""
+        c = values.copy()
+        top, rare = values < 0, values > 0
+        cls = np.full(len(values), self.classes - 1, np.int64)
+        share = np.full(len(values), -math.log(max(1, self.distinct)))
+        cls[top], share[top] = -1 - values[top], 0.0
+        c[top] = self.counts[cls[top]]
+        tier = np.floor(np.log2(c[rare])).astype(np.int64)
+        cls[rare] = self.size + tier
+        share[rare] = np.log(c[rare] / self.sums[tier])
         return cls, share, c
 
 
@@ -165,17 +157,17 @@ def encode(coded: DataFrame) -> tuple[DataFrame, Vocabulary]:
     counts = settle(entries.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.orderBy(F.desc("c"), "word").limit(EMISSIONS).toArrow().to_pydict()
-    top_words = np.array(top["word"], np.int64)
-    top_counts = np.array(top["c"], np.int64)
-    least = spark.createDataFrame([(int(w),) for w in top_words], "word long")
-    others = counts.join(F.broadcast(least), "word", "left_anti")  # at most EMISSIONS words
-    tier = F.floor(F.log2("c") + F.lit(1e-9)).cast("int")
-    tiers = {r["t"]: (r["w"], r["n"]) for r in others.groupBy(tier.alias("t"))
-             .agg(F.count(F.lit(1)).alias("w"), F.sum("c").alias("n")).collect()}
-    vocabulary = Vocabulary(top_words, top_counts, tiers, total, distinct)
-    own = (entries.select("block", "pos", "word").join(F.broadcast(least), "word", "left_anti")
-           .join(others, "word").groupBy("block")
-           .agg(F.collect_list("pos").alias("places"), F.collect_list("c").alias("seen")))
+    # At most EMISSIONS rows.
+    frequent = F.broadcast(spark.createDataFrame([(int(w), -1 - i) for i, w in enumerate(top["word"])],
+                                                 "word long, value long"))
+    others = counts.join(frequent, "word", "left_anti").withColumnRenamed("c", "value")
+    tiers = {r["t"]: r["n"] for r in others.groupBy(F.floor(F.log2("value") + F.lit(1e-9)).cast("int").alias("t"))
+             .agg(F.sum("value").alias("n")).collect()}
+    vocabulary = Vocabulary(np.array(top["c"], np.int64), tiers, total, distinct)
+    words_of = entries.select("block", "pos", "word")
+    own = (words_of.join(frequent, "word").select("block", "pos", "value")
+           .unionByName(words_of.join(frequent, "word", "left_anti").join(others, "word").select("block", "pos", "value"))
+           .groupBy("block").agg(F.collect_list("pos").alias("places"), F.collect_list("value").alias("found")))
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def classes(batches):
@@ -183,12 +175,12 @@ def encode(coded: DataFrame) -> tuple[DataFrame, Vocabulary]:
         for batch in batches:
             for r in range(batch.num_rows):
                 lengths = batch.column("lengths")[r].values.to_numpy()
-                codes = np.frombuffer(batch.column("codes")[r].as_py(), "<i4")
-                hashes = batch.column("words")[r].values.to_numpy()
-                seen = np.zeros(len(hashes), np.int64)
+                raw = batch.column("codes")[r].as_py()
+                codes = np.frombuffer(raw, "<u2" if len(raw) == 2 * lengths.sum() else "<u4")
+                values = np.zeros(int(codes.max()) + 1, np.int64)
                 if batch.column("places")[r].is_valid:
-                    seen[batch.column("places")[r].values.to_numpy()] = batch.column("seen")[r].values.to_numpy()
-                cls, share, c = v.look_up(hashes, seen)
+                    values[batch.column("places")[r].values.to_numpy()] = batch.column("found")[r].values.to_numpy()
+                cls, share, c = v.look_up(values)
                 logp = np.log10((c + 0.5) / (v.total + 0.5 * (v.distinct + 1)))
                 starts = np.cumsum(lengths) - lengths
                 yield pa.RecordBatch.from_arrays(
@@ -200,7 +192,7 @@ def encode(coded: DataFrame) -> tuple[DataFrame, Vocabulary]:
                      pa.array([np.add.reduceat(share[codes], starts)], pa.list_(pa.float64()))],
                     names=[f.split()[0] for f in ENCODED.split(", ")])
 
-    joined = coded.drop("counts").join(own, "block", "left")
+    joined = coded.drop("words", "counts").join(own, "block", "left")
     return settle(joined.mapInArrow(classes, ENCODED), "encoded"), vocabulary
 
 
