@@ -1,17 +1,22 @@
 """Licence scan: a trained paragraph classifier.
 
-A paragraph is a line. Its words (letters, digits and non-ASCII bytes, A-Z in
-lower case) and word pairs are hashed to ``FEATURES`` sparse features of a
-multinomial logistic regression over licence families and ``unknown``. The
-model is trained here: on the notices in ``NOTICES``, each also with words
-dropped, added or put into a longer paragraph, against a bounded sample of
-paragraphs of the corpus (``BACKGROUND_ROWS`` documents with the lowest hashes).
-A temperature fitted on variants left out of training calibrates the
-probabilities, that of ``unknown`` among them.
-
-A paragraph is reported when a family is likelier than ``LEAST_PROBABILITY``
-and a template of that family confirms it: at least ``LEAST_OVERLAP`` of the
-template's word pairs are in the paragraph.
+A paragraph is a line. A notice may be wrapped over lines, or be anywhere in a
+long one: templates are sought in the words of all lines up to one without
+words, and a notice's paragraph is the line where it begins.
+
+Words (letters, digits and non-ASCII bytes, A-Z in lower case) and word pairs
+are hashed to ``FEATURES`` sparse features of a multinomial logistic regression
+over licence families and ``unknown``. The model is trained here: on the
+notices in ``NOTICES``, each also with words dropped, added or put into a longer
+paragraph, against a bounded sample of paragraphs of the corpus
+(``BACKGROUND_ROWS`` documents with the lowest hashes). A temperature fitted on
+variants left out of training calibrates the probabilities, that of ``unknown``
+among them.
+
+A notice is reported wherever at least ``LEAST_OVERLAP`` of a template's word
+pairs are within twice its length and 20 words, and its family is likelier than
+``LEAST_PROBABILITY`` by the words of that match and ``MARGIN`` on each side. So
+the rest of the paragraph doesn't count, and a paragraph may have several.
 
 Defined cases: a null or empty text has no paragraphs; lines without words are
 not counted; null ids are scanned; repeated rows are reported alike; an empty
@@ -36,6 +41,7 @@ VARIANTS = 40
 LEAST_PROBABILITY = 0.5
 LEAST_OVERLAP = 0.6
 BLOCK_WORDS = 200_000
+MARGIN = 2
 UNKNOWN = "unknown"
 
 # Short notices by which public licences are named in texts.
@@ -176,13 +182,98 @@ def train(background: list[list[bytes]], seed: int = 5, steps: int = 60) -> tupl
     return w, bias, best[1]
 
 
-def templates() -> list[list[set[tuple[bytes, bytes]]]]:
-    """Word pairs of every notice, by family."""
-    out: list[list[set]] = [[]]
-    for family in FAMILIES[1:]:
-        out.append([set(zip(w, w[1:], strict=False)) for w in
-                    (_number_free(tokens(n.encode())) for n in NOTICES[family])])
-    return out
+def pair_codes(hashes: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word and the next one."""
+    return mix64(hashes[:-1] * _P1 + hashes[1:] * _P2)
+
+
+class Templates:
+    """The word pairs of every notice and where a text has enough of them."""
+
+    def __init__(self) -> None:
+        pairs = []
+        self.family, self.reach = [], []
+        for y, family in enumerate(FAMILIES[1:], 1):
+            for notice in NOTICES[family]:
+                words = _number_free(tokens(notice.encode()))
+                pairs.append(np.unique(pair_codes(word_hashes().of(words))))
+                self.family.append(y)
+                self.reach.append(2 * len(words) + 20)
+        self.size = np.array([len(c) for c in pairs])
+        owner = np.repeat(np.arange(len(pairs)), self.size)
+        codes = np.concatenate(pairs)
+        order = np.argsort(codes, kind="stable")
+        self.owner = owner[order]
+        self.codes, self.first, self.count = np.unique(codes[order], return_index=True, return_counts=True)
+
+    def _hits(self, hashes: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """template, position, pair: every pair of a template in the words, in
+        order of template and position."""
+        codes = pair_codes(hashes)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        where = np.flatnonzero((self.codes[at] == codes) & (block[:-1] == block[1:]))
+        at = at[where]
+        n = self.count[at]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        t = self.owner[np.repeat(self.first[at], n) + step]
+        order = np.argsort(t, kind="stable")
+        return t[order], np.repeat(where, n)[order], np.repeat(at, n)[order]
+
+    def matches(self, hashes: np.ndarray, block: np.ndarray, share: float):
+        """(template, positions of its pairs, first and last position of its
+        tightest window) wherever at least ``share`` of a template's pairs are
+        within its reach and in one block."""
+        if len(hashes) < 2:
+            return
+        t, p, pair = self._hits(hashes, block)
+        need = np.ceil(self.size * share - 1e-9).astype(np.int64)
+        reach = np.array(self.reach)
+        last = np.arange(len(t)) + need[t] - 1
+        inside = np.flatnonzero(last < len(t))
+        last = last[inside]
+        ok = (t[last] == t[inside]) & (block[p[last]] == block[p[inside]]) & (p[last] - p[inside] < reach[t[inside]])
+        starts = inside[ok]
+        for group in np.split(starts, np.flatnonzero(np.diff(t[starts])) + 1):
+            if len(group):
+                k = int(t[group[0]])
+                end = int(np.searchsorted(t, k, side="right"))
+                yield from self._windows(k, int(need[k]), group.tolist(), end, p, pair, block)
+
+    def _windows(self, k: int, need: int, starts: list[int], end: int, p, pair, block):
+        i = 0
+        while i < len(starts):
+            best, tight, j = None, None, i
+            while j < len(starts) and p[starts[j]] < p[starts[i]] + self.reach[k]:
+                row, seen = starts[j], {}
+                first, stop = int(p[row]), int(p[row]) + self.reach[k]
+                while row < end and p[row] < stop and block[p[row]] == block[first]:
+                    if int(pair[row]) not in seen:
+                        seen[int(pair[row])] = int(p[row])
+                        if len(seen) == need and (tight is None or int(p[row]) - first < tight[1] - tight[0]):
+                            tight = (first, int(p[row]))
+                        top = row
+                    row += 1
+                if len(seen) >= need:
+                    rank = (len(seen), first - int(p[top]))
+                    if best is None or rank > best[0]:
+                        best = (rank, starts[j], top, list(seen.values()))
+                j += 1
+            if best is None:
+                i = j
+                continue
+            _, low, top, at = best
+            before = [s for s in starts[i:j] if s < low]
+            if before:  # a lesser match before the best one
+                yield from self._windows(k, need, before, low, p, pair, block)
+            if tight[0] < at[0] or tight[1] > at[-1]:
+                tight = (at[0], at[-1])
+            yield k, at, *tight
+            while i < len(starts) and starts[i] <= top:
+                i += 1
+
+
+def templates() -> Templates:
+    return Templates()
 
 
 def paragraphs(text: bytes) -> list[list[bytes]]:
@@ -190,40 +281,83 @@ def paragraphs(text: bytes) -> list[list[bytes]]:
     return [w for w in found if w]
 
 
-def scan_texts(texts: list[bytes], model, known) -> list[tuple[int, list[tuple[int, int, float, float]]]]:
-    """For each text: its number of paragraphs, and the confirmed ones as
-    (paragraph, family, probability, overlap)."""
+def blocks(text: bytes) -> tuple[list[bytes], list[int], list[int]]:
+    """Words, the number of each word's line and the block of lines: lines go
+    on in the next one, up to a line without words."""
+    words, lines, block = [], [], []
+    n = b = 0
+    for line in text.split(b"\n"):
+        found = _number_free(tokens(line))
+        if found:
+            words += found
+            lines += [n] * len(found)
+            block += [b] * len(found)
+            n += 1
+        else:
+            b += 1
+    return words, lines, block
+
+
+def _probabilities(model, hashes: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    """Of every family, for each range of words."""
     weights, bias, temperature = model
+    lengths = np.array([b - a for a, b in ranges])
+    z = logits(weights, bias, np.concatenate([hashes[a:b] for a, b in ranges]), lengths) / temperature
+    z = np.exp(z - z.max(axis=1, keepdims=True))
+    return z / z.sum(axis=1, keepdims=True)
+
+
+def find(hashes: np.ndarray, block: np.ndarray, model, known: Templates) -> list[tuple[int, int, float, float]]:
+    """(position, family, probability, overlap) of the notices in the words.
+    Every template with enough pairs is weighed by its own words and a few
+    around; of matches that share most of their pairs the largest is kept."""
+    found = list(known.matches(hashes, block, LEAST_OVERLAP))
+    if not found:
+        return []
+
+    def around(a: int, b: int) -> tuple[int, int]:
+        low, high = max(a - MARGIN, 0), min(b + 2 + MARGIN, len(block))
+        return (low + int(np.searchsorted(block[low:high], block[a])),
+                low + int(np.searchsorted(block[low:high], block[a], side="right")))
+
+    z = _probabilities(model, hashes, [r for _, at, a, b in found for r in (around(at[0], at[-1]), around(a, b))])
+    family = np.array([known.family[k] for k, *_ in found])
+    p = z[np.arange(len(z)), np.repeat(family, 2)].reshape(-1, 2).max(axis=1)
+    taken: set[int] = set()
     out = []
-    lines: list[tuple[int, int, list[bytes]]] = []
-    held = 0
+    for i in sorted(range(len(found)), key=lambda i: (-len(found[i][1]), -p[i], found[i][1][0], found[i][0])):
+        k, at, *_ = found[i]
+        if p[i] < LEAST_PROBABILITY or 2 * sum(x in taken for x in at) > len(at):
+            continue
+        taken.update(at)
+        out.append((at[0], int(family[i]), float(p[i]), len(at) / int(known.size[k])))
+    return sorted(out)
+
+
+def scan_texts(texts: list[bytes], model, known: Templates) -> list[tuple[int, list[tuple[int, int, float, float]]]]:
+    """For each text: its number of paragraphs, and the confirmed notices as
+    (paragraph where it begins, family, probability, overlap)."""
+    out = []
+    words: list[bytes] = []
+    place: list[tuple[int, int]] = []
+    block: list[int] = []
 
     def flush():
-        nonlocal lines, held
-        if not lines:
-            return
-        lengths = np.array([len(x[2]) for x in lines])
-        hashes = word_hashes().of([w for x in lines for w in x[2]])
-        z = logits(weights, bias, hashes, lengths) / temperature
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
-        best = z[:, 1:].argmax(axis=1) + 1
-        for i in np.flatnonzero(z[np.arange(len(z)), best] >= LEAST_PROBABILITY).tolist():
-            at, place, words = lines[i]
-            pairs = set(zip(words, words[1:], strict=False))
-            overlap = max((len(pairs & t) / len(t) for t in known[best[i]] if t), default=0.0)
-            if overlap >= LEAST_OVERLAP:
-                out[at][1].append((place, int(best[i]), float(z[i, best[i]]), overlap))
-        lines, held = [], 0
+        if words:
+            for at, *hit in find(word_hashes().of(words), np.array(block), model, known):
+                text, line = place[at]
+                out[text][1].append((line, *hit))
+        words.clear(), place.clear(), block.clear()
 
     for text in texts:
-        found = paragraphs(text)
-        out.append((len(found), []))
-        for place, words in enumerate(found):
-            lines.append((len(out) - 1, place, words))
-            held += len(words)
-            if held >= BLOCK_WORDS:
-                flush()
+        found, lines, own = blocks(text)
+        out.append((lines[-1] + 1 if lines else 0, []))
+        base = block[-1] + 1 if block else 0
+        words += found
+        place += [(len(out) - 1, n) for n in lines]
+        block += [base + b for b in own]
+        if len(words) >= BLOCK_WORDS:
+            flush()
     flush()
     return out
 
@@ -233,13 +367,13 @@ def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[list[bytes]
     words are left out."""
     texts = (docs.filter("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h"))
              .orderBy("h").limit(rows).select("text").toArrow().column(0))
-    known = [t for family in templates() for t in family]
+    known = templates()
     out = []
     for text in utf8(texts.combine_chunks()):
-        for words in paragraphs(text):
-            pairs = set(zip(words, words[1:], strict=False))
-            if not any(len(pairs & t) * 2 >= len(t) for t in known):
-                out.append(words)
+        words, lines, block = blocks(text)
+        notices = {lines[x] for _, at, *_ in known.matches(word_hashes().of(words), np.array(block), 0.5)
+                   for p in at for x in (p, p + 1)}
+        out += [w for n, w in enumerate(paragraphs(text)) if n not in notices]
     return out[:BACKGROUND_LINES]
 
 

@@ -251,3 +251,23 @@ def test_licences(spark, words, odd_docs, no_docs):
     assert [n for n, _ in alone] == [got[d].n_paragraphs for d, _ in rows]
     assert licences.scan(odd_docs, model).count() == odd_docs.count()
     assert licences.scan(no_docs, model).count() == 0 and licences.scan_documents(no_docs).count() == 0
+
+
+def test_licences_wrapped_unwrapped_and_double(spark, words):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files, to deal\nin the Software without restriction.")
+    gpl = ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU "
+           "General Public License as published by\n# the Free Software Foundation.")
+    apache = "Licensed under the Apache License, Version 2.0."
+    rows = [(1, words(30, 1) + "\n" + mit + "\n" + words(30, 2)), (2, "# " + gpl), (3, mit.replace("\n", " ")),
+            (4, words(2000, 4) + " " + apache + " " + words(2000, 5)),
+            (5, "Dual licensed under the MIT License or the Apache License, Version 2.0."),
+            (6, apache + " " + words(400, 6) + " This work is licensed under the GNU General Public License, version 3."),
+            (7, "Licensed under the\n\nApache License, Version 2.0, is cut by an empty line.")]
+    rows += [(100 + i, words(60, 100 + i) + "\n" + words(400, 200 + i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(f.paragraph, f.family) for f in r.findings] for r in licences.scan_documents(docs).collect()}
+    assert got[1] == [(1, "MIT")] and got[2] == [(0, "GPL")] and got[3] == [(0, "MIT")]
+    assert got[4] == [(0, "Apache")] and sorted(f for _, f in got[5]) == ["Apache", "MIT"]
+    assert got[6] == [(0, "Apache"), (0, "GPL")]
+    assert not any(got[100 + i] for i in range(40))
