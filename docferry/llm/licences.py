@@ -18,6 +18,11 @@ pairs are within twice its length and 20 words, and its family is likelier than
 ``LEAST_PROBABILITY`` by the words of that match and ``MARGIN`` on each side. So
 the rest of the paragraph doesn't count, and a paragraph may have several.
 
+Families are those of ``NOTICES``, with the paragraphs of ``TEXTS`` where there is
+a text. A match that is a licence by the classifier, but of no family that
+likely, and a paragraph with ``LEAST_WORDS`` different words of licences within
+``NEAR_WORDS`` are reported as ``unknown licence``.
+
 Defined cases: a null or empty text has no paragraphs; lines without words are
 not counted; null ids are scanned; repeated rows are reported alike; an empty
 table gives no rows.
@@ -25,12 +30,17 @@ table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docferry.llm.common import mix64, utf8
+from docferry.llm.licence_texts import TEXTS
 from docferry.llm.toxicity import tokens
 from docferry.llm.words import word_hashes
 
@@ -43,6 +53,9 @@ LEAST_OVERLAP = 0.6
 BLOCK_WORDS = 200_000
 MARGIN = 2
 UNKNOWN = "unknown"
+OTHER = "unknown licence"
+TEXT_VARIANTS = 4
+LEAST_TEXT_WORDS = 8
 
 # Short notices by which public licences are named in texts.
 NOTICES = {
@@ -51,6 +64,7 @@ NOTICES = {
                "in compliance with the License.",
                "SPDX-License-Identifier: Apache-2.0"],
     "GPL": ["This work is licensed under the GNU General Public License, version 3.",
+            "This library is licensed under the GNU General Public License, version 2.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
             "General Public License as published by the Free Software Foundation.",
             "SPDX-License-Identifier: GPL-3.0-or-later"],
@@ -68,17 +82,62 @@ NOTICES = {
             "SPDX-License-Identifier: BSD-3-Clause"],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
             "SPDX-License-Identifier: MPL-2.0"],
-    "CC-BY": ["Licensed under CC BY 4.0.",
+    "CC-BY": ["Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0",
               "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.",
+    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "SPDX-License-Identifier: CC-BY-SA-4.0",
                  "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0",
                  "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-ND": ["Licensed under CC BY-ND 4.0.",
+    "CC-BY-ND": ["Licensed under CC BY-ND 4.0.", "SPDX-License-Identifier: CC-BY-ND-4.0",
                  "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA": ["Licensed under CC BY-NC-SA 4.0.", "SPDX-License-Identifier: CC-BY-NC-SA-4.0",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                    "International License."],
+    "CC-BY-NC-ND": ["Licensed under CC BY-NC-ND 4.0.", "SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                    "International License."],
     "CC0": ["To the extent possible under law, the author has waived all copyright under CC0 1.0 Universal.",
-            "Released under CC0 1.0."],
+            "Released under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
+    "All-Rights-Reserved": ["All rights reserved.",
+                            "This document is confidential and proprietary and may not be reproduced without the prior "
+                            "written permission of the copyright owner."],
+    "ISC": ["Released under the ISC License.", "SPDX-License-Identifier: ISC"],
+    "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public "
+            "License 2.0.",
+            "Licensed under the Eclipse Public License, version 2.0.", "SPDX-License-Identifier: EPL-2.0"],
+    "Unlicense": ["Released under the Unlicense.", "SPDX-License-Identifier: Unlicense"],
+    "Zlib": ["Released under the zlib License.", "SPDX-License-Identifier: Zlib"],
+    "BSL": ["Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0"],
+    "BUSL": ["Licensed under the Business Source License 1.1.", "SPDX-License-Identifier: BUSL-1.1"],
+    "CDDL": ["The contents of this file are subject to the terms of the Common Development and Distribution License.",
+             "SPDX-License-Identifier: CDDL-1.0"],
+    "EUPL": ["Licensed under the European Union Public Licence, version 1.2.", "SPDX-License-Identifier: EUPL-1.2"],
+    "OFL": ["This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+            "SPDX-License-Identifier: OFL-1.1"],
+    "ODbL": ["This database is made available under the Open Database License.", "SPDX-License-Identifier: ODbL-1.0"],
+    "WTFPL": ["Do What The Fuck You Want To Public License", "SPDX-License-Identifier: WTFPL"],
+    "GFDL": ["Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+             "Documentation License.", "SPDX-License-Identifier: GFDL-1.3-or-later"],
+    "Artistic": ["Licensed under the Artistic License 2.0.", "SPDX-License-Identifier: Artistic-2.0"],
+    # Any other one; {} stands for words of its own.
+    OTHER: ["Licensed under the {} License, version 2.0.", "This work is licensed under the {} License.",
+            "Released under the {} License.", "Distributed under the {} License.",
+            "Made available under the terms of the {} License.", "SPDX-License-Identifier: {}",
+            "Use of this software is governed by the terms of the {} license agreement.",
+            "By using this software you agree to be bound by the terms of this license.",
+            "Permission to use, copy, modify and distribute this software and its documentation is hereby granted.",
+            "You are granted a non-exclusive, non-transferable, revocable license to use the software.",
+            "This software is provided as is without warranty of any kind, express or implied."],
 }
+# Words of licences: a paragraph with ``LEAST_WORDS`` different ones near each
+# other is compared, too, if no template fits it.
+WORDS = ("license licenses licensed licensee licensor licence licences sublicense copyright copyrighted copyrights "
+         "warranty warranties redistribute redistributed redistribution redistributions merchantability "
+         "noninfringement infringement patent patents liability liable permission permitted granted grant grants "
+         "derivative disclaimer disclaims royalty irrevocable perpetual proprietary trademark trademarks rights "
+         "reserved")
+LEAST_WORDS = 4
+NEAR_WORDS = 40
 FAMILIES = [UNKNOWN, *NOTICES]
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -88,6 +147,20 @@ def _number_free(words: list[bytes]) -> list[bytes]:
     return [b"0" if w.isdigit() else w for w in words]
 
 
+def known_paragraphs(family: str) -> list[tuple[list[list[bytes]], int]]:
+    """The family's notices, cut at words of their own, and the paragraphs of
+    its texts; with the number of variants to train on."""
+    found = [([_number_free(tokens(part.encode())) for part in notice.split("{}")], VARIANTS)
+             for notice in NOTICES[family]]
+    for text in TEXTS.get(family, []):
+        words, _, block = blocks(text.encode())
+        ends = np.flatnonzero(np.diff(block)) + 1
+        for a, b in zip([0, *ends], [*ends, len(words)], strict=True):
+            if b - a >= LEAST_TEXT_WORDS:
+                found.append(([words[a:b]], TEXT_VARIANTS))
+    return found
+
+
 def features(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature of each word, and of each pair (``FEATURES`` where the word is a
     paragraph's last one: a feature of weight 0)."""
@@ -115,11 +188,15 @@ def train(background: list[list[bytes]], seed: int = 5, steps: int = 60) -> tupl
     spare = [w for p in background for w in p[:20]] or [b"text"]
     xs, ys = [], []
     for y, family in enumerate(FAMILIES[1:], 1):
-        for notice in NOTICES[family]:
-            words = _number_free(tokens(notice.encode()))
-            xs.append(words)
-            ys.append(y)
-            for _ in range(VARIANTS):
+        for parts, variants in known_paragraphs(family):
+            for n in range(variants + 1):
+                words = parts[0]
+                for part in parts[1:]:  # the place of words of its own
+                    words = words + [spare[i] for i in rng.integers(0, len(spare), 1 + int(rng.integers(0, 4)))] + part
+                if not n:
+                    xs.append(words)
+                    ys.append(y)
+                    continue
                 kept = [w for w in words if rng.random() > 0.08]
                 pad = [spare[i] for i in rng.integers(0, len(spare), 2 * int(rng.integers(0, 12)))]
                 xs.append(pad[: len(pad) // 2] + kept + pad[len(pad) // 2:])
@@ -191,15 +268,32 @@ class Templates:
     """The word pairs of every notice and where a text has enough of them."""
 
     def __init__(self) -> None:
-        pairs = []
-        self.family, self.reach = [], []
+        pairs: list[np.ndarray] = []
+        self.family, self.reach, short = [], [], []
+        seen = set()
         for y, family in enumerate(FAMILIES[1:], 1):
-            for notice in NOTICES[family]:
-                words = _number_free(tokens(notice.encode()))
-                pairs.append(np.unique(pair_codes(word_hashes().of(words))))
-                self.family.append(y)
-                self.reach.append(2 * len(words) + 20)
+            for parts, variants in known_paragraphs(family):
+                codes = np.unique(np.concatenate([pair_codes(word_hashes().of(words)) for words in parts]))
+                if (y, codes.tobytes()) not in seen:
+                    seen.add((y, codes.tobytes()))
+                    pairs.append(codes)
+                    self.family.append(y)
+                    self.reach.append(2 * sum(map(len, parts)) + 20)
+                    short.append(variants == VARIANTS)
+        # Pairs that no other family has: a match of a notice has one of them
+        # (if there are any), and so has one of a text's paragraph.
+        self.own: list[set[int]] = []
+        for k, codes in enumerate(pairs):
+            others = [c for c, f, n in zip(pairs, self.family, short, strict=True) if f != self.family[k] and n == short[k]]
+            self.own.append(set(np.setdiff1d(codes, np.concatenate(others)).tolist()))
+        # The last one are the single words of licences.
+        self.family.append(FAMILIES.index(OTHER))
+        self.reach.append(NEAR_WORDS)
+        pairs.append(np.unique(mix64(word_hashes().of(tokens(WORDS.encode())))))
+        self.own.append(set())
         self.size = np.array([len(c) for c in pairs])
+        self.need = np.minimum(np.ceil(self.size * LEAST_OVERLAP - 1e-9).astype(np.int64), self.size)
+        self.need[-1] = LEAST_WORDS
         owner = np.repeat(np.arange(len(pairs)), self.size)
         codes = np.concatenate(pairs)
         order = np.argsort(codes, kind="stable")
@@ -209,24 +303,27 @@ class Templates:
     def _hits(self, hashes: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """template, position, pair: every pair of a template in the words, in
         order of template and position."""
-        codes = pair_codes(hashes)
+        codes = np.concatenate([pair_codes(hashes), mix64(hashes)])
+        place = np.concatenate([np.arange(len(hashes) - 1), np.arange(len(hashes))])
+        whole = np.concatenate([block[:-1] == block[1:], np.ones(len(hashes), bool)])
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        where = np.flatnonzero((self.codes[at] == codes) & (block[:-1] == block[1:]))
-        at = at[where]
+        where = np.flatnonzero((self.codes[at] == codes) & whole)
+        at, where = at[where], place[where]
         n = self.count[at]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         t = self.owner[np.repeat(self.first[at], n) + step]
         order = np.argsort(t, kind="stable")
         return t[order], np.repeat(where, n)[order], np.repeat(at, n)[order]
 
-    def matches(self, hashes: np.ndarray, block: np.ndarray, share: float):
+    def matches(self, hashes: np.ndarray, block: np.ndarray, share: float = LEAST_OVERLAP):
         """(template, positions of its pairs, first and last position of its
         tightest window) wherever at least ``share`` of a template's pairs are
         within its reach and in one block."""
-        if len(hashes) < 2:
+        if not len(hashes):
             return
         t, p, pair = self._hits(hashes, block)
-        need = np.ceil(self.size * share - 1e-9).astype(np.int64)
+        need = self.need if share == LEAST_OVERLAP else np.append(
+            np.ceil(self.size[:-1] * share - 1e-9).astype(np.int64), LEAST_WORDS)
         reach = np.array(self.reach)
         last = np.arange(len(t)) + need[t] - 1
         inside = np.flatnonzero(last < len(t))
@@ -256,22 +353,25 @@ class Templates:
                 if len(seen) >= need:
                     rank = (len(seen), first - int(p[top]))
                     if best is None or rank > best[0]:
-                        best = (rank, starts[j], top, list(seen.values()))
+                        best = (rank, starts[j], top, seen)
                 j += 1
             if best is None:
                 i = j
                 continue
-            _, low, top, at = best
+            _, low, top, found = best
+            at = list(found.values())
             before = [s for s in starts[i:j] if s < low]
             if before:  # a lesser match before the best one
                 yield from self._windows(k, need, before, low, p, pair, block)
             if tight[0] < at[0] or tight[1] > at[-1]:
                 tight = (at[0], at[-1])
-            yield k, at, *tight
+            if not self.own[k] or not self.own[k].isdisjoint(self.codes[list(found)].tolist()):
+                yield k, at, *tight
             while i < len(starts) and starts[i] <= top:
                 i += 1
 
 
+@cache
 def templates() -> Templates:
     return Templates()
 
@@ -311,7 +411,7 @@ def find(hashes: np.ndarray, block: np.ndarray, model, known: Templates) -> list
     """(position, family, probability, overlap) of the notices in the words.
     Every template with enough pairs is weighed by its own words and a few
     around; of matches that share most of their pairs the largest is kept."""
-    found = list(known.matches(hashes, block, LEAST_OVERLAP))
+    found = list(known.matches(hashes, block))
     if not found:
         return []
 
@@ -323,14 +423,34 @@ def find(hashes: np.ndarray, block: np.ndarray, model, known: Templates) -> list
     z = _probabilities(model, hashes, [r for _, at, a, b in found for r in (around(at[0], at[-1]), around(a, b))])
     family = np.array([known.family[k] for k, *_ in found])
     p = z[np.arange(len(z)), np.repeat(family, 2)].reshape(-1, 2).max(axis=1)
+    licence = 1 - z[:, 0].reshape(-1, 2).min(axis=1)
+    other = FAMILIES.index(OTHER)
     taken: set[int] = set()
     out = []
-    for i in sorted(range(len(found)), key=lambda i: (-len(found[i][1]), -p[i], found[i][1][0], found[i][0])):
-        k, at, *_ = found[i]
-        if p[i] < LEAST_PROBABILITY or 2 * sum(x in taken for x in at) > len(at):
-            continue
-        taken.update(at)
-        out.append((at[0], int(family[i]), float(p[i]), len(at) / int(known.size[k])))
+    # Known families first; what is left is the licence of another family, or
+    # of one of several that the words don't tell apart.
+    at_place: dict[int, list[int]] = {}
+    for i, (_, at, *_) in enumerate(found):
+        if family[i] != other:
+            for x in at:
+                at_place.setdefault(x, []).append(i)
+
+    def shared(i: int) -> bool:
+        """Another family's template fits the same words as well or better."""
+        at, mine = found[i][1], len(found[i][1]) / known.size[found[i][0]]
+        same = Counter(j for x in at for j in at_place[x] if family[j] != family[i])
+        return any(2 * n > len(at) and len(found[j][1]) >= len(at) and len(found[j][1]) / known.size[found[j][0]] >= mine
+                   for j, n in same.items())
+
+    sure = [i for i in range(len(found)) if family[i] != other and p[i] >= LEAST_PROBABILITY and not shared(i)]
+    rest = sorted(set(range(len(found))) - set(sure))
+    for chosen, kind, chance in ((sure, family, p), (rest, np.full(len(found), other), licence)):
+        for i in sorted(chosen, key=lambda i: (-len(found[i][1]), -chance[i], found[i][1][0], found[i][0])):
+            k, at, *_ = found[i]
+            if chance[i] < LEAST_PROBABILITY or 2 * sum(x in taken for x in at) > len(at):
+                continue
+            taken.update(range(min(at), max(at) + 1) if kind[i] == other else at)
+            out.append((at[0], int(kind[i]), float(chance[i]), len(at) / int(known.size[k])))
     return sorted(out)
 
 
@@ -362,7 +482,7 @@ def scan_texts(texts: list[bytes], model, known: Templates) -> list[tuple[int, l
     return out
 
 
-def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[list[bytes]]:
+def background(docs: DataFrame, rows: int = BACKGROUND_ROWS, lines: int = BACKGROUND_LINES) -> list[list[bytes]]:
     """Ordinary paragraphs of a bounded sample; those that repeat a notice's
     words are left out."""
     texts = (docs.filter("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h"))
@@ -370,11 +490,18 @@ def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[list[bytes]
     known = templates()
     out = []
     for text in utf8(texts.combine_chunks()):
-        words, lines, block = blocks(text)
-        notices = {lines[x] for _, at, *_ in known.matches(word_hashes().of(words), np.array(block), 0.5)
-                   for p in at for x in (p, p + 1)}
+        words, at_line, block = blocks(text)
+        notices = {at_line[x] for _, at, *_ in known.matches(word_hashes().of(words), np.array(block), 0.5)
+                   for p in at for x in (p, min(p + 1, len(words) - 1))}
         out += [w for n, w in enumerate(paragraphs(text)) if n not in notices]
-    return out[:BACKGROUND_LINES]
+    # Dealt by a hash of the line and how often it was there before.
+    again: Counter = Counter()
+    dealt = []
+    for w in out:
+        line = b" ".join(w)
+        dealt.append((xxhash.xxh3_64_intdigest(line, seed=again[line]), line))
+        again[line] += 1
+    return [line.split() for _, line in sorted(dealt)[:lines]]
 
 
 OUT = ("doc_id long, n_paragraphs int, "

@@ -271,3 +271,35 @@ def test_licences_wrapped_unwrapped_and_double(spark, words):
     assert got[4] == [(0, "Apache")] and sorted(f for _, f in got[5]) == ["Apache", "MIT"]
     assert got[6] == [(0, "Apache"), (0, "GPL")]
     assert not any(got[100 + i] for i in range(40))
+
+
+def test_licences_of_more_families_their_texts_and_unknown_ones(spark, words):
+    from docferry.llm.licence_texts import TEXTS
+
+    lines = {"All rights reserved.": "All-Rights-Reserved", "Released under the ISC License.": "ISC",
+             "SPDX-License-Identifier: EPL-2.0": "EPL", "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA",
+             "Licensed under CC BY 4.0.": "CC-BY", "Released under the Unlicense.": "Unlicense",
+             "Distributed under the Boost Software License, Version 1.0.": "BSL",
+             "Licensed under the Quux Community License, version 7.": licences.OTHER,
+             "SPDX-License-Identifier: Quux-1.0": licences.OTHER,
+             "The licensor grants a perpetual, irrevocable patent licence without royalty and disclaims liability.":
+                 licences.OTHER}
+    rows = [(i, words(30, i) + "\n" + line + "\n" + words(30, 50 + i)) for i, line in enumerate(lines)]
+    rows += [(20, TEXTS["ISC"][0]), (21, TEXTS["GPL"][2]), (22, TEXTS["Apache"][0])]
+    rows += [(100 + i, words(60, 100 + i) + "\n" + words(400, 200 + i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(f.paragraph, f.family) for f in r.findings] for r in licences.scan_documents(docs).collect()}
+    for i, (line, family) in enumerate(lines.items()):
+        assert (line, got[i]) == (line, [(1, family)])
+    assert [f for _, f in got[20]] == ["ISC", "ISC"]
+    for i, family in ((21, "GPL"), (22, "Apache")):
+        found = Counter(f for _, f in got[i])
+        assert found[family] > 25 and set(found) <= {family, licences.OTHER}
+    assert not any(got[100 + i] for i in range(40))
+
+
+def test_licence_background_is_dealt_over_the_sample(spark, words):
+    rows = [(i, "\n".join(words(5, 1000 * i + n) + f" doc{i}" for n in range(50))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = licences.background(docs, lines=200)
+    assert len(dealt) == 200 and len({w[-1] for w in dealt}) == 20
