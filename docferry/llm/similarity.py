@@ -129,9 +129,33 @@ def _enough(shared: DataFrame) -> DataFrame:
             .filter(F.size("keys") >= _need()))
 
 
+def _without_id(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of each wanted class (cls), from the rows without an id."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            cls, texts = [], []
+            for text in utf8(batch.column(0)):
+                s = shingle_set(text)
+                c = set_digest(s) if len(s) else None
+                if c is not None and c not in seen:
+                    seen.add(c)
+                    cls.append(c)
+                    texts.append(text)
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
+                                             names=["cls", "text"])
+
+    return _texts(docs).filter("doc_id IS NULL").select("text").mapInArrow(run, "cls long, text string") \
+        .join(wanted, "cls", "left_semi").dropDuplicates(["cls"]).select("text")
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cls, size, hashes, sketch of the wanted documents (doc_id)."""
-    wanted = wanted.select("doc_id").distinct()
+    """cls, size, hashes, sketch of the wanted classes (cls, doc_id). A class is
+    read again by its smallest doc_id or, if no row of it has one, by itself."""
+    bare = wanted.filter("doc_id IS NULL").select("cls").distinct()
+    without = bare.count()
+    wanted = wanted.filter("doc_id IS NOT NULL").select("doc_id").distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
 
@@ -144,8 +168,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                  pa.array([sketch(s, levels(len(s))[0][0]) for s in sets], pa.list_(pa.int64()))],
                 names=["cls", "size", "hashes", "sketch"])
 
-    return _texts(docs).join(wanted, "doc_id", "left_semi").select("text") \
-        .mapInArrow(run, "cls long, size long, hashes array<long>, sketch array<long>")
+    texts = _texts(docs).join(wanted, "doc_id", "left_semi").select("text")
+    if without:
+        texts = texts.unionByName(_without_id(docs, F.broadcast(bare) if without <= BROADCAST_IDS else bare))
+    return texts.mapInArrow(run, "cls long, size long, hashes array<long>, sketch array<long>")
 
 
 def survivors(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -180,3 +180,31 @@ def test_few_and_no_vectors(spark):
     got = neighbours.search(far, F.col("vec_id") % 20 == 0, k=20).orderBy("rank").collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 2, 0.0), (0, 2, 1, -9.0)]
     assert neighbours.search(far.limit(0), F.col("vec_id") % 20 == 0, k=20).count() == 0
+
+
+@pytest.mark.parametrize("ids", [300_000, 0])
+def test_near_copies_without_ids(spark, words, monkeypatch, ids):
+    monkeypatch.setattr(similarity, "BROADCAST_IDS", ids)
+
+    def changed(text, *places):
+        t = text.split()
+        for at in places:
+            t[at] = f"x{at}"
+        return " ".join(t)
+
+    a, b, c = words(100, 1), words(100, 2), words(100, 3)
+    rows = [(None, a), (None, changed(a, 50)), (None, changed(a, 50)),
+            # The row without an id is the only bridge.
+            (1, b), (None, changed(b, 20, 30)), (2, changed(b, 20, 30, 50, 60)), (3, changed(b, 20, 30, 50, 60, 80)),
+            (4, c), (None, changed(c, 70)), (5, words(100, 4)), (None, words(100, 5)), (None, None), (None, "")]
+    bridge = [shingle(t) for _, t in rows[3:6]]
+    assert len(bridge[0] & bridge[2]) * 100 < 75 * len(bridge[0] | bridge[2])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((tuple(r) for r in similarity.near_duplicates(docs).collect()), key=repr)
+    assert got == brute(rows)
+    kept = [(r.doc_id, r.text) for r in similarity.one_of_each(docs).collect()]
+    assert sorted(d for d, _ in kept if d is not None) == [1, 4, 5]
+    # One near copy of ``a``, the text alone and the two without words.
+    assert sum(d is None for d, _ in kept) == 4 and sum(t in (a, changed(a, 50)) for _, t in kept) == 1
+    alone = docs.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    assert similarity.one_of_each(alone).filter("text != ''").count() == 5
