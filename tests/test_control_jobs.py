@@ -122,7 +122,7 @@ def test_run_one(spark, out_dir):
     from docferry.plans.job_run import RunOptions, run_one
     from docferry.sources.tables import driver_catalog
 
-    from conftest import SMALL
+    from helpers import SMALL
 
     job = {"data_index": "labels", "query": {"term": {"toxic": 1}}, "columns": ["doc_id", "quality"],
            "remote_filename": "toxic.csv"}

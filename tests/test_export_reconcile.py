@@ -16,7 +16,7 @@ from docferry.operators.reconcile import WAITS, Check, Unreconciled, check_until
 from docferry.plans.job_run import RunOptions, run_export
 from docferry.sources.tables import driver_catalog
 
-from conftest import SMALL
+from helpers import SMALL
 
 
 def _read_parts(data_dir):

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from docferry.plans import registry
 from docferry.sources.tables import TABLE_NAMES
 
-from conftest import SMALL
+from helpers import SMALL
 
 QUERIES = registry.queries()
 SQL = registry.oracle_sql()

@@ -229,7 +229,7 @@ def test_child_values_with_maps(spark):
 def test_nested_parquet_documents_match_relational_view(spark, out_dir):
     """Documents stored nested in parquet give the same rows as the same
     documents assembled from tables; only the struct fields read are scanned."""
-    from conftest import SMALL
+    from helpers import SMALL
     from docferry.sources.documents import order_documents
 
     view = order_documents(spark, SMALL)

@@ -8,7 +8,7 @@ import pytest
 
 from docferry.plans import registry
 
-from conftest import SMALL
+from helpers import SMALL
 
 QUERIES = registry.queries()
 BAD_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")

@@ -139,7 +139,7 @@ def test_relational_child_fan_out(spark):
 
 
 def test_fan_out_same_alone_and_in_one_scan(spark):
-    from conftest import SMALL
+    from helpers import SMALL
     from docferry.sources.documents import order_documents
 
     view = order_documents(spark, SMALL)

@@ -12,7 +12,7 @@ from docferry.sources.tables import driver_catalog
 from docferry.plans.job_run import RunOptions
 from docferry.streaming.control_stream import StreamConfig, file_control_source, start
 
-from conftest import SMALL
+from helpers import SMALL
 
 JOB = {"data_index": "customer", "query": {"term": {"c_mktsegment": "BUILDING"}},
        "columns": ["c_custkey", "name"], "column_paths": {"name": "c_name"},
