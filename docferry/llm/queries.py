@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import hmm, licences, mixing, neighbours, packing, pfor, quartile, similarity, toxicity, warc
+from docferry.llm import histogram_packing, hmm, licences, mixing, neighbours, packing, pfor, quartile, similarity, toxicity, warc
 from docferry.llm.common import crc_mod, read, scratch_path, ship
 from docferry.llm.tokens import SPACED_RUNS, WORD_RUNS
 from docferry.session import tune
@@ -79,10 +79,17 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4,096 ids."""
+    rows = histogram_packing.encode(read(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json",
+                                    cuts=WORD_RUNS, end_id=2)
+    return histogram_packing.pack(rows)
+
+
 _QUERIES = (
     op1_hidden_markov_lm, op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, op5_parity_sketch_join,
     op6_best_fit_packing, op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs,
-    op10_multiprobe_neighbours)
+    op10_multiprobe_neighbours, op11_shortest_pack_first)
 _SQL: dict[str, Callable[[], str]] = {
     "op2_warc_revisits": warc.oracle,
     "op7_poisson_mix": mixing.oracle,
