@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import histogram_packing, hmm, licences, mixing, neighbours, packing, pfor, prefix_trie, quartile, similarity, toxicity, warc
+from docferry.llm import collocations, histogram_packing, hmm, licences, mixing, neighbours, packing, pfor, prefix_trie, quartile, similarity, toxicity, warc
 from docferry.llm.common import crc_mod, read, scratch_path, ship
 from docferry.llm.tokens import SPACED_RUNS, WORD_RUNS
 from docferry.session import tune
@@ -91,15 +91,21 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two and three words."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_hidden_markov_lm, op2_warc_revisits, op3_quartile_digest, op4_pfor_token_files, op5_parity_sketch_join,
     op6_best_fit_packing, op7_poisson_mix, op8_kneser_ney_toxicity, op9_licence_paragraphs,
     op10_multiprobe_neighbours, op11_shortest_pack_first,
-    op12_prefix_trie)
+    op12_prefix_trie, op13_phrase_collocations)
 _SQL: dict[str, Callable[[], str]] = {
     "op2_warc_revisits": warc.oracle,
     "op7_poisson_mix": mixing.oracle,
     "op12_prefix_trie": prefix_trie.oracle,
+    "op13_phrase_collocations": collocations.oracle,
 }
 
 
