@@ -282,9 +282,9 @@ def three_way(keys: np.ndarray, counts: np.ndarray, least: int) -> list[np.ndarr
     w2, w3 (0: none), count, count of the first word, of the first two."""
     found: list[list[np.ndarray]] = []
     pointers = np.arange(keys.shape[1])
-    size = np.array([len(pointers)])                    # of each partition
-    depth = np.zeros(1, np.int64)
-    above = np.zeros((4, 1), np.uint64)                 # first word, second, count of one, of two
+    size = np.array([len(pointers)])[:len(pointers)]     # of each partition
+    depth = np.zeros(len(size), np.int64)
+    above = np.zeros((4, len(size)), np.uint64)          # first word, second, count of one, of two
     while len(size):
         # Abandon what can't hold a frequent phrase.
         starts = np.r_[0, np.cumsum(size)[:-1]]
