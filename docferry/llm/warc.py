@@ -16,7 +16,8 @@ second of which is the writer's line separator.
 
 Defined cases: a null payload is empty; a null id is written without an id and
 never a response where another row of its payload has an id; rows with the same
-id and payload are written alike; an empty table gives no rows. Only the named
+id and payload are written alike, those with the same id and other payloads
+have records of their own; an empty table gives no rows. Only the named
 columns are read.
 """
 
@@ -48,8 +49,9 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), CONV_DIGITS, BASE32_DIGITS)
 
 
-def record_id(page_id: Column) -> Column:
-    h = F.md5(F.concat(F.lit("page:"), F.coalesce(page_id.cast("string"), F.lit(""))))
+def record_id(page_id: Column, payload_digest: Column) -> Column:
+    """Id of a page's record; rows of one page id may differ in their payload."""
+    h = F.md5(F.concat(F.lit("page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), payload_digest))
     return F.concat(F.lit("urn:uuid:"), *[
         x for i, (a, n) in enumerate(((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
         for x in ([F.lit("-")] if i else []) + [F.substring(h, a, n)]])
@@ -99,12 +101,12 @@ def write(pages: DataFrame, path: str, *, min_bytes: int = 0, date: str | None =
     record = F.concat(
         F.lit("WARC/1.1\r\n"),
         _line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        _line("WARC-Record-ID", F.concat(F.lit("<"), record_id(F.col("page_id")), F.lit(">"))),
+        _line("WARC-Record-ID", F.concat(F.lit("<"), record_id(F.col("page_id"), F.col("payload_digest")), F.lit(">"))),
         _line("WARC-Date", F.lit(date)),
         _line("WARC-Target-URI", F.col("url")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         _line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-        _line("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<"), record_id(F.col("refers_to")), F.lit(">")))),
+        _line("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<"), record_id(F.col("refers_to"), F.col("payload_digest")), F.lit(">")))),
         _line("WARC-Refers-To-Date", F.when(revisit, F.lit(date))),
         _line("X-Page-Id", F.col("page_id").cast("string")),
         _line("Content-Type", F.lit("application/http;msgtype=response")),

@@ -20,7 +20,9 @@ PAGES = "page_id long, url string, html string"
 def pages(spark):
     rows = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/2\r\nX: y", "<p>x</p>"), (3, None, None), (4, "u", ""),
             (5, "u", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"), (None, "u", "<p>x</p>"), (None, "u", "only"),
-            (7, "u", "long " * 50_000), (8, "u", "é☃" * 10), (9, "u", "twice"), (9, "u", "twice")]
+            (7, "u", "long " * 50_000), (8, "u", "é☃" * 10), (9, "u", "twice"), (9, "u", "twice"),
+            (10, "u", "one payload"), (10, "u", "another, longer payload"), (6, "u", "one payload"),
+            (3, "v", "another, longer payload")]
     return spark.createDataFrame(rows, PAGES).withColumn("payload_digest", F.lit("x")).withColumn("record", F.lit(1))
 
 
