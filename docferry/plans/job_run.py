@@ -96,8 +96,19 @@ def _lines(job: JobSpec, source: DocumentView | DataFrame, *, now: datetime,
     cells = text_cells(bound, job.columns, paths, guard_formulas=options.guard_formulas,
                        job_id=job.job_id)
     key = F.col(f"`{view.id_column}`") if view.id_column else F.lit(None)
-    lines = bound.frame.select(key.alias("key"), csv_line(cells).alias("line"))
-    return lines, (F.col("key") if view.id_column else F.col("line"))
+    lines = bound.frame.select(key.alias("key"), csv_line(cells).alias("line"), _place())
+    return lines, _spread(view)
+
+
+def _place() -> Column:
+    """A row's place in what its task reads; a repeated task sees it again."""
+    return F.monotonically_increasing_id().alias("place")
+
+
+def _spread(view: DocumentView) -> Column:
+    """What spreads rows over parts. Without an id a line may be that of very
+    many rows, so the row's place goes with it."""
+    return F.col("key") if view.id_column else F.struct("line", "place")
 
 
 def _part_count(rows: int, size: int, options: RunOptions) -> int:
@@ -272,7 +283,7 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
             cond = F.col(JOB_TAG).isin(members)
             line = F.when(cond, this_line) if line is None else line.when(cond, this_line)
         key = F.col(f"`{view.id_column}`") if view.id_column else F.lit(None)
-        keyed = tagged.select(F.col(JOB_TAG).alias("job_id"), key.alias("key"), line.alias("line"))
+        keyed = tagged.select(F.col(JOB_TAG).alias("job_id"), key.alias("key"), line.alias("line"), _place())
         # One row for each job of the group: source count, rows and bytes of its lines.
         counts = {r.job_id: int(r.source_count) for r in count_per_job(view, specs, now=now).collect()}
         sizes = {r.job_id: int(r.size) for r in keyed.groupBy("job_id").agg(
@@ -283,7 +294,7 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
             by_parts[parts[j.job_id]].append(j.job_id)
         bucket = None
         for n, members in by_parts.items():
-            b = bucket_of(F.col("key") if view.id_column else F.col("line"), n)
+            b = bucket_of(_spread(view), n)
             cond = F.col("job_id").isin(members)
             bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
         lines = keyed.select("job_id", bucket.alias("bucket"), "line")

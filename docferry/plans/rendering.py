@@ -226,7 +226,7 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = jobs.join(counted, F.col("value") == F.col("c_nationkey"), "left").select(
         "job_id", F.coalesce("n", F.lit(0)).alias("source_count"))
     path = _scratch(spark, "nations")
-    (multi_job_export(spark, sf_dir).repartition("job_id").write.partitionBy("job_id")
+    (multi_job_export(spark, sf_dir).repartition("job_id", F.pmod(F.xxhash64("line"), F.lit(64))).write.partitionBy("job_id")
      .option("lineSep", "\n").text(path))
     written = (spark.read.schema("c string, job_id string").option("multiLine", True).option("escape", '"').csv(path)
                .groupBy("job_id").agg(F.count(F.lit(1)).alias("written_rows")))

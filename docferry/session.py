@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 # Settings results depend on: JSON documents with a repeated key keep the
 # last value (as a JSON reader does) instead of failing to parse. Always set.
 REQUIRED = {
@@ -63,9 +66,28 @@ def tune(spark: SparkSession) -> SparkSession:
         if k not in explicit and spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
     checkpoint_dir(spark)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python workers, once for each
+    application, as ``--py-files`` does; for sessions started without it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.join(tempfile.mkdtemp(prefix="docferry-"), "docferry.zip")
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
