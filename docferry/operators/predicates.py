@@ -272,7 +272,10 @@ def _literal(value: Any, r: Resolved, now: datetime, *, round_up: bool = False,
         return col, F.lit(t.isoformat(sep=" ")).cast(dt)
     if not isinstance(value, (bool, int, float, str)):
         raise QueryError(f"unsupported value {value!r}")
-    return col, F.lit(_coerce(value, dt))
+    v = _coerce(value, dt)
+    if isinstance(v, int) and not isinstance(v, bool) and not -(1 << 63) <= v < 1 << 63:
+        v = Decimal(max(-10**37, min(10**37, v)))  # beyond every value of the field
+    return col, F.lit(v)
 
 
 def _each(r: Resolved, leaf: Callable[[Resolved], Column]) -> Column:

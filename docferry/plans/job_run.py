@@ -9,6 +9,7 @@ definition, a few integers and the manifest location.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
@@ -37,7 +38,9 @@ class RunOptions:
     # lines, counted before the write; it is read back whole for its digest.
     rows_per_part: int = DEFAULT_ROWS_PER_PART
     bytes_per_part: int = 64 * 1024 * 1024
-    # Jobs sharing one scan (each adds a predicate to every row's tag list).
+    # Beyond so many jobs of a table their queries are indexed (``job_index``);
+    # those that an index can't hold share scans by this number, as each adds a
+    # predicate to every row's tag list.
     max_jobs_per_scan: int = 64
     ndjson_dir: str | None = None
     guard_formulas: bool = False
@@ -245,7 +248,8 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
 
     from docferry.functions.render import header_line
     from docferry.operators.export import finish_many, write_parts_multi
-    from docferry.operators.scan import count_per_job, tag_jobs
+    from docferry.operators import job_index
+    from docferry.operators.scan import count_per_job, query_fields, tag_jobs
 
     by_table: dict[str, list[JobSpec]] = defaultdict(list)
     for j in jobs:
@@ -255,9 +259,21 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
     groups = []
     for data_index, members in by_table.items():
         step = max(1, options.max_jobs_per_scan)
-        groups += [(data_index, members[i:i + step]) for i in range(0, len(members), step)]
+        index = None
+        view = as_view(catalog.get(data_index))
+        if len(members) > step and not view.lookups and not view.children and view.variant_root is None:
+            jobs_table = spark.createDataFrame([(j.job_id, json.dumps(j.query)) for j in members],
+                                               "job_id string, query string")
+            index = job_index.build(jobs_table, view.root.schema, now,
+                                    f"{options.staging_root.rstrip('/')}/_index/{_safe(data_index)}")
+            left_out = {r.job_id for r in index.unsupported.collect()}
+            groups.append((data_index, [j for j in members if j.job_id not in left_out], index))
+            members = [j for j in members if j.job_id in left_out]
+        groups += [(data_index, members[i:i + step], None) for i in range(0, len(members), step)]
     outcomes: dict[str, JobOutcome] = {}
-    for gi, (data_index, group) in enumerate(groups):
+    for gi, (data_index, group, index) in enumerate(groups):
+        if not group:
+            continue
         ids = [j.job_id for j in group]
         if len(set(ids)) != len(ids):
             raise ValueError(f"duplicate job ids over {data_index}")
@@ -267,7 +283,12 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
         paths = {j.job_id: column_path_list(j.columns, j.column_paths, job_id=j.job_id)
                  for j in group}
         all_paths = [p for ps in paths.values() for p in ps]
-        bound, tagged = tag_jobs(view, specs, now=now, paths=all_paths)
+        if index is not None:
+            fields = [f for _, q in specs for f in query_fields(q)]
+            bound = view.bind(list(dict.fromkeys([*all_paths, *fields])))
+            tagged = job_index.tag(bound.frame, index)
+        else:
+            bound, tagged = tag_jobs(view, specs, now=now, paths=all_paths)
         bound.frame = tagged
         # One line expression per distinct (columns, paths) and one bucket
         # expression per distinct part count, chosen by job id: jobs that
@@ -280,24 +301,27 @@ def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Cata
             cells = text_cells(bound, list(cols), list(ps), guard_formulas=options.guard_formulas,
                                job_id=members[0])
             this_line = csv_line(cells)
+            if len(by_spec) == 1:
+                line = this_line
+                break
             cond = F.col(JOB_TAG).isin(members)
             line = F.when(cond, this_line) if line is None else line.when(cond, this_line)
         key = F.col(f"`{view.id_column}`") if view.id_column else F.lit(None)
         keyed = tagged.select(F.col(JOB_TAG).alias("job_id"), key.alias("key"), line.alias("line"), _place())
         # One row for each job of the group: source count, rows and bytes of its lines.
-        counts = {r.job_id: int(r.source_count) for r in count_per_job(view, specs, now=now).collect()}
+        if index is not None:
+            found = job_index.tag(view.root, index).groupBy(F.col(JOB_TAG).alias("job_id")).agg(
+                F.count(F.lit(1)).alias("source_count"))
+            counts = dict.fromkeys(ids, 0) | {r.job_id: int(r.source_count) for r in found.collect()}
+        else:
+            counts = {r.job_id: int(r.source_count) for r in count_per_job(view, specs, now=now).collect()}
         sizes = {r.job_id: int(r.size) for r in keyed.groupBy("job_id").agg(
             F.sum(F.octet_length("line") + 1).alias("size")).collect()}
         parts = {j.job_id: _part_count(counts[j.job_id], sizes.get(j.job_id, 0), options) for j in group}
-        by_parts: dict[int, list[str]] = defaultdict(list)
-        for j in group:
-            by_parts[parts[j.job_id]].append(j.job_id)
-        bucket = None
-        for n, members in by_parts.items():
-            b = bucket_of(_spread(view), n)
-            cond = F.col("job_id").isin(members)
-            bucket = F.when(cond, b) if bucket is None else bucket.when(cond, b)
-        lines = keyed.select("job_id", bucket.alias("bucket"), "line")
+        # One row for each job of the group.
+        n_of = spark.createDataFrame(list(parts.items()), "job_id string, n_parts int")
+        bucket = F.pmod(F.xxhash64(_spread(view)), F.col("n_parts")).cast("int")
+        lines = keyed.join(F.broadcast(n_of), "job_id").select("job_id", bucket.alias("bucket"), "line")
         headers = {j.job_id: header_line(j.columns) for j in group}
         root = f"{options.staging_root.rstrip('/')}/_one_scan/{_safe(data_index)}-{gi}"
         write_parts_multi(lines, headers, parts, root)

@@ -10,9 +10,9 @@ from docferry.session import tune
 
 
 def _modules():
-    from docferry.plans import control_jobs, filters, ordered, paging, projections, rendering
+    from docferry.plans import control_jobs, filters, many_jobs, ordered, paging, projections, rendering
 
-    return [projections, filters, rendering, control_jobs, paging, ordered]
+    return [projections, filters, rendering, control_jobs, paging, ordered, many_jobs]
 
 
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
