@@ -96,6 +96,37 @@ def page_numbers(df: DataFrame, keys: Sequence[str], size: int, name: str = "pag
     return indexed.withColumn(name, F.floor(F.col("__idx") / F.lit(size)).cast("bigint")).drop("__idx")
 
 
+def page_index(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """K2: (page, keys): the first key of each page of ``size`` rows, from one
+    range sort. A page is then a range of keys (``read_page``), so no page needs
+    those before it. The keys must be unique."""
+    if size <= 0:
+        raise ValueError("page size must be positive")
+    indexed = with_row_index(df.select(*keys), keys, "__idx")
+    return indexed.filter(F.col("__idx") % size == 0).select(
+        F.floor(F.col("__idx") / F.lit(size)).cast("bigint").alias("page"), *keys)
+
+
+def read_page(df: DataFrame, keys: Sequence[str], index: DataFrame, page: int) -> DataFrame:
+    """K2, K3: one page, as a filter on the keys that reaches the scan; empty
+    beyond the last page. The driver gets two rows of the index."""
+    bounds = {r["page"]: [r[k] for k in keys] for r in index.filter(F.col("page").isin([page, page + 1])).collect()}
+    if page not in bounds:
+        return df.limit(0)
+    first = bounds[page]
+    here = _after(keys, first)
+    for k, v in zip(keys, first, strict=True):
+        same = F.col(k) == F.lit(v) if k == keys[0] else same & (F.col(k) == F.lit(v))
+    # Bounds of the leading key alone, which files have statistics for.
+    here = (F.col(keys[0]) >= F.lit(first[0])) & (here | same)
+    if page + 1 in bounds:
+        following = bounds[page + 1]
+        for k, v in zip(keys, following, strict=True):
+            same = F.col(k) == F.lit(v) if k == keys[0] else same & (F.col(k) == F.lit(v))
+        here = here & (F.col(keys[0]) <= F.lit(following[0])) & ~(_after(keys, following) | same)
+    return df.where(here).orderBy(*keys)
+
+
 def preview(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """K5: the first ``n`` rows in key order (a top-k, not a full sort)."""
     return df.orderBy(*keys).limit(n)

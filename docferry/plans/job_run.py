@@ -190,7 +190,9 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
     out_dir = f"{options.staging_root.rstrip('/')}/{_safe(job.job_id)}"
 
     def do_extract() -> ExportResult:
-        return extract(spark, job, state["snap"], now=now, out_dir=out_dir, options=options)
+        done = extract(spark, job, state["snap"], now=now, out_dir=out_dir, options=options)
+        catalog.verify(job.data_index)  # a pinned version that changed is an error
+        return done
 
     def do_reextract() -> ExportResult:
         state["snap"] = source()
@@ -202,6 +204,7 @@ def run_export(spark: SparkSession, job: JobSpec, catalog: Catalog, *, now: date
                                       waits=options.waits, sleep=options.sleep)
     if not checks[-1].agrees:
         raise Unreconciled(job.job_id, checks)
+    catalog.verify(job.data_index)
     # The raw documents of the snapshot that reconciled.
     ndjson_rows = None
     if options.ndjson_dir:
@@ -225,11 +228,20 @@ MANIFEST_SCHEMA = ("job_id string, row_count bigint, n_parts int, sha256 string,
 def append_manifest(spark: SparkSession, table_path: str, outcome: JobOutcome, *,
                     partition: int | None = None, offset: int | None = None) -> None:
     """One row per finished export, appended to a manifest table."""
-    d = asdict(outcome)
-    row = (d["job_id"], d["row_count"], d["n_parts"], d["sha256"], d["path"], d["sidecar_path"],
-           [(int(a), int(b)) for a, b in d["attempts"]], d["reextracted"], partition, offset,
-           datetime.now(timezone.utc).replace(tzinfo=None))
-    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(table_path)
+    append_manifests(spark, table_path, [(outcome, partition, offset)])
+
+
+def append_manifests(spark: SparkSession, table_path: str,
+                     finished: list[tuple[JobOutcome, int | None, int | None]]) -> None:
+    """The rows of several finished records (outcome, partition, offset), in one
+    file that appears as a whole."""
+    at = datetime.now(timezone.utc).replace(tzinfo=None)
+    rows = []
+    for outcome, partition, offset in finished:
+        d = asdict(outcome)
+        rows.append((d["job_id"], d["row_count"], d["n_parts"], d["sha256"], d["path"], d["sidecar_path"],
+                     [(int(a), int(b)) for a, b in d["attempts"]], d["reextracted"], partition, offset, at))
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(table_path)
 
 
 def run_exports_one_scan(spark: SparkSession, jobs: list[JobSpec], catalog: Catalog, *,

@@ -10,9 +10,10 @@ from docferry.session import tune
 
 
 def _modules():
-    from docferry.plans import control_jobs, filters, many_jobs, ordered, paging, projections, rendering
+    from docferry.plans import (
+        control_jobs, filters, integrity, many_jobs, ordered, paging, projections, rendering)
 
-    return [projections, filters, rendering, control_jobs, paging, ordered, many_jobs]
+    return [projections, filters, rendering, control_jobs, paging, ordered, many_jobs, integrity]
 
 
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -43,6 +43,10 @@ class Catalog:
             raise KeyError(f"unknown data_index {name!r}") from None
         return factory()
 
+    def verify(self, name: str) -> None:
+        """Raise where the source that ``get`` returned last has changed since.
+        Plain listings can't tell (``snapshots.SnapshotCatalog`` can)."""
+
 
 def driver_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The driver tables plus the document views derived from them."""

@@ -36,7 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docferry.operators.control import decode_control, split_control
 from docferry.operators.jobs import JobSpec, lookup_jobs
-from docferry.plans.job_run import RunOptions, append_manifest, run_export
+from docferry.plans.job_run import RunOptions, append_manifest, append_manifests, run_export
 from docferry.sources import fs
 from docferry.sources.tables import Catalog
 
@@ -197,7 +197,6 @@ def _run_grouped(spark: SparkSession, records: list, cfg: StreamConfig) -> None:
             ids = ", ".join(sorted(members))
             rec = next(iter(members.values()))[1][0]
             raise JobFailed(rec["partition"], rec["offset"], None, f"one of the jobs {ids}: {e!r}") from e
-        for job_id, (_, recs) in members.items():
-            for rec in recs:
-                append_manifest(spark, cfg.ledger_path, outcomes[job_id],
-                                partition=rec["partition"], offset=rec["offset"])
+        append_manifests(spark, cfg.ledger_path, [
+            (outcomes[job_id], rec["partition"], rec["offset"])
+            for job_id, (_, recs) in members.items() for rec in recs])
