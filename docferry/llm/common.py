@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
+import weakref
 import zlib
 
 import numpy as np
@@ -13,28 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import docferry
-from docferry.session import checkpoint_dir
+from docferry.session import checkpoint_dir, ship  # noqa: F401
+from docferry.sources import fs
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python workers, once for each
-    application, as ``--py-files`` does; for sessions started without it."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(docferry.__file__))
-    name = os.path.join(tempfile.mkdtemp(prefix="docferry-"), "docferry.zip")
-    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, files in os.walk(root):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(name)
-    _SHIPPED.add(sc.applicationId)
+_SETTLED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,7 +34,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _SETTLED[out] = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a table that ``settle`` wrote, once no later step
+    reads it: what was made of it must be written, too."""
+    fs.delete(df.sparkSession, _SETTLED.pop(df))
 
 
 def unused(df: DataFrame, name: str) -> str:
