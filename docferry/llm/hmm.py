@@ -36,6 +36,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def blocks(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([part << 24 | n], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([lengths], pa.list_(pa.int32())), pa.array([held], pa.list_(pa.bool_())),
-                 pa.array([codes.astype("<u2" if len(found) <= 1 << 16 else "<u4").tobytes()], pa.binary()),
+                 pa.array([zstandard.compress(codes.astype("<u2" if len(found) <= 1 << 16 else "<u4").tobytes(), 1)], pa.binary()),
                  pa.array([found], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))],
                 names=[f.split()[0] for f in BLOCKS.split(", ")])
 
@@ -175,7 +176,7 @@ def encode(coded: DataFrame) -> tuple[DataFrame, Vocabulary]:
         for batch in batches:
             for r in range(batch.num_rows):
                 lengths = batch.column("lengths")[r].values.to_numpy()
-                raw = batch.column("codes")[r].as_py()
+                raw = zstandard.decompress(batch.column("codes")[r].as_py())
                 codes = np.frombuffer(raw, "<u2" if len(raw) == 2 * lengths.sum() else "<u4")
                 values = np.zeros(int(codes.max()) + 1, np.int64)
                 if batch.column("places")[r].is_valid:
