@@ -41,8 +41,9 @@ NO_LANGUAGE = "und"
 CHUNK_WORDS = 1 << 20   # words whose suffixes a task merges at once
 RANGE_WORDS = 1_500_000  # suffixes of a range, on average
 SAMPLE_EVERY = 1024     # words of a task for each sampled suffix
-SAMPLES_PER_RANGE = 100
-SHORT_CODES = 65_535    # most frequent words, written in two bytes
+SAMPLES_PER_RANGE = 40
+SHORT_CODES = 65_535    # words with more than this part of all are written in two bytes
+TOP_PARTS = 64         # in which a language's phrases are ranked first
 COUNTED_WORDS = 1_000_000  # distinct words that a task holds before it hands them on
 
 # Characters that end a piece; space and tab part its words.
@@ -155,8 +156,8 @@ class Borders(NamedTuple):
 
 
 def borders(sample: DataFrame, ranges: int) -> Borders:
-    """Borders of at most ``ranges`` ranges of like size. The driver gets a
-    hundred sampled suffixes for each range, about."""
+    """Borders of at most ``ranges`` ranges of like size. The driver gets
+    some forty sampled suffixes for each range."""
     n = sample.count()
     wanted = SAMPLES_PER_RANGE * ranges
     if n > wanted:
@@ -394,8 +395,8 @@ def collocations(docs: DataFrame, *, least: int = LEAST, top: int = TOP, covered
         seed += 1
     total = words.agg(F.sum("n")).first()[0] or 0
     cuts = borders(sample, max(shuffle_partitions(spark), -(-total // range_words)))
-    # At most SHORT_CODES rows.
-    often = words.orderBy(F.desc("n"), "h").limit(SHORT_CODES - 1).select("h").collect()
+    # Fewer than SHORT_CODES words can be as frequent as that.
+    often = words.filter(F.col("n") * (SHORT_CODES - 1) > total).select("h").collect()
     common = np.sort(np.array([0] + [r.h % (1 << 64) for r in often], np.uint64))
     found = settle(phrases(suffixes(docs, seed, cuts, common), cuts, common, least), "phrases")
 
@@ -436,10 +437,13 @@ def collocations(docs: DataFrame, *, least: int = LEAST, top: int = TOP, covered
     two = kept.select("lang", "w1", "w2", F.lit(0).cast("long").alias("w3"), "a", cut(1, "l", "r").alias("c"))
     three = triples.select("lang", "w1", "w2", "w3", "a",
                            F.least(cut(1, "l1", "r1"), cut(2, "l2", "r2")).alias("c"))
-    best = Window.partitionBy("lang").orderBy(F.desc("c.score"), F.desc("a"))
-    # Ties of the last rank stay until the phrases' texts are there.
-    ranked = settle(two.unionByName(three).withColumn("place", F.rank().over(best)).filter(F.col("place") <= top),
-                    "ranked")
+    # The best of each of many parts of a language, then of the language. Ties
+    # of the last rank stay until the phrases' texts are there.
+    ranked = two.unionByName(three).withColumn("part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(TOP_PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        best = Window.partitionBy(*by).orderBy(F.desc("c.score"), F.desc("a"))
+        ranked = ranked.withColumn("place", F.rank().over(best)).filter(F.col("place") <= top)
+    ranked = settle(ranked, "ranked")
     for k in (1, 2, 3):
         ranked = ranked.join(frequent.select(F.col("h").alias(f"w{k}"), F.col("word").alias(f"t{k}")), f"w{k}", "left")
     sizes = words.groupBy(F.col("one.lang").alias("lang")).agg(F.sum("n").alias("n"))

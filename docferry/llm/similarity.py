@@ -37,20 +37,23 @@ are ignored.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from docferry.llm.common import settle, unused, utf8
+from docferry.llm.common import release, settle, unused, utf8
 from docferry.llm.shingles import block_keys, levels, set_digest, shingle_set, sketch
 
 BROADCAST_IDS = 300_000  # ids of 8 bytes; beyond that they are joined by shuffle
 STARS = 3  # leaders of a bucket that are compared with all its members first
 CHUNK = 2_048  # members of a bucket compared in one task; larger buckets are cut
 ROWS_OUT = 200_000
+BATCH_ROWS = 1_000
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -180,19 +183,23 @@ def survivors(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame
     first = settle(_enough(_shared(keys(docs))), "keys")
     again = first.select("cls", "tag", F.explode("keys.key").alias("key"))
     second = settle(_enough(_shared(again)), "keys")
+    release(first)
     kept = second.select("cls").distinct()
-    sets = settle(sets_of(docs, classes.join(kept, "cls", "left_semi")), "sets")
+    read = sets = settle(sets_of(docs, classes.join(kept, "cls", "left_semi")), "sets")
     elements = sets.select("cls", "size", F.explode("hashes").alias("key"))
     common = (_shared(elements).groupBy("cls", "size").agg(F.countDistinct("key").alias("common"))
               .filter(F.col("common") * 4 >= F.col("size") * 3).select("cls"))
     common = settle(common, "common")
     sets = settle(sets.join(common, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    release(read)
     third = _enough(_shared(second.join(common, "cls", "left_semi")
                             .select("cls", "tag", F.explode("keys.key").alias("key"))))
     # Rarest first: all but the last ``need - 1`` of the shared keys.
     rare = F.slice(F.array_sort("keys"), F.lit(1), (F.size("keys") - _need() + 1).cast("int"))
     rows = third.select("cls", F.explode(rare).alias("e")).select(F.col("e.key").alias("key"), "cls").distinct()
-    return settle(rows, "buckets"), sets
+    rows = settle(rows, "buckets")
+    release(second)
+    return rows, sets
 
 
 def _fold(s: Column, n: Column) -> Column:
@@ -212,6 +219,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                                    lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
     near = pairs.join(a, "x").join(b, "y").filter(apart * 7 <= F.col("nx") + F.col("ny")).select("x", "y", "nx", "ny")
     near = settle(near, "near")
+    if near.count() <= BROADCAST_IDS:  # then the sets needn't be shuffled
+        near = F.broadcast(near)
     p = sets.select(F.col("cls").alias("x"), F.col("hashes").alias("hx"))
     q = sets.select(F.col("cls").alias("y"), F.col("hashes").alias("hy"))
     common = F.size(F.array_intersect("hx", "hy"))
@@ -367,7 +376,8 @@ def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """node, root: components of the classes in ``rows`` (others are alone)."""
-    rows = settle(distinct_buckets(rows), "buckets")
+    spent, rows = rows, settle(distinct_buckets(rows), "buckets")
+    release(spent)
     labels = settle(rows.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct(), "labels")
     for order in range(STARS):
         mixed = settle(_mixed(rows, labels), "mixed")
@@ -377,20 +387,39 @@ def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
         stars = mixed.join(leader, "key").filter("root != r") \
             .select(F.least("cls", "l").alias("x"), F.greatest("cls", "l").alias("y")).distinct()
         labels = merge(labels, settle(verified(settle(stars, "pairs"), sets), "links"))
+        release(mixed)
     rest = close_pairs(settle(_mixed(rows, labels), "mixed"), sets)
     return merge(labels, settle(verified(settle(rest, "pairs"), sets), "links"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Texts and their shingles are some KB a row: hand few rows at a time to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before) if int(before) > 0 else BATCH_ROWS, BATCH_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The profile of the documents, and of each class its component: cls,
-    root, component_id."""
+    root, component_id, and its smallest doc_id."""
+    with small_batches(docs.sparkSession):
+        return _classes_of(docs)
+
+
+def _classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     thin = settle(profile(docs), "profile")
     classes = settle(thin.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "classes")
     rows, sets = survivors(docs, classes)
     labels = links(rows, sets).select(F.col("node").alias("cls"), "root")
     rooted = classes.join(labels, "cls", "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return thin, settle(rooted.select("cls", "root").join(ids, "root").select("cls", "root", "component_id"), "ids")
+    return thin, settle(rooted.join(ids, "root").select("cls", "root", "component_id", F.col("doc_id").alias("least_id")),
+                        "ids")
 
 
 def _assigned(thin: DataFrame, ids: DataFrame) -> DataFrame:
@@ -419,9 +448,11 @@ def _with_class(docs: DataFrame, column: str) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without near duplicates: of each component the row with the
-    smallest id stays. Rows of one id are one document. A row without an id
-    stays only in a component without any id, one row for each, or where it has
-    no shingles."""
+    smallest id stays. Rows of one id are told apart by their texts: a text of
+    another component keeps its row, and of one id's near copies one stays (the
+    least class; of its rows, one by a hash of the row). A row without an id
+    stays only in a component without any id, one row for each. Rows without
+    shingles all stay."""
     thin, ids = classes_of(docs)
     found = settle(_assigned(thin, ids), "components")
     p = unused(docs, "near_")
@@ -431,7 +462,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows, distinct, null = found.agg(F.count("doc_id"), F.countDistinct("doc_id"),
                                      F.count_if(F.col("doc_id").isNull())).first()
     if rows != distinct:
-        out = out.dropDuplicates(["doc_id"])
+        first = ids.filter("least_id = component_id").groupBy("root").agg(
+            F.min(F.struct(F.col("component_id").alias("id"), F.col("cls").alias("cls"))).alias("r")).select(
+            F.col("r.id").alias(p + "id"), F.col("r.cls").alias(p + "first"))
+        known = _with_class(out, p + "cls")
+        one = known.join(first, (F.col("doc_id") == F.col(p + "id")) & (F.col(p + "cls") == F.col(p + "first")), "left_semi")
+        one = one.groupBy("doc_id", p + "cls").agg(
+            F.min_by(F.struct(*cols), F.struct(F.xxhash64(*cols), "text")).alias(p + "row")).select(p + "row.*")
+        out = one.unionByName(known.filter(F.col(p + "cls").isNull()).select(*cols))
     out = out.select(*cols)
     if null:
         bare = _with_class(docs.filter("doc_id IS NULL"), p + "cls")

@@ -20,7 +20,8 @@ Words: runs of letters, digits and non-ASCII bytes, A-Z in lower case.
 
 ``fit`` learns from a bounded sample of the labelled rows: per class the
 ``MODEL_ROWS`` rows, and for the curve the ``CURVE_ROWS`` rows of any class, with
-the lowest hashes of their ids; both models learn from equally many rows. Scoring covers all rows and whole texts.
+the lowest hashes of their ids. A rare class learns from fewer rows; how frequent
+it is, is the curve's to know. Scoring covers all rows and whole texts.
 
 Defined cases: a null or empty text has no evidence (the curve's value at 0); a
 null label is no label, several labels of one id count as their largest; with
@@ -192,10 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, *, model_rows: int =
     rows = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(usable)
             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.when(y > 0, 1).otherwise(0)).alias("y"))
             .withColumn("h", h).withColumn("curve", F.pmod(F.col("h"), F.lit(5)) == 0))
-    have = {r["y"]: r["n"] for r in rows.filter("NOT curve").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    each = min(model_rows, have.get(0, 0), have.get(1, 0)) or model_rows
     picked = None
-    for part in ([rows.filter(~F.col("curve") & (F.col("y") == c)).orderBy("h").limit(each) for c in (0, 1)]
+    for part in ([rows.filter(~F.col("curve") & (F.col("y") == c)).orderBy("h").limit(model_rows) for c in (0, 1)]
                  + [rows.filter("curve").orderBy("h").limit(curve_rows)]):
         picked = part if picked is None else picked.unionByName(part)
     # At most 2 * model_rows + curve_rows ids: small by construction.

@@ -81,6 +81,15 @@ def test_odd_documents(odd_docs, no_docs, monkeypatch):
     assert similarity.near_duplicates(no_docs).count() == 0 and similarity.one_of_each(no_docs).count() == 0
 
 
+def test_rows_of_one_id_with_different_texts(spark, words):
+    a, b, c = words(60, 1), words(60, 2), words(60, 3)
+    rows = [(3, a, "x"), (5, a + " more", "x"), (5, b, "x"), (5, b, "y"), (6, b + " more", "x"), (7, c, "x"),
+            (7, c + " more", "x"), (8, None, "x"), (8, "", "x")]
+    kept = similarity.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sorted((r.doc_id, (r.text or "").removesuffix(" more")) for r in kept) == [
+        (3, a), (5, b), (7, c), (8, ""), (8, "")]
+
+
 def test_cut_buckets_find_every_link(spark, words, monkeypatch, request):
     """Buckets of more than a few members are compared cut by cut, and groups
     go on from one Arrow batch to the next."""
