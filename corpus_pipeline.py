@@ -12,9 +12,10 @@ Every stage takes (spark, docs, sf_dir) and works on all rows it is given; all
 but the last return the columns of ``docs``.
 
 Defined cases: nulls and empty texts pass stage 1 unless their score says
-otherwise; in stage 2 rows with the same id are one document; a null id keeps
-its row unless its text is a near duplicate of one with an id, or of another
-with a null id; an empty table gives no rows.
+otherwise; in stage 2 rows with the same id and near texts are one document,
+those with other texts stay; a null id keeps its row unless its text is a near
+duplicate of one with an id, or of another with a null id; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -30,9 +31,14 @@ from docferry.llm.tokens import SPACED_RUNS
 from docferry.session import tune
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def _ready(spark: SparkSession) -> None:
     tune(spark)
     ship(spark)
+    if spark.conf.get(BATCH, None) is None:  # whole texts: some thousand rows at a time
+        spark.conf.set(BATCH, "2000")
 
 
 def _kept_columns(docs: DataFrame) -> list:
