@@ -303,8 +303,8 @@ def trie(conversations: DataFrame) -> DataFrame:
         *[F.lit(0).cast("long").alias(k) for k in _KEY], F.lit(all_convs.least).cast("long").alias("conv_id"),
         F.lit(all_convs.n).cast("long").alias("n_convs"), F.lit(0).cast("long").alias("words"),
         F.lit(None).cast("long").alias("parent_conv_id"))
-    below = found.filter("depth = 1").agg(F.count(F.lit(1)).alias("n_children"))
-    found = settle(found.drop("px1", "px2").unionByName(top.crossJoin(below)).join(ends, _KEY, "left"), "trie")
+    top = top.withColumn("n_children", F.lit(found.filter("depth = 1").count()).cast("long"))
+    found = settle(found.drop("px1", "px2").unionByName(top).join(ends, _KEY, "left"), "trie")
     ids = F.struct(F.col("conv_id").alias("c"), F.col("depth").alias("d"))
     tree = found.select(
         ids.alias("v"), F.when(F.col("depth") > 0, F.struct(F.col("parent_conv_id").alias("c"),
