@@ -1,5 +1,5 @@
 """Registered queries: set reconciliation (R4), retries (R2, R3), pinned
-versions (S4), the control stream (S1, T5-T9) and pages by index (K2, K3)."""
+versions (S4), the control stream (S1, T5-T9), ordered records (T7, T8) and pages by index (K2, K3)."""
 
 from __future__ import annotations
 
@@ -109,6 +109,38 @@ def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.unionByName(dead)
 
 
+def stream_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record of every event, delivered late and twice, passed on once
+    each and in offset order by a stream that is stopped and started again."""
+    from docferry.streaming.control_stream import file_control_source
+    from docferry.streaming.in_order import in_order, state_settings
+
+    root = _scratch(spark, "in-order")
+    events = read_table(spark, sf_dir, "events")
+    first, n = events.agg(F.min("event_id"), F.count(F.lit(1))).first()
+    at = F.col("event_id") - F.lit(first)
+    records = events.select(F.encode(F.concat_ws("|", "event_type", F.col("event_id").cast("string")), "UTF-8").alias("value"),
+                            (at % 16).cast("int").alias("partition"), F.expr("0L").alias("offset"), at.alias("i"))
+    records = records.withColumn("offset", F.floor(F.col("i") / 16).cast("long"))
+    # Files follow one another in time; some records are in the next one or in both.
+    file = F.least(F.floor(F.col("i") * 6 / F.lit(n)), F.lit(5)).cast("int")
+    late = records.withColumn("file", F.when(F.col("i") % 1013 == 5, F.least(file + 1, F.lit(5))).otherwise(file))
+    again = records.where("i % 7 = 3").withColumn("file", F.least(file + 1, F.lit(5)))
+    sent = late.unionByName(again).select("value", "partition", "offset", "file")
+    for part, some in enumerate(("file < 3", "file >= 3")):
+        sent.where(some).repartition("file").write.partitionBy("file").mode("append").parquet(f"{root}/sent")
+
+        def write(batch: DataFrame, epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
+
+        stream = file_control_source(spark, f"{root}/sent", max_files_per_trigger=2)
+        with state_settings(spark, 8, wait_for_timers=False):
+            (in_order(stream).writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/state")
+             .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{root}/out").select(
+        "partition", "offset", F.decode("value", "UTF-8").alias("value"), "seq", "skipped")
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").select(*KEYS, "l_quantity")
 
@@ -159,6 +191,10 @@ SELECT *, source_count = written_rows AS matched FROM c"""),
   WHERE d."offset" IN (SELECT max(event_id) FROM events GROUP BY user_id % 30, event_id % 9))
 SELECT partition, "offset", job_doc_id AS job_id, CASE WHEN error IS NULL THEN
   (SELECT count(*) FROM customer WHERE c_nationkey = user_id % 30) END AS row_count, error FROM r"""),
+    "stream_in_order": (stream_in_order, lambda: """WITH r AS (
+  SELECT event_id - (SELECT min(event_id) FROM events) AS i, event_type, event_id FROM events)
+SELECT CAST(i % 16 AS INTEGER) AS partition, i // 16 AS "offset", event_type || '|' || CAST(event_id AS VARCHAR) AS value,
+  row_number() OVER (PARTITION BY i % 16 ORDER BY i) - 1 AS seq, CAST(0 AS BIGINT) AS skipped FROM r"""),
     "page_boundaries": (page_boundaries, lambda: f"SELECT page, {', '.join(KEYS)} FROM ({_PAGES}) WHERE i = 0"),
     "pages_by_index": (pages_by_index, lambda: f"""WITH p AS ({_PAGES})
 SELECT {', '.join(KEYS)}, l_quantity, page FROM p WHERE page IN (0, 3, (SELECT max(page) FROM p))"""),
