@@ -11,9 +11,9 @@ from docferry.session import tune
 
 def _modules():
     from docferry.plans import (
-        control_jobs, filters, integrity, many_jobs, ordered, paging, projections, rendering)
+        control_jobs, filters, integrity, many_jobs, ordered, paging, projections, rendering, statistics)
 
-    return [projections, filters, rendering, control_jobs, paging, ordered, many_jobs, integrity]
+    return [projections, filters, rendering, control_jobs, paging, ordered, many_jobs, integrity, statistics]
 
 
 def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
