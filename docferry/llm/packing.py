@@ -7,7 +7,8 @@ row number, so each group has the table's mix of lengths however skewed it is.
 Within a group, best fit in descending length makes the first bins; then, from
 the emptiest bin up, documents are exchanged one for one or two for one, or
 moved, between underfull bins, each step raising the sum of squared fills,
-until bins are empty or no step does.
+until bins are empty or no step does. No step and no pair of pieces is left out:
+the sum of squared fills bounds the steps.
 
 A group has one bin more than its ids need at worst where the search ends with
 a rest, so the loss is about one sequence in ``GROUP_PIECES`` pieces.
@@ -33,7 +34,6 @@ from docferry.llm.tokens import SPACED_RUNS, encoder
 
 CAPACITY = 1024
 GROUP_PIECES = 40_000
-MAX_STEPS = 20_000  # of the local search in a group; more only fill better
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -90,20 +90,20 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int,
-                 max_steps: int = MAX_STEPS) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Exchange and move pieces between underfull bins, each step raising the
-    sum of squared fills, starting at the emptiest bin."""
+    sum of squared fills, starting at the emptiest bin, until no step does
+    or there are as few bins as the sum of lengths needs."""
     least = -(-sum(lengths) // capacity)
     fills = [sum(lengths[i] for i in b) for b in bins]
     if len(bins) <= least:
         return bins
-    under = [b for b in range(len(bins)) if fills[b] < capacity]
-    items = [i for b in under for i in bins[b]]
+    under = np.array(sorted((b for b in range(len(bins)) if fills[b] < capacity), key=lambda b: fills[b]), np.int64)
+    items = [i for b in under.tolist() for i in bins[b]]
     size = np.array([lengths[i] for i in items], np.int64)
-    home = np.array([b for b in under for _ in bins[b]], np.int64)
-    fill = np.zeros(len(bins), np.int64)
-    fill[under] = [fills[b] for b in under]
+    home = np.array([b for b in under.tolist() for _ in bins[b]], np.int64)
+    fill = np.full(len(bins), capacity, np.int64)
+    fill[under] = [fills[b] for b in under.tolist()]
     alive = len(bins)
 
     def place(k: int, b: int) -> None:
@@ -111,56 +111,68 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int,
         fill[b] += size[k]
         home[k] = b
 
-    steps = 0
-    for b in sorted(under, key=lambda b: fills[b]):
-        if alive <= least or steps >= max_steps:
-            break
-        improved = True
-        while fill[b] and improved and steps < max_steps:
-            improved = False
-            mine = np.flatnonzero(home == b)
-            mine = mine[np.argsort(-size[mine], kind="stable")]
-            others = np.array([u for u in under if u != b and 0 < fill[u] < capacity], np.int64)
-            if not len(others):
+    def move(b: int, mine: list[int]) -> bool:
+        """The largest piece that fits elsewhere into the fullest bin with room."""
+        others = under[(under != b) & (fill[under] > 0) & (fill[under] < capacity)]
+        free = capacity - fill[others]
+        for k in mine:
+            fits = np.flatnonzero((free >= size[k]) & (fill[others] + size[k] > fill[b]))
+            if len(fits):
+                place(k, int(others[fits[np.argmin(free[fits])]]))
+                return True
+        return False
+
+    def exchange(b: int, mine: list[int]) -> bool:
+        """One or two pieces for one of another bin: the exchange that raises
+        the sum of squares most. The more the other bin gains the better, so
+        for each of its pieces only the largest total that fits counts."""
+        by_size: dict[int, list[int]] = {}
+        for k in mine:
+            by_size.setdefault(int(size[k]), []).append(k)
+        given = {n: ks[:1] for n, ks in by_size.items()}
+        # Different sizes of one bin: fewer than sqrt(2 * capacity).
+        for n, ks in by_size.items():
+            for m, others in by_size.items():
+                pair = [ks[0], others[0]] if n > m else ks[:2] if n == m else []
+                if len(pair) == 2:
+                    given.setdefault(n + m, pair)
+        largest = np.zeros(2 * capacity + 1, np.int64)
+        largest[list(given)] = list(given)
+        largest = np.maximum.accumulate(largest)
+        theirs = np.flatnonzero((home != b) & (fill[home] < capacity))
+        full = fill[home[theirs]]
+        total = largest[size[theirs] + capacity - full]
+        gain = total - size[theirs]
+        # Half the change of the sum of squares.
+        change = np.where(gain > 0, gain * (full + gain - fill[b]), 0)
+        x = int(np.argmax(change)) if len(change) else 0
+        if not len(change) or change[x] <= 0:
+            return False
+        to = int(home[theirs[x]])
+        for k in given[int(total[x])]:
+            place(k, to)
+        place(int(theirs[x]), b)
+        return True
+
+    again = True
+    while again and alive > least:
+        again = False
+        for b in under[np.argsort(fill[under], kind="stable")].tolist():
+            if alive <= least:
                 break
-            free = capacity - fill[others]
-            # move: into the fullest bin with room
-            for k in mine.tolist():
-                fits = np.flatnonzero((free >= size[k]) & (fill[others] + size[k] > fill[b]))
-                if len(fits):
-                    place(k, int(others[fits[np.argmin(free[fits])]]))
-                    improved = True
+            there = fill[b] > 0
+            while 0 < fill[b] < capacity:
+                mine = np.flatnonzero(home == b)
+                mine = mine[np.argsort(-size[mine], kind="stable")].tolist()
+                if not (move(b, mine) or exchange(b, mine)):
                     break
-            if not improved:
-                # one or two of mine for one of theirs: the fuller bin gains most
-                given = [(int(size[k]), (k,)) for k in mine.tolist()]
-                given += [(int(size[k] + size[m]), (k, m)) for x, k in enumerate(mine.tolist()[:12])
-                          for m in mine.tolist()[x + 1:12]]
-                theirs = np.flatnonzero((home != b) & (fill[home] > 0) & (fill[home] < capacity))
-                room = capacity - fill[home[theirs]]
-                best = (0, None, None)
-                for total, ks in given:
-                    gain = total - size[theirs]
-                    good = (gain > 0) & (gain <= room) & (fill[home[theirs]] + gain > fill[b])
-                    if good.any():
-                        # change of the sum of squares: 2 g (fill_j + g - fill_b)
-                        change = np.where(good, 2 * gain * (fill[home[theirs]] + gain - fill[b]), 0)
-                        x = int(np.argmax(change))
-                        if change[x] > best[0]:
-                            best = (int(change[x]), ks, int(theirs[x]))
-                if best[1]:
-                    to = int(home[best[2]])
-                    for k in best[1]:
-                        place(k, to)
-                    place(best[2], b)
-                    improved = True
-            steps += improved
-        alive -= fill[b] == 0
+                again = True
+            alive -= bool(there and fill[b] == 0)
     out = [b for x, b in enumerate(bins) if fills[x] >= capacity]
-    again: dict[int, list[int]] = {}
+    packed: dict[int, list[int]] = {}
     for i, b in zip(items, home.tolist(), strict=True):
-        again.setdefault(b, []).append(i)
-    return out + list(again.values())
+        packed.setdefault(b, []).append(i)
+    return out + list(packed.values())
 
 
 def pack(rows: DataFrame, *, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:

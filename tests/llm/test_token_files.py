@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -126,6 +127,27 @@ def test_local_search_keeps_all_pieces_and_never_adds_bins(lengths):
     assert len(better) <= len(bins)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_local_search_leaves_no_step(seed):
+    """Every move and every exchange of one or two pieces, tried one by one."""
+    rng = random.Random(seed)
+    cap = 60
+    lengths = [rng.choice([rng.randint(1, 6), rng.randint(14, 24), rng.randint(25, 40)]) for _ in range(50)]
+    bins = packing.local_search(packing.best_fit(lengths, cap), lengths, cap)
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    assert max(fill) <= cap and sorted(i for b in bins for i in b) == list(range(50))
+    if len(bins) == -(-sum(lengths) // cap):
+        return
+    for b, mine in enumerate(bins):
+        given = [lengths[i] for i in mine] + [lengths[i] + lengths[k] for x, i in enumerate(mine) for k in mine[x + 1:]]
+        for j, theirs in enumerate(bins):
+            if j == b or cap in (fill[b], fill[j]):
+                continue
+            assert not any(fill[j] + lengths[i] <= cap and fill[j] + lengths[i] > fill[b] for i in mine)
+            assert not any(0 < t - lengths[i] <= cap - fill[j] and fill[j] + t - lengths[i] > fill[b]
+                           for t in given for i in theirs)
+
+
 def test_local_search_empties_a_bin():
     # 6+3 / 5+4 / 1 in bins of 10: swapping fills one bin and empties another
     lengths = [6, 3, 5, 4, 1, 1]
