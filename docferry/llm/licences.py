@@ -484,24 +484,40 @@ def scan_texts(texts: list[bytes], model, known: Templates) -> list[tuple[int, l
 
 def background(docs: DataFrame, rows: int = BACKGROUND_ROWS, lines: int = BACKGROUND_LINES) -> list[list[bytes]]:
     """Ordinary paragraphs of a bounded sample; those that repeat a notice's
-    words are left out."""
-    texts = (docs.filter("text IS NOT NULL").select("text", F.xxhash64("doc_id", "text").alias("h"))
-             .orderBy("h").limit(rows).select("text").toArrow().column(0))
-    known = templates()
-    out = []
-    for text in utf8(texts.combine_chunks()):
-        words, at_line, block = blocks(text)
-        notices = {at_line[x] for _, at, *_ in known.matches(word_hashes().of(words), np.array(block), 0.5)
-                   for p in at for x in (p, min(p + 1, len(words) - 1))}
-        out += [w for n, w in enumerate(paragraphs(text)) if n not in notices]
-    # Dealt by a hash of the line and how often it was there before.
-    again: Counter = Counter()
-    dealt = []
-    for w in out:
-        line = b" ".join(w)
-        dealt.append((xxhash.xxh3_64_intdigest(line, seed=again[line]), line))
-        again[line] += 1
-    return [line.split() for _, line in sorted(dealt)[:lines]]
+    words are left out.
+
+    The sample is the ``rows`` documents, repeated rows once, with the lowest
+    hashes, and of their lines those with the ``lines`` lowest hashes of the line
+    and how often it was there before. Only hashes are sorted; texts are cut
+    into lines in tasks, and only the lines of the sample reach the driver."""
+    texts = docs.filter("text IS NOT NULL").select(F.col("text").cast("string").alias("text"),
+                                                   F.xxhash64("doc_id", "text").alias("h"))
+    lowest = texts.select("h").distinct().orderBy("h").limit(rows)
+
+    def cut(batches):
+        known = templates()
+        for batch in batches:
+            out = []
+            for text in utf8(batch.column(0)):
+                words, at_line, block = blocks(text)
+                notices = {at_line[x] for _, at, *_ in known.matches(word_hashes().of(words), np.array(block), 0.5)
+                           for p in at for x in (p, min(p + 1, len(words) - 1))}
+                out += [b" ".join(w) for n, w in enumerate(paragraphs(text)) if n not in notices]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["line"])
+
+    def deal(batches):
+        for batch in batches:
+            out = [(xxhash.xxh3_64_intdigest(line, seed=k).to_bytes(8, "big"), line)
+                   for line, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                   for k in range(min(n, lines))]
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in out], pa.binary()),
+                                              pa.array([line for _, line in out], pa.binary())], names=["h", "line"])
+
+    # ``rows`` hashes: small by construction.
+    sample = texts.join(F.broadcast(lowest), "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    counted = sample.select("text").mapInArrow(cut, "line binary").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counted.mapInArrow(deal, "h binary, line binary").orderBy("h", "line").limit(lines).toArrow()
+    return [line.split() for line in dealt.column("line").to_pylist()]
 
 
 OUT = ("doc_id long, n_paragraphs int, "
