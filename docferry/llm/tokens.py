@@ -62,7 +62,7 @@ class ChunkEncoder(dict):
     which the frequent chunks are.
     """
 
-    def __init__(self, path: str, cuts: str, cache_chunks: int = 600_000) -> None:
+    def __init__(self, path: str, cuts: str, cache_chunks: int = 1_200_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
