@@ -15,6 +15,7 @@ from docferry.session import checkpoint_dir, ship  # noqa: F401
 from docferry.sources import fs
 
 _SETTLED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+_IN_USE: list[dict] = []
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +46,17 @@ def release(df: DataFrame) -> None:
     fs.delete(df.sparkSession, _SETTLED.pop(df))
 
 
+def sole(cache: dict) -> dict:
+    """``cache``, after the one that this worker process used before is emptied.
+    Workers outlive an operator, and the memory of each of its caches would add
+    to that of the next one's."""
+    if _IN_USE and _IN_USE[0] is not cache:
+        _IN_USE.pop().clear()
+    if not _IN_USE:
+        _IN_USE.append(cache)
+    return cache
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` begins with it (Spark
     compares names without case)."""

@@ -22,6 +22,9 @@ import re
 import struct
 from itertools import islice
 
+from docferry.llm.common import sole
+
+
 def _byte_chars() -> list[str]:
     """The character that byte-level vocabularies write for each byte: itself
     where it is printable, else the next free one from 256 on."""
@@ -122,4 +125,4 @@ def encoder(path_or_name: str, cuts: str) -> ChunkEncoder:
     if key not in _ENCODERS:
         path = path_or_name if os.path.sep in path_or_name else vocabulary(path_or_name)
         _ENCODERS[key] = ChunkEncoder(path, cuts)
-    return _ENCODERS[key]
+    return sole(_ENCODERS[key])

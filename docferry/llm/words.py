@@ -12,6 +12,8 @@ from itertools import islice
 import numpy as np
 import xxhash
 
+from docferry.llm.common import sole
+
 
 class WordHashes(dict):
     def __init__(self, cache_words: int = 500_000) -> None:
@@ -35,7 +37,7 @@ _HASHES = WordHashes()
 
 def word_hashes() -> WordHashes:
     """One cache for each worker process, kept between tasks."""
-    return _HASHES
+    return sole(_HASHES)
 
 
 def words(text: bytes) -> list[bytes]:
