@@ -367,11 +367,13 @@ def close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, cls, root, n of the buckets with more than one component."""
-    w = W.partitionBy("key")
-    return (rows.join(labels, F.col("cls") == F.col("node")).select("key", "cls", "root")
-            .withColumn("lo", F.min("root").over(w)).withColumn("hi", F.max("root").over(w))
-            .withColumn("n", F.count(F.lit(1)).over(w)).filter("lo != hi").drop("lo", "hi"))
+    """key, cls, root, n of the buckets with more than one component. A large
+    bucket leaves each task as one row of the aggregate, and its rows are joined
+    with that in as many tasks as Spark cuts a large key into."""
+    rooted = rows.join(labels, F.col("cls") == F.col("node")).select("key", "cls", "root")
+    mixed = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .filter("lo != hi").select("key", "n"))
+    return rooted.join(mixed, "key")
 
 
 def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
