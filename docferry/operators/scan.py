@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docferry.functions.paths import Key, tokenize, walk
 from docferry.operators.predicates import compile_query
+from docferry.operators.value_lists import among, take_lists
 from docferry.sources.documents import Bound, DocumentView
 
 
@@ -110,13 +111,19 @@ def _attach_child_flags(view: DocumentView, bound: Bound, leaves: list, now: dat
 
 
 def bind_job(source: DocumentView | DataFrame, query: Any, paths: Sequence[str], *,
-             now: datetime, id_column: str | None = None) -> tuple[Bound, Column]:
-    """Bind the paths and the query's fields; return the frame and predicate."""
+             now: datetime, id_column: str | None = None, long_lists: bool = True,
+             tables: Callable[[str], DataFrame] | None = None) -> tuple[Bound, Column]:
+    """Bind the paths and the query's fields; return the frame and predicate.
+    The frame has only rows that satisfy the query's long lists (unless
+    ``long_lists`` is false), which the predicate then lacks."""
     view = as_view(source, id_column)
     leaves: list = []
+    query, lists = take_lists(query, view, tables) if long_lists else (query, [])
     if view.children:
         query = _child_leaves(view, query, leaves)
-    bound = view.bind(list(paths) + query_fields(query))
+    bound = view.bind(list(paths) + query_fields(query) + [column for column, _, _ in lists])
+    for column, values, keep in lists:
+        bound.frame = among(bound.frame, column, values, keep=keep)
     if leaves:
         _attach_child_flags(view, bound, leaves, now)
     pred = compile_query(query, _query_resolver(bound), now=now, id_column=_id_of(view, bound))
@@ -124,17 +131,18 @@ def bind_job(source: DocumentView | DataFrame, query: Any, paths: Sequence[str],
 
 
 def matching(source: DocumentView | DataFrame, query: Any, *, now: datetime,
-             id_column: str | None = None) -> DataFrame:
-    """The documents (root columns) that match ``query``."""
+             id_column: str | None = None, tables: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """The documents (root columns) that match ``query``. ``tables`` gives the
+    value lists that the query names (see ``value_lists``)."""
     view = as_view(source, id_column)
-    bound, pred = bind_job(view, query, [], now=now)
+    bound, pred = bind_job(view, query, [], now=now, tables=tables)
     return bound.frame.where(pred).select(*[F.col(f"`{c}`") for c in view.root.columns])
 
 
 def count_matching(source: DocumentView | DataFrame, query: Any, *, now: datetime,
-                   id_column: str | None = None) -> int:
+                   id_column: str | None = None, tables: Callable[[str], DataFrame] | None = None) -> int:
     """A1: how many documents ``query`` matches (one action, on the cluster)."""
-    bound, pred = bind_job(source, query, [], now=now, id_column=id_column)
+    bound, pred = bind_job(source, query, [], now=now, id_column=id_column, tables=tables)
     return bound.frame.where(pred).count()
 
 

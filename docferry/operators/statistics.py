@@ -179,7 +179,7 @@ def count_by_statistics(spark: SparkSession, path: str, query: Any, *, now: date
     parquet table in ``path``."""
     kept = f"{checkpoint_dir(spark).rstrip('/')}/statistics/{uuid.uuid4().hex}"
     source = spark.read.parquet(path)
-    bound, pred = bind_job(source, query, [], now=now)
+    bound, pred = bind_job(source, query, [], now=now, long_lists=False)
     matching = bound.frame.where(pred)
     try:
         with _footers_only(spark):

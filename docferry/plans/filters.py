@@ -53,6 +53,16 @@ def filter_big_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.lit("loose").alias("kind")))
 
 
+def filter_value_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lines of the parts in one table, but not of the orders in another."""
+    lists = {"large_parts": read_table(spark, sf_dir, "part").filter("p_size > 25"),
+             "urgent": read_table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")}
+    q = {"bool": {"filter": [{"terms": {"l_partkey": {"index": "large_parts", "path": "p_partkey"}}},
+                             {"range": {"l_quantity": {"lt": 20}}}],
+                  "must_not": [{"terms": {"l_orderkey": {"index": "urgent", "path": "o_orderkey"}}}]}}
+    return matching(read_table(spark, sf_dir, "lineitem"), q, now=NOW, tables=lists.__getitem__).select(*LINE_KEYS)
+
+
 def filter_date_only_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds without time: gt and lte mean the end of that day."""
     view = event_documents(spark, sf_dir)
@@ -223,6 +233,9 @@ QUERIES = {
     "filter_range": (filter_range, lambda: f"""SELECT {_LINE_KEYS_SQL} FROM lineitem
 WHERE l_quantity >= 10 AND l_quantity < 30
   AND l_shipdate > TIMESTAMP '1996-03-01 23:59:59.999999' AND l_shipdate <= TIMESTAMP '1998-06-30 12:00:00'"""),
+    "filter_value_tables": (filter_value_tables, lambda: f"""SELECT {_LINE_KEYS_SQL} FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 25) AND l_quantity < 20
+  AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')"""),
     "filter_big_ids": (filter_big_ids, lambda: f"""
 WITH d AS (SELECT doc_id + {BIG} AS id FROM documents)
 SELECT id, 'typed' AS kind FROM d
