@@ -51,6 +51,7 @@ from docferry.llm.shingles import block_keys, levels, set_digest, shingle_set, s
 
 BROADCAST_IDS = 300_000  # ids of 8 bytes; beyond that they are joined by shuffle
 STARS = 3  # leaders of a bucket that are compared with all its members first
+EARLIER = 8  # keys of a class before a bucket's, by which a pair is known to be compared already
 CHUNK = 2_048  # members of a bucket compared in one task; larger buckets are cut
 ROWS_OUT = 200_000
 BATCH_ROWS = 1_000
@@ -283,11 +284,14 @@ def _fold_to(rows: list[np.ndarray], words: int) -> np.ndarray:
     return out
 
 
-def _close_pairs(cls, roots, sizes, sketches, side, across: bool) -> tuple[np.ndarray, np.ndarray]:
+def _close_pairs(cls, roots, sizes, sketches, side, across: bool, earlier, filled) -> tuple[np.ndarray, np.ndarray]:
     """Members of different components (and sides, if ``across``) whose sketches
-    are within their largest symmetric difference."""
+    are within their largest symmetric difference. Members with a common key
+    among the last ones before this bucket's met there or earlier still: in
+    the bucket of their smallest common key they have none."""
     order = np.argsort(roots, kind="stable")
     cls, roots, sizes, side = cls[order], roots[order], sizes[order], side[order]
+    earlier, filled = earlier[order], filled[order]
     x = _fold_to([sketches[i] for i in order], min(len(r) for r in sketches))
     ends = np.searchsorted(roots, roots, side="right")
     left, right = [], []
@@ -300,6 +304,9 @@ def _close_pairs(cls, roots, sizes, sketches, side, across: bool) -> tuple[np.nd
         if across:
             near &= side[j:] != side[i]
         at = np.flatnonzero(near)
+        if len(at):
+            met = (earlier[j + at][:, :, None] == earlier[i]) & filled[j + at][:, :, None] & filled[i]
+            at = at[~met.any(axis=(1, 2))]
         if len(at):
             left.append(np.full(len(at), cls[i]))
             right.append(cls[j + at])
@@ -312,11 +319,15 @@ def _close_pairs(cls, roots, sizes, sketches, side, across: bool) -> tuple[np.nd
 def close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """x, y: pairs of one bucket and different components with close sketches.
     ``rows``: key, cls, root, n (the bucket's members). A bucket of more than
-    ``CHUNK`` members is cut by a hash, and each two of its cuts are a group."""
+    ``CHUNK`` members is cut by a hash, and each two of its cuts are a group.
+    Near copies share many buckets: a pair leaves few of them (see
+    ``_close_pairs``), not each."""
+    before = W.partitionBy("cls").orderBy("key").rowsBetween(-EARLIER, -1)
+    rows = rows.withColumn("earlier", F.collect_list("key").over(before))
     cuts = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
     own = F.pmod(F.xxhash64("cls"), cuts).cast("int")
     grouped = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), cuts - 1))) \
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "earlier")
     thin = sets.select("cls", "size", "sketch")
     dealt = grouped.join(thin, "cls").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
@@ -331,13 +342,18 @@ def close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
                                                ("key", "i", "j", "own", "cls", "root", "size"))
             sk = table.column("sketch").combine_chunks()
             offsets, words = sk.offsets.to_numpy(), sk.values.to_numpy().view(np.uint64)
+            lists = table.column("earlier").combine_chunks()
+            ends = lists.offsets.to_numpy()
+            filled = np.arange(EARLIER) < np.diff(ends)[:, None]
+            earlier = np.zeros(filled.shape, np.int64)
+            earlier[filled] = lists.values.to_numpy()[ends[0]:ends[-1]]
             new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             found = []
             for a, b in zip(new, np.r_[new[1:], len(key)], strict=True):
                 if b - a > 1:
                     found.append(_close_pairs(cls[a:b], root[a:b], size[a:b],
                                               [words[offsets[r]:offsets[r + 1]] for r in range(a, b)],
-                                              own[a:b], i[a] != j[a]))
+                                              own[a:b], i[a] != j[a], earlier[a:b], filled[a:b]))
             if not found:
                 return None
             both = np.unique(np.stack([np.concatenate([f[0] for f in found]),
@@ -362,7 +378,7 @@ def close_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
             if out is not None:
                 yield out
 
-    return dealt.select("key", "i", "j", "own", "cls", "root", "size", "sketch") \
+    return dealt.select("key", "i", "j", "own", "cls", "root", "size", "sketch", "earlier") \
         .mapInArrow(run, "x long, y long").distinct()
 
 
