@@ -31,6 +31,7 @@ from docferry.llm.tokens import SPACED_RUNS
 from docferry.session import tune
 
 
+CACHE_CHUNKS = 500_000  # workers hold memory of the stages before this one, too
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -69,7 +70,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences."""
     _ready(spark)
-    return packing.pack(packing.pieces(docs, tokenizer="byte_bpe_50k.json", cuts=SPACED_RUNS, end_id=2))
+    return packing.pack(packing.pieces(docs, tokenizer="byte_bpe_50k.json", cuts=SPACED_RUNS, end_id=2,
+                                       cache_chunks=CACHE_CHUNKS))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docferry.llm.common import settle, utf8
-from docferry.llm.tokens import SPACED_RUNS, encoder
+from docferry.llm.tokens import CACHE_CHUNKS, SPACED_RUNS, encoder
 
 CAPACITY = 1024
 GROUP_PIECES = 40_000
@@ -39,12 +39,12 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, *, tokenizer: str, cuts: str = SPACED_RUNS, end_id: int = 2,
-           capacity: int = CAPACITY) -> DataFrame:
+           capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32."""
     end = struct.pack("<I", end_id)
 
     def cut(batches):
-        enc = encoder(tokenizer, cuts)
+        enc = encoder(tokenizer, cuts, cache_chunks)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):

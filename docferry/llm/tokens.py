@@ -35,6 +35,7 @@ def _byte_chars() -> list[str]:
 
 _BYTE_CHARS = _byte_chars()
 
+CACHE_CHUNKS = 1_200_000
 WORD_RUNS = "word_runs"
 SPACED_RUNS = "spaced_runs"
 
@@ -65,7 +66,7 @@ class ChunkEncoder(dict):
     which the frequent chunks are.
     """
 
-    def __init__(self, path: str, cuts: str, cache_chunks: int = 1_200_000) -> None:
+    def __init__(self, path: str, cuts: str, cache_chunks: int = CACHE_CHUNKS) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -119,10 +120,10 @@ def _packed(ids: list[int]) -> bytes:
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
 
 
-def encoder(path_or_name: str, cuts: str) -> ChunkEncoder:
-    """One encoder for each worker process and file, kept between tasks."""
-    key = (path_or_name, cuts)
+def encoder(path_or_name: str, cuts: str, cache_chunks: int = CACHE_CHUNKS) -> ChunkEncoder:
+    """One encoder for each worker process, file and size, kept between tasks."""
+    key = (path_or_name, cuts, cache_chunks)
     if key not in _ENCODERS:
         path = path_or_name if os.path.sep in path_or_name else vocabulary(path_or_name)
-        _ENCODERS[key] = ChunkEncoder(path, cuts)
+        _ENCODERS[key] = ChunkEncoder(path, cuts, cache_chunks)
     return sole(_ENCODERS[key])

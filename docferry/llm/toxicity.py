@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from docferry.llm.common import settle, utf8
+from docferry.llm.common import settle, sole, utf8
 
 MODEL_ROWS = 2_500
 CURVE_ROWS = 6_000
@@ -221,6 +221,7 @@ def score(docs: DataFrame, model: Model, *, raw: bool = False, column: str = "sc
 
     def add(batches):
         m = shared.value
+        sole({})  # the model has a cache of its own
         for batch in batches:
             found = [m.raw(t) if raw else m.score(t) for t in utf8(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],
