@@ -2,20 +2,31 @@
 
 Jobs are rows, not expressions: a plan has the same size for ten jobs and for
 ten thousand. Each query becomes alternatives of simple tests (its disjunctive
-normal form); of an alternative's tests one gives its *access keys*:
+normal form); of an alternative's tests two at most give its *access keys*, one of
+values and one of a range or prefix, and a key is made of both:
 
 * ``term`` / ``terms``: a key for each value (an inverted index);
 * ``range``: the bounds of all such jobs cut the field's values into elementary
   intervals, and a range is a few nodes of the binary tree over them (an
-  interval index); a value's keys are its interval's ancestors;
-* neither: one key that every row has.
+  interval index); a value's keys are its interval's ancestors in the levels
+  that some range uses;
+* ``prefix``: the prefix; a value's keys are its beginnings of the lengths that
+  some job uses;
+* none: one key that every row has.
 
 Rows are joined with the index on their keys, so a row meets only jobs whose
-access test it passes; the alternative's other tests are data, too, and are
+access tests it passes; the alternative's other tests are data, too, and are
 evaluated by one expression over the row's values. An alternative also carries
 the job's earlier ones and counts only where none of those matches, so a row
 meets a job once, without a shuffle.
 
+Where only a number, least and greatest value are wanted for each job (``tag``
+with ``summary``), rows aren't paired with jobs: those with the same key and
+the same values in the fields that are still to be tested are summed up first,
+and the sums are joined with the index. There, jobs of few alternatives are
+counted by inclusion and exclusion: each set of alternatives is an entry of its
+own with a sign, so an entry needs no field of other alternatives.
+
 Supported: ``match_all``, ``term``, ``terms``, ``range``, ``exists``, ``prefix``
 and ``bool`` over top-level columns of text, integer, boolean, floating-point,
 date and timestamp type, with the rules of ``predicates`` (missing fields match
@@ -30,6 +41,7 @@ import math
 from bisect import bisect_left
 from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
+from itertools import combinations
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -45,10 +57,14 @@ from docferry.operators.scan import JOB_TAG
 
 #: Alternatives that a query may have; more are left to ``tag_jobs``.
 MOST_ALTERNATIVES = 64
+#: Alternatives whose sets are entries of their own for sums (2^n - 1 sets).
+MOST_SIGNED = 3
+#: Values of a test that a range or prefix is combined with; more stand alone.
+MOST_COMBINED = 16
 
 TEST = ("struct<field:int,kind:string,neg:boolean,ss:array<string>,ls:array<bigint>,ds:array<double>,"
         "los:string,his:string,lol:bigint,hil:bigint,lod:double,hid:double,lo_open:boolean,hi_open:boolean>")
-COMPILED = (f"job_id string, problem string, access string, field int, key string, los string, his string, "
+COMPILED = (f"job_id string, problem string, use string, sign int, vfield int, access string, field int, key string, los string, his string, "
             f"lol bigint, hil bigint, lod double, hid double, lo_open boolean, hi_open boolean, "
             f"tests array<{TEST}>, earlier array<array<{TEST}>>")
 
@@ -239,18 +255,52 @@ def _both(a: list[list[dict]], b: list[list[dict]]) -> list[list[dict]]:
     return [x + y for x in a for y in b]
 
 
-def _access(tests: list[dict]) -> int | None:
-    """Place of the test that finds the alternative: values before ranges, a
-    range with two bounds before one with one."""
-    best, rank = None, 0
+def _access(tests: list[dict]) -> tuple[int | None, int | None]:
+    """Places of the tests that find the alternative: one of values, and a range
+    with two bounds or a prefix, before a range with one. Long lists of values
+    find it alone."""
+    value, other, rank = None, None, 0
     for i, t in enumerate(tests):
         if t["neg"]:
             continue
+        if t["kind"] == "in":
+            value = i if value is None or len(_listed(t)) < len(_listed(tests[value])) else value
+            continue
         both = sum(t.get(f"{end}{k}") is not None and t.get(f"{end}{k}") not in _LONG for end in ("lo", "hi") for k in "sld")
-        r = {"in": 4, "range": 1 + both}.get(t["kind"], 0)
+        r = 1 + both if t["kind"] == "range" else 3 if t["kind"] == "prefix" and t["los"] else 0
         if r > rank:
-            best, rank = i, r
-    return best
+            other, rank = i, r
+    if value is not None and len(_listed(tests[value])) > MOST_COMBINED:
+        other = None
+    return value, other
+
+
+def _listed(test: dict) -> list:
+    return test.get("ss") or test.get("ls") or test.get("ds")
+
+
+def _signed(found: list[list[dict]]):
+    """(use, sign, tests, earlier) of a query's alternatives: for ``rows`` each
+    one without the earlier ones, for ``sums`` each set of them (``both``: for
+    either)."""
+    if len(found) > MOST_SIGNED:
+        for n, tests in enumerate(found):
+            yield "both", 1, tests, found[:n]
+        return
+    for n, tests in enumerate(found):
+        yield "both" if not n else "rows", 1, tests, found[:n]
+    for size in range(1, len(found) + 1):
+        for some in combinations(range(len(found)), size):
+            if some != (0,):
+                every = [t for n in some for t in found[n]]
+                yield "sums", 1 if size % 2 else -1, [t for i, t in enumerate(every) if t not in every[:i]], []
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all tasks: a table of a few MB, which Spark reads in one
+    task, can hold jobs or rows that take minutes."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
 def compile_jobs(jobs: DataFrame, schema: T.StructType, now: datetime) -> DataFrame:
@@ -263,7 +313,7 @@ def compile_jobs(jobs: DataFrame, schema: T.StructType, now: datetime) -> DataFr
         ("ls", pa.list_(pa.int64())), ("ds", pa.list_(pa.float64())), ("los", pa.string()), ("his", pa.string()),
         ("lol", pa.int64()), ("hil", pa.int64()), ("lod", pa.float64()), ("hid", pa.float64()),
         ("lo_open", pa.bool_()), ("hi_open", pa.bool_())])
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(),
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(),
              pa.float64(), pa.float64(), pa.bool_(), pa.bool_(), pa.list_(arrow_test), pa.list_(pa.list_(arrow_test))]
     limits = ("los", "his", "lol", "hil", "lod", "hid", "lo_open", "hi_open")
 
@@ -273,19 +323,19 @@ def compile_jobs(jobs: DataFrame, schema: T.StructType, now: datetime) -> DataFr
         except (Unsupported, QueryError, ValueError) as e:
             yield {"job_id": job_id, "problem": str(e) or type(e).__name__}
             return
-        for n, tests in enumerate(found):
-            at = _access(tests)
-            rest = [t for i, t in enumerate(tests) if i != at]
-            base = {"job_id": job_id, "tests": rest, "earlier": found[:n]}
-            if at is None:
-                yield {**base, "access": "all", "key": "*"}
+        for use, sign, tests, earlier in _signed(found):
+            value, other = _access(tests)
+            rest = [t for i, t in enumerate(tests) if i not in (value, other)]
+            base = {"job_id": job_id, "use": use, "sign": sign, "tests": rest, "earlier": earlier, "access": "none"}
+            if other is not None:
+                t = tests[other]
+                base |= {"access": t["kind"], "field": t["field"], **{k: t.get(k) for k in limits}}
+            if value is None:
+                yield {**base, "key": ""}
                 continue
-            t = tests[at]
-            if t["kind"] == "in":
-                for v in t.get("ss") or t.get("ls") or t.get("ds"):
-                    yield {**base, "access": "value", "field": t["field"], "key": f"={t['field']}={_key_text(v)}"}
-            else:
-                yield {**base, "access": "range", "field": t["field"], **{k: t.get(k) for k in limits}}
+            t = tests[value]
+            for v in _listed(t):
+                yield {**base, "vfield": t["field"], "key": f"={t['field']}={_key_text(v)}"}
 
     def run(batches):
         for batch in batches:
@@ -294,7 +344,7 @@ def compile_jobs(jobs: DataFrame, schema: T.StructType, now: datetime) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k)
                                               for n, k in zip(names, kinds, strict=True)], names=names)
 
-    return jobs.select(F.col("job_id").cast("string"), F.col("query").cast("string")).mapInArrow(run, COMPILED)
+    return _spread(jobs.select(F.col("job_id").cast("string"), F.col("query").cast("string"))).mapInArrow(run, COMPILED)
 
 
 def _key_text(v: Any) -> str:
@@ -343,19 +393,28 @@ def _nodes(low: int, high: int) -> list[tuple[int, int]]:
     return out
 
 
+class Shape(NamedTuple):
+    """Entries that are found by the same fields: ``parts`` are the levels of
+    their ranges' nodes or the lengths of their prefixes, ``rest`` the fields
+    that their tests read besides."""
+
+    use: str
+    vfield: int | None
+    access: str
+    field: int | None
+    parts: tuple[int, ...]
+    rest: frozenset[int]
+
+
 class JobIndex(NamedTuple):
-    """``entries``: (key, job_id, tests, earlier); ``cuts``: by range field its
-    sorted bounds, of which every job gives two at most."""
+    """``entries``: (key, job_id, use, sign, tests, earlier); ``cuts``: by range
+    field its sorted bounds, of which every job gives two at most."""
 
     entries: DataFrame
     unsupported: DataFrame
     fields: dict[str, Field]
-    tested: list[str]
-    by_value: list[str]
+    shapes: list[Shape]
     cuts: dict[str, list]
-    levels: int
-
-
 
 
 def build(jobs: DataFrame, schema: T.StructType, now: datetime, path: str) -> JobIndex:
@@ -366,10 +425,6 @@ def build(jobs: DataFrame, schema: T.StructType, now: datetime, path: str) -> Jo
     compile_jobs(jobs, schema, now).write.mode("overwrite").parquet(f"{path}/compiled")
     compiled = spark.read.schema(COMPILED).parquet(f"{path}/compiled")
     good = compiled.filter("problem IS NULL")
-    used = good.select(F.explode(F.array_distinct(F.concat(
-        F.transform(F.flatten("earlier"), lambda t: t["field"]), F.transform("tests", lambda t: t["field"])))).alias("f"))
-    tested = sorted(by_no[r.f] for r in used.distinct().collect())
-    by_value = sorted(by_no[r.field] for r in good.filter("access = 'value'").select("field").distinct().collect())
     ranges = good.filter("access = 'range'")
     cuts: dict[str, list] = {}
     for r in ranges.select("field").distinct().collect():
@@ -377,10 +432,9 @@ def build(jobs: DataFrame, schema: T.StructType, now: datetime, path: str) -> Jo
         k = fields[name].kind
         bounds = ranges.filter(F.col("field") == r.field).select(F.explode(F.array(f"lo{k}", f"hi{k}")).alias("b"))
         cuts[name] = [x.b for x in bounds.filter("b IS NOT NULL").distinct().orderBy("b").collect()]
-    levels = max([(2 * len(c)).bit_length() for c in cuts.values()] + [0]) + 1
     shared = spark.sparkContext.broadcast({fields[n].no: (fields[n].kind, c) for n, c in cuts.items()})
 
-    @F.udf("array<string>")
+    @F.udf("array<struct<part:int,key:string>>")
     def node_keys(no, los, his, lol, hil, lod, hid, lo_open, hi_open):
         if no not in shared.value:
             return None
@@ -393,14 +447,29 @@ def build(jobs: DataFrame, schema: T.StructType, now: datetime, path: str) -> Jo
         low, high = {"s": (los, his), "l": (lol, hil), "d": (lod, hid)}[kind]
         first = 0 if low is None else place(low) + bool(lo_open)
         last = 2 * len(bounds) if high is None else place(high) - bool(hi_open)
-        return [f"~{no}~{level}~{node}" for level, node in _nodes(first, last)]
-
-    keyed = good.withColumn("keys", F.when(F.col("access") == "range", node_keys(
-        "field", "los", "his", "lol", "hil", "lod", "hid", "lo_open", "hi_open")).otherwise(F.array("key")))
-    keyed.select(F.explode("keys").alias("key"), "job_id", "tests", "earlier").write.mode("overwrite").parquet(
-        f"{path}/entries")
-    return JobIndex(spark.read.parquet(f"{path}/entries"), compiled.filter("problem IS NOT NULL").select("job_id", "problem"),
-                    fields, tested, by_value, cuts, levels)
+        return [(level, f"~{no}~{level}~{node}") for level, node in _nodes(first, last)]
+
+    def one(part: Column, key: Column) -> Column:
+        return F.array(F.struct(part.cast("int").alias("part"), key.alias("key")))
+
+    start = F.concat(F.lit("^"), F.col("field").cast("string"), F.lit("^"), F.length("los").cast("string"), F.lit("^"), F.col("los"))
+    keys = F.when(F.col("access") == "range", node_keys(
+        "field", "los", "his", "lol", "hil", "lod", "hid", "lo_open", "hi_open")) \
+        .when(F.col("access") == "prefix", one(F.length("los"), start)).otherwise(one(F.lit(0), F.lit("")))
+    keyed = good.withColumn("found", F.explode(keys)).withColumn("part", F.col("found.part")) \
+        .withColumn("key", F.concat(F.col("found.key"), F.col("key")))
+    shape = ("use", "vfield", "access", "field")
+    keyed.select("key", "job_id", "sign", "tests", "earlier", "part", *shape).write.mode("overwrite").parquet(f"{path}/entries")
+    entries = spark.read.parquet(f"{path}/entries")
+    read = F.array_distinct(F.transform(F.concat("tests", F.flatten("earlier")), lambda t: t["field"]))
+    parts = entries.groupBy(*shape).agg(F.collect_set("part").alias("parts"))
+    rest = entries.select(*shape, F.explode(read).alias("f")).groupBy(*shape).agg(F.collect_set("f").alias("rest"))
+    tested = {(r.use, r.vfield, r.access, r.field): frozenset(r.rest) for r in rest.collect()}
+    shapes = [Shape(r.use, r.vfield, r.access, r.field, tuple(sorted(r.parts)),
+                    tested.get((r.use, r.vfield, r.access, r.field), frozenset())) for r in parts.collect()]
+    return JobIndex(entries.select("key", "job_id", "use", "sign", "tests", "earlier"),
+                    compiled.filter("problem IS NOT NULL").select("job_id", "problem"), fields,
+                    sorted(shapes, key=repr), cuts)
 
 
 def _holds(test: Column, value: Column) -> Column:
@@ -440,41 +509,110 @@ def _interval(spark: SparkSession, bounds: list, kind: str):
     return interval
 
 
-def _ancestors(no: int, place: Column, levels: int) -> Column:
-    """Keys of an elementary interval and all nodes above it."""
-    return F.array(*[F.concat(F.lit(f"~{no}~{k}~"), F.shiftright(place, k).cast("string")) for k in range(levels + 1)])
-
-
-def tag(df: DataFrame, index: JobIndex) -> DataFrame:
-    """``df`` with a row for each job that matches (column ``JOB_TAG``)."""
+def _placed(df: DataFrame, index: JobIndex) -> DataFrame:
+    """``df`` with the elementary intervals of its range fields."""
     values = _values(df, index.fields)
-    spark = df.sparkSession
-    keys = [F.array(F.lit("*"))]
-    for name in index.by_value:
-        f = index.fields[name]
-        keys.append(F.array(_value_key(f.kind, f.no, values[name])))
     for name, bounds in index.cuts.items():
         f = index.fields[name]
         none = {"s": "", "l": 0, "d": 0.0}[f.kind]
-        interval = _interval(spark, bounds, f.kind)
+        interval = _interval(df.sparkSession, bounds, f.kind)
         place = F.when(values[name].isNotNull(), interval(F.coalesce(values[name], F.lit(none))))
         df = df.withColumn(f"__place_{f.no}", place)
-        keys.append(_ancestors(f.no, F.col(f"__place_{f.no}"), index.levels))
-    own = F.create_map(*[x for name in index.tested for x in (F.lit(index.fields[name].no), F.struct(
-        *[(values[name] if index.fields[name].kind == k else F.lit(None)).cast(t).alias(k)
-          for k, t in (("s", "string"), ("l", "bigint"), ("d", "double"))]))]) if index.tested else None
-    rows = df.select("*", F.flatten(F.array(*keys)).alias("__keys"))
-    rows = rows.withColumn("__key", F.explode(F.filter("__keys", lambda k: k.isNotNull()))).drop("__keys")
-    # Spark broadcasts the index where it is small and shuffles both beyond.
-    met = rows.join(index.entries.withColumnRenamed("key", "__key").withColumnRenamed("job_id", JOB_TAG), "__key")
-    if own is not None:
-        met = met.withColumn("__own", own)
+    return df
+
+
+def _keys(shape: Shape, index: JobIndex, values: dict[str, Column]) -> list[Column]:
+    """Keys of a row of ``_placed`` for the entries of a shape; null: none."""
+    by_no = {f.no: name for name, f in index.fields.items()}
+    value = F.lit("")
+    if shape.vfield is not None:
+        name = by_no[shape.vfield]
+        value = _value_key(index.fields[name].kind, shape.vfield, values[name])
+    no = shape.field
+    if shape.access == "range":
+        found = [F.concat(F.lit(f"~{no}~{k}~"), F.shiftright(F.col(f"__place_{no}"), k).cast("string")) for k in shape.parts]
+    elif shape.access == "prefix":
+        v = values[by_no[no]]
+        found = [F.when(F.length(v) >= n, F.concat(F.lit(f"^{no}^{n}^"), F.left(v, F.lit(n)))) for n in shape.parts]
+    else:
+        found = [F.lit("")]
+    return [F.concat(k, value) for k in found]
 
-        def all_hold(tests: Column) -> Column:
-            return F.forall(tests, lambda t: _holds(t, F.col("__own")[t["field"]]))
 
-        met = met.filter(all_hold(F.col("tests")) & ~F.exists("earlier", all_hold)).drop("__own")
-    else:
+def _own(nos: list[int], index: JobIndex, values: dict[str, Column], only=None) -> Column:
+    """Values of the fields ``nos``, each a struct of s, l and d; null for those
+    that aren't in ``only``."""
+    by_no = {f.no: name for name, f in index.fields.items()}
+    return F.array(*[F.struct(*[
+        (values[by_no[no]] if index.fields[by_no[no]].kind == k and (only is None or no in only) else F.lit(None)).cast(t).alias(k)
+        for k, t in (("s", "string"), ("l", "bigint"), ("d", "double"))]) for no in nos])
+
+
+def _passed(met: DataFrame, nos: list[int]) -> DataFrame:
+    """Rows whose values (``__own``, of the fields ``nos``) pass the tests and
+    no earlier alternative's."""
+    if not nos:
         # No tests beside access keys; an earlier alternative holds where it is empty.
-        met = met.filter(F.size("earlier") == 0)
-    return met.drop("__key", "tests", "earlier", *[f"__place_{index.fields[n].no}" for n in index.cuts])
+        return met.filter(F.size("earlier") == 0)
+    met = met.withColumn("__own", F.map_from_arrays(F.array(*[F.lit(no) for no in nos]), "__own"))
+
+    def all_hold(tests: Column) -> Column:
+        return F.forall(tests, lambda t: _holds(t, F.col("__own")[t["field"]]))
+
+    return met.filter(all_hold(F.col("tests")) & ~F.exists("earlier", all_hold))
+
+
+def _entries(index: JobIndex, use: str) -> tuple[DataFrame, list[Shape], list[int]]:
+    """Entries for a use, their shapes and the fields that they test."""
+    shapes = [s for s in index.shapes if s.use in ("both", use)]
+    entries = index.entries.filter(F.col("use").isin("both", use)).drop("use") \
+        .withColumnRenamed("key", "__key").withColumnRenamed("job_id", JOB_TAG)
+    return entries, shapes, sorted({no for s in shapes for no in s.rest})
+
+
+def tag(df: DataFrame, index: JobIndex, summary: str | None = None) -> DataFrame:
+    """``df`` with a row for each job that matches (column ``JOB_TAG``). With a
+    column's name as ``summary`` a row for each job that matches any: ``JOB_TAG``,
+    the number of rows ``n`` and the column's least and greatest value in them
+    (``first``, ``last``)."""
+    if summary is not None:
+        return _sums(df, index, summary)
+    values = _values(df, index.fields)
+    entries, shapes, nos = _entries(index, "rows")
+    # Shapes of both uses may have the same keys; a row has each key once.
+    keys = F.array_distinct(F.array(*[k for s in shapes for k in _keys(s, index, values)], F.lit(None).cast("string")))
+    rows = _placed(df, index).withColumn("__key", F.explode(F.filter(keys, lambda k: k.isNotNull())))
+    # Spark broadcasts the index where it is small and shuffles both beyond.
+    met = rows.join(entries, "__key")
+    if nos:
+        met = met.withColumn("__own", _own(nos, index, values))
+    return _passed(met, nos).drop("__key", "__own", "sign", "tests", "earlier",
+                                  *[f"__place_{index.fields[n].no}" for n in index.cuts])
+
+
+def _sums(df: DataFrame, index: JobIndex, column: str) -> DataFrame:
+    values = _values(df, index.fields)
+    entries, shapes, nos = _entries(index, "sums")
+    # Shapes that are found by the same fields share their sums.
+    alike: dict[tuple, tuple[set[int], set[int]]] = {}
+    for s in shapes:
+        parts, rest = alike.setdefault((s.vfield, s.access, s.field), (set(), set()))
+        parts.update(s.parts)
+        rest.update(s.rest)
+    found = []
+    for (vfield, access, field), (parts, rest) in alike.items():
+        own = _own(nos, index, values, rest) if nos else F.lit(None).cast("array<struct<s:string,l:bigint,d:double>>")
+        shape = Shape("sums", vfield, access, field, tuple(sorted(parts)), frozenset(rest))
+        found += [F.struct(k.alias("key"), own.alias("own")) for k in _keys(shape, index, values)]
+    of = F.col(f"`{column}`")
+    if not found:
+        return df.select(F.lit(None).cast("string").alias(JOB_TAG), F.lit(0).cast("bigint").alias("n"), of.alias("first"),
+                         of.alias("last")).limit(0)
+    rows = _placed(_spread(df), index).select(of.alias("__of"), F.explode(F.array(*found)).alias("e")).filter("e.key IS NOT NULL")
+    sums = rows.groupBy(F.col("e.key").alias("__key"), F.col("e.own").alias("__own")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__of").alias("first"), F.max("__of").alias("last"))
+    met = _passed(sums.join(entries, "__key"), nos)
+    plus = F.col("sign") > 0
+    return met.groupBy(JOB_TAG).agg(
+        F.sum(F.col("sign") * F.col("n")).alias("n"), F.min(F.when(plus, F.col("first"))).alias("first"),
+        F.max(F.when(plus, F.col("last"))).alias("last")).filter("n > 0")

@@ -49,8 +49,7 @@ def many_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/jobs/index-{uuid.uuid4().hex}"
     jobs = customer_jobs(spark, sf_dir)
     index = job_index.build(jobs, customers.schema, NOW, path)
-    counts = job_index.tag(customers, index).groupBy(F.col(JOB_TAG).alias("job_id")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first"), F.max("c_custkey").alias("last"))
+    counts = job_index.tag(customers, index, summary="c_custkey").withColumnRenamed(JOB_TAG, "job_id")
     return jobs.select("job_id").join(counts, "job_id", "left").select(
         "job_id", F.coalesce("n", F.lit(0)).alias("source_count"), "first", "last")
 

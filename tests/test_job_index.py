@@ -78,6 +78,33 @@ def test_random_queries(spark, out_dir):
     assert got == sorted(want) and len(got) > 500
 
 
+def test_sums_of_random_queries(spark, out_dir):
+    rng = random.Random(11)
+    df = spark.createDataFrame(rows() + rows()[:9], SCHEMA).repartition(3).cache()
+    jobs = [(f"j{i}", query(rng)) for i in range(120)]
+    index = build(spark, out_dir, jobs, df)
+    got = sorted(tuple(r) for r in job_index.tag(df, index, summary="id").select(JOB_TAG, "n", "first", "last").collect())
+    want = job_index.tag(df, index).groupBy(JOB_TAG).agg(F.count(F.lit(1)), F.min("id"), F.max("id"))
+    assert got == sorted(tuple(r) for r in want.collect()) and len(got) > 60
+    none = build(spark, out_dir, [], df, "no_sums")
+    assert job_index.tag(df, none, summary="id").count() == job_index.tag(df.limit(0), index, summary="id").count() == 0
+
+
+def test_rows_meet_only_jobs_whose_value_and_range_hold(spark, out_dir):
+    df = spark.range(2000).selectExpr("id", "cast(id % 2 as int) n", "id / 2e0 x", "concat('name', id) name")
+    jobs = [(f"r{i}", {"bool": {"must": [{"term": {"n": i % 2}}, {"range": {"x": {"gte": i, "lt": i + 1}}}]}}) for i in range(300)]
+    jobs += [(f"p{i}", {"bool": {"must": [{"term": {"n": i % 2}}, {"prefix": {"name": f"name{i}"}}]}}) for i in range(100, 200)]
+    jobs += [(f"s{i}", {"bool": {"should": [{"term": {"id": i}}, {"range": {"x": {"gte": 0, "lt": 900}}}]}}) for i in range(300)]
+    index = build(spark, out_dir, jobs, df)
+    assert index.entries.filter("job_id not like 's%' and size(tests) > 0").count() == 0
+    got = {r[JOB_TAG]: (r.n, r.first, r.last) for r in job_index.tag(df, index, summary="id").collect()}
+    assert got["r7"] == (1, 15, 15) and got["p150"] == (6, 150, 1508) and got["s5"] == (1800, 0, 1799) and len(got) == 700
+    # Rows are summed up by their keys before they meet jobs: 700 sums, not 540,000 rows and jobs.
+    plan = job_index.tag(df, index, summary="id")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert "count(1)" in below and "min(" in below
+
+
 @pytest.mark.parametrize("bad", [
     {"term": {"items": 1}}, {"term": {"items.x": 1}}, {"nope": {}}, {"range": {"n": {}}}, [], "x",
     {"bool": {"should": [{"match_all": {}}], "minimum_should_match": 2}}, {"range": {"d": {"gte": "2024-01-01"}}},
