@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from docferry.session import checkpoint_dir, ship  # noqa: F401
 from docferry.sources import fs
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _SETTLED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 _IN_USE: list[dict] = []
 
@@ -30,11 +32,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder as Parquet and read it back:
     cuts the lineage, so that neither a later job nor a lost executor makes
-    Spark run the steps above it again."""
+    Spark run the steps above it again. What was shuffled for it is deleted
+    with the end of the write, not when the driver collects garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)
     _SETTLED[out] = path
     return out

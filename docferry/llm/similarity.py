@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from docferry.llm.common import release, settle, unused, utf8
-from docferry.llm.shingles import block_keys, levels, set_digest, shingle_set, sketch
+from docferry.llm.shingles import block_keys, levels, scrambled, set_digests, shingle_sets, sketch
 
 BROADCAST_IDS = 300_000  # ids of 8 bytes; beyond that they are joined by shuffle
 STARS = 3  # leaders of a bucket that are compared with all its members first
@@ -66,10 +66,9 @@ def profile(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t) for t in utf8(batch.column(1))]
+            sets = shingle_sets(utf8(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_digests(sets), pa.int64())],
                 names=["doc_id", "n_shingles", "cls"])
 
     return _texts(docs).mapInArrow(run, "doc_id long, n_shingles long, cls long")
@@ -93,16 +92,14 @@ def keys(docs: DataFrame) -> DataFrame:
                 names=["key", "cls", "tag"])
 
         for batch in batches:
-            for text in utf8(batch.column(0)):
-                s = shingle_set(text)
-                if not len(s):
-                    continue
-                cls = set_digest(s)
-                if cls in seen:
+            sets = shingle_sets(utf8(batch.column(0)))
+            for s, cls in zip(sets, set_digests(sets), strict=True):
+                if cls is None or cls in seen:
                     continue
                 seen.add(cls)
+                mixed = scrambled(s)
                 for level, spoilt in levels(len(s)):
-                    k, need = block_keys(s, level, spoilt)
+                    k, need = block_keys(s, level, spoilt, mixed)
                     out.append((k, cls, level << 32 | need))
                     held += len(k)
                 if held > ROWS_OUT:
@@ -140,9 +137,8 @@ def _without_id(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             cls, texts = [], []
-            for text in utf8(batch.column(0)):
-                s = shingle_set(text)
-                c = set_digest(s) if len(s) else None
+            found = utf8(batch.column(0))
+            for text, c in zip(found, set_digests(shingle_sets(found)), strict=True):
                 if c is not None and c not in seen:
                     seen.add(c)
                     cls.append(c)
@@ -165,9 +161,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [s for s in map(shingle_set, utf8(batch.column(0))) if len(s)]
+            sets = [s for s in shingle_sets(utf8(batch.column(0))) if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                [pa.array(set_digests(sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                  pa.array([sketch(s, levels(len(s))[0][0]) for s in sets], pa.list_(pa.int64()))],
                 names=["cls", "size", "hashes", "sketch"])
@@ -457,8 +453,7 @@ def _with_class(docs: DataFrame, column: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t) for t in utf8(batch.column(at))]
-            cls = pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())
+            cls = pa.array(set_digests(shingle_sets(utf8(batch.column(at)))), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, cls], names=[*batch.schema.names, column])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, LongType())]))
@@ -475,6 +470,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = settle(_assigned(thin, ids), "components")
     p = unused(docs, "near_")
     stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(p + "id")).distinct()
+    if found.filter("doc_id = component_id").count() <= BROADCAST_IDS:  # then the texts needn't be shuffled
+        stay = F.broadcast(stay)
     cols = [F.col(f"`{c}`") for c in docs.columns]
     out = docs.join(stay, F.col("doc_id") == F.col(p + "id"), "left_semi")
     rows, distinct, null = found.agg(F.count("doc_id"), F.countDistinct("doc_id"),

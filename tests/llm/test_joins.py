@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docferry.llm import neighbours, shingles, similarity
+from docferry.llm.common import settle
 
 
 def shingle(text):
@@ -131,6 +132,58 @@ def test_partners_share_the_promised_keys(common, extra_a, extra_b, seed):
     assert apart <= len(a) + len(b) - 2 * both
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "A", "bb", "é", "É", "x" * 256, "x" * 257, "X" * 300, " ", "\t", "\n", "\x0b", "\x85", "\u3000"]),
+                         max_size=30).map("".join), max_size=6))
+def test_sets_of_many_texts_are_those_of_each(texts):
+    """Texts hashed together: no shingle reaches into the next text."""
+    wanted = [shingle_of_bytes(t) for t in texts]
+    sets = shingles.shingle_sets([t.encode() for t in texts])
+    assert [len(s) for s in sets] == [len(w) for w in wanted]
+    for s, w, t in zip(sets, wanted, texts, strict=True):
+        assert (s == shingles.shingle_set(t.encode())).all() and len(s) == len(np.unique(s)) and (np.sort(s) == s).all()
+        for other, v in zip(sets, wanted, strict=True):
+            assert len(np.intersect1d(s, other)) == len(w & v)
+    digests = shingles.set_digests(sets)
+    assert [d is None for d in digests] == [not w for w in wanted]
+    assert len(set(digests) - {None}) == len({frozenset(w) for w in wanted if w})
+
+
+def shingle_of_bytes(text):
+    w = text.encode().lower().split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def test_words_are_hashed_without_a_cache(monkeypatch):
+    def never(*_):
+        raise AssertionError("a word went through the cache")
+
+    monkeypatch.setattr("docferry.llm.words.WordHashes.of", never)
+    assert len(shingles.shingle_set(b"one two three four five six")) == 2
+
+
+def test_kept_rows_are_read_without_a_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(i, f"some text of number {i} and more words", "x") for i in range(30)], "doc_id long, text string, lang string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = similarity.one_of_each(docs)
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString() and kept.count() == 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    def held():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+        return blocks.size()
+
+    before = held()
+    out = settle(spark.range(1000).repartition(4).groupBy((F.col("id") % 7).alias("k")).count(), "few")
+    assert held() <= before and out.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101)], "x long, y long")
     got = {r.node: r.root for r in similarity.components(edges).collect()}
